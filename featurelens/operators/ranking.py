@@ -14,6 +14,8 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from featurelens.session import cut_lineage
+
 _PID, _LOCAL, _PTOT, _OFF = "_fl_pid", "_fl_local", "_fl_ptotal", "_fl_offset"
 
 
@@ -42,6 +44,11 @@ def running_total(df: DataFrame, order: Sequence, partition_by: Iterable[str] =
     n = _num_partitions(df, num_partitions)
     ranged = (df.repartitionByRange(n, *[F.col(p) for p in part], *order_exprs)
                 .withColumn(_PID, F.spark_partition_id()))
+    # Range bounds come from a sample whose rows depend on shuffle-read
+    # order, so two evaluations may cut the ranges differently. A reliable
+    # checkpoint fixes one partitioning for both branches below (and for
+    # recomputation after an executor loss).
+    ranged = cut_lineage(ranged)
     within = (Window.partitionBy(_PID, *part).orderBy(*order_exprs)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn(_LOCAL, F.sum(w).over(within))
