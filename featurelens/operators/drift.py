@@ -11,25 +11,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from featurelens.functions.constants import EPS_PSI
+from featurelens.session import cut_lineage
 
 ALL = "All"
 ALL_LABELS = "all_unique_labels"
 
 
-def crosstab_margins(df: DataFrame, label: str, period: str, key: str,
-                     period_idx: str | None = None) -> DataFrame:
-    """Count of non-null ``key`` per (label, period) with ``All`` margins."""
-    idx = F.col(period_idx) if period_idx else F.col(period)
+def crosstab_margins(df: DataFrame, label: str, period: str, key: str | None,
+                     period_idx: str | None = None, weight: str | None = None) -> DataFrame:
+    """Count of non-null ``key`` per (label, period) with ``All`` margins.
+
+    ``weight`` sums a pre-aggregated count column instead of counting keys.
+    """
+    # without an index, periods are ordered by their text (ISO dates sort)
+    idx = F.col(period_idx) if period_idx else F.lit(None)
+    val = F.col(weight) if weight else F.col(key)
     base = df.where(F.col(label).isNotNull() & F.col(period).isNotNull()).select(
         F.col(label).cast("string").alias("label"),
         F.struct(F.col(period).cast("string").alias("p"), idx.cast("long").alias("i")).alias("_p"),
-        F.col(key).alias("_k"))
-    g = base.cube("label", "_p").agg(F.count("_k").alias("n"), F.grouping_id().alias("_g"))
+        val.alias("_k"))
+    measure = F.sum("_k") if weight else F.count("_k")
+    g = base.cube("label", "_p").agg(measure.alias("n"), F.grouping_id().alias("_g"))
     return g.select(
         F.when(F.col("_g").bitwiseAND(2) == 2, F.lit(ALL)).otherwise(F.col("label")).alias("label"),
         F.when(F.col("_g").bitwiseAND(1) == 1, F.lit(ALL)).otherwise(F.col("_p.p")).alias("period"),
         F.col("_p.i").alias("period_idx"),
-        F.col("n").cast("long").alias("n"))
+        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
 
 
 def crosstab_ratio(ct: DataFrame) -> DataFrame:
@@ -39,26 +46,39 @@ def crosstab_ratio(ct: DataFrame) -> DataFrame:
     return ct.withColumn("ratio", F.try_divide(F.col("n"), tot))
 
 
-def psi(ratio: DataFrame, eps: float = EPS_PSI, decimals: int = 4) -> DataFrame:
+def psi(ratio: DataFrame, eps: float = EPS_PSI, decimals: int = 4, materialize: bool = True) -> DataFrame:
     """PSI per label and period against the previous period present;
-    first period NULL. Adds row ``all_unique_labels`` = unrounded sum."""
-    periods = (ratio.where((F.col("label") == ALL) & (F.col("period") != ALL))
-                    .select("period", "period_idx"))
-    # periods: one row per calendar period (days, weeks or months)
-    periods = periods.withColumn("k", F.row_number().over(Window.orderBy("period_idx", "period")))
-    cells = (ratio.where((F.col("label") != ALL) & (F.col("period") != ALL))
-                  .join(F.broadcast(periods.select("period", "k")), "period")
-                  .select("label", "k", "ratio"))
-    keys = cells.select("label", "k").unionByName(
-        cells.select("label", (F.col("k") + 1).alias("k"))).distinct()
-    cur = cells.withColumnRenamed("ratio", "_c")
-    prev = cells.select("label", (F.col("k") + 1).alias("k"), F.col("ratio").alias("_p"))
-    c = F.coalesce(F.col("_c"), F.lit(0.0))
-    p = F.coalesce(F.col("_p"), F.lit(0.0))
-    raw = F.when(F.col("k") > 1, (c - p) * F.log((c + F.lit(eps)) / (p + F.lit(eps))))
-    per_label = (keys.join(cur, ["label", "k"], "left").join(prev, ["label", "k"], "left")
-                     .join(F.broadcast(periods), "k")
-                     .select("label", "period", "period_idx", raw.alias("psi_raw")))
+    first period NULL. Adds row ``all_unique_labels`` = unrounded sum.
+
+    A cell missing in a period has share 0: each present cell pairs with
+    the same label's cell in the previous period (lag; 0 if that period is
+    missing) and, when the label is missing in the next period, also emits
+    that next period with current share 0 (lead).
+    """
+    if materialize:
+        # labels x periods rows; read twice below, so computed once
+        ratio = cut_lineage(ratio.select("label", "period", "period_idx", "ratio"))
+    cells = ratio.where((F.col("label") != ALL) & (F.col("period") != ALL))
+    # one row per period present (calendar-bounded)
+    periods = (cells.select("period", "period_idx").distinct()
+                    .withColumn("k", F.row_number().over(Window.orderBy("period_idx", "period"))))
+    kmax = periods.select(F.max("k")).scalar()
+    c = cells.join(F.broadcast(periods.select("period", "k")), "period").select("label", "k", "ratio")
+    w = Window.partitionBy("label").orderBy("k")  # one label: its periods
+    prev_k, prev_r = F.lag("k").over(w), F.lag("ratio").over(w)
+    next_k = F.lead("k").over(w)
+    c = c.select("label", "k", "ratio",
+                 F.when(prev_k == F.col("k") - 1, prev_r).otherwise(F.lit(0.0)).alias("_p"),
+                 (next_k.isNull() | (next_k != F.col("k") + 1)).alias("_gap_after"))
+    here = F.struct(F.col("k").alias("k"), F.col("ratio").alias("cur"), F.col("_p").alias("prev"))
+    after = F.when(F.col("_gap_after") & (F.col("k") + 1 <= kmax),
+                   F.struct((F.col("k") + 1).alias("k"), F.lit(0.0).alias("cur"), F.col("ratio").alias("prev")))
+    pairs = c.select("label", F.explode(F.array(here, after)).alias("t")).where(F.col("t").isNotNull())
+    pairs = pairs.select("label", "t.k", "t.cur", "t.prev")
+    cur, prev = F.coalesce(F.col("cur"), F.lit(0.0)), F.coalesce(F.col("prev"), F.lit(0.0))
+    raw = F.when(F.col("k") > 1, (cur - prev) * F.log((cur + F.lit(eps)) / (prev + F.lit(eps))))
+    per_label = (pairs.join(F.broadcast(periods), "k")
+                      .select("label", "period", "period_idx", raw.alias("psi_raw")))
     total = (per_label.groupBy("period", "period_idx").agg(F.sum("psi_raw").alias("psi_raw"))
                       .select(F.lit(ALL_LABELS).alias("label"), "period", "period_idx", "psi_raw"))
     both = per_label.unionByName(total)
@@ -66,23 +86,31 @@ def psi(ratio: DataFrame, eps: float = EPS_PSI, decimals: int = 4) -> DataFrame:
                                    .otherwise(F.round("psi_raw", decimals)))
 
 
-def label_report(df: DataFrame, cust_key: str, label: str, date_col: str) -> dict:
+GRAINS = {"dly": ("_day", "_day_idx"), "wly": ("week", "week_idx"), "mly": ("month", "month_idx")}
+
+
+def label_report(df: DataFrame, cust_key: str, label: str, date_col: str, materialize: bool = True) -> dict:
     """Nine tables: total / ratio / psi by day, week and month.
 
-    ``df`` must carry ``week``/``week_idx`` and ``month``/``month_idx``
-    (see :func:`featurelens.operators.calendar.period_columns`).
+    The table is read once: rows are reduced to counts per (label, day) with
+    the day's week and month, a table of labels x days that is checkpointed;
+    all nine tables come from it.
     """
     from featurelens.functions.calendar import epoch_day
-    day = df.withColumn("_day", F.to_date(F.col(date_col)).cast("string")) \
-            .withColumn("_day_idx", epoch_day(date_col))
-    grains = {"dly": ("_day", "_day_idx"), "wly": ("week", "week_idx"), "mly": ("month", "month_idx")}
+    from featurelens.operators.calendar import period_columns
+    p = period_columns(df.select(label, date_col, cust_key), date_col)
+    base = (p.groupBy(F.col(label), F.to_date(F.col(date_col)).cast("string").alias("_day"),
+                      epoch_day(date_col).alias("_day_idx"), "week", "week_idx", "month", "month_idx")
+             .agg(F.count(cust_key).alias("_n")))
+    if materialize:
+        base = cut_lineage(base)
     out = {}
-    for g, (p, i) in grains.items():
-        ct = crosstab_margins(day, label, p, cust_key, i)
+    for g, (per, i) in GRAINS.items():
+        ct = crosstab_margins(base, label, per, None, i, weight="_n")
         r = crosstab_ratio(ct)
         out[f"total_{g}"] = ct
         out[f"ratio_{g}"] = r
-        out[f"psi_{g}"] = psi(r)
+        out[f"psi_{g}"] = psi(r, materialize=materialize)
     return out
 
 

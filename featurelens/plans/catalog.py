@@ -261,7 +261,7 @@ def build() -> dict:
         _monthly_orders(s, sf), "o_orderstatus", "month", "o_custkey", "month_idx"))))
 
     def label_report(s, sf):
-        t = drift.label_report(cal.period_columns(_t(s, sf, "events"), "ts"), "user_id", "event_type", "ts")
+        t = drift.label_report(_t(s, sf, "events"), "user_id", "event_type", "ts")
         parts = []
         for name, df in t.items():
             x = df
