@@ -85,12 +85,12 @@ def plan_bins(summary: DataFrame, features: Sequence[str] | None = None,
 def binned_long(df: DataFrame, label_col: str, plan: BinPlan, edges: DataFrame | None = None,
                 q: int = QUANTILE_BINS, method: str = "exact",
                 edge_decimals: int | None = None) -> DataFrame:
-    """(label_value, var, bin, bin_idx, bin_lo, bin_hi) for every row and feature.
+    """(_label, var, bin_idx, s) for every row and feature.
 
     Binned numbers: bin_idx = number of edges below the value (at least 1),
-    text ``(lo, hi]``; NULL gets its own bin ``nan`` (bin_idx NULL).
-    Numbers with few values: the value as text, NULL -> 9999999.
-    Text: the value, NULL -> ``NA``.
+    NULL for a missing value. Numbers with few values: s = the value as
+    text, NULL -> 9999999. Text: s = the value, NULL -> ``NA``. Bin texts
+    and edges are attached after aggregation (:func:`attach_bins`).
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     df = nan_to_null(df)
@@ -114,36 +114,52 @@ def binned_long(df: DataFrame, label_col: str, plan: BinPlan, edges: DataFrame |
     wide = df.select(F.col(label_col).cast("string").alias("_label"), *structs)
     long = wide.unpivot(["_label"], names, "var", "v").select("_label", "var", "v.x", "v.s")
     if plan.binned:
-        # edges: one row per binned column
-        long = long.join(F.broadcast(edges), "var", "left")
-        idx = F.greatest(F.lit(1), F.size(F.filter(F.col("edges"), lambda e: e < F.col("x"))))
-        binned = F.col("edges").isNotNull()
-        bin_idx = F.when(binned & F.col("x").isNotNull(), idx)
-        long = long.withColumn("bin_idx", bin_idx.cast("int"))
-        lo = F.element_at(F.col("edges"), F.col("bin_idx"))
-        hi = F.element_at(F.col("edges"), F.least(F.col("bin_idx") + 1, F.size(F.col("edges"))))
-        label = F.format_string("(%s, %s]", lo.cast("string"), hi.cast("string"))
-        long = (long.withColumn("bin_lo", F.when(F.col("bin_idx").isNotNull(), lo))
-                    .withColumn("bin_hi", F.when(F.col("bin_idx").isNotNull(), hi))
-                    .withColumn("bin", F.when(~binned, F.col("s"))
-                                       .when(F.col("bin_idx").isNull(), F.lit(MISSING_BIN_LABEL))
-                                       .otherwise(label))
-                    .drop("edges"))
+        # edges: one row per binned column, spread to columns e1..e(q+1) so
+        # that the bin test is plain comparisons in generated code
+        n = q + 1
+        flat = edges.select("var", F.lit(True).alias("_binned"), *[
+            F.try_element_at(F.col("edges"), F.lit(i)).alias(f"_e{i}") for i in range(1, n + 1)])
+        long = long.join(F.broadcast(flat), "var", "left")
+        below = None
+        for i in range(1, n + 1):
+            t = F.when(F.col(f"_e{i}") < F.col("x"), 1).otherwise(0)
+            below = t if below is None else below + t
+        idx = F.when(F.col("_binned").isNotNull() & F.col("x").isNotNull(), F.greatest(F.lit(1), below))
+        long = long.withColumn("bin_idx", idx.cast("int"))
     else:
-        long = (long.withColumn("bin_idx", F.lit(None).cast("int"))
-                    .withColumn("bin_lo", F.lit(None).cast("double"))
-                    .withColumn("bin_hi", F.lit(None).cast("double"))
-                    .withColumn("bin", F.col("s")))
-    return long.select("_label", "var", "bin", "bin_idx", "bin_lo", "bin_hi")
+        long = long.withColumn("bin_idx", F.lit(None).cast("int"))
+    return long.select("_label", "var", "bin_idx", "s")
+
+
+def attach_bins(df: DataFrame, edges: DataFrame | None, binned: Sequence[str]) -> DataFrame:
+    """From (var, bin_idx, s) add bin_lo, bin_hi and the text ``bin``:
+    ``(lo, hi]`` for quantile bins, ``nan`` for their missing values, the
+    value text otherwise. Runs on aggregated rows."""
+    if not binned or edges is None:
+        return (df.withColumn("bin_lo", F.lit(None).cast("double"))
+                  .withColumn("bin_hi", F.lit(None).cast("double"))
+                  .withColumn("bin", F.col("s")).drop("s"))
+    x = df.join(F.broadcast(edges), "var", "left")
+    is_binned = F.col("var").isin(list(binned))
+    lo = F.element_at(F.col("edges"), F.col("bin_idx"))
+    hi = F.element_at(F.col("edges"), F.least(F.col("bin_idx") + 1, F.size(F.col("edges"))))
+    has = F.col("bin_idx").isNotNull()
+    label = F.format_string("(%s, %s]", lo.cast("string"), hi.cast("string"))
+    return (x.withColumn("bin_lo", F.when(has, lo)).withColumn("bin_hi", F.when(has, hi))
+             .withColumn("bin", F.when(~is_binned, F.col("s")).when(~has, F.lit(MISSING_BIN_LABEL))
+                                 .otherwise(label))
+             .drop("edges", "s"))
 
 
 def quantile_bins(df: DataFrame, cols: Sequence[str], q: int = QUANTILE_BINS, method: str = "exact",
                   edge_decimals: int | None = None) -> DataFrame:
     """Rows per quantile bin of each column: (var, bin_idx, bin_lo, bin_hi, bin, n)."""
     plan = BinPlan(tuple(cols), (), ())
+    edges = quantile_edges(df, cols, q, method, edge_decimals)
     long = binned_long(df.withColumn("_nolabel", F.lit(None).cast("string")), "_nolabel",
-                       plan, q=q, method=method, edge_decimals=edge_decimals)
-    return long.groupBy("var", "bin_idx", "bin_lo", "bin_hi", "bin").agg(F.count(F.lit(1)).alias("n"))
+                       plan, edges=edges, q=q)
+    counts = long.groupBy("var", "bin_idx", "s").agg(F.count(F.lit(1)).alias("n"))
+    return attach_bins(counts, edges, cols).select("var", "bin_idx", "bin_lo", "bin_hi", "bin", "n")
 
 
 def label_values(df: DataFrame, label_col: str, max_labels: int = MAX_LABELS) -> list[str]:
@@ -179,10 +195,11 @@ def iv_verbose(df: DataFrame, label_col: str, plan: BinPlan, labels: Sequence[st
     """Per label x feature x bin: neg, pos, totals, rates and IV of the bin."""
     if labels is None:
         labels = label_values(df, label_col)
-    long = binned_long(df, label_col, plan, q=q, method=method, edge_decimals=edge_decimals)
+    edges = quantile_edges(df, plan.binned, q, method, edge_decimals) if plan.binned else None
+    long = binned_long(df, label_col, plan, edges=edges, q=q)
     aggs = [F.count(F.lit(1)).alias("_bin_n")] + [
         F.count(F.when(F.col("_label") == F.lit(l), 1)).alias(f"_p{i}") for i, l in enumerate(labels)]
-    per_bin = long.groupBy("var", "bin", "bin_idx", "bin_lo", "bin_hi").agg(*aggs)
+    per_bin = attach_bins(long.groupBy("var", "bin_idx", "s").agg(*aggs), edges, plan.binned)
     grid = per_bin.select("var", "bin", "bin_idx", "bin_lo", "bin_hi", "_bin_n", F.inline(F.array(*[
         F.struct(F.lit(l).alias("label"), F.col(f"_p{i}").alias("pos")) for i, l in enumerate(labels)])))
     totals = _label_totals(df, label_col, labels)

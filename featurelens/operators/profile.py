@@ -71,18 +71,29 @@ def _stats_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*structs)))
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_FRACTIONAL = (T.FloatType, T.DoubleType)
+
+
 def _distinct_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pass (b): distinct (var, text, number) over all columns."""
+    """Pass (b): distinct values of all columns as (var, s, d, l).
+
+    Integers travel as ``l`` (exact), floats as ``d``, everything else as
+    text ``s``: no number is formatted as text until the few samples are
+    picked, and a NULL is one (NULL, NULL, NULL) value per column.
+    """
     fields = {f.name: f.dataType for f in df.schema.fields}
     vals = []
     for c in cols:
-        num = F.col(c).cast("double") if is_numeric(fields[c]) else F.lit(None).cast("double")
-        vals.append(F.struct(F.col(c).cast("string").alias("s"), num.alias("d")).alias(c))
+        dt = fields[c]
+        x = F.col(c)
+        s = F.lit(None).cast("string") if isinstance(dt, _INTEGRAL + _FRACTIONAL) else x.cast("string")
+        d = x.cast("double") if isinstance(dt, _FRACTIONAL) else F.lit(None).cast("double")
+        lv = x.cast("long") if isinstance(dt, _INTEGRAL) else F.lit(None).cast("long")
+        vals.append(F.struct(s.alias("s"), d.alias("d"), lv.alias("l")).alias(c))
     wide = df.select(*vals)
-    long = wide.unpivot([], list(cols), "var", "v").select("var", "v.s", "v.d")
-    # d is a function of (var, s); keeping it in the key makes every consumer
-    # share one exchange (nothing to prune from a grouping key)
-    return long.select("var", "s", "d").distinct()
+    long = wide.unpivot([], list(cols), "var", "v").select("var", "v.s", "v.d", "v.l")
+    return long.distinct()
 
 
 def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
@@ -95,14 +106,16 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
     uniq = dist.groupBy("var").agg(F.count(F.lit(1)).alias("num_unique"))
     # NULL sorts last both ways, so it only takes a slot when fewer than k
     # values exist; it is removed after the limit
-    asc = Window.partitionBy("var").orderBy(F.col("d").asc_nulls_last(), F.col("s").asc_nulls_last())
-    desc = Window.partitionBy("var").orderBy(F.col("d").desc_nulls_last(), F.col("s").desc_nulls_last())
+    asc = [F.col("l").asc_nulls_last(), F.col("d").asc_nulls_last(), F.col("s").asc_nulls_last()]
+    desc = [F.col("l").desc_nulls_last(), F.col("d").desc_nulls_last(), F.col("s").desc_nulls_last()]
     k = sample_each_end
+    present = F.col("s").isNotNull() | F.col("d").isNotNull() | F.col("l").isNotNull()
 
-    def ends(w, name):
+    def ends(order, name):
+        w = Window.partitionBy("var").orderBy(*order)
         return (dist.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-                    .where(F.col("s").isNotNull())
-                    .groupBy("var").agg(F.array_sort(F.collect_list(F.struct("d", "s"))).alias(name)))
+                    .where(present)
+                    .groupBy("var").agg(F.array_sort(F.collect_list(F.struct("l", "d", "s"))).alias(name)))
 
     low, high = ends(asc, "_lo"), ends(desc, "_hi")
     # stats, uniq, low, high: one row per column
@@ -111,9 +124,13 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
                 .join(F.broadcast(high), "var", "left"))
     both = F.array_sort(F.array_distinct(F.concat(
         F.coalesce(F.col("_lo"), F.array()), F.coalesce(F.col("_hi"), F.array()))))
+
+    def text(x):
+        return F.coalesce(x["s"], x["l"].cast("string"), x["d"].cast("string"))
+
     return (out.withColumn("num_unique", F.coalesce(F.col("num_unique"), F.lit(0)).cast("long"))
-               .withColumn("samples", F.transform(both, lambda x: x["s"]))
-               .withColumn("lowest", F.transform(F.coalesce(F.col("_lo"), F.array()), lambda x: x["s"]))
+               .withColumn("samples", F.transform(both, text))
+               .withColumn("lowest", F.transform(F.coalesce(F.col("_lo"), F.array()), text))
                .drop("_lo", "_hi"))
 
 

@@ -83,8 +83,9 @@ def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
     g, v = group_col, value_col
     vals = (long_df.where(F.col(v).isNotNull())
                    .groupBy(g, v).agg(F.count(F.lit(1)).alias("_fl_c")))
-    sizes = vals.groupBy(g).agg(F.sum("_fl_c").alias("_fl_n"))
     ranked = running_total(vals, [v], [g], "_fl_c", "_fl_cum", num_partitions)
+    # from the checkpointed ranking: the values are not aggregated again
+    sizes = ranked.groupBy(g).agg(F.max("_fl_cum").alias("_fl_n"))
     pos = [(F.col("_fl_n") - 1) * F.lit(float(p)) for p in probs]
     lo = [F.floor(p).cast("long") for p in pos]
     hi = [F.ceil(p).cast("long") for p in pos]
