@@ -28,5 +28,6 @@ def iv_strength(iv) -> Column:
 def value_range(lo, hi, numeric: bool) -> Column:
     """``min -> max: (a, b)``; numbers with 3 decimals."""
     if numeric:
-        return F.format_string("min -> max: (%.3f, %.3f)", lo, hi)
+        # + 0.0 turns -0.0 into 0.0 (engines differ on min(-0.0, 0.0))
+        return F.format_string("min -> max: (%.3f, %.3f)", lo + F.lit(0.0), hi + F.lit(0.0))
     return F.concat(F.lit("min -> max: ("), lo.cast("string"), F.lit(", "), hi.cast("string"), F.lit(")"))

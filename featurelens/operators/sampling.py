@@ -109,14 +109,14 @@ def cover_labels(df: DataFrame, label: str, split_col: str, order_cols: Sequence
     miss_test = labels_not_in(train, test, label)
     out = df
     for side, miss in (("train", miss_train), ("test", miss_test)):
-        wl = Window.orderBy("label")  # missing labels: at most all labels
-        m = miss.withColumn("_fl_i", F.row_number().over(wl))
-        wr = Window.orderBy(*[F.col(c).desc() for c in order_cols])
-        k = miss.count()
+        k = miss.count()  # at most the number of labels
         if k == 0:
             continue
-        last = (df.where(F.col(split_col) == side).select(*order_cols)
-                  .withColumn("_fl_i", F.row_number().over(wr)).where(F.col("_fl_i") <= k))
+        m = miss.withColumn("_fl_i", F.row_number().over(Window.orderBy("label")))
+        # the last k rows: a top-k (TakeOrderedAndProject), then numbered
+        desc = [F.col(c).desc() for c in order_cols]
+        last = (df.where(F.col(split_col) == side).select(*order_cols).orderBy(*desc).limit(k)
+                  .withColumn("_fl_i", F.row_number().over(Window.orderBy(*desc))))
         repl = last.join(m, "_fl_i").select(*order_cols, F.col("label").alias("_fl_new"))
         out = (out.join(repl, list(order_cols), "left")
                   .withColumn(label, F.when((F.col(split_col) == side) & F.col("_fl_new").isNotNull(),

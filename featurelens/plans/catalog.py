@@ -222,6 +222,10 @@ def build() -> dict:
         "l_returnflag", *[F.round(c, 6).alias(c) for c in
                           [f"{x}_{f}" for x in ["l_quantity", "l_discount", "l_tax"]
                            for f in ["min", "mean", "max", "std", "sum"]]])
+    q["agg_numeric_median"] = lambda s, sf: agg.agg_numeric(
+        _t(s, sf, "lineitem"), "l_returnflag", ["l_quantity", "l_extendedprice"], ("sum", "median")).select(
+        "l_returnflag", *[F.round(c, 6).alias(c) for c in
+                          ["l_quantity_sum", "l_quantity_median", "l_extendedprice_sum", "l_extendedprice_median"]])
     q["freq_table"] = lambda s, sf: agg.freq_table(_t(s, sf, "part"), "p_type")
     q["cumulative_share"] = lambda s, sf: agg.cumulative_share(
         agg.freq_table(_t(s, sf, "part"), "p_type"), "p_type")
@@ -300,6 +304,10 @@ def build() -> dict:
     q["profile_table"] = lambda s, sf: profile.profile_table(
         _t(s, sf, "orders"), "o_orderdate", "1996-01-01", "1996-12-31", with_explored_date=False).withColumn(
         "sample_values", F.array_join("sample_values", "|"))
+    q["is_date_field"] = lambda s, sf: profile.column_stats(_t(s, sf, "events").select(
+        F.to_date("ts").cast("string").alias("day"), "event_type", "props")).select("var", "is_date_field")
+    q["value_range"] = lambda s, sf: profile.data_profile(_t(s, sf, "lineitem")).select(
+        "feature_name", "range_of_features")
     q["quantile_bins"] = lambda s, sf: iv.quantile_bins(
         _t(s, sf, "lineitem"), ["l_extendedprice", "l_quantity", "l_discount"], edge_decimals=6)
     q["iv_verbose"] = lambda s, sf: _round_iv(_iv_verbose(s, sf))
@@ -360,6 +368,13 @@ def build() -> dict:
         return enc.encode_categories_score(p.where(F.col("p_size") > 25), ["p_brand", "p_type"], m)
     q["encode_categories_score"] = encode_score
 
+    def lookup_map(s, sf):
+        o = _t(s, sf, "orders")
+        m = enc.label_map(o.where(F.col("o_orderdate") < "1998-01-01"), "o_orderpriority")
+        return joins.lookup_map(o.select("o_orderkey", "o_orderpriority"), "o_orderpriority",
+                                m.select("value", "code"))
+    q["lookup_map"] = lookup_map
+
     # --- 2.13 pipelines, model ------------------------------------------------
     q["label_dataset"] = lambda s, sf: feats.label_dataset(
         _t(s, sf, "events"), _t(s, sf, "customer").select("c_custkey", "c_nationkey"),

@@ -64,7 +64,7 @@ def profile_sql(table, cols, where=""):
     parts = []
     for c, typ, num in cols:
         if num:
-            rng = f"printf('min -> max: (%.3f, %.3f)', CAST(min({c}) AS DOUBLE), CAST(max({c}) AS DOUBLE))"
+            rng = f"printf('min -> max: (%.3f, %.3f)', CAST(min({c}) AS DOUBLE) + 0.0, CAST(max({c}) AS DOUBLE) + 0.0)"
         elif typ.startswith("timestamp") or typ == "date":
             rng = (f"CASE WHEN min({c}) IS NOT NULL THEN 'min -> max: (' || CAST(min({c}) AS VARCHAR) || ', ' "
                    f"|| CAST(max({c}) AS VARCHAR) || ')' ELSE 'not_applicable' END")
@@ -377,6 +377,11 @@ def build() -> dict:
         aggs += [f"round(min({c}), 6) AS {c}_min", f"round(avg({c}), 6) AS {c}_mean", f"round(max({c}), 6) AS {c}_max",
                  f"round(stddev_samp({c}), 6) AS {c}_std", f"round(sum({c}), 6) AS {c}_sum"]
     q["agg_numeric"] = f"SELECT l_returnflag, {', '.join(aggs)} FROM lineitem GROUP BY l_returnflag"
+    q["agg_numeric_median"] = ("SELECT l_returnflag, round(sum(l_quantity), 6) AS l_quantity_sum, "
+                               "round(quantile_cont(l_quantity, 0.5), 6) AS l_quantity_median, "
+                               "round(sum(l_extendedprice), 6) AS l_extendedprice_sum, "
+                               "round(quantile_cont(l_extendedprice, 0.5), 6) AS l_extendedprice_median "
+                               "FROM lineitem GROUP BY l_returnflag")
     q["freq_table"] = ("SELECT p_type, CAST(count(*) AS BIGINT) AS count, count(*) / (SELECT count(*) FROM part) AS percentage "
                        "FROM part GROUP BY p_type")
     q["cumulative_share"] = (f"SELECT *, count / (SELECT count(*) FROM part) AS perc, "
@@ -452,6 +457,15 @@ def build() -> dict:
     types = " ".join(f"WHEN '{c}' THEN '{t}'" for c, t, _ in ORDERS)
     q["profile_table"] = (f"SELECT p.*, {bounds}, CASE feature_name {types} END AS spark_dtype FROM ("
                           f"{profile_sql('orders', ORDERS, 'WHERE o_orderdate BETWEEN TIMESTAMP ' + chr(39) + '1996-01-01' + chr(39) + ' AND TIMESTAMP ' + chr(39) + '1996-12-31' + chr(39))}) p")
+    ev_txt = "(SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, props FROM events)"
+    q["is_date_field"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS var, bool_and({c} IS NULL OR try_cast({c} AS DATE) IS NOT NULL) AS is_date_field FROM {ev_txt} e"
+        for c in ("day", "event_type", "props"))
+    LINEITEM = [("l_orderkey", "bigint", True), ("l_partkey", "bigint", True), ("l_suppkey", "bigint", True),
+                ("l_linenumber", "int", True), ("l_quantity", "double", True), ("l_extendedprice", "double", True),
+                ("l_discount", "double", True), ("l_tax", "double", True), ("l_returnflag", "string", False),
+                ("l_linestatus", "string", False), ("l_shipdate", "timestamp_ntz", False)]
+    q["value_range"] = f"SELECT feature_name, range_of_features FROM ({profile_sql('lineitem', LINEITEM)}) p"
     qb = binned_long_sql("lineitem", None, ["l_extendedprice", "l_quantity", "l_discount"], [], [])
     q["quantile_bins"] = f"SELECT var, bin_idx, bin_lo, bin_hi, bin, CAST(count(*) AS BIGINT) AS n FROM {qb} b GROUP BY ALL"
     q["iv_verbose"] = iv_orders_verbose()
@@ -510,6 +524,11 @@ def build() -> dict:
     q["encode_categories_score"] = (cat_apply("AND p_size <= 25", "WHERE p.p_size > 25")
                                     .replace("SELECT p.p_partkey,", "SELECT p.p_partkey, p.p_size,", 1))
 
+    q["lookup_map"] = ("WITH m AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code FROM "
+                       "(SELECT DISTINCT o_orderpriority AS value FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' "
+                       "AND o_orderpriority IS NOT NULL) d) "
+                       "SELECT o.o_orderkey, o.o_orderpriority, m.code AS o_orderpriority_code FROM orders o "
+                       "LEFT JOIN m ON m.value = o.o_orderpriority")
     q["label_dataset"] = (f"SELECT l.user_id, l.\"date\", array_to_string(l.lst, '|') AS next_7_day_labels, "
                           f"unnest(l.lst) AS label, c.c_custkey, c.c_nationkey FROM {lookahead_sql(0, 8)} l "
                           f"JOIN customer c ON l.user_id = c.c_custkey")
