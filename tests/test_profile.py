@@ -72,3 +72,14 @@ def test_partition_count_does_not_change_summary(spark):
     a = sorted(map(tuple, data_summary(df.repartition(1)).drop("samples").collect()))
     b = sorted(map(tuple, data_summary(df.repartition(7)).drop("samples").collect()))
     assert a == b
+
+
+def test_duplicate_columns_and_stringify(spark):
+    from featurelens.operators.columns import duplicate_columns, stringify_temporal
+    a = spark.createDataFrame([(1, "x")], "k int, v string")
+    b = spark.createDataFrame([(1, "y")], "k int, v string")
+    j = a.join(b, a["k"] == b["k"])
+    assert sorted(duplicate_columns(j)) == ["k", "v"]
+    import datetime as dt
+    t = spark.createDataFrame([(dt.date(2024, 1, 2),)], "d date")
+    assert stringify_temporal(t).first()["d"] == "2024-01-02"
