@@ -60,9 +60,11 @@ def cumulative_share(freq: DataFrame, value_col: str, count_col: str = "count",
 
 def with_key_counts(df: DataFrame, pkey: str) -> DataFrame:
     """Add ``distinct_cnt_<pkey>`` (NULL counted as a value) and ``records``."""
-    distinct = df.select(F.count_distinct(pkey) + F.max(F.col(pkey).isNull().cast("int"))).scalar()
-    records = df.select(F.count(F.lit(1))).scalar()
-    return df.withColumn(f"distinct_cnt_{pkey}", distinct.cast("long")).withColumn("records", records)
+    b = df.select(F.struct(
+        (F.count_distinct(pkey) + F.max(F.col(pkey).isNull().cast("int"))).alias("d"),
+        F.count(F.lit(1)).alias("n"))).scalar()
+    return (df.withColumn(f"distinct_cnt_{pkey}", b.getField("d").cast("long"))
+              .withColumn("records", b.getField("n")))
 
 
 def date_bounds(df: DataFrame, col: str) -> DataFrame:

@@ -23,6 +23,7 @@ from featurelens.functions.constants import (
 from featurelens.functions.text import iv_strength as _iv_strength
 from featurelens.operators.columns import is_numeric, nan_to_null, proposed_type
 from featurelens.operators.ranking import exact_quantiles
+from featurelens.session import cut_lineage
 
 MAX_LABELS = 2000
 
@@ -228,12 +229,16 @@ def iv_summary(verbose: DataFrame) -> DataFrame:
 
 
 def iv_all(df: DataFrame, label_col: str, summary: DataFrame, features: Sequence[str] | None = None,
-           q: int = QUANTILE_BINS, method: str = "exact", edge_decimals: int | None = None):
+           q: int = QUANTILE_BINS, method: str = "exact", edge_decimals: int | None = None,
+           materialize: bool = True):
     """(verbose, summary) IV tables for all labels x all features."""
     if features is None:
         features = [c for c in df.columns if c != label_col]
     plan = plan_bins(summary, features)
     verbose = iv_verbose(df, label_col, plan, q=q, method=method, edge_decimals=edge_decimals)
+    if materialize:
+        # labels x bins rows; both outputs (and any review) read it
+        verbose = cut_lineage(verbose)
     return verbose, iv_summary(verbose)
 
 
@@ -275,7 +280,7 @@ def describe_by(df: DataFrame, by: str, value: str, prefix: str = "",
 
 
 def iv_review(base: DataFrame, label_col: str, verbose: DataFrame,
-              min_rows: int = SIGNIFICANT_LABEL_ROWS) -> dict:
+              min_rows: int = SIGNIFICANT_LABEL_ROWS, materialize: bool = True) -> dict:
     """Review of bin-level IV.
 
     ``adjusted``: bin rows with IV 0 for labels with < min_rows rows;
@@ -284,6 +289,9 @@ def iv_review(base: DataFrame, label_col: str, verbose: DataFrame,
     ``high_bins``: bins with IV > 24; ``max_bins``: bins with the largest IV;
     ``useful``: vars whose significant-label max IV > 0.02.
     """
+    if materialize:
+        # read by five outputs below: computed once
+        verbose = cut_lineage(verbose)
     counts = label_counts(base, label_col, min_rows)
     # counts: one row per label
     flagged = verbose.join(F.broadcast(counts.select("label", "is_significant")), "label", "left")

@@ -202,9 +202,10 @@ def profile_table(df: DataFrame, partition_col: str | None = None, start=None, e
     types = F.create_map(*[x for f in df.schema.fields
                            for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
     if partition_col:
-        mn = df.select(F.min(partition_col).cast("string")).scalar()
-        mx = df.select(F.max(partition_col).cast("string")).scalar()
-        prof = prof.withColumn(f"min_{partition_col}", mn).withColumn(f"max_{partition_col}", mx)
+        b = df.select(F.struct(F.min(partition_col).cast("string").alias("mn"),
+                               F.max(partition_col).cast("string").alias("mx"))).scalar()
+        prof = (prof.withColumn(f"min_{partition_col}", b.getField("mn"))
+                    .withColumn(f"max_{partition_col}", b.getField("mx")))
     if with_explored_date:
         prof = prof.withColumn("explored_date", F.date_format(F.current_date(), "yyyy-MM-dd"))
     return prof.withColumn("spark_dtype", F.element_at(types, F.col("feature_name")))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from featurelens.functions.constants import (
     ROWS_PER_LABEL, SAMPLE_ROWS, SAMPLE_SEED, SPLIT_SEED, TEST_PERCENT,
 )
+from featurelens.functions.calendar import day_range
 from featurelens.functions.hashing import hash_bucket, hash_order_key
 from featurelens.operators.joins import labels_not_in
 
@@ -57,14 +58,14 @@ def split_in_time(df: DataFrame, date_col: str, cust_key: str,
                   test_percent: int = TEST_PERCENT, seed: int = 99, out: str = "split") -> DataFrame:
     """train/test by customer inside [train_start, train_end); ``oos`` inside
     [oos_start, oos_end]; other rows dropped."""
-    d = F.to_date(F.col(date_col))
-    in_tt = (d >= F.lit(train_start).cast("date")) & (d < F.lit(train_end).cast("date"))
-    in_oos = (d >= F.lit(oos_start).cast("date")) & (d <= F.lit(oos_end).cast("date"))
+    in_tt = day_range(date_col, train_start, train_end, end_inclusive=False)
+    in_oos = day_range(date_col, oos_start, oos_end)
     b = hash_bucket(seed, cust_key)
     split = (F.when(in_tt & (b < test_percent), F.lit("test"))
               .when(in_tt, F.lit("train"))
               .when(in_oos, F.lit("oos")))
-    return df.withColumn(out, split).where(F.col(out).isNotNull())
+    # the union of both ranges is stated on the raw column for the scan
+    return df.where(in_tt | in_oos).withColumn(out, split)
 
 
 def split_counts(df: DataFrame, cust_key: str, split_col: str = "split") -> DataFrame:

@@ -7,6 +7,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from featurelens.functions.calendar import day_range
 from featurelens.functions.constants import AUDIT_COLUMNS, HISTORY_DAYS, LOOKAHEAD_DAYS
 from featurelens.operators.calendar import period_columns
 from featurelens.operators.columns import (
@@ -16,6 +17,7 @@ from featurelens.operators.encoding import index_categories
 from featurelens.operators.joins import join_features, join_mapping, lagged_join
 from featurelens.operators.profile import data_summary
 from featurelens.operators.sampling import stratified_sample
+from featurelens.session import cut_lineage
 from featurelens.operators.windows import (
     explode_labels, forward_fill, history_pivot, lookahead_labels,
 )
@@ -29,7 +31,7 @@ def label_dataset(interactions: DataFrame, mapping: DataFrame, user: str, date_c
     to the customer key (unmapped dropped) -> optional per-label sample."""
     x = interactions
     if start is not None and end is not None:
-        x = x.where(F.to_date(F.col(date_col)).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+        x = x.where(day_range(date_col, start, end))
     lab = explode_labels(lookahead_labels(x, user, date_col, intent, days, labels_col), labels_col)
     mapped = join_mapping(lab, mapping, map_left, map_right, mapped_key)
     if per_label:
@@ -95,7 +97,8 @@ def prepare_features(df: DataFrame, spec, add_periods: bool = True) -> Prepared:
     x = period_columns(df, spec.date_col) if add_periods else df
     drops = [c for c in spec.drop_cols if c in x.columns]
     x = x.drop(*drops)
-    summary = data_summary(x)
+    # one row per column, read several times: computed once
+    summary = cut_lineage(data_summary(x))
     feats = feature_columns(x, spec)
     flags = valid_features(summary, feats).collect()
     valid = [r["var"] for r in flags if r["is_valid"]]
