@@ -114,6 +114,8 @@ def forward_fill(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[s
     filled = x.select(*[F.last(c, ignorenulls=True).over(w_in).alias(c) if c in cols else F.col(c)
                         for c in x.columns])
     ordkey = F.struct(*order_exprs)
+    # chunk summaries from the input with map-side partial aggregation: the
+    # raw rows are shuffled once (for the window), the summaries are tiny
     summary = x.groupBy(key, ck).agg(*[
         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias(f"_last{i}")
         for i, c in enumerate(cols)])
