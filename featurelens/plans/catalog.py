@@ -427,7 +427,20 @@ def build() -> dict:
             mdl.learning_curve(tm), imp, mdl.feature_report(prep.summary, imp, ORDER_SPEC, 1))
         return read_report(s, base, "orders", "feature_selection_report")
     q["save_feature_report"] = save_feature_report
-    return q
+    return {k: _dates_as_text(v) for k, v in q.items()}
+
+
+def _dates_as_text(fn):
+    """DATE columns as ISO text at the comparison edge (engines hand dates
+    to pandas as different Python types); the operators keep DateType."""
+    def run(spark, sf):
+        df = fn(spark, sf)
+        if not any(f.dataType.simpleString() == "date" for f in df.schema.fields):
+            return df
+        return df.select(*[F.col(f.name).cast("string").alias(f.name) if f.dataType.simpleString() == "date"
+                           else F.col(f.name) for f in df.schema.fields])
+    run.__doc__ = fn.__doc__
+    return run
 
 
 def _round_all(df: DataFrame, d: int) -> DataFrame:

@@ -19,6 +19,12 @@ ORDERS = [("o_orderkey", "bigint", True), ("o_custkey", "bigint", True), ("o_ord
 PART = [("p_partkey", "bigint", True), ("p_name", "string", False), ("p_brand", "string", False),
         ("p_type", "string", False), ("p_size", "int", True), ("p_retailprice", "double", True)]
 
+# queries whose result has a DATE column named "date"
+DATE_COLUMN_QUERIES = ("derive_dates", "join_features", "lagged_join", "ffill_join", "snapshot_features",
+                       "history_pivot", "lookahead_labels", "lookahead_labels_gap", "explode_labels",
+                       "history_list", "explode_history", "dedup_rows", "label_dataset",
+                       "interaction_features", "transaction_features")
+
 EV_NULLED = ("SELECT event_id, ts, user_id, event_type, CASE WHEN value > 50 THEN value END AS value, props "
              "FROM events")
 
@@ -564,4 +570,7 @@ def build() -> dict:
         f"r AS (SELECT *, sum(nj) OVER (PARTITION BY ci, cj ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_nj FROM c) "
         f"SELECT CAST(ci AS INTEGER) AS ci, CAST(cj AS INTEGER) AS cj, round(sum(ni * (cum_nj - nj + nj * 0.5)) / (sum(ni) * sum(nj)), {R}) AS auc, "
         f"CAST(sum(ni) AS BIGINT) AS n_i, CAST(sum(nj) AS BIGINT) AS n_j FROM r GROUP BY ci, cj")
+    # DATE columns as ISO text at the comparison edge (same on the Spark side)
+    for k in DATE_COLUMN_QUERIES:
+        q[k] = f'SELECT * REPLACE (CAST("date" AS VARCHAR) AS "date") FROM ({q[k]}) _o'
     return q
