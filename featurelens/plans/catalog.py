@@ -331,6 +331,13 @@ def build() -> dict:
         _t(s, sf, "orders"), "o_orderdate", "o_custkey", "1996-01-01", "1999-01-01", "1999-01-01",
         "2000-12-31").select("o_orderkey", "o_custkey", "o_orderdate", "split")
 
+    def train_test_oos(s, sf):
+        out, _m, _unknown = feats.train_test_oos(
+            _t(s, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"),
+            "o_orderdate", "o_custkey", "o_orderstatus", "1996-01-01", "1999-01-01", "1999-01-01", "2000-12-31")
+        return out.select("o_orderkey", "split", "o_orderstatus", "o_orderstatus_idx")
+    q["train_test_oos"] = train_test_oos
+
     def cover_labels(s, sf):
         o = sampling.split_by_customer(_t(s, sf, "orders"), "o_custkey", 2).select(
             "o_orderkey", "split", F.floor(F.col("o_totalprice") / 25000).cast("int").cast("string").alias("lab"))

@@ -118,3 +118,20 @@ def prepare_features(df: DataFrame, spec, add_periods: bool = True) -> Prepared:
         all_zero=[r["var"] for r in flags if r["all_zero"]],
         single_cardinality=[r["var"] for r in flags if r["single_cardinality"]],
         category_map=cmap)
+
+
+def train_test_oos(df: DataFrame, date_col: str, cust_key: str, label: str,
+                   train_start="2022-08-10", train_end="2023-03-10",
+                   oos_start="2023-03-10", oos_end="2024-05-10", test_percent: int = 20, seed: int = 99,
+                   artefact: str = "training"):
+    """Train / test by customer inside the training window, out-of-sample
+    after it; labels are encoded on the train rows only and applied to the
+    test and out-of-sample rows (rows with labels unseen in training are
+    dropped and reported). Returns (frame with ``split`` and
+    ``<label>_idx``, label map, unknown labels)."""
+    from featurelens.operators.encoding import label_encode_score, label_map
+    from featurelens.operators.sampling import split_in_time
+    x = split_in_time(df, date_col, cust_key, train_start, train_end, oos_start, oos_end, test_percent, seed)
+    m = label_map(x.where(F.col("split") == "train"), label, artefact)
+    enc, unknown = label_encode_score(x, label, m, artefact)
+    return enc, m, unknown

@@ -491,6 +491,11 @@ def build() -> dict:
         f"ELSE 'train' END ELSE 'oos' END AS split FROM orders WHERE (CAST(o_orderdate AS DATE) >= DATE '1996-01-01' AND "
         f"CAST(o_orderdate AS DATE) < DATE '1999-01-01') OR (CAST(o_orderdate AS DATE) >= DATE '1999-01-01' AND "
         f"CAST(o_orderdate AS DATE) <= DATE '2000-12-31')")
+    q["train_test_oos"] = (
+        f"WITH s AS ({q['split_in_time'].replace('SELECT o_orderkey, o_custkey, o_orderdate,', 'SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus,', 1)}), "
+        f"m AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code FROM "
+        f"(SELECT DISTINCT o_orderstatus AS value FROM s WHERE split = 'train' AND o_orderstatus IS NOT NULL) d) "
+        f"SELECT s.o_orderkey, s.split, s.o_orderstatus, m.code AS o_orderstatus_idx FROM s JOIN m ON m.value = s.o_orderstatus")
     cov_src = (f"(SELECT o_orderkey, CASE WHEN {_md5_bucket(33, 'o_custkey')} < 2 THEN 'test' ELSE 'train' END AS split, "
                f"CAST(CAST(floor(o_totalprice / 25000) AS INTEGER) AS VARCHAR) AS lab FROM orders)")
     q["cover_labels"] = (
