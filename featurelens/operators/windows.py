@@ -68,15 +68,20 @@ def explode_history(hist: DataFrame, list_col: str = "historical_interactions",
     return hist.select(*hist.columns, F.explode_outer(list_col).alias(out))
 
 
-def history_pivot(df: DataFrame, user: str, date_col: str, intent: str, values: Sequence[str],
+def history_pivot(df: DataFrame, user: str, date_col: str, intent: str, values: Sequence[str] | None = None,
                   days: tuple = HISTORY_DAYS, per_day: bool = False,
-                  no_history: str = NO_HISTORY) -> DataFrame:
+                  no_history: str = NO_HISTORY, max_values: int = 2000) -> DataFrame:
     """Per (user, date): count of each listed intent in the earlier days of
     the range, and column ``null`` for an empty history.
 
     Default counts equal a pivot over the exploded event rows: a day with r
     events multiplies its counts by r. ``per_day=True`` counts once per day.
+    ``values=None`` uses the distinct intents (collected, checked against
+    ``max_values``), as a pivot without a value list would.
     """
+    if values is None:
+        from featurelens.operators.iv import label_values
+        values = label_values(df, intent, max_values)
     lo, hi = days
     lab = F.col(intent)
     aggs = [F.count(F.lit(1)).alias("_r"), F.count(lab).alias("_n")] + [

@@ -67,3 +67,9 @@ def test_forward_fill_hot_key_matches_single_window(spark):
     c = windows.forward_fill(windows.forward_fill(df, "k", ["d", "i"], ["v"], "d", 10),
                              "k", ["d", "i"], ["v"], "d", 10).orderBy("i").collect()
     assert [r["v"] for r in a] == [r["v"] for r in c]
+
+
+def test_history_pivot_discovers_values(spark):
+    df = _events(spark, [(1, 1, "A"), (1, 2, "B")])
+    cols = windows.history_pivot(df, "u", "ts", "intent").columns
+    assert cols == ["u", "date", "A", "B", "null"]
