@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from featurelens.functions.constants import LEAST_PERC
 from featurelens.operators.ranking import ordered_index
+from featurelens.session import cut_lineage
 
 MAP_SCHEMA = "artefact string, kind string, column string, value string, code int"
 
@@ -66,7 +67,8 @@ def index_categories_map(df: DataFrame, cols: Sequence[str], artefact: str = "tr
     """Per column: sorted distinct values -> 0..n-1."""
     d = _long_values(df, cols).where(F.col("value").isNotNull()).distinct()
     idx = ordered_index(d, [F.col("value")], ["column"], out="code")
-    return _map_rows(idx, artefact, "index")
+    # the map is read once per encoded column: written once
+    return cut_lineage(_map_rows(idx, artefact, "index"))
 
 
 def encode_categories_map(df: DataFrame, cols: Sequence[str], artefact: str = "training") -> DataFrame:
@@ -75,12 +77,14 @@ def encode_categories_map(df: DataFrame, cols: Sequence[str], artefact: str = "t
     counts = (_long_values(df, cols).where(F.col("value").isNotNull())
               .groupBy("column", "value").agg(F.count(F.lit(1)).alias("_fl_n")))
     idx = ordered_index(counts, [F.col("_fl_n").desc(), F.col("value").asc()], ["column"], out="code")
-    sizes = counts.groupBy("column").agg(F.count(F.lit(1)).alias("_fl_k"))
-    # sizes: one row per encoded column
+    # sizes from the (checkpointed) ranking, not from the raw table again;
+    # one row per encoded column
+    sizes = idx.groupBy("column").agg((F.max("code") + 1).alias("_fl_k"))
     idx = idx.join(F.broadcast(sizes), "column")
     kept = idx.where(F.col("code") < F.col("_fl_k") - 1).select("column", "value", "code")
     least = sizes.select("column", F.lit(LEAST_PERC).alias("value"), (F.col("_fl_k") - 1).alias("code"))
-    return _map_rows(kept.unionByName(least), artefact, "category")
+    # the map is read once per encoded column: written once
+    return cut_lineage(_map_rows(kept.unionByName(least), artefact, "category"))
 
 
 def apply_category_map(df: DataFrame, cols: Sequence[str], maps: DataFrame, artefact: str = "training",

@@ -200,10 +200,19 @@ def iv_verbose(df: DataFrame, label_col: str, plan: BinPlan, labels: Sequence[st
     long = binned_long(df, label_col, plan, edges=edges, q=q)
     aggs = [F.count(F.lit(1)).alias("_bin_n")] + [
         F.count(F.when(F.col("_label") == F.lit(l), 1)).alias(f"_p{i}") for i, l in enumerate(labels)]
-    per_bin = attach_bins(long.groupBy("var", "bin_idx", "s").agg(*aggs), edges, plan.binned)
+    counts = long.groupBy("var", "bin_idx", "s").agg(*aggs)
+    per_bin = attach_bins(counts, edges, plan.binned)
     grid = per_bin.select("var", "bin", "bin_idx", "bin_lo", "bin_hi", "_bin_n", F.inline(F.array(*[
         F.struct(F.lit(l).alias("label"), F.col(f"_p{i}").alias("pos")) for i, l in enumerate(labels)])))
-    totals = _label_totals(df, label_col, labels)
+    # every row falls in exactly one bin of each feature (NULL has its own),
+    # so the bins of any one feature add up to the label totals: no extra scan
+    first = (plan.binned + plan.unbinned + plan.categorical)[0]
+    one = counts.where(F.col("var") == F.lit(first)).agg(
+        F.sum("_bin_n").alias("_n"), *[F.sum(f"_p{i}").alias(f"_p{i}") for i in range(len(labels))])
+    totals = one.select(F.inline(F.array(*[
+        F.struct(F.lit(l).alias("label"), F.coalesce(F.col(f"_p{i}"), F.lit(0)).alias("total_pos"),
+                 F.coalesce(F.col("_n") - F.col(f"_p{i}"), F.lit(0)).alias("total_neg"))
+        for i, l in enumerate(labels)])))
     fields = {f.name: f.dataType for f in df.schema.fields}
     ptype = F.create_map(*[x for c in plan.binned + plan.unbinned + plan.categorical
                            for x in (F.lit(c), F.lit((types or {}).get(c, proposed_type(fields[c]))))])
@@ -281,7 +290,8 @@ def describe_by(df: DataFrame, by: str, value: str, prefix: str = "",
 
 def iv_review(base: DataFrame, label_col: str, verbose: DataFrame,
               min_rows: int = SIGNIFICANT_LABEL_ROWS, materialize: bool = True) -> dict:
-    """Review of bin-level IV.
+    """Review of bin-level IV (``base`` and ``label_col`` name the source; the
+    label counts come from the bin table itself).
 
     ``adjusted``: bin rows with IV 0 for labels with < min_rows rows;
     ``describe``: IV described per var over all labels;
@@ -292,7 +302,9 @@ def iv_review(base: DataFrame, label_col: str, verbose: DataFrame,
     if materialize:
         # read by five outputs below: computed once
         verbose = cut_lineage(verbose)
-    counts = label_counts(base, label_col, min_rows)
+    # rows per label are the label totals already in the bin table: no scan
+    counts = (verbose.groupBy("label").agg(F.max("total_pos").alias("count"))
+                     .withColumn("is_significant", F.col("count") >= min_rows))
     # counts: one row per label
     flagged = verbose.join(F.broadcast(counts.select("label", "is_significant")), "label", "left")
     sig = F.coalesce(F.col("is_significant"), F.lit(False))
