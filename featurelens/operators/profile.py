@@ -128,10 +128,11 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
     def text(x):
         return F.coalesce(x["s"], x["l"].cast("string"), x["d"].cast("string"))
 
-    return (out.withColumn("num_unique", F.coalesce(F.col("num_unique"), F.lit(0)).cast("long"))
-               .withColumn("samples", F.transform(both, text))
-               .withColumn("lowest", F.transform(F.coalesce(F.col("_lo"), F.array()), text))
-               .drop("_lo", "_hi"))
+    keep = [c for c in stats.columns]
+    return out.select(*keep,
+                      F.coalesce(F.col("num_unique"), F.lit(0)).cast("long").alias("num_unique"),
+                      F.transform(both, text).alias("samples"),
+                      F.transform(F.coalesce(F.col("_lo"), F.array()), text).alias("lowest"))
 
 
 def data_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -141,19 +142,18 @@ def data_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     missing = F.col("rows") - F.col("non_missing_cnt")
     numeric = F.col("proposed_data_type") == "numerical"
     zero_cnt = F.when(numeric, F.col("zero_cnt"))
-    res = st.select(
+    missing_rate = F.try_divide(missing, F.col("rows"))
+    zero_rate = F.when(numeric, F.try_divide(F.col("zero_cnt"), F.col("rows")))
+    return st.select(
         "col_idx", "var", "num_unique", "samples", "type", "proposed_data_type",
         F.col("non_missing_cnt").cast("long").alias("non_missing_cnt"),
         missing.cast("long").alias("missing_cnt"),
-        F.try_divide(missing, F.col("rows")).alias("missing_rate"),
+        missing_rate.alias("missing_rate"),
         zero_cnt.cast("long").alias("zero_cnt"),
-        F.when(numeric, F.try_divide(F.col("zero_cnt"), F.col("rows"))).alias("zero_rate"),
+        zero_rate.alias("zero_rate"),
+        remarks((missing_rate == 1, REMARK_MISSING), (zero_rate == 1, REMARK_ZERO),
+                (F.col("num_unique") == 1, REMARK_CARDINALITY)).alias("remarks"),
     )
-    return res.withColumn("remarks", remarks(
-        (F.col("missing_rate") == 1, REMARK_MISSING),
-        (F.col("zero_rate") == 1, REMARK_ZERO),
-        (F.col("num_unique") == 1, REMARK_CARDINALITY),
-    ))
 
 
 def data_profile(df: DataFrame, columns: Sequence[str] | None = None, sample_size: int = 4) -> DataFrame:
