@@ -29,7 +29,7 @@ def test_exact_quantiles_equal_numpy_linear(spark):
     vals = [round(rnd.gauss(0, 10), 2) for _ in range(2001)] + [5.0] * 300
     df = spark.createDataFrame([("v", x) for x in vals], "g string, x double")
     probs = [i / 10 for i in range(11)]
-    got = exact_quantiles(df, "g", "x", probs, num_partitions=5).first()["quantiles"]
+    got = exact_quantiles(df, "g", "x", probs, num_partitions=5, inline_max_distinct=None).first()["quantiles"]
     ref = np.quantile(np.array(vals), probs, method="linear")
     assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-9) for a, b in zip(got, ref))
 
@@ -84,3 +84,17 @@ def test_unbinned_numeric_missing_fill(spark):
     df = spark.createDataFrame([("A", 1), ("B", None), ("A", 2)], "y string, k int")
     v = iv.iv_verbose(df, "y", iv.BinPlan((), ("k",), ()))
     assert {r["bin"] for r in v.collect()} == {"1", "2", "9999999"}
+
+
+def test_exact_quantiles_both_paths_agree(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.choice("abc"), round(rnd.gauss(5, 3), 3)) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    a = {r["g"]: r["quantiles"] for r in exact_quantiles(df, "g", "x", probs).collect()}
+    b = {r["g"]: r["quantiles"] for r in
+         exact_quantiles(df, "g", "x", probs, num_partitions=5, inline_max_distinct=None).collect()}
+    for k in a:
+        ref = np.quantile(np.array([x for g, x in rows if g == k]), probs, method="linear")
+        assert all(math.isclose(p, q, rel_tol=1e-12, abs_tol=1e-12) for p, q in zip(a[k], ref))
+        assert all(math.isclose(p, q, rel_tol=1e-12, abs_tol=1e-12) for p, q in zip(b[k], ref))
