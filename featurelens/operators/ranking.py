@@ -103,25 +103,22 @@ def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
     ranked = running_total(vals, [v], [g], "_fl_c", "_fl_cum", num_partitions)
     # from the checkpointed ranking: the values are not aggregated again
     sizes = ranked.groupBy(g).agg(F.max("_fl_cum").alias("_fl_n"))
-    pos = [(F.col("_fl_n") - 1) * F.lit(float(p)) for p in probs]
-    lo = [F.floor(p).cast("long") for p in pos]
-    hi = [F.ceil(p).cast("long") for p in pos]
-    start = F.col("_fl_cum") - F.col("_fl_c")
-
-    def holds(r):
-        return (start <= r) & (r < F.col("_fl_cum"))
-
-    wanted = F.lit(False)
-    for a, b in zip(lo, hi):
-        wanted = wanted | holds(a) | holds(b)
-    # sizes: one row per group (column names)
-    picked = ranked.join(F.broadcast(sizes), g).where(wanted)
+    # wanted 0-based ranks per group: one row per group (column names)
+    targets = []
+    for i, p in enumerate(probs):
+        pos = (F.col("_fl_n") - 1) * F.lit(float(p))
+        targets += [F.floor(pos).cast("long").alias(f"_fl_lo{i}"), F.ceil(pos).cast("long").alias(f"_fl_hi{i}"),
+                    (pos - F.floor(pos)).alias(f"_fl_d{i}")]
+    sizes = sizes.select(g, "_fl_n", *targets)
+    # values ascend with the running count, so the value at 0-based rank r
+    # is the smallest value whose running count exceeds r
     aggs = []
-    for i, (a, b) in enumerate(zip(lo, hi)):
-        aggs.append(F.max(F.when(holds(a), F.col(v))).alias(f"_fl_lo{i}"))
-        aggs.append(F.max(F.when(holds(b), F.col(v))).alias(f"_fl_hi{i}"))
-        aggs.append(F.max(pos[i] - a).alias(f"_fl_d{i}"))
-    res = picked.groupBy(g).agg(F.max("_fl_n").alias("n"), *aggs)
-    qs = [F.col(f"_fl_lo{i}") + F.col(f"_fl_d{i}") * (F.col(f"_fl_hi{i}") - F.col(f"_fl_lo{i}"))
+    for i in range(len(probs)):
+        aggs.append(F.min(F.when(F.col("_fl_cum") > F.col(f"_fl_lo{i}"), F.col(v))).alias(f"_fl_lo{i}v"))
+        aggs.append(F.min(F.when(F.col("_fl_cum") > F.col(f"_fl_hi{i}"), F.col(v))).alias(f"_fl_hi{i}v"))
+    picked = ranked.join(F.broadcast(sizes), g).groupBy(g).agg(*aggs)
+    res = picked.join(F.broadcast(sizes), g)
+    qs = [F.col(f"_fl_lo{i}v") + F.col(f"_fl_d{i}") * (F.col(f"_fl_hi{i}v") - F.col(f"_fl_lo{i}v"))
           for i in range(len(probs))]
+    res = res.withColumnRenamed("_fl_n", "n")
     return res.select(g, F.array(*qs).alias(out), "n")

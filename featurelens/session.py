@@ -65,9 +65,21 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint to the shared folder (survives executor loss)."""
+    """Reliable checkpoint to the shared folder (survives executor loss).
+
+    The frame is persisted for the duration of the checkpoint: the eager
+    count fills the cache and the checkpoint write reads it, instead of
+    computing the upstream a second time.
+    """
+    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    if not eager:
+        return df.checkpoint(eager=False)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist(blocking=False)
 
 
 __all__ = ["get_session", "checkpoint_dir", "scratch_dir", "cut_lineage", "DEFAULT_CONF"]
