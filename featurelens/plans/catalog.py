@@ -319,6 +319,11 @@ def build() -> dict:
         v, sm = iv.iv_all(o, "o_orderstatus", profile.data_summary(o), edge_decimals=6)
         return _round_iv(sm)
     q["iv_all"] = iv_all
+    def iv_documents(s, sf):
+        d = _t(s, sf, "labels").join(_t(s, sf, "documents").select("doc_id", "lang", "source", "n_chars"), "doc_id")
+        v = iv.iv_verbose(d, "quality", iv.BinPlan(("n_chars",), (), ("lang", "source")), edge_decimals=6)
+        return _round_iv(iv.iv_strength(iv.iv_summary(v)))
+    q["iv_documents"] = iv_documents
     q["iv_review"] = lambda s, sf: _round_all(iv.iv_review(
         _orders_feat(s, sf), "o_orderstatus", _iv_verbose(s, sf))["describe"], R)
 

@@ -258,14 +258,14 @@ def iv_verbose_sql(src, label, binned, unbinned, categorical, num_types=None, rn
     iv = (f"(neg_rate - pos_rate) * ln((neg_rate + {EPS_IV}) / (pos_rate + {EPS_IV}))")
     ivc = f"round({iv}, {R})" if rnd else iv
     return (f"WITH bl AS {bl}, "
-            f"labels AS (SELECT DISTINCT CAST({label} AS VARCHAR) AS label FROM {src} z WHERE {label} IS NOT NULL), "
+            f"lab_list AS (SELECT DISTINCT CAST({label} AS VARCHAR) AS label FROM {src} z WHERE {label} IS NOT NULL), "
             f"tot AS (SELECT l.label, count(*) FILTER (WHERE CAST(z.{label} AS VARCHAR) = l.label) AS total_pos, "
             f"count(*) - count(*) FILTER (WHERE CAST(z.{label} AS VARCHAR) = l.label) AS total_neg "
-            f"FROM labels l, {src} z GROUP BY l.label), "
+            f"FROM lab_list l, {src} z GROUP BY l.label), "
             f"per_bin AS (SELECT var, bin, bin_idx, bin_lo, bin_hi, count(*) AS bin_n FROM bl GROUP BY ALL), "
             f"pos AS (SELECT var, bin, lab AS label, count(*) AS pos FROM bl GROUP BY ALL), "
             f"g AS (SELECT pb.*, l.label, coalesce(p.pos, 0) AS pos, t.total_pos, t.total_neg FROM per_bin pb "
-            f"CROSS JOIN labels l LEFT JOIN pos p ON p.var = pb.var AND p.bin = pb.bin AND p.label = l.label "
+            f"CROSS JOIN lab_list l LEFT JOIN pos p ON p.var = pb.var AND p.bin = pb.bin AND p.label = l.label "
             f"JOIN tot t ON t.label = l.label), "
             f"g2 AS (SELECT *, bin_n - pos AS neg, (bin_n - pos) / total_neg AS neg_rate, pos / total_pos AS pos_rate FROM g) "
             f"SELECT label, var, bin, bin_idx, bin_lo, bin_hi, "
@@ -480,6 +480,10 @@ def build() -> dict:
     o4 = "(SELECT o_orderstatus, o_totalprice, o_orderpriority, o_custkey FROM orders)"
     q["iv_all"] = iv_summary_sql(iv_verbose_sql(o4, "o_orderstatus", ["o_totalprice", "o_custkey"], [],
                                                 ["o_orderpriority"], rnd=False))
+    docs = ("(SELECT l.quality, d.lang, d.source, d.n_chars FROM labels l "
+            "JOIN documents d ON d.doc_id = l.doc_id)")
+    q["iv_documents"] = (f"SELECT *, {strength('iv')} AS iv_strength FROM ("
+                         f"{iv_summary_sql(iv_verbose_sql(docs, 'quality', ['n_chars'], [], ['lang', 'source'], rnd=False))}) s")
     q["iv_review"] = describe_sql(f"({iv_orders_verbose(False)})", "var", "iv", "iv_", "iv_count", R)
 
     q["stratified_sample"] = ("SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderstatus "

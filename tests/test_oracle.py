@@ -40,7 +40,8 @@ def _rows(df):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]:
+    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+              "documents", "labels"]:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
