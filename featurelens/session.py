@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -45,16 +44,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     bench), where a local folder is the shared folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        sc = None
     if not d:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
         if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; set it to a shared folder "
                 "(HDFS/object store) that all executors can reach")
         d = tempfile.mkdtemp(prefix="featurelens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
