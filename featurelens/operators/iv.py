@@ -13,7 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from featurelens.functions.constants import (
     EPS_IV, HIGH_BIN_IV, MAX_UNBINNED_DISTINCT, MISSING_BIN_LABEL,
@@ -21,7 +21,7 @@ from featurelens.functions.constants import (
     USEFUL_IV,
 )
 from featurelens.functions.text import iv_strength as _iv_strength
-from featurelens.operators.columns import is_numeric, nan_to_null, proposed_type
+from featurelens.operators.columns import nan_to_null, proposed_type
 from featurelens.operators.ranking import exact_quantiles
 from featurelens.session import cut_lineage
 
@@ -174,18 +174,6 @@ def label_values(df: DataFrame, label_col: str, max_labels: int = MAX_LABELS) ->
     return sorted(r["l"] for r in rows)
 
 
-def _label_totals(long_or_df: DataFrame, label_col: str, labels: Sequence[str]) -> DataFrame:
-    """(label, total_pos, total_neg) from one aggregate; one row per label."""
-    lab = F.col(label_col).cast("string")
-    aggs = [F.count(F.lit(1)).alias("_n")] + [
-        F.count(F.when(lab == F.lit(l), 1)).alias(f"_p{i}") for i, l in enumerate(labels)]
-    one = long_or_df.agg(*aggs)
-    return one.select(F.inline(F.array(*[
-        F.struct(F.lit(l).alias("label"), F.col(f"_p{i}").alias("total_pos"),
-                 (F.col("_n") - F.col(f"_p{i}")).alias("total_neg"))
-        for i, l in enumerate(labels)])))
-
-
 def _iv_term(neg_rate: Column, pos_rate: Column) -> Column:
     return (neg_rate - pos_rate) * F.log((neg_rate + F.lit(EPS_IV)) / (pos_rate + F.lit(EPS_IV)))
 
