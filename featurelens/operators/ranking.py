@@ -4,8 +4,9 @@
 over the distinct values of a wide key, sends a whole ordered set through
 one task. These helpers range-partition the rows first, work inside each
 range partition, and add per-partition offsets from a table whose size is
-bounded by the number of partitions (times the number of groups, which
-here are column names). Ties on the order keys stay in one partition.
+bounded by the number of partitions plus the number of groups (usually
+column names; AQE decides whether to broadcast it). Ties on the order keys
+stay in one partition.
 """
 
 from __future__ import annotations
@@ -57,8 +58,10 @@ def running_total(df: DataFrame, order: Sequence, partition_by: Iterable[str] =
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(_PID, *part,
                             F.coalesce(F.sum(_PTOT).over(before), F.lit(0)).alias(_OFF))
-    # offsets: at most num_partitions + groups rows
-    return (local.join(F.broadcast(offsets), [_PID, *part])
+    # offsets: at most num_partitions + groups rows. Groups are usually column
+    # names, but may be many (a median per customer): no hint, AQE broadcasts
+    # it when its measured size is small
+    return (local.join(offsets, [_PID, *part])
                  .withColumn(out, F.col(_LOCAL) + F.col(_OFF))
                  .drop(_PID, _LOCAL, _OFF))
 
@@ -116,8 +119,9 @@ def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
     for i in range(len(probs)):
         aggs.append(F.min(F.when(F.col("_fl_cum") > F.col(f"_fl_lo{i}"), F.col(v))).alias(f"_fl_lo{i}v"))
         aggs.append(F.min(F.when(F.col("_fl_cum") > F.col(f"_fl_hi{i}"), F.col(v))).alias(f"_fl_hi{i}v"))
-    picked = ranked.join(F.broadcast(sizes), g).groupBy(g).agg(*aggs)
-    res = picked.join(F.broadcast(sizes), g)
+    # sizes: one row per group (no hint: groups may be many, see above)
+    picked = ranked.join(sizes, g).groupBy(g).agg(*aggs)
+    res = picked.join(sizes, g)
     qs = [F.col(f"_fl_lo{i}v") + F.col(f"_fl_d{i}") * (F.col(f"_fl_hi{i}v") - F.col(f"_fl_lo{i}v"))
           for i in range(len(probs))]
     res = res.withColumnRenamed("_fl_n", "n")

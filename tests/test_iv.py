@@ -98,3 +98,14 @@ def test_exact_quantiles_both_paths_agree(spark):
         ref = np.quantile(np.array([x for g, x in rows if g == k]), probs, method="linear")
         assert all(math.isclose(p, q, rel_tol=1e-12, abs_tol=1e-12) for p, q in zip(a[k], ref))
         assert all(math.isclose(p, q, rel_tol=1e-12, abs_tol=1e-12) for p, q in zip(b[k], ref))
+
+
+def test_exact_quantiles_many_groups_distributed(spark):
+    rnd = random.Random(21)
+    rows = [(f"c{rnd.randint(0, 300)}", float(rnd.randint(0, 40))) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r["g"]: r["quantiles"][0] for r in
+           exact_quantiles(df, "g", "x", [0.5], num_partitions=7, inline_max_distinct=None).collect()}
+    for k, med in got.items():
+        assert math.isclose(med, float(np.median([x for g, x in rows if g == k])), abs_tol=1e-12)
+    assert len(got) == len({g for g, _ in rows})
