@@ -53,19 +53,32 @@ def explode_labels(labels: DataFrame, labels_col: str = "next_7_day_labels",
 
 
 def history_list(df: DataFrame, user: str, date_col: str, intent: str,
-                 days: tuple = HISTORY_DAYS, out: str = "historical_interactions") -> DataFrame:
-    """Per (user, date): intents of the earlier days in range (with repeats),
-    sorted. Only build this when the list itself is wanted."""
-    lo, hi = days
-    per_day = _per_day(df, user, date_col, F.collect_list(intent).alias("_list"))
-    w = Window.partitionBy(user).orderBy(_DAY).rangeBetween(lo, hi)
-    return per_day.select(user, "date", F.array_sort(F.flatten(F.collect_list("_list").over(w))).alias(out))
+                 days: tuple = HISTORY_DAYS, out: str = "historical_interactions",
+                 values: Sequence[str] | None = None) -> DataFrame:
+    """Per (user, date): the intents of the earlier days in range as a
+    multiset, array of (intent, n) sorted by intent.
+
+    The same information as the list with repeats, but bounded by the
+    number of distinct intents instead of a user's 60-day event count (a
+    list per row would hold every pair of day and past event).
+    """
+    if values is None:
+        from featurelens.operators.iv import label_values
+        values = label_values(df, intent)
+    piv = history_pivot(df, user, date_col, intent, values, days, per_day=True)
+    items = F.array(*[F.struct(F.lit(v).alias("intent"), F.col(f"`{v}`").alias("n")) for v in values])
+    hist = F.array_sort(F.filter(items, lambda x: x["n"] > 0))
+    return piv.select(user, "date", hist.alias(out))
 
 
 def explode_history(hist: DataFrame, list_col: str = "historical_interactions",
                     out: str = "cb_past_intent") -> DataFrame:
-    """One row per past intent; an empty history gives one NULL row."""
-    return hist.select(*hist.columns, F.explode_outer(list_col).alias(out))
+    """One row per (user, date, past intent) with its count ``n_past``; an
+    empty history gives one row with NULL intent and count 0."""
+    keep = [c for c in hist.columns if c != list_col]
+    x = hist.select(*keep, F.explode_outer(list_col).alias("_fl_h"))
+    return x.select(*keep, F.col("_fl_h.intent").alias(out),
+                    F.coalesce(F.col("_fl_h.n"), F.lit(0)).cast("long").alias("n_past"))
 
 
 def history_pivot(df: DataFrame, user: str, date_col: str, intent: str, values: Sequence[str] | None = None,

@@ -253,9 +253,11 @@ def build() -> dict:
     q["explode_labels"] = lambda s, sf: windows.explode_labels(_lookahead(s, sf)).select(
         "user_id", "date", _join_arr("next_7_day_labels"), "label")
     q["history_list"] = lambda s, sf: windows.history_list(
-        _t(s, sf, "events"), "user_id", "ts", "event_type").select("user_id", "date", _join_arr("historical_interactions"))
+        _t(s, sf, "events"), "user_id", "ts", "event_type").select(
+        "user_id", "date", F.array_join(F.transform("historical_interactions", lambda x: F.concat(
+            x["intent"], F.lit(":"), x["n"].cast("string"))), "|").alias("historical_interactions"))
     q["explode_history"] = lambda s, sf: windows.explode_history(windows.history_list(
-        _t(s, sf, "events"), "user_id", "ts", "event_type")).select("user_id", "date", "cb_past_intent")
+        _t(s, sf, "events"), "user_id", "ts", "event_type")).select("user_id", "date", "cb_past_intent", "n_past")
     q["forward_fill"] = lambda s, sf: windows.forward_fill(
         _events_nulled(s, sf).select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"],
         ["value"], "ts", chunk_days=5)

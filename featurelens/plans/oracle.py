@@ -114,12 +114,14 @@ def history_pivot_sql(src_filter=""):
             f"AND b.\"date\" BETWEEN a.\"date\" - 60 AND a.\"date\" - 1 GROUP BY a.user_id, a.\"date\", a.r)")
 
 
-def history_list_sql():
-    return ("(SELECT d.user_id, d.\"date\", list_sort(list_filter(array_agg(e.event_type), lambda x: x IS NOT NULL)) AS lst "
+def history_counts_sql():
+    """(user, date, past intent, count) over the earlier 60 days; NULL intent
+    with count 0 when the history is empty."""
+    return ("(SELECT d.user_id, d.\"date\", e.event_type AS cb_past_intent, CAST(count(e.event_type) AS BIGINT) AS n_past "
             "FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS \"date\" FROM events) d "
             "LEFT JOIN (SELECT user_id, CAST(ts AS DATE) AS \"date\", event_type FROM events) e "
             "ON e.user_id = d.user_id AND e.\"date\" BETWEEN d.\"date\" - 60 AND d.\"date\" - 1 "
-            "GROUP BY d.user_id, d.\"date\")")
+            "GROUP BY d.user_id, d.\"date\", e.event_type)")
 
 
 def purchase_snapshot_sql():
@@ -421,12 +423,10 @@ def build() -> dict:
                                  f"FROM {lookahead_sql(3, 10)} l")
     q["explode_labels"] = (f"SELECT user_id, \"date\", array_to_string(lst, '|') AS next_7_day_labels, unnest(lst) AS label "
                            f"FROM {lookahead_sql(0, 8)} l")
-    q["history_list"] = (f"SELECT user_id, \"date\", coalesce(array_to_string(lst, '|'), '') AS historical_interactions "
-                         f"FROM {history_list_sql()} h")
-    q["explode_history"] = ("SELECT d.user_id, d.\"date\", e.event_type AS cb_past_intent "
-                            "FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS \"date\" FROM events) d "
-                            "LEFT JOIN (SELECT user_id, CAST(ts AS DATE) AS \"date\", event_type FROM events) e "
-                            "ON e.user_id = d.user_id AND e.\"date\" BETWEEN d.\"date\" - 60 AND d.\"date\" - 1")
+    q["history_list"] = (f"SELECT user_id, \"date\", coalesce(string_agg(cb_past_intent || ':' || CAST(n_past AS VARCHAR), '|' "
+                         f"ORDER BY cb_past_intent), '') AS historical_interactions FROM {history_counts_sql()} h "
+                         f"GROUP BY user_id, \"date\"")
+    q["explode_history"] = f"SELECT * FROM {history_counts_sql()} h"
     q["forward_fill"] = (f"SELECT event_id, user_id, ts, last_value(value IGNORE NULLS) OVER (PARTITION BY user_id "
                          f"ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value "
                          f"FROM ({EV_NULLED}) e")

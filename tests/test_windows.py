@@ -73,3 +73,13 @@ def test_history_pivot_discovers_values(spark):
     df = _events(spark, [(1, 1, "A"), (1, 2, "B")])
     cols = windows.history_pivot(df, "u", "ts", "intent").columns
     assert cols == ["u", "date", "A", "B", "null"]
+
+
+def test_history_list_is_a_multiset(spark):
+    df = _events(spark, [(1, 1, "A"), (1, 1, "A"), (1, 2, "B"), (1, 3, "C")])
+    got = {r["date"]: [(x["intent"], x["n"]) for x in r["historical_interactions"]]
+           for r in windows.history_list(df, "u", "ts", "intent").collect()}
+    assert got == {_d(1): [], _d(2): [("A", 2)], _d(3): [("A", 2), ("B", 1)]}
+    ex = {(r["date"], r["cb_past_intent"]): r["n_past"] for r in
+          windows.explode_history(windows.history_list(df, "u", "ts", "intent")).collect()}
+    assert ex == {(_d(1), None): 0, (_d(2), "A"): 2, (_d(3), "A"): 2, (_d(3), "B"): 1}
