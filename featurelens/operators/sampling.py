@@ -26,14 +26,30 @@ def _keys(df: DataFrame, key_cols) -> list[str]:
 
 
 def sample_n(df: DataFrame, n: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED,
-             key_cols: Sequence[str] | str | None = None) -> DataFrame:
-    """Exactly min(n, rows) rows, chosen by hash of (seed, key).
-
-    Planned as TakeOrderedAndProject: each task keeps its n best rows; no
-    full sort. ``n`` is the feature's own bound.
+             key_cols: Sequence[str] | str | None = None, margin: float = 1.2) -> DataFrame:
+    """Exactly min(n, rows) rows: those with the n smallest hashes of (seed, key).
+
+    A plain ``orderBy(hash).limit(n)`` sends n rows from every partition to
+    one task. Here the rows whose 32-bit hash prefix lies under a threshold
+    (expected n * margin rows, raised until at least n pass) are kept by a
+    distributed filter, and only those are ordered. The n smallest hashes
+    always lie under a threshold that passes n rows, so the result is the
+    same set.
     """
     keys = _keys(df, key_cols)
-    return df.orderBy(hash_order_key(seed, *keys), *keys).limit(n)
+    h = hash_order_key(seed, *keys)
+    total = df.count()
+    if total <= n:
+        return df
+    prefix = F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
+    space = float(1 << 32)
+    t = int(min(space, space * (n * margin + 16) / total)) + 1
+    while True:
+        cand = df.where(prefix < F.lit(t))
+        if t >= space or cand.count() >= n:
+            break
+        t = int(min(space, t * 2))
+    return cand.orderBy(h, *keys).limit(n)
 
 
 def stratified_sample(df: DataFrame, label: str, n: int = ROWS_PER_LABEL, seed: int = SAMPLE_SEED,

@@ -108,3 +108,14 @@ def test_sample_table_to_path_never_overwrites_source(spark):
     df, out = sample_table_to_path(spark, src, 10, 1, ["id"])
     assert out.endswith("t_sample") and df.count() == 10
     assert spark.read.parquet(src).count() == 50
+
+
+def test_sample_n_threshold_equals_plain_top_n(spark, sf_small):
+    from featurelens.functions.hashing import hash_order_key
+    o = spark.read.parquet(f"{sf_small}/orders.parquet")
+    ref = sorted(r[0] for r in o.orderBy(hash_order_key(7, "o_orderkey"), "o_orderkey").limit(150)
+                 .select("o_orderkey").collect())
+    for margin in (0.01, 1.2):  # a tiny margin forces the threshold to be raised
+        got = sorted(r[0] for r in sampling.sample_n(o, 150, 7, ["o_orderkey"], margin=margin)
+                     .select("o_orderkey").collect())
+        assert got == ref
