@@ -53,12 +53,40 @@ def sample_n(df: DataFrame, n: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED,
 
 
 def stratified_sample(df: DataFrame, label: str, n: int = ROWS_PER_LABEL, seed: int = SAMPLE_SEED,
-                      key_cols: Sequence[str] | str | None = None) -> DataFrame:
-    """min(n, size) rows per label (row_number <= n; Spark limits each group
-    before the shuffle)."""
+                      key_cols: Sequence[str] | str | None = None, margin: float = 1.2,
+                      max_labels: int = 100_000) -> DataFrame:
+    """min(n, size) rows per label: those with the n smallest hashes.
+
+    Rows per label are counted (one row per label, collected and checked);
+    a per-label hash threshold (expected n * margin rows, raised for labels
+    that fall short) keeps a distributed filter in front of the per-label
+    ``row_number() <= n``, so no label sends n rows from every partition
+    to one task.
+    """
     keys = _keys(df, key_cols)
-    w = Window.partitionBy(label).orderBy(hash_order_key(seed, *keys), *keys)
-    return df.withColumn("_fl_rn", F.row_number().over(w)).where(F.col("_fl_rn") <= n).drop("_fl_rn")
+    h = hash_order_key(seed, *keys)
+    prefix = F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
+    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("_fl_n")).limit(max_labels + 1).collect()
+    if len(rows) > max_labels:
+        raise ValueError(f"{label} has more than {max_labels} labels")
+    space = 1 << 32
+    sizes = {r[label]: r["_fl_n"] for r in rows}
+    thr = {k: (space if v <= n else min(space, int(space * (n * margin + 16) / v) + 1)) for k, v in sizes.items()}
+    while True:
+        pairs = [x for k, t in thr.items() if k is not None for x in (F.lit(k), F.lit(t))]
+        lim = F.element_at(F.create_map(*pairs), F.col(label)) if pairs else F.lit(space)
+        # NULL labels form their own group: threshold by the NULL key
+        null_t = thr.get(None, space)
+        cut = F.when(F.col(label).isNull(), F.lit(null_t)).otherwise(lim)
+        cand = df.where(prefix < cut)
+        got = {r[label]: r["_fl_c"] for r in cand.groupBy(label).agg(F.count(F.lit(1)).alias("_fl_c")).collect()}
+        short = [k for k, t in thr.items() if t < space and got.get(k, 0) < min(n, sizes[k])]
+        if not short:
+            break
+        for k in short:
+            thr[k] = min(space, thr[k] * 2)
+    w = Window.partitionBy(label).orderBy(h, *keys)
+    return cand.withColumn("_fl_rn", F.row_number().over(w)).where(F.col("_fl_rn") <= n).drop("_fl_rn")
 
 
 def split_by_customer(df: DataFrame, cust_key: str, test_percent: int = TEST_PERCENT,
