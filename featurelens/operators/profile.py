@@ -44,7 +44,11 @@ def _stats_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             aggs.append(F.min(col).cast("string").alias(f"_mns{i}"))
             aggs.append(F.max(col).cast("string").alias(f"_mxs{i}"))
         if isinstance(dt, T.StringType):
-            aggs.append(F.bool_and(col.isNull() | F.try_to_date(col).isNotNull()).alias(f"_dt{i}"))
+            # every date text Spark parses starts with (space, sign,) 4+ digits;
+            # the regex keeps the costly failed parses off ordinary text
+            looks = col.rlike(r"^\s*[+-]?[0-9]{4}")
+            parsed = F.when(looks, F.try_to_date(col)).isNotNull()
+            aggs.append(F.bool_and(col.isNull() | parsed).alias(f"_dt{i}"))
     wide = df.agg(*aggs)
     names = set(wide.columns)
 
