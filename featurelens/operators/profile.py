@@ -1,12 +1,10 @@
 """Column summary and data profile over the whole table.
 
-Two passes regardless of the number of columns:
-
-(a) one plain aggregate: rows, non-missing, zeros, min, max, date test;
-(b) exact distinct values: every column is unpivoted to (var, text, number),
-    grouped by (var, text) with map-side combine, then counted per var.
-    Samples come from the same distinct set with a per-var group limit,
-    which Spark applies before the shuffle (WindowGroupLimit).
+One pass for any number of columns: every column is unpivoted to
+(var, value) and counted per distinct value with map-side combine. Row,
+missing and zero counts, min / max, distinct counts, samples (per-var group
+limit, applied before the shuffle) and the date test all come from that
+(var, value, count) table.
 """
 
 from __future__ import annotations
@@ -20,67 +18,18 @@ from featurelens.functions.constants import (
 )
 from featurelens.functions.text import remarks, value_range
 from featurelens.operators.columns import (
-    TEMPORAL_TYPES, is_numeric, nan_to_null, proposed_type,
+    TEMPORAL_TYPES, nan_to_null, proposed_type,
 )
 
 SAMPLE_EACH_END = 5
 
 
-def _stats_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pass (a): one row per column from one aggregate."""
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(cols):
-        dt = fields[c]
-        col = F.col(c)
-        aggs.append(F.count(col).alias(f"_nn{i}"))
-        if is_numeric(dt):
-            aggs.append(F.count(F.when(col == 0, 1)).alias(f"_z{i}"))
-            aggs.append(F.min(col).cast("double").alias(f"_mnd{i}"))
-            aggs.append(F.max(col).cast("double").alias(f"_mxd{i}"))
-        if isinstance(dt, (T.StringType,) + TEMPORAL_TYPES) or not is_numeric(dt):
-            if isinstance(dt, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):
-                continue
-            aggs.append(F.min(col).cast("string").alias(f"_mns{i}"))
-            aggs.append(F.max(col).cast("string").alias(f"_mxs{i}"))
-        if isinstance(dt, T.StringType):
-            # every date text Spark parses starts with (space, sign,) 4+ digits;
-            # the regex keeps the costly failed parses off ordinary text
-            looks = col.rlike(r"^\s*[+-]?[0-9]{4}")
-            parsed = F.when(looks, F.try_to_date(col)).isNotNull()
-            aggs.append(F.bool_and(col.isNull() | parsed).alias(f"_dt{i}"))
-    wide = df.agg(*aggs)
-    names = set(wide.columns)
-
-    def pick(name, typ):
-        return F.col(name) if name in names else F.lit(None).cast(typ)
-
-    structs = []
-    for i, c in enumerate(cols):
-        dt = fields[c]
-        is_date = isinstance(dt, TEMPORAL_TYPES)
-        structs.append(F.struct(
-            F.lit(i).alias("col_idx"), F.lit(c).alias("var"),
-            F.lit(dt.simpleString()).alias("type"),
-            F.lit(proposed_type(dt)).alias("proposed_data_type"),
-            F.col("_rows").alias("rows"),
-            F.col(f"_nn{i}").alias("non_missing_cnt"),
-            pick(f"_z{i}", "long").alias("zero_cnt"),
-            pick(f"_mnd{i}", "double").alias("min_num"),
-            pick(f"_mxd{i}", "double").alias("max_num"),
-            pick(f"_mns{i}", "string").alias("min_text"),
-            pick(f"_mxs{i}", "string").alias("max_text"),
-            (F.lit(True) if is_date else pick(f"_dt{i}", "boolean")).alias("is_date_field"),
-        ))
-    return wide.select(F.inline(F.array(*structs)))
-
-
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType)
 
 
-def _distinct_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pass (b): distinct values of all columns as (var, s, d, l).
+def _value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows per distinct value of every column: (var, s, d, l, _c).
 
     Integers travel as ``l`` (exact), floats as ``d``, everything else as
     text ``s``: no number is formatted as text until the few samples are
@@ -92,51 +41,94 @@ def _distinct_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         dt = fields[c]
         x = F.col(c)
         s = F.lit(None).cast("string") if isinstance(dt, _INTEGRAL + _FRACTIONAL) else x.cast("string")
-        d = x.cast("double") if isinstance(dt, _FRACTIONAL) else F.lit(None).cast("double")
+        # decimals keep their exact text (distinctness) and a double (order, zero, range)
+        d = x.cast("double") if isinstance(dt, _FRACTIONAL + (T.DecimalType,)) else F.lit(None).cast("double")
         lv = x.cast("long") if isinstance(dt, _INTEGRAL) else F.lit(None).cast("long")
         vals.append(F.struct(s.alias("s"), d.alias("d"), lv.alias("l")).alias(c))
     wide = df.select(*vals)
     long = wide.unpivot([], list(cols), "var", "v").select("var", "v.s", "v.d", "v.l")
-    return long.distinct()
+    return long.groupBy("var", "s", "d", "l").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _meta(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row per column from the schema (a literal table, no scan)."""
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    rows = [F.struct(F.lit(i).alias("col_idx"), F.lit(c).alias("var"),
+                     F.lit(fields[c].simpleString()).alias("type"),
+                     F.lit(proposed_type(fields[c])).alias("proposed_data_type"),
+                     F.lit(isinstance(fields[c], TEMPORAL_TYPES)).alias("_temporal"),
+                     F.lit(isinstance(fields[c], T.StringType)).alias("_text"))
+            for i, c in enumerate(cols)]
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
 def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
                  sample_each_end: int = SAMPLE_EACH_END) -> DataFrame:
-    """Per-column facts shared by :func:`data_summary` and :func:`data_profile`."""
+    """Per-column facts shared by :func:`data_summary` and :func:`data_profile`.
+
+    One scan: every column is unpivoted to (var, value) and counted per
+    distinct value with map-side combine. Row, missing and zero counts,
+    min / max, the distinct count, samples and the date test of text columns
+    all come from that (var, value, count) table, so dates are parsed once
+    per distinct text, not per row.
+    """
     cols = list(columns) if columns is not None else list(df.columns)
     df = nan_to_null(df.select(*cols))
-    stats = _stats_long(df, cols)
-    dist = _distinct_long(df, cols)
-    uniq = dist.groupBy("var").agg(F.count(F.lit(1)).alias("num_unique"))
+    counts = _value_counts(df, cols)
+    present = F.col("s").isNotNull() | F.col("d").isNotNull() | F.col("l").isNotNull()
+    zero = (F.col("d") == 0) | (F.col("l") == 0)
+    # every date text Spark parses starts with (space, sign,) 4+ digits; the
+    # regex keeps failed parses off ordinary text
+    looks = F.col("s").rlike(r"^\s*[+-]?[0-9]{4}")
+    is_date = F.when(looks, F.try_to_date(F.col("s"))).isNotNull()
+    per_var = counts.groupBy("var").agg(
+        F.sum("_c").alias("rows"),
+        F.coalesce(F.sum(F.when(present, F.col("_c"))), F.lit(0)).alias("non_missing_cnt"),
+        F.coalesce(F.sum(F.when(zero, F.col("_c"))), F.lit(0)).alias("zero_cnt"),
+        F.count(F.lit(1)).alias("num_unique"),
+        F.coalesce(F.min("l").cast("double"), F.min("d")).alias("min_num"),
+        F.coalesce(F.max("l").cast("double"), F.max("d")).alias("max_num"),
+        F.min("s").alias("min_text"), F.max("s").alias("max_text"),
+        F.bool_and(F.col("s").isNull() | is_date).alias("_dt"))
     # NULL sorts last both ways, so it only takes a slot when fewer than k
     # values exist; it is removed after the limit
     asc = [F.col("l").asc_nulls_last(), F.col("d").asc_nulls_last(), F.col("s").asc_nulls_last()]
     desc = [F.col("l").desc_nulls_last(), F.col("d").desc_nulls_last(), F.col("s").desc_nulls_last()]
     k = sample_each_end
-    present = F.col("s").isNotNull() | F.col("d").isNotNull() | F.col("l").isNotNull()
 
     def ends(order, name):
         w = Window.partitionBy("var").orderBy(*order)
-        return (dist.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-                    .where(present)
-                    .groupBy("var").agg(F.array_sort(F.collect_list(F.struct("l", "d", "s"))).alias(name)))
+        return (counts.select("var", "s", "d", "l").withColumn("_rn", F.row_number().over(w))
+                      .where(F.col("_rn") <= k).where(present)
+                      .groupBy("var").agg(F.array_sort(F.collect_list(F.struct("l", "d", "s"))).alias(name)))
 
     low, high = ends(asc, "_lo"), ends(desc, "_hi")
-    # stats, uniq, low, high: one row per column
-    out = (stats.join(F.broadcast(uniq), "var", "left")
-                .join(F.broadcast(low), "var", "left")
-                .join(F.broadcast(high), "var", "left"))
+    # meta, per_var, low, high: one row per column
+    out = (_meta(df, cols).join(F.broadcast(per_var), "var", "left")
+                          .join(F.broadcast(low), "var", "left")
+                          .join(F.broadcast(high), "var", "left"))
     both = F.array_sort(F.array_distinct(F.concat(
         F.coalesce(F.col("_lo"), F.array()), F.coalesce(F.col("_hi"), F.array()))))
 
     def text(x):
         return F.coalesce(x["s"], x["l"].cast("string"), x["d"].cast("string"))
 
-    keep = [c for c in stats.columns]
-    return out.select(*keep,
-                      F.coalesce(F.col("num_unique"), F.lit(0)).cast("long").alias("num_unique"),
-                      F.transform(both, text).alias("samples"),
-                      F.transform(F.coalesce(F.col("_lo"), F.array()), text).alias("lowest"))
+    numeric = F.col("proposed_data_type") == "numerical"
+    rows = F.coalesce(F.col("rows"), F.lit(0))
+    return out.select(
+        "col_idx", "var", "type", "proposed_data_type",
+        rows.cast("long").alias("rows"),
+        F.coalesce(F.col("non_missing_cnt"), F.lit(0)).cast("long").alias("non_missing_cnt"),
+        F.when(numeric, F.coalesce(F.col("zero_cnt"), F.lit(0))).cast("long").alias("zero_cnt"),
+        F.when(numeric, F.col("min_num")).alias("min_num"),
+        F.when(numeric, F.col("max_num")).alias("max_num"),
+        F.when(~numeric, F.col("min_text")).alias("min_text"),
+        F.when(~numeric, F.col("max_text")).alias("max_text"),
+        F.when(F.col("_temporal"), F.lit(True)).when(F.col("_text"), F.coalesce(F.col("_dt"), F.lit(True)))
+         .alias("is_date_field"),
+        F.coalesce(F.col("num_unique"), F.lit(0)).cast("long").alias("num_unique"),
+        F.transform(both, text).alias("samples"),
+        F.transform(F.coalesce(F.col("_lo"), F.array()), text).alias("lowest"))
 
 
 def data_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

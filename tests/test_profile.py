@@ -83,3 +83,13 @@ def test_duplicate_columns_and_stringify(spark):
     import datetime as dt
     t = spark.createDataFrame([(dt.date(2024, 1, 2),)], "d date")
     assert stringify_temporal(t).first()["d"] == "2024-01-02"
+
+
+def test_decimal_column_summary_and_profile(spark):
+    from decimal import Decimal
+    df = spark.createDataFrame([(Decimal("1.50"),), (Decimal("0.00"),), (None,), (Decimal("1.50"),)], "p decimal(10,2)")
+    r = _by_var(data_summary(df))["p"]
+    assert r["num_unique"] == 3 and r["zero_cnt"] == 1 and r["missing_cnt"] == 1
+    assert r["samples"] == ["0.00", "1.50"]
+    pr = _by_var(data_profile(df), "feature_name")["p"]
+    assert pr["range_of_features"] == "min -> max: (0.000, 1.500)"
