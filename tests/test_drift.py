@@ -56,3 +56,15 @@ def test_period_columns_fallback(spark):
     p = cal.period_columns(spark.createDataFrame(days, "d date"), "d")
     rows = p.collect()
     assert all(r["month"] is None for r in rows) and len(rows) == 14
+
+
+def test_label_report_tables_and_psi_nonnegative(spark, sf_small):
+    e = spark.read.parquet(f"{sf_small}/events.parquet")
+    rep = drift.label_report(e, "user_id", "event_type", "ts")
+    assert sorted(rep) == sorted(f"{k}_{g}" for k in ("total", "ratio", "psi") for g in ("dly", "wly", "mly"))
+    for g in ("dly", "wly"):
+        vals = [r["psi_raw"] for r in rep[f"psi_{g}"].collect() if r["psi_raw"] is not None]
+        assert vals and all(v >= 0 for v in vals)
+        tot = {r["period"]: r["n"] for r in rep[f"total_{g}"].where("label = 'All'").collect()}
+        cells = rep[f"total_{g}"].where("label <> 'All' AND period <> 'All'").groupBy("period").sum("n").collect()
+        assert all(tot[r["period"]] == r["sum(n)"] for r in cells)
