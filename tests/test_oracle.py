@@ -46,13 +46,17 @@ def con():
     return c
 
 
+# the library's own queries; those of the subpackage llm have tests/llm
+OWN = set(E.catalog.build())
+
+
 def test_every_query_has_an_oracle_or_is_a_model_step():
     q, s = E.queries(), E.oracle_sql()
-    assert set(q) - set(s) == MODEL
+    assert OWN - set(s) == MODEL
     assert set(s) <= set(q)
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(OWN & set(E.oracle_sql())))
 def test_query_matches_oracle(spark, con, name):
     sp = E.queries()[name](spark, SF).toPandas()
     dd = con.execute(E.oracle_sql()[name]).df()
