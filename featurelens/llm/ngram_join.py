@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from featurelens.llm import tokens as T
+from featurelens.llm import blocks, tokens as T
 from featurelens.llm.tables import connected_components, stage
 
 BLOCK = 256
@@ -123,84 +123,19 @@ def _overlap(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _forest(n: int, us: np.ndarray, vs: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the given links among ``n`` nodes."""
-    root, out = list(range(n)), []
-
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for u, v in zip(us.tolist(), vs.tolist()):
-        ru, rv = find(u), find(v)
-        if ru != rv:
-            root[max(ru, rv)] = min(ru, rv)
-            out.append((u, v))
-            if len(out) == n - 1:
-                break
-    return out
-
-
 def _verified(threshold: float):
     """Rows of one pair of blocks -> links per text and spanning edges."""
-    def group(rows):
-        ids, weight, side, sets = rows
-        left = [i for i, s in enumerate(side) if s == 0]
-        right = [i for i, s in enumerate(side) if s == 1] or left
-        same = right is left
-        a, b = [sets[i] for i in left], [sets[i] for i in right]
-        inter = _overlap(a, b)
-        la, lb = np.array([len(x) for x in a], np.float64), np.array([len(x) for x in b], np.float64)
-        # J >= t, as whole numbers: inter * (1 + t) >= t * (|a| + |b|)
-        hit = inter * (1 + threshold) >= threshold * (la[:, None] + lb[None, :]) - 1e-9
-        if same:
+    def group(table):
+        left, right = blocks.sides(table)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+        size = np.array([len(x) for x in sets], np.float64)
+        inter = _overlap([sets[i] for i in left], [sets[i] for i in right])
+        # J >= t without a division: inter * (1 + t) >= t * (|a| + |b|)
+        hit = inter * (1 + threshold) >= threshold * (size[left][:, None] + size[right][None, :]) - 1e-9
+        if left is right:
             np.fill_diagonal(hit, False)
-        wa, wb = np.array([weight[i] for i in left], np.float64), np.array([weight[i] for i in right], np.float64)
-        links = dict.fromkeys(range(len(ids)), 0)
-        for k, i in enumerate((hit @ wb).tolist()):
-            links[left[k]] += int(i)
-        if not same:
-            for k, i in enumerate((wa @ hit).tolist()):
-                links[right[k]] += int(i)
-        x, y = np.nonzero(hit)
-        lx, ry = np.array(left)[x], np.array(right)[y]
-        tree = _forest(len(ids), lx, ry)
-        for i, k in links.items():
-            if k:
-                yield ids[i], k, None
-        for u, v in tree:
-            yield ids[u], 0, ids[v]
-
-    def run(batches):
-        key, rows, out = None, ([], [], [], []), []
-        for b in batches:
-            g, p, q = (b[c].to_numpy(zero_copy_only=False) for c in ("grp", "p", "q"))
-            ids, w, s = b["id"].to_pylist(), b["weight"].to_pylist(), b["side"].to_pylist()
-            sh = b["shingles"]
-            for i in range(b.num_rows):
-                k = (g[i], p[i], q[i])
-                if k != key:
-                    if len(rows[0]) > 1:
-                        out += group(rows)
-                    key, rows = k, ([], [], [], [])
-                rows[0].append(ids[i])
-                rows[1].append(w[i])
-                rows[2].append(s[i])
-                rows[3].append(np.frombuffer(sh[i].as_buffer(), np.uint64))
-            if len(out) >= 10_000:
-                yield _links_batch(out)
-                out = []
-        if len(rows[0]) > 1:
-            out += group(rows)
-        yield _links_batch(out)
-    return run
-
-
-def _links_batch(out):
-    return pa.RecordBatch.from_arrays(
-        [pa.array([x[k] for x in out], pa.int64()) for k in range(3)], ["id", "links", "other"])
+        return blocks.count_links(table, left, right, *np.nonzero(hit))
+    return group
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
@@ -231,19 +166,13 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .select(F.col("id").alias("u"), F.col("head").alias("v")).distinct())
     groups = stage(connected_components(chains).select("id", F.col("component").alias("grp"))
                    .join(reps, "id"), "forest-groups")
-    blocks = (groups.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).cast("int").alias("nb")))
-    placed = (groups.join(blocks, "grp")
-              .withColumn("b", F.pmod(F.xxhash64("id"), F.col("nb").cast("long")).cast("int")))
-
-    texts = src.join(placed.select("id"), "id", "left_semi")
+    counts = blocks.block_counts(groups, ["grp"], BLOCK)
+    texts = src.join(groups.select("id"), "id", "left_semi")
     sets = (texts.mapInArrow(_sets(n, lower), "id long, shingles binary")
             .groupBy("id").agg(F.min("shingles").alias("shingles")))
-    dealt = (placed.join(sets, "id")
-             .withColumn("o", F.explode(F.expr("sequence(0, nb - 1)")))
-             .select("grp", F.least("b", "o").alias("p"), F.greatest("b", "o").alias("q"),
-                     F.when(F.col("b") <= F.col("o"), 0).otherwise(1).alias("side"), "id", "weight", "shingles"))
-    found = stage(dealt.repartition("grp", "p", "q").sortWithinPartitions("grp", "p", "q", "side", "id")
-                  .mapInArrow(_verified(threshold), "id long, links long, other long"), "forest-links")
+    dealt = blocks.deal(groups.join(sets, "id"), counts, ["grp"], ["weight", "shingles"])
+    found = stage(dealt.mapInArrow(blocks.each_group(_verified(threshold), ["grp", "p", "q"]),
+                                   "id long, links long, other long"), "forest-links")
     comps = connected_components(found.where("other is not null")
                                  .select(F.col("id").alias("u"), F.col("other").alias("v")))
     links = found.where("other is null").groupBy("id").agg(F.sum("links").alias("links"))

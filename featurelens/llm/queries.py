@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featurelens.llm import decontaminate, ngram_join
+from featurelens.llm import decontaminate, embeddings, line_dedup, mixing, ngram_join, pii, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.93 or more between embeddings of one label."""
+    return embeddings.embedding_neardup(_read(spark, sf_dir, "embeddings"))
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents (five words, 0.8 or more)."""
     return ngram_join.ngram_join(_read(spark, sf_dir, "documents"))
@@ -23,8 +28,30 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents mixed to source weights 5, 2, 1."""
+    return mixing.mix_sources(_read(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probabilities of every document."""
+    return quality.select_quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents less their repeated and nearly repeated lines."""
+    return line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every document."""
+    return pii.digest(pii.find_pii(_read(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_ngram_join, op4_decontaminate)}
+    return {f.__name__: f for f in (
+        op2_embedding_neardup, op3_ngram_join, op4_decontaminate, op7_mix_sources, op8_quality, op9_line_dedup,
+        op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
