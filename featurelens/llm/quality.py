@@ -2,9 +2,10 @@
 
 Grades 0 < 1 < ... < K-1 share one weight vector over hashed features; K-1
 ordered thresholds cut the score: P(grade <= k) = sigmoid(threshold_k - score).
-Features of a text are the hashed distinct words (A-Z as a-z) and bands of a
-few shape measures (capitals, marks, digits, repetition, word length), all
-0/1. Features seen in fewer than ``min_df`` rated texts have no weight.
+Features of a text are its hashed words and their beginnings (A-Z as a-z),
+scaled by its length, and bands of a few shape measures (capitals, marks,
+digits, repetition, word length). Features seen in a smaller share of the rated
+texts than ``min_share`` have no weight.
 
 The model is fitted inside one task on at most about ``max_rated`` rated rows
 (picked by a hash of the id), the documented bound of the fit; all texts are
@@ -20,53 +21,71 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from featurelens.llm import tokens as T
 
-DIM = 1 << 18
+BITS = 20
+DIM = 1 << BITS
+PREFIX = 4
 MAX_RATED = 16_000
 _BANDS = np.array([0.005, 0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97])
 
 
-def features(col) -> tuple[np.ndarray, np.ndarray]:
-    """(feature numbers, each text's first (n + 1)) of a text column; a text's
-    features are distinct and ascending."""
+def _kinds() -> np.ndarray:
+    """1 for bytes of letters and digits (all of other scripts), 2 for marks."""
+    k = np.full(256, 2, np.uint8)
+    k[:33] = 0
+    for lo, hi in ((48, 58), (65, 91), (97, 123), (128, 256)):
+        k[lo:hi] = 1
+    return k
+
+
+_KIND = _kinds()
+
+
+def features(col) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature numbers, values, each text's first (n + 1)) of a text column.
+
+    A text of n words gives its words (runs of letters and digits) and their
+    first ``PREFIX`` bytes, each counting 1 / sqrt(n) per occurrence, and one
+    band of each shape measure, counting 1."""
     data, offs = T.text_buffer(col)
-    starts, ends, ptr = T.word_bounds(data, offs)
-    idx = (T.word_hashes(data, starts, ends, True) >> np.uint64(46)).astype(np.int64)
+    kind = _KIND[data]
+    starts, ends, ptr = T.word_bounds(data, offs, kind == 1)
     n, words = len(offs) - 1, np.diff(ptr)
     doc = np.repeat(np.arange(n), words)
-    order = np.lexsort((idx, doc))
-    idx, doc = idx[order], doc[order]
-    keep = np.ones(len(idx), bool)
-    keep[1:] = (idx[1:] != idx[:-1]) | (doc[1:] != doc[:-1])
-    idx, doc = idx[keep], doc[keep]
+    whole = T.word_hashes(data, starts, ends, True)
+    head = T.mix(T.word_hashes(data, starts, np.minimum(ends, starts + PREFIX), True) + np.uint64(77))
+    idx = np.concatenate([whole, head]) >> np.uint64(64 - BITS)
+    # occurrences of one feature in one text become one value
+    code, count = np.unique((np.concatenate([doc, doc]).astype(np.uint64) << np.uint64(BITS)) | idx, return_counts=True)
+    doc, idx = (code >> np.uint64(BITS)).astype(np.int64), (code & np.uint64(DIM - 1)).astype(np.int64)
+    value = count / np.sqrt(np.maximum(words, 1))[doc]
 
     def share(flag):
         total = np.concatenate([[0], np.cumsum(flag, dtype=np.int64)])
         return (total[offs[1:]] - total[offs[:-1]]) / np.maximum(np.diff(offs), 1)
 
-    marks = ((data >= 33) & (data <= 47)) | ((data >= 58) & (data <= 64)) | ((data >= 91) & (data <= 96)) | ((data >= 123) & (data <= 126))
     per = np.maximum(words, 1)
-    measures = [share((data >= 65) & (data <= 90)), share(marks), share((data >= 48) & (data <= 57)),
-                np.bincount(doc, minlength=n) / per,
-                np.minimum(np.bincount(np.repeat(np.arange(n), words), weights=(ends - starts), minlength=n) / per / 20, 1),
+    measures = [share((data >= 65) & (data <= 90)), share(kind == 2), share((data >= 48) & (data <= 57)),
+                np.bincount(doc, minlength=n) / (2 * per),
+                np.minimum(np.bincount(np.repeat(np.arange(n), words), weights=ends - starts, minlength=n) / per / 20, 1),
                 np.minimum(np.log1p(words) / 12, 1)]
     shape = [T.seeds(1, 1000 * (k + 1))[0] + np.searchsorted(_BANDS, m).astype(np.uint64) for k, m in enumerate(measures)]
-    shape = (T.mix(np.stack(shape, 1)) >> np.uint64(46)).astype(np.int64)
-    idx = np.concatenate([idx, shape.reshape(-1)])
+    shape = (T.mix(np.stack(shape, 1).reshape(-1)) >> np.uint64(64 - BITS)).astype(np.int64)
     doc = np.concatenate([doc, np.repeat(np.arange(n), len(measures))])
     order = np.argsort(doc, kind="stable")
-    return idx[order], np.searchsorted(doc[order], np.arange(n + 1))
+    return (np.concatenate([idx, shape])[order], np.concatenate([value, np.ones(len(shape))])[order].astype(np.float32),
+            np.searchsorted(doc[order], np.arange(n + 1)))
 
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(idx: np.ndarray, ptr: np.ndarray, y: np.ndarray, grades: int, epochs: int = 12, rate: float = 0.3,
-        l2: float = 1e-4, min_df: int = 5, batch: int = 64) -> tuple[np.ndarray, np.ndarray]:
+def fit(idx: np.ndarray, value: np.ndarray, ptr: np.ndarray, y: np.ndarray, grades: int, epochs: int = 20,
+        rate: float = 2.0, l2: float = 1e-5, min_share: float = 0.0012, batch: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Adaptive-rate mini-batch descent on the negative log likelihood:
     (weights, thresholds). Rows are visited in a fixed pseudo-random order."""
     w, acc = np.zeros(DIM), np.full(DIM, 1e-8)
-    used = np.bincount(idx, minlength=DIM) >= min_df
+    used = np.bincount(idx, minlength=DIM) >= max(3, min_share * len(y))
     share = np.cumsum(np.bincount(y, minlength=grades) + 1.0)[:-1] / (len(y) + grades)
     cut = np.log(share / (1 - share))
     cut_acc = np.full(grades - 1, 1e-8)
@@ -77,13 +96,14 @@ def fit(idx: np.ndarray, ptr: np.ndarray, y: np.ndarray, grades: int, epochs: in
             n = ptr[rows + 1] - ptr[rows]
             pos = np.repeat(ptr[rows] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
             f, r = idx[pos], np.repeat(np.arange(len(rows)), n)
-            s = np.bincount(r, weights=w[f], minlength=len(rows))
+            x = value[pos]
+            s = np.bincount(r, weights=w[f] * x, minlength=len(rows))
             edge = np.concatenate([[-np.inf], cut, [np.inf]])
             a, b = _sigmoid(edge[y[rows] + 1] - s), _sigmoid(edge[y[rows]] - s)
             p = np.maximum(a - b, 1e-9)
             g_row = (1 - a - b) / len(rows)
             u, inv = np.unique(f, return_inverse=True)
-            g = np.bincount(inv, weights=g_row[r]) + l2 * w[u]
+            g = np.bincount(inv, weights=g_row[r] * x) + l2 * w[u]
             g[~used[u]] = 0
             acc[u] += g * g
             w[u] -= rate * g / np.sqrt(acc[u])
@@ -111,25 +131,26 @@ def fit_ordinal(rated: DataFrame, grades: int, id_col: str = "doc_id", text_col:
     def extract(batches):
         for whole in batches:
             for b in T.text_slices(whole, "text"):
-                f, ptr = features(b["text"])
+                f, v, ptr = features(b["text"])
+                f, cuts = f.astype(np.int32), list(zip(ptr[:-1], ptr[1:]))
                 yield pa.RecordBatch.from_arrays(
-                    [b["id"].cast(pa.string()), b["grade"],
-                     pa.array([f[x:y].astype(np.int32).tobytes() for x, y in zip(ptr[:-1], ptr[1:])], pa.binary())],
-                    ["id", "grade", "features"])
+                    [b["id"].cast(pa.string()), b["grade"], pa.array([f[x:y].tobytes() for x, y in cuts], pa.binary()),
+                     pa.array([v[x:y].tobytes() for x, y in cuts], pa.binary())], ["id", "grade", "features", "counts"])
 
     def train(batches):
-        y, f, n = [], [], [0]
+        y, f, v, n = [], [], [], [0]
         for b in batches:
             y += b["grade"].to_pylist()
-            for v in b["features"]:
-                f.append(np.frombuffer(v.as_buffer(), np.int32))
+            for i, x in zip(b["features"], b["counts"]):
+                f.append(np.frombuffer(i.as_buffer(), np.int32))
+                v.append(np.frombuffer(x.as_buffer(), np.float32))
                 n.append(len(f[-1]))
         if y:
-            w, cut = fit(np.concatenate(f).astype(np.int64), np.cumsum(n), np.array(y), grades, **kw)
+            w, cut = fit(np.concatenate(f), np.concatenate(v), np.cumsum(n), np.array(y), grades, **kw)
             yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()]), pa.array([cut.tobytes()])], ["w", "cut"])
 
-    model = (rows.mapInArrow(extract, "id string, grade int, features binary")
-             .repartition(1).sortWithinPartitions("id", "grade", "features")
+    model = (rows.mapInArrow(extract, "id string, grade int, features binary, counts binary")
+             .repartition(1).sortWithinPartitions("id", "grade", "features", "counts")
              .mapInArrow(train, "w binary, cut binary").first())
     if model is None:
         return np.zeros(DIM), np.linspace(-1, 1, grades - 1)
@@ -145,8 +166,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str =
     def run(batches):
         for whole in batches:
             for b in T.text_slices(whole, text_col):
-                idx, ptr = features(b[text_col])
-                s = np.bincount(np.repeat(np.arange(b.num_rows), np.diff(ptr)), weights=w[idx], minlength=b.num_rows)
+                idx, value, ptr = features(b[text_col])
+                s = np.bincount(np.repeat(np.arange(b.num_rows), np.diff(ptr)), weights=w[idx] * value, minlength=b.num_rows)
                 tails = _sigmoid(s[:, None] - cut[None, :])
                 cols = [s, tails.sum(axis=1), *tails.T]
                 yield pa.RecordBatch.from_arrays(b.columns + [pa.array(c) for c in cols], b.schema.names + new)

@@ -72,12 +72,15 @@ def text_buffer(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
-def word_bounds(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end byte of every word, and each text's first word (n + 1)."""
+def word_bounds(data: np.ndarray, offs: np.ndarray,
+                solid: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end byte of every word, and each text's first word (n + 1).
+    ``solid`` marks the bytes of words, if not all but white space."""
     if not len(data):
         z = np.empty(0, np.int64)
         return z, z, np.zeros(len(offs), np.int64)
-    solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    if solid is None:
+        solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
     cut = np.zeros(len(data) + 1, bool)
     cut[offs] = True
     first = solid.copy()
