@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featurelens.llm import decontaminate, embeddings, line_dedup, mixing, ngram_join, pii, quality
+from featurelens.llm import decontaminate, embeddings, katz, line_dedup, mixing, ngram_join, pii, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz backoff scores of all documents."""
+    return katz.katz_scores(_read(spark, sf_dir, "documents"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents mixed to source weights 5, 2, 1."""
     return mixing.mix_sources(_read(spark, sf_dir, "documents"))
@@ -50,7 +55,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_embedding_neardup, op3_ngram_join, op4_decontaminate, op7_mix_sources, op8_quality, op9_line_dedup,
+        op2_embedding_neardup, op3_ngram_join, op4_decontaminate, op5_katz_scores, op7_mix_sources, op8_quality, op9_line_dedup,
         op10_pii)}
 
 
