@@ -69,24 +69,20 @@ def _copies(rows: DataFrame, cap: int) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                weights=(5, 2, 1), cap: int = 3, seed: int = 17, doc_weight: str | None = None,
-                carry: bool = False) -> DataFrame:
+                weights=(5, 2, 1), cap: int = 3, seed: int = 17, doc_weight: str | None = None) -> DataFrame:
     """One row per document: (id_col, size, source_size, target, taken).
 
     ``size`` is the number of words, ``taken`` the words the mix takes of it
     (whole copies, at most ``cap``). ``doc_weight`` names an optional column of
-    positive relative weights inside a source. ``carry`` keeps the other
-    columns too. Null and empty texts have size 0 and give 0 words; a null
+    positive relative weights inside a source. Null and empty texts have size 0 and give 0 words; a null
     source is a source of its own, the last; a repeated row is another
     document; an empty table gives no rows. The draw depends on the id and the
     seed only.
     """
-    names = [c for c in docs.columns if c != id_col]
-    kept = ([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else [])
     w = F.col(doc_weight).cast("double") if doc_weight else F.lit(1.0)
     rows = stage(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                              F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-                             w.alias("doc_weight"), *kept), "mix-sizes")
+                             w.alias("doc_weight")), "mix-sizes")
     targets = stage(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "mix-targets")
     rows = rows.join(targets, rows["source"].eqNullSafe(targets["source"])).drop("source")
     if doc_weight:
@@ -96,13 +92,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = (rows.withColumn("whole", F.floor("copies")).withColumn("p", F.col("copies") - F.col("whole"))
             .withColumn("u", _uniform(F.col("id"), seed))
             .withColumn("score", F.when(F.col("p") > 0, F.col("u") / (1 - F.col("u")) / (F.col("p") / (1 - F.col("p"))))))
-    open_ = rows.where("p > 0 and size > 0").select("rank", "id", "size", "score", "whole", "target", "source_size", *(["row"] if carry else []))
+    open_ = rows.where("p > 0 and size > 0").select("rank", "id", "size", "score", "whole", "target", "source_size")
     rest = rows.where("not (p > 0 and size > 0)")
     need = rows.groupBy("rank").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("need"))
     ranked = running_total(open_, ["score", "id", "size"], ["rank"], "size", "upto").join(need, "rank")
     before = F.col("upto") - F.col("size")
     drawn = (before < F.col("need")) & (F.col("upto") - F.col("need") <= F.col("need") - before)
     out = [F.col("id").alias(id_col), "size", "source_size", "target"]
-    extra = [F.col(f"row.`{c}`").alias(c) for c in names if c not in ("size", "source_size", "target", "taken")] if carry else []
-    taken = ranked.select(*out, ((F.col("whole") + drawn.cast("long")) * F.col("size")).alias("taken"), *extra)
-    return taken.unionByName(rest.select(*out, (F.col("whole") * F.col("size")).alias("taken"), *extra))
+    taken = ranked.select(*out, ((F.col("whole") + drawn.cast("long")) * F.col("size")).alias("taken"))
+    return taken.unionByName(rest.select(*out, (F.col("whole") * F.col("size")).alias("taken")))

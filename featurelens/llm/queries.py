@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featurelens.llm import decontaminate, embeddings, katz, line_dedup, mixing, ngram_join, pii, quality
+from featurelens.llm import decontaminate, embeddings, html_diff, katz, licenses, line_dedup, mixing, ngram_join, pii, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_diff.extract_main_text(_read(spark, sf_dir, "pages"))
+
+
 def op2_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.93 or more between embeddings of one label."""
     return embeddings.embedding_neardup(_read(spark, sf_dir, "embeddings"))
@@ -33,6 +38,14 @@ def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.katz_scores(_read(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents; their paths are source, language, the id's
+    hundred and the id."""
+    docs = _read(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan_licenses(docs.select("doc_id", "text", path.alias("path")))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents mixed to source weights 5, 2, 1."""
     return mixing.mix_sources(_read(spark, sf_dir, "documents"))
@@ -55,7 +68,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_embedding_neardup, op3_ngram_join, op4_decontaminate, op5_katz_scores, op7_mix_sources, op8_quality, op9_line_dedup,
+        op1_html_diff, op2_embedding_neardup, op3_ngram_join, op4_decontaminate, op5_katz_scores, op6_license_scan, op7_mix_sources, op8_quality, op9_line_dedup,
         op10_pii)}
 
 
