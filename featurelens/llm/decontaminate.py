@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from featurelens.llm import tokens as T
+from featurelens.llm.tables import ready
 
 OUT = "doc_id long, item_id long, containment double, n_shared long, n_item long"
 
@@ -116,6 +117,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     documents, and null ids, give no pair; repeated rows give one pair. A
     benchmark of any size is searched in blocks of ``block_items``.
     """
+    ready(docs.sparkSession)
     spark = docs.sparkSession
     bands = bands_for(threshold, recall)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")

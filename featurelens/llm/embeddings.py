@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from featurelens.llm import blocks, tokens as T
-from featurelens.llm.tables import connected_components, stage
+from featurelens.llm.tables import connected_components, ready, stage
 
 BLOCK = 1024
 WIDTH = 1.75
@@ -98,6 +98,7 @@ def embedding_neardup(vecs: DataFrame, id_col: str = "vec_id", vec_col: str = "e
     link. Null ids are left out; a repeated id keeps one row (its smallest
     vector). An empty table gives no rows.
     """
+    ready(vecs.sparkSession)
     rows = (vecs.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("embedding"),
                         F.col(label_col).alias("label")).where("id is not null")
             .groupBy("id").agg(F.min(F.struct("label", "embedding")).alias("s")).select("id", "s.*"))

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from featurelens.llm.tables import stage
+from featurelens.llm.tables import ready, stage
 from featurelens.operators.ranking import running_total
 
 CHUNK = 64
@@ -200,6 +200,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     is an empty page; a null url belongs to a host of its own; equal rows are
     one page and get the same text; an empty table gives no rows.
     """
+    ready(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1))
     path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     rows = (pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))

@@ -23,9 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from featurelens.llm import tokens as T
-from featurelens.llm.tables import stage
+from featurelens.llm.tables import ready, stage, stage_by_key
 
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 4 << 20
 HOT_SHARE = 4000
 GT = 5
 _U = np.uint64
@@ -34,7 +34,9 @@ _ANSWER = "g long, kind int, b int, x binary, y binary, z binary, u binary"
 
 
 def _bytes(*arrays):
-    return [a.tobytes() for a in arrays]
+    """Arrays as bytes, all lowest bytes first: small numbers leave runs of
+    zeros, which the shuffle's compression takes out."""
+    return [np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in map(np.ascontiguousarray, arrays)]
 
 
 def _tokens(text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,7 +86,7 @@ def _count_words(buckets: int):
                 keys.append(u)
                 counts.append(c)
                 held += len(u)
-                if held > 4_000_000:
+                if held > 1_000_000:
                     u, c = _merge(keys, counts)
                     keys, counts, held = [u], [c], 0
         u, c = _merge(keys, counts)
@@ -112,7 +114,9 @@ def _each_bucket(fn):
 
 
 def _arrays(col, kind) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), kind) for x in col]
+    """The arrays of a column that :func:`_bytes` made."""
+    size = np.dtype(kind).itemsize
+    return [np.ascontiguousarray(np.frombuffer(x.as_buffer(), np.uint8).reshape(size, -1).T).view(kind).reshape(-1) for x in col]
 
 
 def _sum_words(b, table):
@@ -121,33 +125,34 @@ def _sum_words(b, table):
                  (pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()))
 
 
+def _pack(batches):
+    """Texts compressed, for their way to the groups."""
+    for b in batches:
+        texts = [x.as_py().encode() for x in b["text"]]
+        yield pa.RecordBatch.from_arrays(
+            [b["id"], b["held"], b["g"], pa.array([len(x) for x in texts], pa.int64()),
+             pa.array([pa.compress(x, "zstd", asbytes=True) if x else x for x in texts], pa.binary())],
+            ["id", "held", "g", "size", "packed"])
+
+
+def _texts(docs: pa.Table) -> pa.Array:
+    return pa.array([pa.decompress(z.as_buffer(), n, "zstd", asbytes=True) if n else b""
+                     for z, n in zip(docs["packed"], docs["size"].to_pylist())], pa.binary())
+
+
 def _ask_words(buckets: int):
     """A group's distinct tokens, per bucket."""
-    def ask(g, table):
-        u = np.unique(_tokens(table["text"])[0])
-        yield _batch([(g, b, u[p].tobytes()) for b, p in _by_bucket(u, buckets)], ["g", "b", "x"],
-                     (pa.int64(), pa.int32(), pa.binary()))
-
-    def run(batches):
-        held, key = [], None
-        for b in batches:
-            col = b["g"].to_numpy()
-            at = np.flatnonzero(np.concatenate([[True], col[1:] != col[:-1]])) if len(col) else []
-            for s, e in zip(at, [*at[1:], len(col)]):
-                if held and col[s] != key:
-                    yield from ask(key, pa.Table.from_batches(held))
-                    held = []
-                key = int(col[s])
-                held.append(b.slice(int(s), int(e - s)))
-        if held:
-            yield from ask(key, pa.Table.from_batches(held))
+    def run(docs: pa.Table) -> pa.Table:
+        g, u = docs["g"][0].as_py(), np.unique(_tokens(_texts(docs))[0])
+        return pa.Table.from_batches([_batch([(g, b, *_bytes(u[p])) for b, p in _by_bucket(u, buckets)], ["g", "b", "x"],
+                                             (pa.int64(), pa.int32(), pa.binary()))])
     return run
 
 
 def _answer_words(asked: pa.Table, known: pa.Table) -> pa.Table:
     """Index inside the bucket (-1 if unknown) and count of every word asked."""
-    u = np.frombuffer(known["x"][0].as_buffer(), _U) if known.num_rows else np.empty(0, _U)
-    c = np.frombuffer(known["y"][0].as_buffer(), np.int64) if known.num_rows else np.empty(0, np.int64)
+    u = _arrays(known["x"], _U)[0] if known.num_rows else np.empty(0, _U)
+    c = _arrays(known["y"], np.int64)[0] if known.num_rows else np.empty(0, np.int64)
     rows = []
     for g, b, keys in zip(asked["g"].to_pylist(), asked["b"].to_pylist(), _arrays(asked["x"], _U)):
         at = np.searchsorted(u, keys)
@@ -184,7 +189,7 @@ class _Group:
 
     def __init__(self, model: _Model, docs: pa.Table, words: pa.Table):
         self.docs = docs
-        tok, before, self.at = _tokens(docs["text"])
+        tok, before, self.at = _tokens(_texts(docs))
         u, inv = np.unique(tok, return_inverse=True)
         gid, count = np.full(len(u), -1, np.int64), np.zeros(len(u), np.int64)
         told = {b: (i, c) for b, i, c in zip(words["b"].to_pylist(), _arrays(words["x"], np.int32), _arrays(words["y"], np.int64))}
@@ -233,7 +238,7 @@ def _ask_pairs(model: _Model):
                 s = slice(me.cut[b], me.cut[b + 1])
                 at, n = me.contexts(s)
                 rows.append((g, b, *_bytes(me.h[s][at].astype(model.wide), n.astype(np.uint32), me.w[s].astype(model.wide),
-                                           me.c[s].astype(np.uint32), me.cw[s])))
+                                           me.c[s].astype(np.uint32), me.cw[s].astype(np.int64))))
         return pa.Table.from_batches([_batch(rows, ["g", "b", "h", "n", "w", "c", "cw"],
                                              (pa.int64(), pa.int32(), *[pa.binary()] * 5))])
     return run
@@ -268,9 +273,9 @@ def _sum_pairs(model: _Model):
             ok[ok] = ctx[at[ok]] == own[ok]
             out = np.zeros((len(own), GT + 2), np.int64)
             out[ok] = np.where(hot[at[ok]][:, None], 0, stats[at[ok]])
-            rows.append((g, 1, b, total[inv[size[k]:size[k + 1]]].astype(np.uint32).tobytes(), out.T.tobytes(), None, None))
+            rows.append((g, 1, b, *_bytes(total[inv[size[k]:size[k + 1]]].astype(np.uint32), out.T.reshape(-1)), None, None))
         coc = np.bincount(np.minimum(total[seen], GT + 2), minlength=GT + 3)[1:GT + 2].astype(np.int64)
-        rows.append((-1, 2, b, None, None, coc.tobytes(), np.column_stack([ctx[hot].astype(np.int64), stats[hot]]).tobytes()))
+        rows.append((-1, 2, b, None, None, *_bytes(coc, np.column_stack([ctx[hot].astype(np.int64), stats[hot]]).reshape(-1))))
         yield from _answers(rows).to_batches()
     return run
 
@@ -342,10 +347,14 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     have one token, the end; a null id counts as empty text; repeated rows are
     documents of their own; an empty table gives no rows.
     """
+    spark = docs.sparkSession
+    ready(spark)
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ident = F.coalesce(F.col("id").cast("string"), F.lit(""))
     src = src.withColumn("held", F.crc32(ident.cast("binary")) % held_out[0] == held_out[1])
-    groups = max(4, -(-(src.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // group_bytes))
+    size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # not fewer than Spark's shuffle partitions, so that the bucketed texts stay where they are
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // group_bytes))
     words = stage(src.where("not held").select("text").mapInArrow(_count_words(groups), "b int, x binary, y binary")
                   .repartition(groups, "b").sortWithinPartitions("b")
                   .mapInArrow(_each_bucket(_sum_words), "b int, x binary, y binary, n long, v long"), "katz-words")
@@ -362,9 +371,10 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hot = [r["id"] for r in words.select("b", "y").mapInArrow(frequent, "id long").collect()]
     # the start is a context too; its id comes after the words'
     model = _Model(groups, offsets, n, v, np.array(sorted({*hot, v}), np.uint64))
-    dealt = (src.withColumn("g", F.pmod(F.xxhash64("id", "text"), F.lit(groups)))
-             .repartition(groups, "g").sortWithinPartitions("g"))
-    asked = dealt.select("g", "text").mapInArrow(_ask_words(groups), "g long, b int, x binary")
+    kind = dict(src.dtypes)["id"]
+    dealt = stage_by_key(src.withColumn("g", F.pmod(F.xxhash64("id", "text"), F.lit(groups)))
+                         .mapInArrow(_pack, f"id {kind}, held boolean, g long, size long, packed binary"), "katz-texts", "g", groups)
+    asked = dealt.groupBy("g").applyInArrow(_ask_words(groups), "g long, b int, x binary")
     told = stage(asked.groupBy("b").cogroup(words.select("b", "x", "y").groupBy("b"))
                  .applyInArrow(_answer_words, _ANSWER), "katz-words-told")
     pairs = (dealt.groupBy("g").cogroup(told.groupBy("g"))
@@ -391,6 +401,6 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     answers = told.unionByName(sums.where("g >= 0"))
     scored = (dealt.groupBy("g").cogroup(answers.groupBy("g"))
               .applyInArrow(_score(model, discounts(coc), hot_ids, hot_stats),
-                            "id " + dict(src.dtypes)["id"] + ", held_out boolean, n_tokens long, n_known long, "
+                            f"id {kind}, held_out boolean, n_tokens long, n_known long, "
                             "train_tokens long, base_score double, score double"))
     return scored.withColumnRenamed("id", id_col)

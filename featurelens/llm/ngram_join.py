@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from featurelens.llm import blocks, tokens as T
-from featurelens.llm.tables import connected_components, stage
+from featurelens.llm.tables import connected_components, ready, stage
 
 BLOCK = 256
 
@@ -148,6 +148,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linked directly, ``size`` the number of distinct shingles. Ids that are
     null are left out; a repeated id keeps one row (its smallest set of keys).
     """
+    ready(docs.sparkSession)
     depth = forest_depth(trees, max_depth, threshold, recall)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null")
     prints = stage(src.mapInArrow(_fingerprints(n, trees, depth, lower),

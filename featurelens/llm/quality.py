@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from featurelens.llm import tokens as T
+from featurelens.llm.tables import ready
 
 BITS = 20
 DIM = 1 << BITS
@@ -120,6 +121,7 @@ def fit_ordinal(rated: DataFrame, grades: int, id_col: str = "doc_id", text_col:
                 grade_col: str = "grade", max_rated: int = MAX_RATED, **kw) -> tuple[np.ndarray, np.ndarray]:
     """Fit on the rated rows (null ids, grades and grades outside 0..K-1 are
     left out; null texts are empty). ``max_rated`` bounds the rows used."""
+    ready(rated.sparkSession)
     rows = (rated.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(grade_col).cast("int").alias("grade"))
             .where(F.col("id").isNotNull() & F.col("grade").between(0, grades - 1)))
     total = rows.count()
@@ -160,6 +162,7 @@ def fit_ordinal(rated: DataFrame, grades: int, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with score, expected_grade and tail_1 .. tail_{K-1}
     (P(grade >= k)); ``prefix`` goes before the new names."""
+    ready(docs.sparkSession)
     w, cut = model[0].astype(np.float32), model[1]
     new = [prefix + c for c in ["score", "expected_grade", *(f"tail_{k + 1}" for k in range(len(cut)))]]
 

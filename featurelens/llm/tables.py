@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import os
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from featurelens.session import checkpoint_dir, scratch_dir
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def ready(spark: SparkSession) -> None:
+    """Lets Python workers import the package from where the driver has it
+    (a cluster without that folder gets the package by --py-files)."""
+    env = spark.sparkContext.environment
+    if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
+
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: the lineage
@@ -16,6 +29,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_by_key(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Like :func:`stage`, as a table bucketed by ``key``: later groupings by
+    the key read it where it lies, without a shuffle."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    table = "llm_" + "".join(c if c.isalnum() else "_" for c in path.rsplit("/", 1)[-1])
+    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
 def _cut(df: DataFrame) -> DataFrame:
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
