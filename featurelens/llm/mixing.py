@@ -54,7 +54,7 @@ def _copies(rows: DataFrame, cap: int) -> DataFrame:
     of a source rises until its capped documents' excess is taken by the rest."""
     full = F.col("factor") * F.col("doc_weight") > cap
     factors = rows.groupBy("rank").agg(
-        (F.first("target") / F.sum(F.col("doc_weight") * F.col("size"))).alias("factor"))
+        F.coalesce(F.try_divide(F.first("target"), F.sum(F.col("doc_weight") * F.col("size"))), F.lit(0.0)).alias("factor"))
     while True:
         seen = rows.join(factors, "rank")
         nxt = stage(seen.groupBy("rank", "factor", "target").agg(
