@@ -11,8 +11,9 @@ A page with an article keeps the article's lines, shared ones too: articles
 of one host quote the same sentences, and deleting those loses text. A page
 without one keeps the open lines that its neighbour does not have.
 
-A host of any size is cut into chunks of neighbouring paths; a chunk's edge
-pages get the next chunk's first page as company.
+A host of any size is cut into chunks of neighbouring paths; a chunk's first
+and last pages are company for the chunks beside it. The alignment works on
+hashes of the lines, so a page's text moves once, to meet its deletions.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from featurelens.llm import tokens as T
 from featurelens.llm.tables import ready, stage
 from featurelens.operators.ranking import running_total
 
@@ -155,41 +157,61 @@ def shared_lines(a: list, b: list) -> list[int]:
     return out[::-1]
 
 
-def _extract(keys, paths, pages):
-    """(row number, text, lines, shared lines, partner's row number)."""
-    lines = [page_lines(p or "") for p in pages]
-    out = []
-    for i, own in enumerate(lines):
-        words = [x for x, z in own if z != OFF]
-        zones = [z for _, z in own if z != OFF]
-        near = sorted((k for k in range(max(0, i - REACH), min(len(lines), i + REACH + 1)) if k != i),
+def _kept(page: str | None) -> tuple[list[tuple[str, int]], int]:
+    """The page's lines outside its furniture, and how many lines it has."""
+    lines = page_lines(page or "")
+    return [x for x in lines if x[1] != OFF], len(lines)
+
+
+def _sign(batches):
+    """Line hashes of a page, and whether it has an article."""
+    for b in batches:
+        out = []
+        for page in b["html"].to_pylist():
+            lines, _ = _kept(page)
+            words = pa.array([x for x, _ in lines], pa.string())
+            data, offs = T.text_buffer(words)
+            out.append((T.word_hashes(data, offs[:-1], offs[1:], False).tobytes(), any(z == MAIN for _, z in lines)))
+        yield pa.RecordBatch.from_arrays(
+            [b["rk"], b["host"], b["path"], pa.array([x for x, _ in out], pa.binary()), pa.array([x for _, x in out], pa.bool_())],
+            ["rk", "host", "path", "signs", "has_article"])
+
+
+def _lines(batches):
+    """The lines a page may keep: its article's, or without one the open ones."""
+    for b in batches:
+        out = []
+        for page in b["html"].to_pylist():
+            lines, n = _kept(page)
+            keep = MAIN if any(z == MAIN for _, z in lines) else OPEN
+            out.append(([x for x, z in lines if z == keep], n))
+        yield pa.RecordBatch.from_arrays(
+            [b["rk"], b["id"], b["url"], pa.array([x for x, _ in out], pa.list_(pa.string())), pa.array([n for _, n in out], pa.int64())],
+            ["rk", "id", "url", "lines", "n_lines"])
+
+
+def _differences(table: pa.Table) -> pa.Table:
+    """(rk, gone, n_shared, partner) of a chunk's own pages: ``gone`` are the
+    lines to delete, all shared ones of a page without an article."""
+    table = table.sort_by("idx")
+    rk, own, paths, article = (table[c].to_pylist() for c in ("rk", "own", "path", "has_article"))
+    signs = [np.frombuffer(x.as_buffer(), np.uint64).tolist() for x in table["signs"]]
+    rows = []
+    for i in range(len(rk)):
+        if not own[i]:
+            continue
+        near = sorted((k for k in range(max(0, i - REACH), min(len(rk), i + REACH + 1)) if k != i),
                       key=lambda k: (-len(commonprefix([paths[i], paths[k]])), abs(k - i), k))
-        partner, gone = -1, []
+        partner, shared = None, []
         for k in near:
-            other = [x for x, z in lines[k] if z != OFF]
-            gone = shared_lines(words, other)
-            if words and len(gone) > COPY * len(words):
-                gone = []
-                continue
-            partner = k
-            break
-        keep = MAIN if MAIN in zones else OPEN
-        drop = set(gone) if keep == OPEN else ()
-        text = "\n".join(x for k, (x, z) in enumerate(zip(words, zones)) if z == keep and k not in drop)
-        out.append((i, text, len(own), len(gone), partner))
-    return out
-
-
-def _chunks(table: pa.Table) -> pa.Table:
-    rk, own, paths = table["rk"].to_pylist(), table["own"].to_pylist(), table["path"].to_pylist()
-    order = sorted(range(len(rk)), key=table["idx"].to_pylist().__getitem__)
-    pages = table["html"].to_pylist()
-    found = _extract([rk[i] for i in order], [paths[i] for i in order], [pages[i] for i in order])
-    found = [(rk[order[i]], text, len(text), n, gone, rk[order[k]] if k >= 0 else None)
-             for i, text, n, gone, k in found if own[order[i]]]
-    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-    return pa.table([pa.array([r[c] for r in found], k) for c, k in enumerate(kinds)],
-                    names=["rk", "text", "n_chars", "n_lines", "n_shared", "partner"])
+            shared = shared_lines(signs[i], signs[k])
+            if not signs[i] or len(shared) <= COPY * len(signs[i]):
+                partner = rk[k]
+                break
+            shared = []
+        rows.append((rk[i], [] if article[i] else shared, len(shared), partner))
+    kinds = (pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int64())
+    return pa.table([pa.array([r[c] for r in rows], k) for c, k in enumerate(kinds)], names=["rk", "gone", "n_shared", "partner"])
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -205,14 +227,21 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     path = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     rows = (pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
             .withColumn("rk", F.xxhash64("id", "url", "html")))
-    keys = rows.select("rk", host.alias("host"), F.regexp_replace(path, r"(?:\.[A-Za-z]+|/)$", "").alias("path")).distinct()
-    ranked = stage(running_total(keys, ["path", "rk"], ["host"], None, "nth").withColumn("idx", F.col("nth") - 1), "page-ranks")
+    keyed = rows.select("rk", host.alias("host"), F.regexp_replace(path, r"(?:\.[A-Za-z]+|/)$", "").alias("path"), "html")
+    signed = stage(keyed.mapInArrow(_sign, "rk long, host string, path string, signs binary, has_article boolean")
+                   .dropDuplicates(["rk"]), "page-signs")
+    ranked = running_total(signed, ["path", "rk"], ["host"], None, "nth").withColumn("idx", F.col("nth") - 1)
     chunk = F.floor(F.col("idx") / CHUNK)
     company = F.array(chunk, F.when(F.col("idx") % CHUNK < REACH, chunk - 1), F.when(F.col("idx") % CHUNK >= CHUNK - REACH, chunk + 1))
     placed = (ranked.withColumn("home", chunk).withColumn("chunk", F.explode(F.array_compact(company)))
-              .select("rk", "host", "path", "idx", "chunk", (F.col("home") == F.col("chunk")).alias("own")))
-    content = rows.select("rk", "html").dropDuplicates(["rk"])
-    texts = (placed.join(content, "rk").groupBy("host", "chunk")
-             .applyInArrow(_chunks, "rk long, text string, n_chars long, n_lines long, n_shared long, partner long"))
-    return (rows.select("id", "url", "rk").join(texts, "rk")
-            .select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", "n_chars", "n_lines", "n_shared"))
+              .select("rk", "host", "path", "idx", "chunk", "signs", "has_article", (F.col("home") == F.col("chunk")).alias("own")))
+    found = stage(placed.groupBy("host", "chunk").applyInArrow(_differences, "rk long, gone array<int>, n_shared long, partner long"),
+                  "page-differences")
+    kind = dict(rows.dtypes)
+    texts = rows.select("rk", "id", "url", "html").mapInArrow(
+        _lines, f"rk long, id {kind['id']}, url {kind['url']}, lines array<string>, n_lines long").join(found, "rk")
+    kept = F.when(F.size("gone") == 0, F.col("lines")).otherwise(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone")), lambda i: F.get("lines", i)))
+    return (texts.withColumn("text", F.array_join(kept, "\n"))
+            .select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars"),
+                    "n_lines", "n_shared"))
