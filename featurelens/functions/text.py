@@ -25,9 +25,11 @@ def iv_strength(iv) -> Column:
     return expr.when(c.isNotNull(), F.lit(IV_BAND_BELOW))
 
 
-def value_range(lo, hi, numeric: bool) -> Column:
-    """``min -> max: (a, b)``; numbers with 3 decimals."""
-    if numeric:
+def value_range(lo, hi, kind: str) -> Column:
+    """``min -> max: (a, b)``; numbers with 3 decimals, integers exactly."""
+    if kind == "integer":
+        lo, hi = (F.concat(x.cast("string"), F.lit(".000")) for x in (lo, hi))
+    elif kind == "number":
         # + 0.0 turns -0.0 into 0.0 (engines differ on min(-0.0, 0.0))
         return F.format_string("min -> max: (%.3f, %.3f)", lo + F.lit(0.0), hi + F.lit(0.0))
     return F.concat(F.lit("min -> max: ("), lo.cast("string"), F.lit(", "), hi.cast("string"), F.lit(")"))

@@ -39,9 +39,9 @@ def agg_numeric(df: DataFrame, key, cols: Sequence[str],
 
 
 def freq_table(df: DataFrame, col: str) -> DataFrame:
-    """(value, count, percentage) with the share of all rows (NULL is a value)."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    """(value, count, percentage) of the values that are not NULL."""
+    total = df.select(F.count(col)).scalar()
+    return (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
               .withColumn("percentage", F.try_divide(F.col("count"), total)))
 
 

@@ -1,7 +1,7 @@
 """Week and month periods from the data's own first and last date.
 
-The bounds are two dates computed by one aggregate and used as literals;
-no one-row frame is cross-joined.
+The bounds are two dates from one aggregate, a scalar subquery of the frame:
+nothing runs before the caller's own action and no one-row frame is joined.
 """
 
 from __future__ import annotations
@@ -10,11 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def _bounds(df: DataFrame, d: Column):
-    """(min, max) of a date expression as literals: one small job, two
-    values to the driver. Literal bounds keep plans small when periods are
-    nested (weeks of a month-filtered frame) and let filters push down."""
-    r = df.agg(F.min(d).alias("mn"), F.max(d).alias("mx")).first()
-    return F.lit(r["mn"]).cast("date"), F.lit(r["mx"]).cast("date")
+    """(min, max) of a date expression as one scalar subquery."""
+    b = df.select(F.struct(F.min(d).alias("mn"), F.max(d).alias("mx"))).scalar()
+    return b.getField("mn"), b.getField("mx")
 
 
 def week_bins(df: DataFrame, date_col: str, out: str = "week", idx_out: str = "week_idx",

@@ -7,6 +7,8 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from featurelens.functions.calendar import day_range
+
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
                  T.FloatType, T.DoubleType, T.DecimalType)
 TEMPORAL_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -22,8 +24,9 @@ def proposed_type(dt: T.DataType) -> str:
 
 
 def between_dates(df: DataFrame, col: str, start, end) -> DataFrame:
-    """Inclusive range filter on a typed date/timestamp column (pushed to the scan)."""
-    return df.where(F.col(col).between(F.lit(start), F.lit(end)))
+    """Days from start to end, both whole, of a date or timestamp column
+    (pushed to the scan)."""
+    return df.where(day_range(col, start, end))
 
 
 def half_open_dates(df: DataFrame, col: str, start, end, lookback_days: int = 0) -> DataFrame:
@@ -91,13 +94,6 @@ def feature_columns(df: DataFrame, spec) -> list[str]:
     return [c for c in df.columns if c not in skip]
 
 
-def split_by_dtype(df: DataFrame) -> tuple[list[str], list[str]]:
-    """(numerical, categorical) column names by the proposed type."""
-    num = [f.name for f in df.schema.fields if is_numeric(f.dataType)]
-    cat = [f.name for f in df.schema.fields if not is_numeric(f.dataType)]
-    return num, cat
-
-
 def column_roles(df: DataFrame, spec=None) -> DataFrame:
     """One row per column: position, name, Spark type, proposed type, role."""
     spark = df.sparkSession

@@ -23,7 +23,7 @@ MAP_SCHEMA = "artefact string, kind string, column string, value string, code in
 def _map_rows(df: DataFrame, artefact: str, kind: str) -> DataFrame:
     return df.select(F.lit(artefact).alias("artefact"), F.lit(kind).alias("kind"),
                      F.col("column"), F.col("value").cast("string").alias("value"),
-                     F.col("code").cast("int").alias("code"))
+                     F.col("code").cast("long").alias("code"))
 
 
 def label_map(df: DataFrame, label: str, artefact: str = "training") -> DataFrame:
@@ -106,7 +106,7 @@ def apply_category_map(df: DataFrame, cols: Sequence[str], maps: DataFrame, arte
         code = F.col("_fl_code")
         if kind == "category":
             code = F.coalesce(code, F.lit(least.get(c)))
-        out = out.withColumn(c + suffix, code.cast("int")).drop("_fl_code")
+        out = out.withColumn(c + suffix, code.cast("long")).drop("_fl_code")
     return out
 
 

@@ -1,11 +1,10 @@
 """Quantile binning and information value (IV) for every label and feature.
 
-One job for all labels and all features: the binned table is unpivoted to
-(label value, var, bin), counted per (var, bin) with one conditional count
-per label (a pivot, map-side combined), then spread to (label, var, bin)
-rows. Label totals are row counts per label, independent of the feature,
-so no window over bins is needed. Cost: features x rows for the scan and
-bins x labels after the first aggregation.
+One scan for all labels and all features, in long form: the binned table is
+unpivoted to (label, var, bin) and counted with map-side combine. That small
+table of the combinations that occur is checkpointed; bin totals, label totals
+and the zero cells come from it by joins, so the number of labels is not
+bounded and no label reaches the driver.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from featurelens.functions.constants import (
     EPS_IV, HIGH_BIN_IV, MAX_UNBINNED_DISTINCT, MISSING_BIN_LABEL,
@@ -25,8 +24,6 @@ from featurelens.operators.columns import nan_to_null, proposed_type
 from featurelens.operators.ranking import exact_quantiles
 from featurelens.session import cut_lineage
 
-MAX_LABELS = 2000
-
 
 def decile_probs(q: int = QUANTILE_BINS) -> list[float]:
     return [i / q for i in range(q + 1)]
@@ -103,10 +100,10 @@ def binned_long(df: DataFrame, label_col: str, plan: BinPlan, edges: DataFrame |
         structs.append(F.struct(F.col(c).cast("double").alias("x"), F.lit(None).cast("string").alias("s")).alias(c))
         names.append(c)
     for c in plan.unbinned:
-        dt = fields[c]
-        fill = F.lit(MISSING_NUMERIC_BIN).cast(dt)
+        # the filler goes in as text: it may not fit a short column type
+        fill = str(float(MISSING_NUMERIC_BIN)) if isinstance(fields[c], (T.FloatType, T.DoubleType)) else str(MISSING_NUMERIC_BIN)
         structs.append(F.struct(F.lit(None).cast("double").alias("x"),
-                                F.coalesce(F.col(c), fill).cast("string").alias("s")).alias(c))
+                                F.coalesce(F.col(c).cast("string"), F.lit(fill)).alias("s")).alias(c))
         names.append(c)
     for c in plan.categorical:
         structs.append(F.struct(F.lit(None).cast("double").alias("x"),
@@ -163,14 +160,10 @@ def quantile_bins(df: DataFrame, cols: Sequence[str], q: int = QUANTILE_BINS, me
     return attach_bins(counts, edges, cols).select("var", "bin_idx", "bin_lo", "bin_hi", "bin", "n")
 
 
-def label_values(df: DataFrame, label_col: str, max_labels: int = MAX_LABELS) -> list[str]:
-    """Distinct non-null labels (collected: O(labels), checked)."""
+def label_values(df: DataFrame, label_col: str) -> list[str]:
+    """Distinct non-null labels as text, for results with a column per label."""
     rows = (df.where(F.col(label_col).isNotNull())
-              .select(F.col(label_col).cast("string").alias("l")).distinct()
-              .limit(max_labels + 1).collect())
-    if len(rows) > max_labels:
-        raise ValueError(f"{label_col} has more than {max_labels} labels; raise max_labels "
-                         "or group rare labels first")
+              .select(F.col(label_col).cast("string").alias("l")).distinct().collect())
     return sorted(r["l"] for r in rows)
 
 
@@ -178,37 +171,37 @@ def _iv_term(neg_rate: Column, pos_rate: Column) -> Column:
     return (neg_rate - pos_rate) * F.log((neg_rate + F.lit(EPS_IV)) / (pos_rate + F.lit(EPS_IV)))
 
 
-def iv_verbose(df: DataFrame, label_col: str, plan: BinPlan, labels: Sequence[str] | None = None,
-               q: int = QUANTILE_BINS, method: str = "exact", edge_decimals: int | None = None,
-               types: dict | None = None) -> DataFrame:
-    """Per label x feature x bin: neg, pos, totals, rates and IV of the bin."""
-    if labels is None:
-        labels = label_values(df, label_col)
+def iv_verbose(df: DataFrame, label_col: str, plan: BinPlan, q: int = QUANTILE_BINS, method: str = "exact",
+               edge_decimals: int | None = None, types: dict | None = None) -> DataFrame:
+    """Per label x feature x bin: neg, pos, totals, rates and IV of the bin.
+
+    The result holds every bin for every label (a bin without the label has
+    pos 0 and counts for the label's IV). Rows with a NULL label count as
+    negatives of all labels.
+    """
     edges = quantile_edges(df, plan.binned, q, method, edge_decimals) if plan.binned else None
     long = binned_long(df, label_col, plan, edges=edges, q=q)
-    aggs = [F.count(F.lit(1)).alias("_bin_n")] + [
-        F.count(F.when(F.col("_label") == F.lit(l), 1)).alias(f"_p{i}") for i, l in enumerate(labels)]
-    counts = long.groupBy("var", "bin_idx", "s").agg(*aggs)
-    per_bin = attach_bins(counts, edges, plan.binned)
-    grid = per_bin.select("var", "bin", "bin_idx", "bin_lo", "bin_hi", "_bin_n", F.inline(F.array(*[
-        F.struct(F.lit(l).alias("label"), F.col(f"_p{i}").alias("pos")) for i, l in enumerate(labels)])))
-    # every row falls in exactly one bin of each feature (NULL has its own),
-    # so the bins of any one feature add up to the label totals: no extra scan
-    first = (plan.binned + plan.unbinned + plan.categorical)[0]
-    one = counts.where(F.col("var") == F.lit(first)).agg(
-        F.sum("_bin_n").alias("_n"), *[F.sum(f"_p{i}").alias(f"_p{i}") for i in range(len(labels))])
-    totals = one.select(F.inline(F.array(*[
-        F.struct(F.lit(l).alias("label"), F.coalesce(F.col(f"_p{i}"), F.lit(0)).alias("total_pos"),
-                 F.coalesce(F.col("_n") - F.col(f"_p{i}"), F.lit(0)).alias("total_neg"))
-        for i, l in enumerate(labels)])))
+    # the combinations that occur; NULL parts of a bin get a value so that
+    # plain equality joins them
+    counts = cut_lineage(long.groupBy("var", "bin_idx", "s", "_label").agg(F.count(F.lit(1)).alias("n"))
+                         .withColumn("_bin", F.struct(F.coalesce("bin_idx", F.lit(-1)).alias("i"),
+                                                      F.col("s").isNull().alias("z"), F.coalesce("s", F.lit("")).alias("s"))))
+    labelled = counts.where(F.col("_label").isNotNull()).withColumnRenamed("_label", "label")
+    per_bin = counts.groupBy("var", "_bin", "bin_idx", "s").agg(F.sum("n").alias("_bin_n"))
+    # every row falls in exactly one bin of each feature, so any feature's
+    # bins add up to the label totals
+    per_label = labelled.groupBy("var", "label").agg(F.sum("n").alias("total_pos"))
+    per_var = counts.groupBy("var").agg(F.sum("n").alias("_n"))
+    totals = per_label.join(per_var, "var").withColumn("total_neg", F.col("_n") - F.col("total_pos"))
+    grid = attach_bins(per_bin, edges, plan.binned).join(totals, "var")
+    pos = labelled.select("var", "_bin", "label", F.col("n").alias("pos"))
+    grid = grid.join(pos, ["var", "_bin", "label"], "left").withColumn("pos", F.coalesce("pos", F.lit(0)))
     fields = {f.name: f.dataType for f in df.schema.fields}
     ptype = F.create_map(*[x for c in plan.binned + plan.unbinned + plan.categorical
                            for x in (F.lit(c), F.lit((types or {}).get(c, proposed_type(fields[c]))))])
     neg_rate = F.try_divide(F.col("neg"), F.col("total_neg"))
     pos_rate = F.try_divide(F.col("pos"), F.col("total_pos"))
-    # totals: one row per label (checked count)
-    return (grid.join(F.broadcast(totals), "label")
-                .withColumn("neg", F.col("_bin_n") - F.col("pos"))
+    return (grid.withColumn("neg", F.col("_bin_n") - F.col("pos"))
                 .select("label", "var", "bin", "bin_idx", "bin_lo", "bin_hi",
                         F.element_at(ptype, F.col("var")).alias("proposed_data_type"),
                         F.col("neg").cast("long").alias("neg"), F.col("pos").cast("long").alias("pos"),
@@ -293,8 +286,7 @@ def iv_review(base: DataFrame, label_col: str, verbose: DataFrame,
     # rows per label are the label totals already in the bin table: no scan
     counts = (verbose.groupBy("label").agg(F.max("total_pos").alias("count"))
                      .withColumn("is_significant", F.col("count") >= min_rows))
-    # counts: one row per label
-    flagged = verbose.join(F.broadcast(counts.select("label", "is_significant")), "label", "left")
+    flagged = verbose.join(counts.select("label", "is_significant"), "label", "left")
     sig = F.coalesce(F.col("is_significant"), F.lit(False))
     adjusted = flagged.withColumn("iv", F.when(sig, F.col("iv")).otherwise(F.lit(0.0))).drop("is_significant")
     describe = describe_by(verbose, "var", "iv", prefix="iv_", count_name="iv_count")

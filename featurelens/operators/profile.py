@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from featurelens.functions.constants import (
     NOT_APPLICABLE, REMARK_CARDINALITY, REMARK_MISSING, REMARK_ZERO,
 )
+from featurelens.functions.calendar import day_range
 from featurelens.functions.text import remarks, value_range
 from featurelens.operators.columns import (
     TEMPORAL_TYPES, nan_to_null, proposed_type,
 )
 
 SAMPLE_EACH_END = 5
+DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss[.SSSSSS]", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -77,17 +79,15 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
     counts = _value_counts(df, cols)
     present = F.col("s").isNotNull() | F.col("d").isNotNull() | F.col("l").isNotNull()
     zero = (F.col("d") == 0) | (F.col("l") == 0)
-    # every date text Spark parses starts with (space, sign,) 4+ digits; the
-    # regex keeps failed parses off ordinary text
-    looks = F.col("s").rlike(r"^\s*[+-]?[0-9]{4}")
-    is_date = F.when(looks, F.try_to_date(F.col("s"))).isNotNull()
+    # ISO dates with an optional time, each parsed by its own format
+    is_date = F.coalesce(*[F.try_to_timestamp(F.col("s"), F.lit(f)) for f in DATE_FORMATS]).isNotNull()
     per_var = counts.groupBy("var").agg(
         F.sum("_c").alias("rows"),
         F.coalesce(F.sum(F.when(present, F.col("_c"))), F.lit(0)).alias("non_missing_cnt"),
         F.coalesce(F.sum(F.when(zero, F.col("_c"))), F.lit(0)).alias("zero_cnt"),
         F.count(F.lit(1)).alias("num_unique"),
-        F.coalesce(F.min("l").cast("double"), F.min("d")).alias("min_num"),
-        F.coalesce(F.max("l").cast("double"), F.max("d")).alias("max_num"),
+        F.min("d").alias("min_num"), F.max("d").alias("max_num"),
+        F.min("l").alias("min_int"), F.max("l").alias("max_int"),
         F.min("s").alias("min_text"), F.max("s").alias("max_text"),
         F.bool_and(F.col("s").isNull() | is_date).alias("_dt"))
     # NULL sorts last both ways, so it only takes a slot when fewer than k
@@ -120,8 +120,8 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
         rows.cast("long").alias("rows"),
         F.coalesce(F.col("non_missing_cnt"), F.lit(0)).cast("long").alias("non_missing_cnt"),
         F.when(numeric, F.coalesce(F.col("zero_cnt"), F.lit(0))).cast("long").alias("zero_cnt"),
-        F.when(numeric, F.col("min_num")).alias("min_num"),
-        F.when(numeric, F.col("max_num")).alias("max_num"),
+        F.when(numeric, F.col("min_num")).alias("min_num"), F.when(numeric, F.col("max_num")).alias("max_num"),
+        F.when(numeric, F.col("min_int")).alias("min_int"), F.when(numeric, F.col("max_int")).alias("max_int"),
         F.when(~numeric, F.col("min_text")).alias("min_text"),
         F.when(~numeric, F.col("max_text")).alias("max_text"),
         F.when(F.col("_temporal"), F.lit(True)).when(F.col("_text"), F.coalesce(F.col("_dt"), F.lit(True)))
@@ -158,9 +158,10 @@ def data_profile(df: DataFrame, columns: Sequence[str] | None = None, sample_siz
     (numbers; text only when every value is a date)."""
     st = column_stats(df, columns)
     numeric = F.col("proposed_data_type") == "numerical"
-    rng = (F.when(numeric, value_range(F.col("min_num"), F.col("max_num"), True))
+    rng = (F.when(numeric & F.col("min_int").isNotNull(), value_range(F.col("min_int"), F.col("max_int"), "integer"))
+            .when(numeric, value_range(F.col("min_num"), F.col("max_num"), "number"))
             .when(F.col("is_date_field") & F.col("min_text").isNotNull(),
-                  value_range(F.col("min_text"), F.col("max_text"), False))
+                  value_range(F.col("min_text"), F.col("max_text"), "text"))
             .otherwise(F.lit(NOT_APPLICABLE)))
     return st.select(
         F.col("var").alias("feature_name"),
@@ -174,12 +175,6 @@ def data_profile(df: DataFrame, columns: Sequence[str] | None = None, sample_siz
     )
 
 
-def date_bounds(df: DataFrame, col: str) -> DataFrame:
-    """min and max of a column as text, one pass."""
-    return df.agg(F.min(col).cast("string").alias(f"min_{col}"),
-                  F.max(col).cast("string").alias(f"max_{col}"))
-
-
 def profile_table(df: DataFrame, partition_col: str | None = None, start=None, end=None,
                   sample_size: int | None = None, sample_seed: int = 111,
                   key_cols: Sequence[str] | None = None, with_explored_date: bool = True) -> DataFrame:
@@ -190,7 +185,7 @@ def profile_table(df: DataFrame, partition_col: str | None = None, start=None, e
     """
     part = df
     if partition_col and start is not None and end is not None:
-        part = df.where(F.col(partition_col).between(F.lit(start), F.lit(end)))
+        part = df.where(day_range(partition_col, start, end))
     if sample_size:
         from featurelens.operators.sampling import sample_n
         part = sample_n(part, sample_size, sample_seed, key_cols)

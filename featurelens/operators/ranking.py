@@ -70,37 +70,25 @@ def ordered_index(df: DataFrame, order: Sequence, partition_by: Iterable[str] =
                   out: str = "idx", num_partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ``order`` (within ``partition_by``)."""
     r = running_total(df, order, partition_by, None, "_fl_rt", num_partitions)
-    return r.withColumn(out, (F.col("_fl_rt") - 1).cast("int")).drop("_fl_rt")
-
-
-# groups whose distinct values stay below this (checked) bound use Spark's
-# exact ``percentile`` aggregate: its buffer is a map of distinct values
-INLINE_MAX_DISTINCT = 100_000
+    return r.withColumn(out, F.col("_fl_rt") - 1).drop("_fl_rt")
 
 
 def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
                     probs: Sequence[float], out: str = "quantiles",
-                    num_partitions: int | None = None,
-                    inline_max_distinct: int | None = INLINE_MAX_DISTINCT) -> DataFrame:
+                    num_partitions: int | None = None, method: str = "ranked") -> DataFrame:
     """Exact linear-interpolated quantiles of ``value_col`` per ``group_col``.
 
     Same definition as ``percentile`` / ``quantile_cont`` / NumPy's linear
-    method. When an HLL estimate (one cheap pass) shows every group holds
-    well under ``inline_max_distinct`` distinct values, the built-in
-    ``percentile`` runs (bounded buffer per group). Otherwise distinct values
-    with their counts are ranked by :func:`running_total` and only the rows
-    that hold a wanted rank are kept, so no task holds a whole group.
+    method. ``ranked``: distinct values with their counts are ranked by
+    :func:`running_total` and only the rows that hold a wanted rank are kept,
+    so no task holds a whole group. ``inline``: Spark's ``percentile``, for
+    callers who know that a group's distinct values fit one buffer.
     Returns (group_col, out array<double> in ``probs`` order, n).
     """
     g, v = group_col, value_col
-    if inline_max_distinct:
-        est = (long_df.groupBy(g).agg(F.approx_count_distinct(v, 0.05).alias("_fl_d"))
-                      .agg(F.max("_fl_d")).first()[0])
-        # 5 % relative standard error; a factor 2 margin keeps the bound
-        if est is None or est * 2 <= inline_max_distinct:
-            return (long_df.where(F.col(v).isNotNull()).groupBy(g)
-                           .agg(F.percentile(F.col(v), [float(p) for p in probs]).alias(out),
-                                F.count(F.col(v)).alias("n")))
+    if method == "inline":
+        return (long_df.where(F.col(v).isNotNull()).groupBy(g)
+                       .agg(F.percentile(F.col(v), [float(p) for p in probs]).alias(out), F.count(F.col(v)).alias("n")))
     vals = (long_df.where(F.col(v).isNotNull())
                    .groupBy(g, v).agg(F.count(F.lit(1)).alias("_fl_c")))
     ranked = running_total(vals, [v], [g], "_fl_c", "_fl_cum", num_partitions)

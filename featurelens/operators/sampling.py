@@ -17,6 +17,7 @@ from featurelens.functions.constants import (
 from featurelens.functions.calendar import day_range
 from featurelens.functions.hashing import hash_bucket, hash_order_key
 from featurelens.operators.joins import labels_not_in
+from featurelens.operators.ranking import ordered_index
 
 
 def _keys(df: DataFrame, key_cols) -> list[str]:
@@ -53,38 +54,23 @@ def sample_n(df: DataFrame, n: int = SAMPLE_ROWS, seed: int = SAMPLE_SEED,
 
 
 def stratified_sample(df: DataFrame, label: str, n: int = ROWS_PER_LABEL, seed: int = SAMPLE_SEED,
-                      key_cols: Sequence[str] | str | None = None, margin: float = 1.2,
-                      max_labels: int = 100_000) -> DataFrame:
+                      key_cols: Sequence[str] | str | None = None) -> DataFrame:
     """min(n, size) rows per label: those with the n smallest hashes.
 
-    Rows per label are counted (one row per label, collected and checked);
-    a per-label hash threshold (expected n * margin rows, raised for labels
-    that fall short) keeps a distributed filter in front of the per-label
-    ``row_number() <= n``, so no label sends n rows from every partition
-    to one task.
+    Hashes are counted per (label, 16-bit prefix); a label's cut is the first
+    prefix by which n rows are reached. Rows beyond their label's cut leave in
+    a join, so the final ranking of a label gets about n rows, however many the
+    label has. NULL is a label of its own.
     """
     keys = _keys(df, key_cols)
     h = hash_order_key(seed, *keys)
-    prefix = F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
-    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("_fl_n")).limit(max_labels + 1).collect()
-    if len(rows) > max_labels:
-        raise ValueError(f"{label} has more than {max_labels} labels")
-    space = 1 << 32
-    sizes = {r[label]: r["_fl_n"] for r in rows}
-    thr = {k: (space if v <= n else min(space, int(space * (n * margin + 16) / v) + 1)) for k, v in sizes.items()}
-    while True:
-        pairs = [x for k, t in thr.items() if k is not None for x in (F.lit(k), F.lit(t))]
-        lim = F.element_at(F.create_map(*pairs), F.col(label)) if pairs else F.lit(space)
-        # NULL labels form their own group: threshold by the NULL key
-        null_t = thr.get(None, space)
-        cut = F.when(F.col(label).isNull(), F.lit(null_t)).otherwise(lim)
-        cand = df.where(prefix < cut)
-        got = {r[label]: r["_fl_c"] for r in cand.groupBy(label).agg(F.count(F.lit(1)).alias("_fl_c")).collect()}
-        short = [k for k, t in thr.items() if t < space and got.get(k, 0) < min(n, sizes[k])]
-        if not short:
-            break
-        for k in short:
-            thr[k] = min(space, thr[k] * 2)
+    prefix = F.conv(F.substring(h, 1, 4), 16, 10).cast("long")
+    seen = df.groupBy(F.col(label).alias("_fl_label"), prefix.alias("_fl_p")).agg(F.count(F.lit(1)).alias("_fl_n"))
+    # a label has at most 65536 prefixes
+    before = Window.partitionBy("_fl_label").orderBy("_fl_p").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (seen.withColumn("_fl_before", F.coalesce(F.sum("_fl_n").over(before), F.lit(0))).where(F.col("_fl_before") < n)
+                .groupBy("_fl_label").agg(F.max("_fl_p").alias("_fl_cut")))
+    cand = df.join(cuts, df[label].eqNullSafe(cuts["_fl_label"])).where(prefix <= F.col("_fl_cut")).drop("_fl_label", "_fl_cut")
     w = Window.partitionBy(label).orderBy(h, *keys)
     return cand.withColumn("_fl_rn", F.row_number().over(w)).where(F.col("_fl_rn") <= n).drop("_fl_rn")
 
@@ -124,20 +110,21 @@ def split_counts(df: DataFrame, cust_key: str, split_col: str = "split") -> Data
 
 def label_distribution(df: DataFrame, label: str, split_col: str = "split",
                        label_desc: str | None = None) -> DataFrame:
-    """count and share per label overall, in train and in test (one groupBy)."""
+    """count and share per label overall, in train and in test, by falling
+    count. Rows with a NULL label are left out."""
     keys = [label] + ([label_desc] if label_desc else [])
-    g = df.groupBy(*keys).agg(
+    g = df.where(F.col(label).isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("count"),
         F.count(F.when(F.col(split_col) == "train", 1)).alias("count_train"),
         F.count(F.when(F.col(split_col) == "test", 1)).alias("count_test"))
-    w = Window.partitionBy()  # rows: one per label
+    counts = ("count", "count_train", "count_test")
+    total = g.select(F.struct(*[F.sum(c).alias(c) for c in counts])).scalar()
     out = g
-    for c in ("count", "count_train", "count_test"):
-        pct = c.replace("count", "percentage")
-        out = out.withColumn(pct, F.try_divide(F.col(c), F.sum(c).over(w)))
+    for c in counts:
+        out = out.withColumn(c.replace("count", "percentage"), F.try_divide(F.col(c), total.getField(c)))
     cols = [label] + ([F.col(label_desc).alias(f"{label}_desc")] if label_desc else []) + [
         "count", "percentage", "count_train", "percentage_train", "count_test", "percentage_test"]
-    return out.select(*cols)
+    return out.select(*cols).orderBy(F.col("count").desc(), label)
 
 
 def cover_labels(df: DataFrame, label: str, split_col: str, order_cols: Sequence[str]):
@@ -154,17 +141,12 @@ def cover_labels(df: DataFrame, label: str, split_col: str, order_cols: Sequence
     miss_test = labels_not_in(train, test, label)
     out = df
     for side, miss in (("train", miss_train), ("test", miss_test)):
-        k = miss.count()  # at most the number of labels
-        if k == 0:
+        if not miss.head(1):
             continue
-        m = miss.withColumn("_fl_i", F.row_number().over(Window.orderBy("label")))
-        # the last k rows: a top-k (TakeOrderedAndProject), then numbered
-        desc = [F.col(c).desc() for c in order_cols]
-        last = (df.where(F.col(split_col) == side).select(*order_cols).orderBy(*desc).limit(k)
-                  .withColumn("_fl_i", F.row_number().over(Window.orderBy(*desc))))
-        repl = last.join(m, "_fl_i").select(*order_cols, F.col("label").alias("_fl_new"))
-        out = (out.join(repl, list(order_cols), "left")
-                  .withColumn(label, F.when((F.col(split_col) == side) & F.col("_fl_new").isNotNull(),
-                                            F.col("_fl_new")).otherwise(F.col(label)))
-                  .drop("_fl_new"))
+        # positions instead of keys: rows that share their order columns, or
+        # hold NULL there, are told apart
+        nth = ordered_index(miss, ["label"], out="_fl_i").select("_fl_i", F.col("label").alias("_fl_new"))
+        last = ordered_index(out.where(F.col(split_col) == side), [F.col(c).desc() for c in order_cols], out="_fl_i")
+        new = last.join(nth, "_fl_i", "left").withColumn(label, F.coalesce("_fl_new", label)).select(*df.columns)
+        out = out.where(~F.col(split_col).eqNullSafe(side)).unionByName(new)
     return out, miss_train, miss_test

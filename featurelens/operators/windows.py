@@ -3,7 +3,7 @@
 A window partitions by user, so a user's rows meet in one task. Rows are
 first reduced to one row per (user, day) with partial aggregation, so a
 hot user costs days x labels, not its raw row count. The forward fill is a
-two-level prefix scan: within (key, time chunk) and across chunk summaries.
+prefix scan over range partitions: inside each, then across their last values.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from featurelens.functions.calendar import epoch_day
 from featurelens.functions.constants import (
     HISTORY_DAYS, LOOKAHEAD_DAYS, LOOKAHEAD_GAP_DAYS, NO_HISTORY,
 )
+from featurelens.session import cut_lineage
 
 _DAY = "_fl_day"
 
@@ -53,22 +54,23 @@ def explode_labels(labels: DataFrame, labels_col: str = "next_7_day_labels",
 
 
 def history_list(df: DataFrame, user: str, date_col: str, intent: str,
-                 days: tuple = HISTORY_DAYS, out: str = "historical_interactions",
-                 values: Sequence[str] | None = None) -> DataFrame:
+                 days: tuple = HISTORY_DAYS, out: str = "historical_interactions") -> DataFrame:
     """Per (user, date): the intents of the earlier days in range as a
     multiset, array of (intent, n) sorted by intent.
 
-    The same information as the list with repeats, but bounded by the
-    number of distinct intents instead of a user's 60-day event count (a
-    list per row would hold every pair of day and past event).
+    The same information as the list with repeats, but bounded by days x
+    distinct intents in range instead of a user's event count.
     """
-    if values is None:
-        from featurelens.operators.iv import label_values
-        values = label_values(df, intent)
-    piv = history_pivot(df, user, date_col, intent, values, days, per_day=True)
-    items = F.array(*[F.struct(F.lit(v).alias("intent"), F.col(f"`{v}`").alias("n")) for v in values])
-    hist = F.array_sort(F.filter(items, lambda x: x["n"] > 0))
-    return piv.select(user, "date", hist.alias(out))
+    counts = (df.groupBy(F.col(user), F.to_date(F.col(date_col)).alias("date"), F.col(intent).cast("string").alias("intent"))
+                .agg(F.count(F.lit(1)).alias("n")))
+    item = F.when(F.col("intent").isNotNull(), F.struct("intent", "n"))
+    day = counts.groupBy(user, "date").agg(F.collect_list(item).alias("_items")).withColumn(_DAY, epoch_day("date"))
+    w = Window.partitionBy(user).orderBy(_DAY).rangeBetween(*days)
+    seen = day.select(user, "date", F.flatten(F.collect_list("_items").over(w)).alias("_seen"))
+    total = F.transform(F.array_sort(F.array_distinct(F.transform("_seen", lambda x: x["intent"]))), lambda i: F.struct(
+        i.alias("intent"), F.aggregate(F.filter("_seen", lambda x: x["intent"] == i), F.lit(0).cast("long"),
+                                       lambda acc, x: acc + x["n"]).alias("n")))
+    return seen.select(user, "date", total.alias(out))
 
 
 def explode_history(hist: DataFrame, list_col: str = "historical_interactions",
@@ -83,18 +85,21 @@ def explode_history(hist: DataFrame, list_col: str = "historical_interactions",
 
 def history_pivot(df: DataFrame, user: str, date_col: str, intent: str, values: Sequence[str] | None = None,
                   days: tuple = HISTORY_DAYS, per_day: bool = False,
-                  no_history: str = NO_HISTORY, max_values: int = 2000) -> DataFrame:
+                  no_history: str = NO_HISTORY) -> DataFrame:
     """Per (user, date): count of each listed intent in the earlier days of
     the range, and column ``null`` for an empty history.
 
     Default counts equal a pivot over the exploded event rows: a day with r
     events multiplies its counts by r. ``per_day=True`` counts once per day.
-    ``values=None`` uses the distinct intents (collected, checked against
-    ``max_values``), as a pivot without a value list would.
+    ``values=None`` uses the distinct intents, as a pivot without a value list
+    would: the result has a column for each. An intent with the name of the
+    ``no_history`` column is refused.
     """
     if values is None:
         from featurelens.operators.iv import label_values
-        values = label_values(df, intent, max_values)
+        values = label_values(df, intent)
+    if no_history in values:
+        raise ValueError(f"an intent is named {no_history!r}: give another no_history name")
     lo, hi = days
     lab = F.col(intent)
     aggs = [F.count(F.lit(1)).alias("_r"), F.count(lab).alias("_n")] + [
@@ -110,43 +115,34 @@ def history_pivot(df: DataFrame, user: str, date_col: str, intent: str, values:
 
 
 def forward_fill(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
-                 date_col: str | None = None, chunk_days: int | None = 31) -> DataFrame:
+                 num_partitions: int | None = None) -> DataFrame:
     """Replace NULLs by the last non-null value so far per ``key``.
 
-    With ``date_col`` and ``chunk_days`` the scan runs per (key, chunk of
-    days) and carries each chunk's last values forward through a summary
-    table of (key, chunk) rows, so one key with many rows is spread over
-    many tasks. ``order`` must make rows unique within a key.
+    Rows are range-partitioned by (key, order), so a key with many rows spreads
+    over many tasks. Each range is filled by itself; the last values of every
+    (key, range) are carried to the key's later ranges. A NULL key is a key of
+    its own, a NULL order value comes first. ``order`` must make rows unique
+    within a key.
     """
     cols = list(cols)
     if not cols:
         return df
+    pid, nk = "_fl_pid", "_fl_nokey"
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order_exprs = [F.col(o) for o in order]
-    if not date_col or not chunk_days:
-        w = Window.partitionBy(key).orderBy(*order_exprs).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
-                           for c in df.columns])
-    ck = "_fl_chunk"
-    x = df.withColumn(ck, F.floor(epoch_day(date_col) / F.lit(chunk_days)).cast("long"))
-    w_in = Window.partitionBy(key, ck).orderBy(*order_exprs).rowsBetween(Window.unboundedPreceding, 0)
-    filled = x.select(*[F.last(c, ignorenulls=True).over(w_in).alias(c) if c in cols else F.col(c)
-                        for c in x.columns])
+    # one cut of the ranges for all uses below (see ranking.running_total)
+    x = cut_lineage(df.repartitionByRange(n, F.col(key), *order_exprs)
+                      .withColumn(pid, F.spark_partition_id()).withColumn(nk, F.col(key).isNull()))
+    w_in = Window.partitionBy(pid, key).orderBy(*order_exprs).rowsBetween(Window.unboundedPreceding, 0)
+    filled = x.select(*[F.last(c, ignorenulls=True).over(w_in).alias(c) if c in cols else F.col(c) for c in x.columns])
     ordkey = F.struct(*order_exprs)
-    # chunk summaries from the input with map-side partial aggregation: the
-    # raw rows are shuffled once (for the window), the summaries are tiny
-    summary = x.groupBy(key, ck).agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias(f"_last{i}")
-        for i, c in enumerate(cols)])
-    w_prev = Window.partitionBy(key).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(key, ck, *[F.last(f"_last{i}", ignorenulls=True).over(w_prev).alias(f"_carry{i}")
-                                      for i in range(len(cols))])
-    joined = filled.join(carry, [key, ck], "left")
-    return joined.select(*[F.coalesce(F.col(c), F.col(f"_carry{cols.index(c)}")).alias(c) if c in cols
-                           else F.col(c) for c in df.columns])
-
-
-def cumulative_window(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
-                      out: str) -> DataFrame:
-    """Running sum within groups (groups of bounded size)."""
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.sum(value).over(w))
+    # one row per key and range that holds it
+    last = x.groupBy(pid, nk, key).agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordkey)).alias(f"_last{i}") for i, c in enumerate(cols)])
+    w_prev = Window.partitionBy(key).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(pid, nk, F.col(key).alias("_fl_key"), *[
+        F.last(f"_last{i}", ignorenulls=True).over(w_prev).alias(f"_carry{i}") for i in range(len(cols))])
+    joined = filled.join(carry, (filled[pid] == carry[pid]) & (filled[nk] == carry[nk])
+                         & filled[key].eqNullSafe(carry["_fl_key"]), "left")
+    return joined.select(*[F.coalesce(filled[c], F.col(f"_carry{cols.index(c)}")).alias(c) if c in cols
+                           else filled[c] for c in df.columns])

@@ -108,11 +108,11 @@ def _iv_importance(spark, sf):
         F.count_distinct("bin").alias("split_importance"))
 
 
-def _model(spark, sf, max_iter=5):
+def _model(spark, sf):
     prep = feats.prepare_features(_t(spark, sf, "orders"), ORDER_SPEC)
     x, _m = enc.label_encode(prep.df, "o_orderstatus")
     x = sampling.split_by_customer(x, "o_custkey")
-    return mdl.train_ova_model(x, prep.valid, "o_orderstatus_idx", max_iter=max_iter, parallelism=3), prep
+    return mdl.train_ova_model(x, prep.valid, "o_orderstatus_idx", parallelism=3), prep
 
 
 def build() -> dict:
@@ -126,8 +126,7 @@ def build() -> dict:
     def write_table(s, sf):
         from featurelens.session import scratch_dir
         from featurelens.sources.tables import write_table as wt
-        p = wt(cols.between_dates(_t(s, sf, "orders"), "o_orderdate", "1996-01-01", "1996-12-31"),
-               scratch_dir(s, "write_table"))
+        p = wt(_t(s, sf, "orders"), scratch_dir(s, "write_table"))
         return s.read.parquet(p)
     q["write_table"] = write_table
 
@@ -174,11 +173,6 @@ def build() -> dict:
     q["fill_numeric"] = lambda s, sf: cols.fill_numeric(_events_nulled(s, sf).select("event_id", "value"), ["value"], 0)
     q["fill_categorical"] = lambda s, sf: cols.fill_categorical(_t(s, sf, "events").select(
         "event_id", F.when(F.col("event_type") != "view", F.col("event_type")).alias("event_type")), ["event_type"], "NAN")
-    q["split_by_dtype"] = lambda s, sf: cols.column_roles(_t(s, sf, "orders"), ORDER_SPEC).select(
-        "var", "spark_dtype", "proposed_data_type", "role")
-    q["feature_columns"] = lambda s, sf: cols.column_roles(_t(s, sf, "orders"), ORDER_SPEC).where(
-        F.col("role") == "feature").select("var", "proposed_data_type")
-
     def _const_frame(s, sf):
         o = _t(s, sf, "orders")
         return o.select("o_orderkey", "o_totalprice", "o_orderpriority", F.lit(0).alias("z"),
@@ -214,7 +208,7 @@ def build() -> dict:
         _labels(s, sf), _purchase_snapshot(s, sf), "user_id", "as_of_dt", ["bal", "n_purch"])
     q["snapshot_features"] = lambda s, sf: feats.snapshot_features(
         _labels(s, sf), _purchase_snapshot(s, sf), "user_id", "as_of_dt", ["bal", "n_purch"],
-        start="2024-01-05", end="2024-01-25", chunk_days=7)
+        start="2024-01-05", end="2024-01-25")
 
     # --- 2.4 aggregations -----------------------------------------------------
     q["agg_numeric"] = lambda s, sf: agg.agg_numeric(
@@ -227,6 +221,9 @@ def build() -> dict:
         "l_returnflag", *[F.round(c, 6).alias(c) for c in
                           ["l_quantity_sum", "l_quantity_median", "l_extendedprice_sum", "l_extendedprice_median"]])
     q["freq_table"] = lambda s, sf: agg.freq_table(_t(s, sf, "part"), "p_type")
+    # NULLs: every third part has no type
+    q["freq_table_nulls"] = lambda s, sf: agg.freq_table(_t(s, sf, "part").select(
+        F.when(F.col("p_partkey") % 3 != 0, F.col("p_type")).alias("p_type")), "p_type")
     q["cumulative_share"] = lambda s, sf: agg.cumulative_share(
         agg.freq_table(_t(s, sf, "part"), "p_type"), "p_type")
     q["date_bounds"] = lambda s, sf: agg.date_bounds(_t(s, sf, "orders"), "o_orderdate")
@@ -234,9 +231,15 @@ def build() -> dict:
     q["describe_by"] = lambda s, sf: _round_all(iv.describe_by(
         _t(s, sf, "lineitem"), "l_returnflag", "l_extendedprice"), 6)
     q["crosstab_margins"] = lambda s, sf: drift.crosstab_margins(
-        _weekly_events(s, sf), "event_type", "week", "user_id", "week_idx")
+        _weekly_events(s, sf), "event_type", "week", "user_id", "week_idx").drop("all_labels", "all_periods")
     q["crosstab_ratio"] = lambda s, sf: drift.crosstab_ratio(drift.crosstab_margins(
-        _weekly_events(s, sf), "event_type", "week", "user_id", "week_idx"))
+        _weekly_events(s, sf), "event_type", "week", "user_id", "week_idx")).drop("all_labels", "all_periods")
+    # many labels, sparse cells, a label and a period named like the totals
+    q["crosstab_sparse"] = lambda s, sf: drift.crosstab_ratio(drift.crosstab_margins(
+        _t(s, sf, "documents").select(
+            F.when(F.col("source") == "src1", "All").when(F.col("source") != "src2", F.col("source")).alias("source"),
+            F.when(F.col("lang") == "de", "All").otherwise(F.col("lang")).alias("lang"), "doc_id"),
+        "source", "lang", "doc_id")).drop("all_labels", "all_periods")
     q["history_pivot"] = lambda s, sf: windows.history_pivot(
         _t(s, sf, "events"), "user_id", "ts", "event_type", EVENT_TYPES)
     q["split_counts"] = lambda s, sf: sampling.split_counts(_orders_split(s, sf), "o_custkey")
@@ -245,6 +248,8 @@ def build() -> dict:
         x, _m = enc.label_encode(_orders_split(s, sf), "o_orderstatus")
         return sampling.label_distribution(x, "o_orderstatus_idx", "split", "o_orderstatus")
     q["label_distribution"] = label_distribution
+    q["label_distribution_nulls"] = lambda s, sf: sampling.label_distribution(
+        _orders_split(s, sf).withColumn("lab", F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderpriority"))), "lab")
 
     # --- 2.5 windows ----------------------------------------------------------
     q["lookahead_labels"] = lambda s, sf: _lookahead(s, sf).select("user_id", "date", _join_arr("next_7_day_labels"))
@@ -260,7 +265,11 @@ def build() -> dict:
         _t(s, sf, "events"), "user_id", "ts", "event_type")).select("user_id", "date", "cb_past_intent", "n_past")
     q["forward_fill"] = lambda s, sf: windows.forward_fill(
         _events_nulled(s, sf).select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"],
-        ["value"], "ts", chunk_days=5)
+        ["value"])
+    # without users or times for every seventh event: NULL keys and NULL orders
+    q["forward_fill_nulls"] = lambda s, sf: windows.forward_fill(_events_nulled(s, sf).select(
+        "event_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("user_id"),
+        F.when(F.col("event_id") % 11 != 0, F.col("ts")).alias("ts"), "value"), "user_id", ["ts", "event_id"], ["value"])
     q["psi"] = lambda s, sf: _psi_out(drift.psi(drift.crosstab_ratio(drift.crosstab_margins(
         _weekly_events(s, sf), "event_type", "week", "user_id", "week_idx"))))
     q["psi_monthly"] = lambda s, sf: _psi_out(drift.psi(drift.crosstab_ratio(drift.crosstab_margins(
@@ -308,6 +317,16 @@ def build() -> dict:
         "sample_values", F.array_join("sample_values", "|"))
     q["is_date_field"] = lambda s, sf: profile.column_stats(_t(s, sf, "events").select(
         F.to_date("ts").cast("string").alias("day"), "event_type", "props")).select("var", "is_date_field")
+    # ids, dates and mixed text; integers beyond 2^53
+    q["is_date_field_text"] = lambda s, sf: profile.column_stats(_t(s, sf, "orders").select(
+        F.lpad(F.col("o_orderkey").cast("string"), 6, "1").alias("digits"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("stamp"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("none").alias("mixed")
+        )).select("var", "is_date_field")
+    q["value_range_long"] = lambda s, sf: profile.data_profile(_t(s, sf, "orders").select(
+        (F.col("o_orderkey") + 9007199254740993).alias("big"))).select("feature_name", "range_of_features")
+    q["between_stamps"] = lambda s, sf: cols.between_dates(_t(s, sf, "events"), "ts", "2024-01-05", "2024-01-10").select("event_id", "ts")
     q["value_range"] = lambda s, sf: profile.data_profile(_t(s, sf, "lineitem")).select(
         "feature_name", "range_of_features")
     q["quantile_bins"] = lambda s, sf: iv.quantile_bins(
@@ -321,6 +340,20 @@ def build() -> dict:
         v, sm = iv.iv_all(o, "o_orderstatus", profile.data_summary(o), edge_decimals=6)
         return _round_iv(sm)
     q["iv_all"] = iv_all
+    # some thousand labels
+    q["iv_many_labels"] = lambda s, sf: iv.iv_summary(iv.iv_verbose(
+        _t(s, sf, "orders").withColumn("lab", F.col("o_custkey") % 3000), "lab",
+        iv.BinPlan(("o_totalprice",), (), ("o_orderpriority",)), edge_decimals=6)).withColumn("iv", F.round("iv", 9))
+    # NULLs in a short integer column, and in the label
+    q["iv_nulls"] = lambda s, sf: _round_iv(iv.iv_verbose(_t(s, sf, "part").select(
+        F.when(F.col("p_partkey") % 5 != 0, F.col("p_brand")).alias("p_brand"),
+        F.when(F.col("p_size") > 5, F.col("p_size") % 7).cast("tinyint").alias("size"),
+        F.when(F.col("p_size") < 40, F.col("p_type")).alias("p_type")), "p_brand",
+        iv.BinPlan((), ("size",), ("p_type",))))
+    for out in ("adjusted", "describe_significant", "high_bins", "useful", "label_counts"):
+        q[f"iv_review_{out}"] = (lambda name: lambda s, sf: _round_all(iv.iv_review(
+            _orders_feat(s, sf), "o_orderstatus", _iv_verbose(s, sf))[name], R))(out)
+
     def iv_documents(s, sf):
         d = _t(s, sf, "labels").join(_t(s, sf, "documents").select("doc_id", "lang", "source", "n_chars"), "doc_id")
         v = iv.iv_verbose(d, "quality", iv.BinPlan(("n_chars",), (), ("lang", "source")), edge_decimals=6)

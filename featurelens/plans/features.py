@@ -40,17 +40,16 @@ def label_dataset(interactions: DataFrame, mapping: DataFrame, user: str, date_c
 
 
 def snapshot_features(labels: DataFrame, snapshot: DataFrame, key: str, snap_date: str,
-                      cols: Sequence[str], start=None, end=None, date_col: str = "date",
-                      chunk_days: int | None = 31) -> DataFrame:
+                      cols: Sequence[str], start=None, end=None, date_col: str = "date") -> DataFrame:
     """Snapshot left-joined on (key, date) and forward-filled per key."""
     s = snapshot
     if start is not None and end is not None:
-        s = s.where(F.col(snap_date).between(F.lit(start), F.lit(end)))
+        s = s.where(day_range(snap_date, start, end))
     s = s.select(F.col(key), F.to_date(F.col(snap_date)).alias(date_col), *cols)
     j = labels.join(s, [key, date_col], "left")
     order = [date_col] + [c for c in labels.columns if c not in (key, date_col)
                           and not c.startswith("next_7_day_labels")]
-    return forward_fill(j, key, order, cols, date_col, chunk_days)
+    return forward_fill(j, key, order, cols)
 
 
 def interaction_features(labels: DataFrame, interactions: DataFrame, user: str, ts_col: str,
@@ -72,7 +71,7 @@ def transaction_features(labels: DataFrame, txn: DataFrame, key: str, txn_date:
     """Yesterday's transaction facts joined to today's labels."""
     t = txn
     if start is not None and end is not None:
-        t = t.where(F.col(txn_date).between(F.lit(start), F.lit(end)))
+        t = t.where(day_range(txn_date, start, end))
     t = t.drop(*[c for c in exclude if c in t.columns])
     return lagged_join(labels, t, key, txn_date, "date", lag_days)
 

@@ -188,32 +188,42 @@ def periods_sql(src, dcol):
 
 # --- cross-tabs, ratio, psi ---------------------------------------------------------
 
-def crosstab_sql(src, label, period, idx, key):
+def crosstab_sql(src, label, period, idx, key, flags=False):
+    """The full grid labels x periods, counted, with margins."""
     base = (f"(SELECT CAST({label} AS VARCHAR) AS label, CAST({period} AS VARCHAR) AS p, CAST({idx} AS BIGINT) AS i, "
             f"{key} AS k FROM {src} z WHERE {label} IS NOT NULL AND {period} IS NOT NULL)")
-    return (f"(SELECT label, p AS period, i AS period_idx, CAST(count(k) AS BIGINT) AS n FROM {base} b1 GROUP BY label, p, i "
-            f"UNION ALL SELECT label, 'All', CAST(NULL AS BIGINT), CAST(count(k) AS BIGINT) FROM {base} b2 GROUP BY label "
-            f"UNION ALL SELECT 'All', p, i, CAST(count(k) AS BIGINT) FROM {base} b3 GROUP BY p, i "
-            f"UNION ALL SELECT 'All', 'All', CAST(NULL AS BIGINT), CAST(count(k) AS BIGINT) FROM {base} b4 "
+    al, ap = (", false AS all_labels, false AS all_periods", ", false, true") if flags else ("", "")
+    la, aa = (", true, false", ", true, true") if flags else ("", "")
+    return (f"(SELECT l.label, p.p AS period, p.i AS period_idx, CAST(coalesce(c.n, 0) AS BIGINT) AS n{al} "
+            f"FROM (SELECT DISTINCT label FROM {base} b1) l CROSS JOIN (SELECT DISTINCT p, i FROM {base} b2) p "
+            f"LEFT JOIN (SELECT label, p, i, count(k) AS n FROM {base} b3 GROUP BY ALL) c "
+            f"ON c.label = l.label AND c.p = p.p AND c.i IS NOT DISTINCT FROM p.i "
+            f"UNION ALL SELECT label, 'All', CAST(NULL AS BIGINT), CAST(count(k) AS BIGINT){ap} FROM {base} b4 GROUP BY label "
+            f"UNION ALL SELECT 'All', p, i, CAST(count(k) AS BIGINT){la} FROM {base} b5 GROUP BY p, i "
+            f"UNION ALL SELECT 'All', 'All', CAST(NULL AS BIGINT), CAST(count(k) AS BIGINT){aa} FROM {base} b6 "
             f"HAVING count(*) > 0)")
 
 
-def ratio_sql(ct):
+def ratio_sql(ct, flags=False):
+    if flags:
+        return (f"(SELECT *, n / max(CASE WHEN all_labels THEN n END) OVER (PARTITION BY period, period_idx, all_periods) AS ratio "
+                f"FROM {ct} c)")
     return (f"(SELECT *, n / max(CASE WHEN label = 'All' THEN n END) OVER (PARTITION BY period) AS ratio "
             f"FROM {ct} c)")
 
 
-def psi_sql(ratio):
-    return (f"WITH r AS {ratio}, "
-            f"pr AS (SELECT period, period_idx, row_number() OVER (ORDER BY period_idx, period) AS k FROM r "
-            f"WHERE label = 'All' AND period <> 'All'), "
-            f"cells AS (SELECT r.label, pr.k, r.ratio FROM r JOIN pr USING (period) WHERE r.label <> 'All' AND r.period <> 'All'), "
-            f"keys AS (SELECT label, k FROM cells UNION SELECT label, k + 1 FROM cells), "
-            f"pl AS (SELECT keys.label, pr.period, pr.period_idx, CASE WHEN keys.k > 1 THEN "
-            f"(coalesce(c.ratio, 0) - coalesce(v.ratio, 0)) * ln((coalesce(c.ratio, 0) + {EPS_PSI}) / "
-            f"(coalesce(v.ratio, 0) + {EPS_PSI})) END AS psi_raw FROM keys "
-            f"LEFT JOIN cells c ON c.label = keys.label AND c.k = keys.k "
-            f"LEFT JOIN cells v ON v.label = keys.label AND v.k + 1 = keys.k JOIN pr ON pr.k = keys.k) "
+def psi_sql(src, label, period, idx, key):
+    """From the source rows: shares of every label in every period, against
+    the period before."""
+    return (f"WITH e AS (SELECT CAST({label} AS VARCHAR) AS label, CAST({period} AS VARCHAR) AS period, "
+            f"CAST({idx} AS BIGINT) AS period_idx, {key} AS k FROM {src} z WHERE {label} IS NOT NULL AND {period} IS NOT NULL), "
+            f"pr AS (SELECT period, period_idx, row_number() OVER (ORDER BY period_idx, period) AS k, cnt FROM "
+            f"(SELECT period, period_idx, count(k) AS cnt FROM e GROUP BY ALL) x), "
+            f"cells AS (SELECT l.label, pr.k, pr.period, pr.period_idx, "
+            f"coalesce((SELECT count(e.k) FROM e WHERE e.label = l.label AND e.period = pr.period) / nullif(pr.cnt, 0), 0) AS r "
+            f"FROM (SELECT DISTINCT label FROM e) l CROSS JOIN pr), "
+            f"pl AS (SELECT c.label, c.period, c.period_idx, CASE WHEN c.k > 1 THEN (c.r - v.r) * ln((c.r + {EPS_PSI}) / "
+            f"(v.r + {EPS_PSI})) END AS psi_raw FROM cells c LEFT JOIN cells v ON v.label = c.label AND v.k + 1 = c.k) "
             f"SELECT label, period, period_idx, round(psi_raw, {R}) AS psi_raw FROM pl UNION ALL "
             f"SELECT 'all_unique_labels', period, period_idx, round(sum(psi_raw), {R}) FROM pl GROUP BY period, period_idx")
 
@@ -239,7 +249,7 @@ def binned_long_sql(src, label, binned, unbinned, categorical, num_types=None):
         parts.append(f"SELECT {lab} AS lab, '{c}' AS var, CAST({c} AS DOUBLE) AS x, CAST(NULL AS VARCHAR) AS s FROM {src} z")
     for c in unbinned:
         fill = "9999999.0" if num_types.get(c) == "double" else "9999999"
-        parts.append(f"SELECT {lab}, '{c}', CAST(NULL AS DOUBLE), CAST(coalesce({c}, {fill}) AS VARCHAR) FROM {src} z")
+        parts.append(f"SELECT {lab} AS lab, '{c}' AS var, CAST(NULL AS DOUBLE) AS x, CAST(coalesce({c}, {fill}) AS VARCHAR) AS s FROM {src} z")
     for c in categorical:
         parts.append(f"SELECT {lab}, '{c}', CAST(NULL AS DOUBLE), coalesce(CAST({c} AS VARCHAR), 'NA') FROM {src} z")
     long = "(" + " UNION ALL ".join(parts) + ")"
@@ -316,40 +326,32 @@ def build() -> dict:
     q["with_key_counts"] = ("SELECT *, CAST((SELECT count(DISTINCT o_custkey) + max(CASE WHEN o_custkey IS NULL THEN 1 ELSE 0 END) "
                             "FROM orders) AS BIGINT) AS distinct_cnt_o_custkey, "
                             "CAST((SELECT count(*) FROM orders) AS BIGINT) AS records FROM orders")
-    q["write_table"] = "SELECT * FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-12-31'"
+    q["write_table"] = "SELECT * FROM orders"
     q["sample_n"] = "SELECT * FROM orders ORDER BY md5('111|' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 2000"
     q["sample_table_to_path"] = q["sample_n"]
     q["write_report"] = ("SELECT CAST(o_orderpriority AS VARCHAR) AS label, CAST(count(*) AS BIGINT) AS count "
                          "FROM orders GROUP BY ALL")
-    bmap = ("SELECT 'p_brand' AS \"column\", p_brand AS value, CAST(row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS INTEGER) AS code, "
+    bmap = ("SELECT 'p_brand' AS \"column\", p_brand AS value, CAST(row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS BIGINT) AS code, "
             "count(*) OVER () AS k FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand")
-    tmap = ("SELECT 'p_type' AS \"column\", p_type AS value, CAST(row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS INTEGER) AS code, "
+    tmap = ("SELECT 'p_type' AS \"column\", p_type AS value, CAST(row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS BIGINT) AS code, "
             "count(*) OVER () AS k FROM part WHERE p_type IS NOT NULL GROUP BY p_type")
     q["save_artefacts"] = (
         f"SELECT 'training' AS artefact, 'category' AS kind, \"column\", value, code FROM ({bmap} UNION ALL {tmap}) m WHERE code < k - 1 "
-        f"UNION ALL SELECT 'training', 'category', \"column\", 'least_perc', CAST(max(k) - 1 AS INTEGER) FROM ({bmap} UNION ALL {tmap}) m GROUP BY \"column\" "
-        f"UNION ALL SELECT 'training', 'label', 'o_orderstatus', o_orderstatus, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS INTEGER) "
+        f"UNION ALL SELECT 'training', 'category', \"column\", 'least_perc', CAST(max(k) - 1 AS BIGINT) FROM ({bmap} UNION ALL {tmap}) m GROUP BY \"column\" "
+        f"UNION ALL SELECT 'training', 'label', 'o_orderstatus', o_orderstatus, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS BIGINT) "
         f"FROM (SELECT DISTINCT o_orderstatus FROM orders WHERE o_orderstatus IS NOT NULL) d")
 
     q["select_cols"] = "SELECT l_orderkey, l_quantity, l_shipdate FROM lineitem"
     q["drop_cols"] = "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders"
     q["prefix_columns"] = ("SELECT c_custkey, c_name AS sa_dly_c_name, c_nationkey AS sa_dly_c_nationkey, "
                            "c_acctbal AS sa_dly_c_acctbal, c_mktsegment AS sa_dly_c_mktsegment FROM customer")
-    q["between_dates"] = q["write_table"]
+    q["between_dates"] = "SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"
+    q["between_stamps"] = "SELECT event_id, ts FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-10'"
     q["half_open_dates"] = "SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-25'"
     q["not_null"] = f"SELECT * FROM ({EV_NULLED}) e WHERE value IS NOT NULL"
     q["cast_decimals"] = "SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DOUBLE) AS price FROM orders"
     q["fill_numeric"] = "SELECT event_id, CASE WHEN value > 50 THEN value ELSE 0 END AS value FROM events"
     q["fill_categorical"] = "SELECT event_id, CASE WHEN event_type <> 'view' THEN event_type ELSE 'NAN' END AS event_type FROM events"
-    roles = {"o_orderkey": "primary_key", "o_custkey": "primary_key", "o_orderstatus": "label",
-             "o_orderdate": "date_key"}
-    rows = " UNION ALL ".join(
-        f"SELECT '{c}' AS var, '{t}' AS spark_dtype, '{'numerical' if n else 'categorical'}' AS proposed_data_type, "
-        f"'{roles.get(c, 'feature')}' AS role" for c, t, n in ORDERS)
-    # the column list comes from the table itself: DESCRIBE checks the names and order
-    q["split_by_dtype"] = (f"SELECT r.* FROM ({rows}) r JOIN (SELECT column_name FROM (DESCRIBE orders)) d "
-                           f"ON d.column_name = r.var")
-    q["feature_columns"] = f"SELECT var, proposed_data_type FROM ({q['split_by_dtype']}) x WHERE role = 'feature'"
     cf = ("(SELECT o_orderkey, o_totalprice, o_orderpriority, 0 AS z, CAST(NULL AS DOUBLE) AS nul, 'x' AS const FROM orders)")
     cf_cols = [("o_orderkey", "bigint", True), ("o_totalprice", "double", True), ("o_orderpriority", "string", False),
                ("z", "int", True), ("nul", "double", True), ("const", "string", False)]
@@ -392,6 +394,9 @@ def build() -> dict:
                                "FROM lineitem GROUP BY l_returnflag")
     q["freq_table"] = ("SELECT p_type, CAST(count(*) AS BIGINT) AS count, count(*) / (SELECT count(*) FROM part) AS percentage "
                        "FROM part GROUP BY p_type")
+    # NULLs are no value: neither counted nor in the total
+    q["freq_table_nulls"] = ("WITH p AS (SELECT p_type FROM part WHERE p_partkey % 3 <> 0 AND p_type IS NOT NULL) "
+                             "SELECT p_type, CAST(count(*) AS BIGINT) AS count, count(*) / (SELECT count(*) FROM p) AS percentage FROM p GROUP BY p_type")
     q["cumulative_share"] = (f"SELECT *, count / (SELECT count(*) FROM part) AS perc, "
                              f"sum(count) OVER (ORDER BY count DESC, p_type NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
                              f"/ (SELECT count(*) FROM part) AS cum_perc FROM ({q['freq_table']}) f")
@@ -404,12 +409,16 @@ def build() -> dict:
     ct_w = crosstab_sql(wk, "event_type", "week", "week_idx", "user_id")
     q["crosstab_margins"] = f"SELECT * FROM {ct_w} c"
     q["crosstab_ratio"] = f"SELECT * FROM {ratio_sql(ct_w)} r"
+    docs = ("(SELECT CASE WHEN source = 'src1' THEN 'All' WHEN source <> 'src2' THEN source END AS source, "
+            "CASE WHEN lang = 'de' THEN 'All' ELSE lang END AS lang, doc_id FROM documents)")
+    q["crosstab_sparse"] = (f"SELECT * EXCLUDE (all_labels, all_periods) FROM "
+                            f"{ratio_sql(crosstab_sql(docs, 'source', 'lang', 'NULL', 'doc_id', True), True)} r")
     q["history_pivot"] = f"SELECT * FROM {history_pivot_sql()} h"
     q["split_counts"] = (f"SELECT split AS dataset, CAST(count(*) AS BIGINT) AS counts, CAST(count(DISTINCT o_custkey) AS BIGINT) "
                          f"AS unique_o_custkey FROM {order_split()} s GROUP BY split UNION ALL SELECT 'original', "
                          f"CAST(count(*) AS BIGINT), CAST(count(DISTINCT o_custkey) AS BIGINT) FROM orders")
     q["label_distribution"] = (
-        f"WITH x AS (SELECT *, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS INTEGER) AS o_orderstatus_idx "
+        f"WITH x AS (SELECT *, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS BIGINT) AS o_orderstatus_idx "
         f"FROM {order_split()} s), g AS (SELECT o_orderstatus_idx, o_orderstatus AS o_orderstatus_idx_desc, "
         f"count(*) AS count, count(*) FILTER (WHERE split = 'train') AS count_train, "
         f"count(*) FILTER (WHERE split = 'test') AS count_test FROM x GROUP BY ALL) "
@@ -417,6 +426,14 @@ def build() -> dict:
         f"CAST(count_train AS BIGINT) AS count_train, count_train / sum(count_train) OVER () AS percentage_train, "
         f"CAST(count_test AS BIGINT) AS count_test, count_test / sum(count_test) OVER () AS percentage_test FROM g")
 
+    q["label_distribution_nulls"] = (
+        f"WITH x AS (SELECT o_orderpriority AS lab, split FROM {order_split()} s WHERE o_orderkey % 4 <> 0 AND o_orderpriority IS NOT NULL), "
+        f"g AS (SELECT lab, count(*) AS count, count(*) FILTER (WHERE split = 'train') AS count_train, "
+        f"count(*) FILTER (WHERE split = 'test') AS count_test FROM x GROUP BY lab) "
+        f"SELECT lab, CAST(count AS BIGINT) AS count, count / sum(count) OVER () AS percentage, "
+        f"CAST(count_train AS BIGINT) AS count_train, count_train / sum(count_train) OVER () AS percentage_train, "
+        f"CAST(count_test AS BIGINT) AS count_test, count_test / sum(count_test) OVER () AS percentage_test FROM g")
+
     q["lookahead_labels"] = (f"SELECT user_id, \"date\", array_to_string(lst, '|') AS next_7_day_labels "
                              f"FROM {lookahead_sql(0, 8)} l")
     q["lookahead_labels_gap"] = (f"SELECT user_id, \"date\", coalesce(array_to_string(lst, '|'), '') AS next_7_day_labels_with_gap "
@@ -430,20 +447,26 @@ def build() -> dict:
     q["forward_fill"] = (f"SELECT event_id, user_id, ts, last_value(value IGNORE NULLS) OVER (PARTITION BY user_id "
                          f"ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value "
                          f"FROM ({EV_NULLED}) e")
-    q["psi"] = psi_sql(ratio_sql(ct_w))
+    q["forward_fill_nulls"] = (f"SELECT event_id, user_id, ts, last_value(value IGNORE NULLS) OVER (PARTITION BY user_id "
+                               f"ORDER BY ts NULLS FIRST, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value FROM "
+                               f"(SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id, "
+                               f"CASE WHEN event_id % 11 <> 0 THEN ts END AS ts, value FROM ({EV_NULLED}) e) x")
+    q["psi"] = psi_sql(wk, "event_type", "week", "week_idx", "user_id")
     mo = periods_sql("orders", "o_orderdate")
-    q["psi_monthly"] = psi_sql(ratio_sql(crosstab_sql(mo, "o_orderstatus", "month", "month_idx", "o_custkey")))
+    q["psi_monthly"] = psi_sql(mo, "o_orderstatus", "month", "month_idx", "o_custkey")
 
     ev_p = periods_sql("events", "ts")
-    ev_d = f"(SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS _day, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS _day_idx FROM {ev_p} p)"
+    # daily tables hold all days, the others the days inside complete periods
+    ev_d = "(SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS _day, date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS _day_idx FROM events)"
     parts = []
     for g, (p, i) in {"dly": ("_day", "_day_idx"), "wly": ("week", "week_idx"), "mly": ("month", "month_idx")}.items():
-        ct = crosstab_sql(ev_d, "event_type", p, i, "user_id")
+        src = ev_d if g == "dly" else ev_p
+        ct = crosstab_sql(src, "event_type", p, i, "user_id")
         parts.append(f"SELECT 'total_{g}' AS \"table\", label, period, period_idx, n, CAST(NULL AS DOUBLE) AS ratio, "
                      f"CAST(NULL AS DOUBLE) AS psi_raw FROM {ct} c")
         parts.append(f"SELECT 'ratio_{g}', label, period, period_idx, n, ratio, CAST(NULL AS DOUBLE) FROM {ratio_sql(ct)} r")
         parts.append(f"SELECT 'psi_{g}', label, period, period_idx, CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), psi_raw "
-                     f"FROM ({psi_sql(ratio_sql(ct))}) s")
+                     f"FROM ({psi_sql(src, 'event_type', p, i, 'user_id')}) s")
     q["label_report"] = " UNION ALL ".join(parts)
 
     q["sort_report"] = iv_orders_verbose() + " ORDER BY label, var, bin_idx NULLS LAST, bin"
@@ -471,6 +494,15 @@ def build() -> dict:
                 ("l_linenumber", "int", True), ("l_quantity", "double", True), ("l_extendedprice", "double", True),
                 ("l_discount", "double", True), ("l_tax", "double", True), ("l_returnflag", "string", False),
                 ("l_linestatus", "string", False), ("l_shipdate", "timestamp_ntz", False)]
+    stamps = ("(SELECT lpad(CAST(o_orderkey AS VARCHAR), 6, '1') AS digits, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS stamp, "
+              "CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day, "
+              "CASE WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE 'none' END AS mixed FROM orders)")
+    iso = r"'^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}.*)?$'"
+    q["is_date_field_text"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS var, bool_and({c} IS NULL OR (regexp_matches({c}, {iso}) AND try_cast({c} AS TIMESTAMP) IS NOT NULL)) AS is_date_field "
+        f"FROM {stamps} e" for c in ("digits", "stamp", "day", "mixed"))
+    q["value_range_long"] = ("SELECT 'big' AS feature_name, 'min -> max: (' || CAST(min(b) AS VARCHAR) || '.000, ' || CAST(max(b) AS VARCHAR) || '.000)' "
+                             "AS range_of_features FROM (SELECT o_orderkey + 9007199254740993 AS b FROM orders) x")
     q["value_range"] = f"SELECT feature_name, range_of_features FROM ({profile_sql('lineitem', LINEITEM)}) p"
     qb = binned_long_sql("lineitem", None, ["l_extendedprice", "l_quantity", "l_discount"], [], [])
     q["quantile_bins"] = f"SELECT var, bin_idx, bin_lo, bin_hi, bin, CAST(count(*) AS BIGINT) AS n FROM {qb} b GROUP BY ALL"
@@ -485,6 +517,21 @@ def build() -> dict:
     q["iv_documents"] = (f"SELECT *, {strength('iv')} AS iv_strength FROM ("
                          f"{iv_summary_sql(iv_verbose_sql(docs, 'quality', ['n_chars'], [], ['lang', 'source'], rnd=False))}) s")
     q["iv_review"] = describe_sql(f"({iv_orders_verbose(False)})", "var", "iv", "iv_", "iv_count", R)
+    verbose = f"({iv_orders_verbose(False)})"
+    cnt = "(SELECT CAST(o_orderstatus AS VARCHAR) AS label, CAST(count(*) AS BIGINT) AS count, count(*) >= 100 AS is_significant FROM orders GROUP BY ALL)"
+    q["iv_review_label_counts"] = f"SELECT * FROM {cnt} c"
+    rates = f"round(neg_rate, {R}) AS neg_rate, round(pos_rate, {R}) AS pos_rate, round(bin_lo, {R}) AS bin_lo, round(bin_hi, {R}) AS bin_hi"
+    q["iv_review_adjusted"] = (f"SELECT v.* REPLACE ({rates}, CASE WHEN c.is_significant THEN round(iv, {R}) ELSE 0.0 END AS iv) "
+                               f"FROM {verbose} v JOIN {cnt} c USING (label)")
+    significant = f"(SELECT v.* FROM {verbose} v JOIN {cnt} c USING (label) WHERE c.is_significant)"
+    q["iv_review_describe_significant"] = describe_sql(significant, "var", "iv", "iv_", "iv_count", R)
+    q["iv_review_useful"] = f"SELECT * FROM ({q['iv_review_describe_significant']}) d WHERE iv_max > 0.02"
+    q["iv_review_high_bins"] = f"SELECT v.* REPLACE ({rates}, round(iv, {R}) AS iv) FROM {verbose} v WHERE iv > 24"
+    many = "(SELECT *, o_custkey % 3000 AS lab FROM orders)"
+    q["iv_many_labels"] = "SELECT * REPLACE (round(iv, 9) AS iv) FROM (" + iv_summary_sql(iv_verbose_sql(many, "lab", ["o_totalprice"], [], ["o_orderpriority"], rnd=False)) + ") m"
+    nulls = ("(SELECT CASE WHEN p_partkey % 5 <> 0 THEN p_brand END AS p_brand, CASE WHEN p_size > 5 THEN p_size % 7 END AS size, "
+             "CASE WHEN p_size < 40 THEN p_type END AS p_type FROM part)")
+    q["iv_nulls"] = iv_verbose_sql(nulls, "p_brand", [], ["size"], ["p_type"])
 
     q["stratified_sample"] = ("SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderstatus "
                               "ORDER BY md5('111|' || CAST(o_orderkey AS VARCHAR)), o_orderkey) <= 200")
@@ -497,7 +544,7 @@ def build() -> dict:
         f"CAST(o_orderdate AS DATE) <= DATE '2000-12-31')")
     q["train_test_oos"] = (
         f"WITH s AS ({q['split_in_time'].replace('SELECT o_orderkey, o_custkey, o_orderdate,', 'SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus,', 1)}), "
-        f"m AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code FROM "
+        f"m AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS code FROM "
         f"(SELECT DISTINCT o_orderstatus AS value FROM s WHERE split = 'train' AND o_orderstatus IS NOT NULL) d) "
         f"SELECT s.o_orderkey, s.split, s.o_orderstatus, m.code AS o_orderstatus_idx FROM s JOIN m ON m.value = s.o_orderstatus")
     cov_src = (f"(SELECT o_orderkey, CASE WHEN {_md5_bucket(33, 'o_custkey')} < 2 THEN 'test' ELSE 'train' END AS split, "
@@ -514,32 +561,32 @@ def build() -> dict:
         f"SELECT rte.o_orderkey, mte.lab FROM rte JOIN mte USING (i)) "
         f"SELECT o.o_orderkey, o.split, coalesce(rep.lab, o.lab) AS lab FROM o LEFT JOIN rep USING (o_orderkey)")
 
-    q["label_encode"] = ("SELECT o_orderkey, o_orderstatus, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS INTEGER) "
+    q["label_encode"] = ("SELECT o_orderkey, o_orderstatus, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS BIGINT) "
                          "AS o_orderstatus_idx FROM orders")
     yr = "CAST(year(o_orderdate) AS VARCHAR)"
     q["label_encode_score"] = (
-        f"WITH m AS (SELECT yr, CAST(row_number() OVER (ORDER BY yr) - 1 AS INTEGER) AS code FROM "
+        f"WITH m AS (SELECT yr, CAST(row_number() OVER (ORDER BY yr) - 1 AS BIGINT) AS code FROM "
         f"(SELECT DISTINCT {yr} AS yr FROM orders WHERE {yr} < '1999') d) "
         f"SELECT o.o_orderkey, o.yr, m.code AS yr_idx FROM (SELECT o_orderkey, {yr} AS yr FROM orders) o "
         f"JOIN m USING (yr) WHERE o.yr >= '1998'")
-    q["index_categories"] = ("SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS p_brand, "
-                             "CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS p_type FROM part")
+    q["index_categories"] = ("SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS BIGINT) AS p_brand, "
+                             "CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS BIGINT) AS p_type FROM part")
 
     def cat_map(col, where):
         return (f"(SELECT value, code, k FROM (SELECT {col} AS value, CAST(row_number() OVER (ORDER BY count(*) DESC, {col}) - 1 "
-                f"AS INTEGER) AS code, count(*) OVER () AS k FROM part WHERE {col} IS NOT NULL {where} GROUP BY {col}) x)")
+                f"AS BIGINT) AS code, count(*) OVER () AS k FROM part WHERE {col} IS NOT NULL {where} GROUP BY {col}) x)")
 
     def cat_apply(where_fit, where_score):
         bm, tm = cat_map("p_brand", where_fit), cat_map("p_type", where_fit)
         return (f"SELECT p.p_partkey, CAST(coalesce((SELECT code FROM {bm} b WHERE b.value = p.p_brand AND b.code < b.k - 1), "
-                f"(SELECT max(k) - 1 FROM {bm} b2)) AS INTEGER) AS p_brand, "
+                f"(SELECT max(k) - 1 FROM {bm} b2)) AS BIGINT) AS p_brand, "
                 f"CAST(coalesce((SELECT code FROM {tm} t WHERE t.value = p.p_type AND t.code < t.k - 1), "
-                f"(SELECT max(k) - 1 FROM {tm} t2)) AS INTEGER) AS p_type FROM part p {where_score}")
+                f"(SELECT max(k) - 1 FROM {tm} t2)) AS BIGINT) AS p_type FROM part p {where_score}")
     q["encode_categories_train"] = cat_apply("", "")
     q["encode_categories_score"] = (cat_apply("AND p_size <= 25", "WHERE p.p_size > 25")
                                     .replace("SELECT p.p_partkey,", "SELECT p.p_partkey, p.p_size,", 1))
 
-    q["lookup_map"] = ("WITH m AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code FROM "
+    q["lookup_map"] = ("WITH m AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS code FROM "
                        "(SELECT DISTINCT o_orderpriority AS value FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' "
                        "AND o_orderpriority IS NOT NULL) d) "
                        "SELECT o.o_orderkey, o.o_orderpriority, m.code AS o_orderpriority_code FROM orders o "
@@ -551,7 +598,7 @@ def build() -> dict:
     q["interaction_features"] = f"SELECT l.*, h.* EXCLUDE (user_id, \"date\") FROM {LABELS} l JOIN {hp} h USING (user_id, \"date\")"
     q["transaction_features"] = (f"SELECT l.user_id, l.\"date\", l.label, CAST(f.n_events AS BIGINT) AS n_events, f.total_value "
                                  f"FROM {LABELS} l JOIN {daily_facts_sql()} f ON f.user_id = l.user_id AND f.as_of_dt + 1 = l.\"date\"")
-    q["prepare_features"] = (f"SELECT o_orderkey, o_totalprice, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) "
+    q["prepare_features"] = (f"SELECT o_orderkey, o_totalprice, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS BIGINT) "
                              f"AS o_orderpriority, month_idx, week_idx FROM {mo} m")
     imp = (f"(SELECT var AS feature, round(sum(iv), {R}) AS gain_importance, CAST(count(DISTINCT bin) AS BIGINT) AS split_importance "
            f"FROM ({iv_verbose_sql('orders', 'o_orderstatus', ['o_totalprice'], [], ['o_orderpriority'], rnd=False)}) v GROUP BY var)")

@@ -23,8 +23,7 @@ e = e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwi
 e = e.withColumn("value", F.when(F.col("value") > 50, F.col("value")))
 print("rows", e.count(), "hot", e.where("user_id = 0").count())
 for name, fn in [
-    ("ffill_chunked", lambda: windows.forward_fill(e.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], ["value"], "ts", 3)),
-    ("ffill_single_window", lambda: windows.forward_fill(e.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], ["value"], None, None)),
+    ("forward_fill", lambda: windows.forward_fill(e.select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"], ["value"])),
     ("history_pivot", lambda: windows.history_pivot(e, "user_id", "ts", "event_type", ["click", "error", "purchase", "signup", "view"])),
     ("lookahead", lambda: windows.lookahead_labels(e, "user_id", "ts", "event_type")),
 ]:

@@ -8,7 +8,7 @@ def test_crosstab_margins_fixture(spark):
     df = spark.createDataFrame(rows, "c int, l string, d string")
     ct = {(r["label"], r["period"]): r["n"] for r in drift.crosstab_margins(df, "l", "d", "c").collect()}
     assert ct[("a", "x")] == 1 and ct[("a", "y")] == 1 and ct[("a", "All")] == 2
-    assert ct.get(("b", "x"), 0) == 0 and ct[("b", "y")] == 1 and ct[("b", "All")] == 1
+    assert ct[("b", "x")] == 0 and ct[("b", "y")] == 1 and ct[("b", "All")] == 1
     assert ct[("All", "x")] == 1 and ct[("All", "y")] == 2 and ct[("All", "All")] == 3
     assert sum(v for (l, p), v in ct.items() if l != "All" and p != "All") == ct[("All", "All")]
 
@@ -68,3 +68,15 @@ def test_label_report_tables_and_psi_nonnegative(spark, sf_small):
         tot = {r["period"]: r["n"] for r in rep[f"total_{g}"].where("label = 'All'").collect()}
         cells = rep[f"total_{g}"].where("label <> 'All' AND period <> 'All'").groupBy("period").sum("n").collect()
         assert all(tot[r["period"]] == r["sum(n)"] for r in cells)
+
+
+def test_a_label_and_a_period_named_all(spark):
+    rows = [(i, l, p) for i, (l, p) in enumerate([("All", "p1"), ("a", "p1"), ("a", "All"), ("All", "All"), ("All", "All")])]
+    df = spark.createDataFrame(rows, "k int, l string, p string")
+    ct = drift.crosstab_margins(df, "l", "p", "k")
+    data = {(r.label, r.period): r.n for r in ct.where("not all_labels and not all_periods").collect()}
+    assert data == {("All", "p1"): 1, ("a", "p1"): 1, ("a", "All"): 1, ("All", "All"): 2}
+    total = ct.where("all_labels and all_periods").collect()
+    assert [r.n for r in total] == [5]
+    p = drift.psi(drift.crosstab_ratio(ct)).where("not all_labels").collect()
+    assert {r.label for r in p} == {"All", "a"} and len(p) == 4

@@ -128,8 +128,8 @@ def test_stratified_threshold_equals_plain_window(spark, sf_small):
     w = Window.partitionBy("o_orderstatus").orderBy(hash_order_key(3, "o_orderkey"), "o_orderkey")
     ref = sorted(r[0] for r in o.withColumn("rn", F.row_number().over(w)).where("rn <= 40")
                  .select("o_orderkey").collect())
-    for margin in (0.01, 1.2):
-        got = sorted(r[0] for r in sampling.stratified_sample(o, "o_orderstatus", 40, 3, ["o_orderkey"], margin)
+    for parts in (1, 5):
+        got = sorted(r[0] for r in sampling.stratified_sample(o.repartition(parts), "o_orderstatus", 40, 3, ["o_orderkey"])
                      .select("o_orderkey").collect())
         assert got == ref
 
@@ -137,6 +137,6 @@ def test_stratified_threshold_equals_plain_window(spark, sf_small):
 def test_stratified_with_null_label(spark):
     rows = [(i, "a" if i % 3 else None) for i in range(60)]
     df = spark.createDataFrame(rows, "k int, l string")
-    got = {r["l"]: r["count"] for r in sampling.stratified_sample(df, "l", 5, 1, ["k"], 0.01)
+    got = {r["l"]: r["count"] for r in sampling.stratified_sample(df, "l", 5, 1, ["k"])
            .groupBy("l").count().collect()}
     assert got == {"a": 5, None: 5}

@@ -29,7 +29,7 @@ def test_exact_quantiles_equal_numpy_linear(spark):
     vals = [round(rnd.gauss(0, 10), 2) for _ in range(2001)] + [5.0] * 300
     df = spark.createDataFrame([("v", x) for x in vals], "g string, x double")
     probs = [i / 10 for i in range(11)]
-    got = exact_quantiles(df, "g", "x", probs, num_partitions=5, inline_max_distinct=None).first()["quantiles"]
+    got = exact_quantiles(df, "g", "x", probs, num_partitions=5).first()["quantiles"]
     ref = np.quantile(np.array(vals), probs, method="linear")
     assert all(math.isclose(a, b, rel_tol=1e-12, abs_tol=1e-9) for a, b in zip(got, ref))
 
@@ -93,7 +93,7 @@ def test_exact_quantiles_both_paths_agree(spark):
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     a = {r["g"]: r["quantiles"] for r in exact_quantiles(df, "g", "x", probs).collect()}
     b = {r["g"]: r["quantiles"] for r in
-         exact_quantiles(df, "g", "x", probs, num_partitions=5, inline_max_distinct=None).collect()}
+         exact_quantiles(df, "g", "x", probs, num_partitions=5).collect()}
     for k in a:
         ref = np.quantile(np.array([x for g, x in rows if g == k]), probs, method="linear")
         assert all(math.isclose(p, q, rel_tol=1e-12, abs_tol=1e-12) for p, q in zip(a[k], ref))
@@ -105,7 +105,7 @@ def test_exact_quantiles_many_groups_distributed(spark):
     rows = [(f"c{rnd.randint(0, 300)}", float(rnd.randint(0, 40))) for _ in range(3000)]
     df = spark.createDataFrame(rows, "g string, x double")
     got = {r["g"]: r["quantiles"][0] for r in
-           exact_quantiles(df, "g", "x", [0.5], num_partitions=7, inline_max_distinct=None).collect()}
+           exact_quantiles(df, "g", "x", [0.5], num_partitions=7).collect()}
     for k, med in got.items():
         assert math.isclose(med, float(np.median([x for g, x in rows if g == k])), abs_tol=1e-12)
     assert len(got) == len({g for g, _ in rows})

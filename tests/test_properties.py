@@ -18,7 +18,7 @@ def test_distributed_quantiles_match_numpy(spark, a, b):
     df = spark.createDataFrame(rows, "g string, x double")
     probs = [0.0, 0.1, 0.33, 0.5, 0.9, 1.0]
     got = {r["g"]: r["quantiles"] for r in
-           exact_quantiles(df, "g", "x", probs, num_partitions=3, inline_max_distinct=None).collect()}
+           exact_quantiles(df, "g", "x", probs, num_partitions=3).collect()}
     for g, xs in (("a", a), ("b", b)):
         ref = np.quantile(np.array(xs, dtype=float), probs, method="linear")
         assert all(math.isclose(p, q, rel_tol=1e-12, abs_tol=1e-9) for p, q in zip(got[g], ref))

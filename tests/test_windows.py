@@ -45,30 +45,41 @@ def test_history_window_bounds(spark):
     assert got[_d(62)] == (0, 1)   # day 1 is 61 days earlier: outside
 
 
-def test_forward_fill_fixture_and_chunks(spark):
+def test_forward_fill_fixture(spark):
     vals = [None, 3.0, None, 5.0, None]
     rows = [(1, _d(i * 20 + 1), v) for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "k int, d date, v double")
-    for chunk in (None, 7, 1000):
-        got = [r["v"] for r in windows.forward_fill(df, "k", ["d"], ["v"], "d", chunk).orderBy("d").collect()]
-        assert got == [None, 3.0, 3.0, 5.0, 5.0], chunk
+    for parts in (1, 3, 8):
+        got = [r["v"] for r in windows.forward_fill(df, "k", ["d"], ["v"], parts).orderBy("d").collect()]
+        assert got == [None, 3.0, 3.0, 5.0, 5.0], parts
 
 
-def test_forward_fill_hot_key_matches_single_window(spark):
+def _single_window(df, key, order, col):
+    from pyspark.sql import Window, functions as F
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn(col, F.last(col, ignorenulls=True).over(w))
+
+
+def test_forward_fill_hot_key_null_keys_and_dates(spark):
     import random
     rnd = random.Random(1)
-    rows = [(0 if rnd.random() < 0.5 else rnd.randint(1, 9), _d(rnd.randint(1, 300)), i,
+    rows = [(rnd.choice([0, 0, 0, None, rnd.randint(1, 9)]), rnd.choice([None, _d(rnd.randint(1, 300))]), i,
              rnd.random() if rnd.random() < 0.2 else None) for i in range(2000)]
     df = spark.createDataFrame(rows, "k int, d date, i int, v double")
-    a = windows.forward_fill(df, "k", ["d", "i"], ["v"], "d", 10).orderBy("i").collect()
-    b = windows.forward_fill(df, "k", ["d", "i"], ["v"], None, None).orderBy("i").collect()
+    a = windows.forward_fill(df, "k", ["d", "i"], ["v"]).orderBy("i").collect()
+    b = _single_window(df, "k", ["d", "i"], "v").orderBy("i").collect()
     assert [r["v"] for r in a] == [r["v"] for r in b]
     # idempotent
-    c = windows.forward_fill(windows.forward_fill(df, "k", ["d", "i"], ["v"], "d", 10),
-                             "k", ["d", "i"], ["v"], "d", 10).orderBy("i").collect()
+    c = windows.forward_fill(windows.forward_fill(df, "k", ["d", "i"], ["v"]), "k", ["d", "i"], ["v"]).orderBy("i").collect()
     assert [r["v"] for r in a] == [r["v"] for r in c]
 
 
+def test_history_pivot_refuses_an_intent_named_like_the_empty_column(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        windows.history_pivot(_events(spark, [(1, 1, "null"), (1, 2, "B")]), "u", "ts", "intent")
+
+
 def test_history_pivot_discovers_values(spark):
     df = _events(spark, [(1, 1, "A"), (1, 2, "B")])
     cols = windows.history_pivot(df, "u", "ts", "intent").columns
