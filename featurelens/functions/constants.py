@@ -61,10 +61,8 @@ NO_HISTORY = "null"
 SAMPLE_ROWS = 20000
 SAMPLE_SEED = 111
 ROWS_PER_LABEL = 200
-PROFILE_ROWS = 5000
 TEST_PERCENT = 20
 SPLIT_SEED = 33
-SPLIT_SEED_RETRAIN = 99
 
 # remark texts
 REMARK_MISSING = "missing_rate==1"

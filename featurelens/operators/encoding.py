@@ -17,7 +17,7 @@ from featurelens.functions.constants import LEAST_PERC
 from featurelens.operators.ranking import ordered_index
 from featurelens.session import cut_lineage
 
-MAP_SCHEMA = "artefact string, kind string, column string, value string, code int"
+MAP_SCHEMA = "artefact string, kind string, column string, value string, code long"
 
 
 def _map_rows(df: DataFrame, artefact: str, kind: str) -> DataFrame:
@@ -123,17 +123,36 @@ def encode_categories_train(df: DataFrame, cols: Sequence[str], artefact: str =
 
 def encode_categories_score(df: DataFrame, cols: Sequence[str], maps: DataFrame,
                             artefact: str = "training") -> DataFrame:
+    """Apply a map of :func:`encode_categories_map`."""
     return apply_category_map(df, cols, maps, artefact, "category")
 
 
-# retraining uses the same functions under another artefact name
-def encode_categories_retrain(df: DataFrame, cols: Sequence[str]):
-    return encode_categories_train(df, cols, artefact="retraining")
+def label_encode_train(df: DataFrame, label: str, path: str, artefact: str = "training", out: str | None = None) -> DataFrame:
+    """Encode the label and save its map to the artefact table at ``path``."""
+    from featurelens.sources.reports import save_artefacts
+    enc, m = label_encode(df, label, artefact, out)
+    save_artefacts(m, path)
+    return enc
 
 
-def encode_categories_retrain_score(df: DataFrame, cols: Sequence[str], maps: DataFrame) -> DataFrame:
-    return encode_categories_score(df, cols, maps, artefact="retraining")
+def encode_categories_fit(df: DataFrame, cols: Sequence[str], path: str, artefact: str = "training") -> DataFrame:
+    """Encode the columns and save their map to the artefact table at ``path``."""
+    from featurelens.sources.reports import save_artefacts
+    enc, m = encode_categories_train(df, cols, artefact)
+    save_artefacts(m, path)
+    return enc
 
 
-def label_encode_retrain(df: DataFrame, label: str, out: str | None = None):
-    return label_encode(df, label, artefact="retraining", out=out)
+# retraining: the same functions under another artefact name
+def label_encode_retrain(df: DataFrame, label: str, path: str, out: str | None = None) -> DataFrame:
+    return label_encode_train(df, label, path, "retraining", out)
+
+
+def encode_categories_retrain(df: DataFrame, cols: Sequence[str], path: str) -> DataFrame:
+    return encode_categories_fit(df, cols, path, "retraining")
+
+
+def encode_categories_retrain_score(df: DataFrame, cols: Sequence[str], path: str) -> DataFrame:
+    """Apply the map that :func:`encode_categories_retrain` saved."""
+    from featurelens.sources.reports import load_artefacts
+    return encode_categories_score(df, cols, load_artefacts(df.sparkSession, path, "retraining"), "retraining")

@@ -155,7 +155,7 @@ def data_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def data_profile(df: DataFrame, columns: Sequence[str] | None = None, sample_size: int = 4) -> DataFrame:
     """Data-quality profile: records, dtype, distinct, missing, duplicated,
     up to ``sample_size`` sample values (lowest distinct) and the value range
-    (numbers; text only when every value is a date)."""
+    (numbers; text only when every value is a date), by feature name."""
     st = column_stats(df, columns)
     numeric = F.col("proposed_data_type") == "numerical"
     rng = (F.when(numeric & F.col("min_int").isNotNull(), value_range(F.col("min_int"), F.col("max_int"), "integer"))
@@ -172,7 +172,7 @@ def data_profile(df: DataFrame, columns: Sequence[str] | None = None, sample_siz
         (F.col("rows") - F.col("num_unique")).cast("long").alias("count_duplicated"),
         F.slice(F.col("lowest"), 1, sample_size).alias("sample_values"),
         rng.alias("range_of_features"),
-    )
+    ).orderBy("feature_name")
 
 
 def profile_table(df: DataFrame, partition_col: str | None = None, start=None, end=None,

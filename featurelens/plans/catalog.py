@@ -108,11 +108,9 @@ def _iv_importance(spark, sf):
         F.count_distinct("bin").alias("split_importance"))
 
 
-def _model(spark, sf):
-    prep = feats.prepare_features(_t(spark, sf, "orders"), ORDER_SPEC)
-    x, _m = enc.label_encode(prep.df, "o_orderstatus")
-    x = sampling.split_by_customer(x, "o_custkey")
-    return mdl.train_ova_model(x, prep.valid, "o_orderstatus_idx", parallelism=3), prep
+def _run(spark, sf, base=None):
+    return mdl.run_model_pipeline(_t(spark, sf, "orders"), ORDER_SPEC, 1, base, "orders",
+                                  keys=("o_orderkey",), parallelism=3)
 
 
 def build() -> dict:
@@ -445,35 +443,50 @@ def build() -> dict:
     q["auc_mu"] = lambda s, sf: mdl.auc_mu_pairs(_scores(s, sf), "y", ["p0", "p1", "p2"]).withColumn(
         "auc", F.round("auc", R))
 
-    def train_ova_model(s, sf):
-        tm, _prep = _model(s, sf)
-        return mdl.model_scores(tm, "test")
-    q["train_ova_model"] = train_ova_model
-
-    def learning_curve(s, sf):
-        tm, _prep = _model(s, sf)
-        return mdl.learning_curve(tm)
-    q["learning_curve"] = learning_curve
-
-    def feature_importance(s, sf):
-        tm, _prep = _model(s, sf)
-        return mdl.feature_importance(tm)
-    q["feature_importance"] = feature_importance
+    q["auc_mu_mean"] = lambda s, sf: mdl.auc_mu(_scores(s, sf), "y", ["p0", "p1", "p2"]).withColumn(
+        "auc_mu", F.round("auc_mu", R))
+    q["train_ova_model"] = lambda s, sf: mdl.model_scores(_run(s, sf).trained, "test")
+    q["learning_curve"] = lambda s, sf: _run(s, sf).learning
+    q["feature_importance"] = lambda s, sf: _run(s, sf).importance
 
     def save_feature_report(s, sf):
         from featurelens.session import scratch_dir
         from featurelens.sources.reports import read_report
-        tm, prep = _model(s, sf)
-        imp = mdl.feature_importance(tm)
-        x, _m = enc.label_encode(sampling.split_by_customer(prep.df, "o_custkey"), "o_orderstatus")
         base = scratch_dir(s, "feature_report")
-        mdl.save_feature_report(
-            base, "orders", prep.summary.withColumn("samples", F.array_join("samples", "|")),
-            sampling.split_counts(x, "o_custkey"),
-            sampling.label_distribution(x, "o_orderstatus_idx", "split", "o_orderstatus"),
-            mdl.learning_curve(tm), imp, mdl.feature_report(prep.summary, imp, ORDER_SPEC, 1))
+        _run(s, sf, base)
         return read_report(s, base, "orders", "feature_selection_report")
     q["save_feature_report"] = save_feature_report
+
+    def model_run(s, sf):
+        """The countable part of a whole run: scored test rows per class,
+        iterations per class, pairs of classes, rows of the saved sections."""
+        from featurelens.session import scratch_dir
+        from featurelens.sources.reports import read_report
+        base = scratch_dir(s, "model_run")
+        run = _run(s, sf, base)
+        scored = mdl.model_scores(run.trained, "test").where("score_0 is not null")
+        parts = [scored.groupBy(F.col("o_orderstatus_idx").cast("string").alias("key")).agg(F.count_distinct("o_orderkey").alias("n"))
+                 .select(F.lit("scored").alias("part"), "key", "n"),
+                 run.learning.groupBy(F.col("class").cast("string").alias("key")).agg(F.max("iteration").cast("long").alias("n"))
+                 .select(F.lit("iterations").alias("part"), "key", "n"),
+                 run.auc_mu.select(F.lit("auc").alias("part"), F.lit("pairs").alias("key"), F.col("pairs").cast("long").alias("n"))]
+        for name in ("data_summary", "train_test_count", "label_dist", "learning_details", "feature_selection_report"):
+            parts.append(read_report(s, base, "orders", name).agg(F.count(F.lit(1)).alias("n"))
+                         .select(F.lit("section").alias("part"), F.lit(name).alias("key"), "n"))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    q["model_run"] = model_run
+
+    def retrain(s, sf):
+        from featurelens.session import scratch_dir
+        path = scratch_dir(s, "retrain")
+        p = _t(s, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+        enc.label_encode_retrain(p, "p_brand", path)
+        enc.encode_categories_retrain(p.where(F.col("p_size") <= 25), ["p_brand", "p_type"], path)
+        return enc.encode_categories_retrain_score(p.where(F.col("p_size") > 25), ["p_brand", "p_type"], path)
+    q["encode_categories_retrain"] = retrain
     return {k: _dates_as_text(v) for k, v in q.items()}
 
 

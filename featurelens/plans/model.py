@@ -3,7 +3,6 @@ the feature selection report."""
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -25,16 +24,18 @@ class TrainedModel:
     train: DataFrame
     test: DataFrame
     num_classes: int
+    keys: tuple = ()
 
 
 def train_ova_model(df: DataFrame, features: Sequence[str], label_idx: str, split_col: str = "split",
                     max_depth: int = 3, max_iter: int = 20, step_size: float = 0.1, seed: int = 33,
-                    parallelism: int = 4, checkpoint: bool = True) -> TrainedModel:
+                    parallelism: int = 4, checkpoint: bool = True, keys: Sequence[str] = ()) -> TrainedModel:
     """Fit one boosted-tree model per class (one-vs-rest) on the train rows.
 
     The assembled training frame is checkpointed to the shared folder
     (``spark.checkpoint.dir``): the trees read it many times, and a lost
     executor then recomputes from the checkpoint, not the whole lineage.
+    ``keys`` are carried along, so that scores can be joined back.
     """
     from pyspark.ml.classification import GBTClassifier, OneVsRest
     from pyspark.ml.feature import VectorAssembler
@@ -43,7 +44,7 @@ def train_ova_model(df: DataFrame, features: Sequence[str], label_idx: str, spli
 
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     data = asm.transform(df.withColumn(label_idx, F.col(label_idx).cast("double")))
-    data = data.select("features", label_idx, split_col)
+    data = data.select(*keys, "features", label_idx, split_col)
     if checkpoint:
         data = cut_lineage(data)
     train = data.where(F.col(split_col) == "train")
@@ -51,7 +52,7 @@ def train_ova_model(df: DataFrame, features: Sequence[str], label_idx: str, spli
     gbt = GBTClassifier(maxDepth=max_depth, maxIter=max_iter, stepSize=step_size, seed=seed)
     ovr = OneVsRest(classifier=gbt, labelCol=label_idx, featuresCol="features", parallelism=parallelism)
     model = ovr.fit(train)
-    return TrainedModel(model, list(features), label_idx, train, test, len(model.models))
+    return TrainedModel(model, list(features), label_idx, train, test, len(model.models), tuple(keys))
 
 
 def learning_curve(tm: TrainedModel) -> DataFrame:
@@ -70,21 +71,23 @@ def learning_curve(tm: TrainedModel) -> DataFrame:
 
 
 def feature_importance(tm: TrainedModel) -> DataFrame:
-    """(feature, gain_importance, split_importance) summed over class models:
-    gain = MLlib's normalised gain importance, split = number of splits."""
-    n = len(tm.features)
-    gain = [0.0] * n
-    splits = [0] * n
-    pat = re.compile(r"If \(feature (\d+) ")
-    for sub in tm.model.models:
-        imp = sub.featureImportances.toArray()
-        for i in range(n):
-            gain[i] += float(imp[i]) if i < len(imp) else 0.0
-        for m in pat.finditer(sub.toDebugString):
-            splits[int(m.group(1))] += 1
-    rows = [(tm.features[i], gain[i], splits[i]) for i in range(n)]
+    """(feature, gain_importance, split_importance) over the inner nodes of all
+    trees of all class models: the sum of gain x rows, and the number of
+    splits. Read from the models' saved trees."""
+    from featurelens.session import scratch_dir
     spark = tm.train.sparkSession
-    return (spark.createDataFrame(rows, "feature string, gain_importance double, split_importance long")
+    nodes = None
+    for k, sub in enumerate(tm.model.models):
+        path = scratch_dir(spark, f"trees-{k}")
+        sub.save(path)
+        one = spark.read.parquet(f"{path}/data").select("nodeData.*")
+        nodes = one if nodes is None else nodes.unionByName(one)
+    used = (nodes.where("leftChild >= 0").groupBy(F.col("split.featureIndex").alias("_i"))
+                 .agg(F.sum(F.col("gain") * F.col("rawCount")).alias("gain_importance"), F.count("*").alias("split_importance")))
+    names = spark.createDataFrame(list(enumerate(tm.features)), "_i int, feature string")
+    return (names.join(used, "_i", "left")
+                 .select("feature", F.coalesce("gain_importance", F.lit(0.0)).alias("gain_importance"),
+                         F.coalesce("split_importance", F.lit(0)).alias("split_importance"))
                  .orderBy(F.col("gain_importance").desc(), "feature"))
 
 
@@ -105,16 +108,12 @@ def importance_elbow(importance: DataFrame) -> int:
 def auc_mu_pairs(scores: DataFrame, label_idx: str, score_cols: Sequence[str]) -> DataFrame:
     """Pairwise AUC of classes (i, j), i < j, scored by s = p_i - p_j
     (Kleiman & Page, 2019): P(s_i > s_j) + 0.5 P(s_i = s_j)."""
-    k = len(score_cols)
-    lab = F.col(label_idx).cast("int")
-    items = []
-    for i in range(k):
-        for j in range(i + 1, k):
-            items.append(F.when((lab == i) | (lab == j), F.struct(
-                F.lit(i).alias("ci"), F.lit(j).alias("cj"),
-                (F.col(score_cols[i]) - F.col(score_cols[j])).alias("s"),
-                (lab == i).alias("is_i"))))
-    long = scores.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("t")).select("t.*")
+    lab, p = F.col(label_idx).cast("int"), F.array(*[F.col(c) for c in score_cols])
+    # a row meets each other class once
+    met = scores.select(lab.alias("y"), p.alias("p"), F.explode(F.sequence(F.lit(0), F.lit(len(score_cols) - 1))).alias("o")).where("o <> y")
+    long = met.select(F.least("y", "o").alias("ci"), F.greatest("y", "o").alias("cj"),
+                      (F.get("p", F.least("y", "o")) - F.get("p", F.greatest("y", "o"))).alias("s"),
+                      (F.col("y") < F.col("o")).alias("is_i"))
     cnt = long.groupBy("ci", "cj", "s").agg(F.count(F.when(F.col("is_i"), 1)).alias("ni"),
                                            F.count(F.when(~F.col("is_i"), 1)).alias("nj"))
     ranked = running_total(cnt, [F.col("s")], ["ci", "cj"], "nj", "cum_nj")
@@ -133,15 +132,14 @@ def auc_mu(scores: DataFrame, label_idx: str, score_cols: Sequence[str]) -> Data
 
 
 def model_scores(tm: TrainedModel, part: str = "test") -> DataFrame:
-    """(label_idx, score_0..score_k-1) from the class models' raw margins."""
-    d = tm.test if part == "test" else tm.train
-    cols = [F.col(tm.label_idx).cast("int").alias(tm.label_idx)]
-    out = d
-    for k, sub in enumerate(tm.model.models):
-        out = sub.setRawPredictionCol(f"_raw{k}").setPredictionCol(f"_pred{k}") \
-                 .setProbabilityCol(f"_prob{k}").transform(out).drop(f"_pred{k}", f"_prob{k}")
+    """(keys, label_idx, score_0..score_k-1) from the class models' raw margins."""
     from pyspark.ml.functions import vector_to_array as vec
-    for k in range(tm.num_classes):
+    out = tm.test if part == "test" else tm.train
+    cols = [*tm.keys, F.col(tm.label_idx).cast("int").alias(tm.label_idx)]
+    for k, sub in enumerate(tm.model.models):
+        # a copy: the fitted model keeps its own column names
+        out = (sub.copy().setRawPredictionCol(f"_raw{k}").setPredictionCol(f"_pred{k}")
+                  .setProbabilityCol(f"_prob{k}").transform(out).drop(f"_pred{k}", f"_prob{k}"))
         cols.append(vec(F.col(f"_raw{k}"))[1].alias(f"score_{k}"))
     return out.select(*cols)
 
@@ -181,6 +179,59 @@ def sort_feature_report(rep: DataFrame) -> DataFrame:
     return rep.orderBy(F.col("gain_importance").desc_nulls_last(), "var")
 
 
+@dataclass
+class ModelRun:
+    """What :func:`run_model_pipeline` leaves."""
+    prepared: object
+    trained: TrainedModel
+    label_map: DataFrame
+    split_counts: DataFrame
+    label_distribution: DataFrame
+    learning: DataFrame
+    importance: DataFrame
+    elbow: int
+    auc_mu: DataFrame
+    report: DataFrame
+    path: str | None = None
+
+
+def run_model_pipeline(df: DataFrame, spec, number_of_features: int | None = None, base: str | None = None,
+                       report: str = "model", artefacts: str | None = None, artefact: str = "training",
+                       keys: Sequence[str] = (), **train_args) -> ModelRun:
+    """The whole run: features -> label codes -> split by customer -> one
+    model per class -> curves, importance, AUC of the test rows, feature
+    report.
+
+    Without ``number_of_features`` the elbow of the importance curve decides.
+    ``base`` saves the report's sections, ``artefacts`` the label and category
+    maps.
+    """
+    from featurelens.operators import encoding, sampling
+    from featurelens.plans.features import prepare_features
+    prep = prepare_features(df, spec)
+    x, labels = encoding.label_encode(prep.df, spec.label, artefact)
+    x = sampling.split_by_customer(x, spec.cust_key)
+    idx = f"{spec.label}_idx"
+    tm = train_ova_model(x, prep.valid, idx, keys=keys, **train_args)
+    importance = feature_importance(tm)
+    elbow = importance_elbow(importance)
+    counts = sampling.split_counts(x, spec.cust_key)
+    dist = sampling.label_distribution(x, idx, "split", spec.label)
+    learning = learning_curve(tm)
+    auc = auc_mu(model_scores(tm, "test"), idx, [f"score_{k}" for k in range(tm.num_classes)])
+    rep = sort_feature_report(feature_report(prep.summary, importance, spec, number_of_features or elbow))
+    if artefacts:
+        from featurelens.sources.reports import save_artefacts
+        save_artefacts(labels, artefacts)
+        if prep.category_map is not None:
+            save_artefacts(prep.category_map, artefacts)
+    path = None
+    if base:
+        summary = prep.summary.withColumn("samples", F.array_join("samples", "|"))
+        path = save_feature_report(base, report, summary, counts, dist, learning, importance, rep)
+    return ModelRun(prep, tm, labels, counts, dist, learning, importance, elbow, auc, rep, path)
+
+
 def save_feature_report(base: str, report: str, summary: DataFrame, split_counts: DataFrame,
                         label_dist: DataFrame, learning: DataFrame, importance: DataFrame,
                         selection: DataFrame) -> str:

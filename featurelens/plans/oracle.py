@@ -586,6 +586,8 @@ def build() -> dict:
     q["encode_categories_score"] = (cat_apply("AND p_size <= 25", "WHERE p.p_size > 25")
                                     .replace("SELECT p.p_partkey,", "SELECT p.p_partkey, p.p_size,", 1))
 
+    # the saved map of the retraining: the same codes
+    q["encode_categories_retrain"] = q["encode_categories_score"]
     q["lookup_map"] = ("WITH m AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS BIGINT) AS code FROM "
                        "(SELECT DISTINCT o_orderpriority AS value FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' "
                        "AND o_orderpriority IS NOT NULL) d) "
@@ -626,6 +628,20 @@ def build() -> dict:
         f"r AS (SELECT *, sum(nj) OVER (PARTITION BY ci, cj ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_nj FROM c) "
         f"SELECT CAST(ci AS INTEGER) AS ci, CAST(cj AS INTEGER) AS cj, round(sum(ni * (cum_nj - nj + nj * 0.5)) / (sum(ni) * sum(nj)), {R}) AS auc, "
         f"CAST(sum(ni) AS BIGINT) AS n_i, CAST(sum(nj) AS BIGINT) AS n_j FROM r GROUP BY ci, cj")
+    q["auc_mu_mean"] = (f"SELECT round(avg(auc), {R}) AS auc_mu, CAST(count(*) AS BIGINT) AS pairs FROM "
+                        f"({q['auc_mu'].replace(f'round(sum(ni * (cum_nj - nj + nj * 0.5)) / (sum(ni) * sum(nj)), {R})', 'sum(ni * (cum_nj - nj + nj * 0.5)) / (sum(ni) * sum(nj))')}) a")
+    prepared = periods_sql("orders", "o_orderdate")
+    classes = f"(SELECT count(DISTINCT o_orderstatus) FROM {prepared} p)"
+    columns = "(SELECT count(*) + 4 FROM (DESCRIBE orders))"
+    one = "SELECT 'section' AS part, '{}' AS key, CAST({} AS BIGINT) AS n"
+    q["model_run"] = (
+        f"SELECT 'scored' AS part, CAST(c AS VARCHAR) AS key, CAST(count(*) AS BIGINT) AS n FROM (SELECT dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS c, "
+        f"{_md5_bucket(33, 'o_custkey')} < 20 AS test FROM {prepared} p) x WHERE test GROUP BY c "
+        f"UNION ALL SELECT 'iterations', CAST(i AS VARCHAR), CAST(20 AS BIGINT) FROM (SELECT unnest(range({classes})) AS i) y "
+        f"UNION ALL SELECT 'auc', 'pairs', CAST({classes} * ({classes} - 1) / 2 AS BIGINT) UNION ALL "
+        + " UNION ALL ".join(one.format(k, v) for k, v in (
+            ("data_summary", columns), ("train_test_count", 3), ("label_dist", classes), ("learning_details", f"20 * {classes}"),
+            ("feature_selection_report", columns))))
     # DATE columns as ISO text at the comparison edge (same on the Spark side)
     for k in DATE_COLUMN_QUERIES:
         q[k] = f'SELECT * REPLACE (CAST("date" AS VARCHAR) AS "date") FROM ({q[k]}) _o'

@@ -13,6 +13,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -70,19 +71,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint to the shared folder (survives executor loss).
 
-    The frame is persisted for the duration of the checkpoint: the eager
-    count fills the cache and the checkpoint write reads it, instead of
-    computing the upstream a second time.
+    The write is the only computation of the upstream. Files of checkpoints
+    that are no longer referenced go with ``spark.cleaner.referenceTracking.
+    cleanCheckpoints``, which :func:`get_session` sets.
     """
-    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    if not eager:
-        return df.checkpoint(eager=False)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist(blocking=False)
+    return df.checkpoint(eager=eager)
 
 
 __all__ = ["get_session", "checkpoint_dir", "scratch_dir", "cut_lineage", "DEFAULT_CONF"]

@@ -13,27 +13,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from featurelens.sources.tables import write_table
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def write_report(sections: dict, base: str, report: str, overwrite: bool = False,
                  csv: bool = False) -> str:
     """Write each DataFrame of ``sections`` to ``<base>/<report>/section=<name>``.
 
-    ``overwrite`` clears the whole report first; otherwise only the written
-    sections are replaced.
+    ``overwrite`` clears the whole report first, by an overwrite with an empty
+    table; otherwise only the written sections are replaced.
     """
     root = f"{base.rstrip('/')}/{report}"
     if not sections:
         return root
     spark = next(iter(sections.values())).sparkSession
     if overwrite:
-        fs, p = _fs(spark, root)
-        if fs.exists(p):
-            fs.delete(p, True)
+        # an empty table in place of the whole report
+        spark.createDataFrame([], "section_note string").write.mode("overwrite").parquet(root)
     for name, df in sections.items():
         path = f"{root}/section={name}"
         if csv:

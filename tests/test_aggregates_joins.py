@@ -69,3 +69,27 @@ def test_split_in_time_ranges(spark):
     df = spark.createDataFrame(rows, "i int, c int, d timestamp_ntz")
     got = {r["i"]: r["split"] for r in split_in_time(df, "d", "c").collect()}
     assert set(got) == {10, 20} and got[20] == "oos" and got[10] in ("train", "test")
+
+
+def test_null_labels_are_no_value(spark):
+    df = spark.createDataFrame([("a", "train"), (None, "train"), (None, "test"), ("a", "test"), ("b", "train")], "l string, split string")
+    assert {r["l"]: r["percentage"] for r in agg.freq_table(df, "l").collect()} == {"a": 2 / 3, "b": 1 / 3}
+    from featurelens.operators import sampling
+    got = [(r["l"], r["count"], r["percentage_train"]) for r in sampling.label_distribution(df, "l").collect()]
+    assert got == [("a", 2, 0.5), ("b", 1, 0.5)]
+
+
+def test_cover_labels_with_shared_and_null_order_keys(spark):
+    from featurelens.operators import sampling
+    rows = [(1, "x", "train"), (1, "y", "train"), (1, "z", "train"), (None, "x", "test"), (None, "x", "test")]
+    df = spark.createDataFrame(rows, "k int, l string, split string")
+    out, _train, _test = sampling.cover_labels(df, "l", "split", ["k"])
+    got = out.collect()
+    assert len(got) == 5 and {r["l"] for r in got if r["split"] == "test"} == {"y", "z"}
+
+
+def test_last_day_is_whole(spark):
+    import datetime as dt
+    from featurelens.operators import columns
+    df = spark.createDataFrame([(dt.datetime(1996, 12, 31, 10),), (dt.datetime(1997, 1, 1),)], "t timestamp")
+    assert columns.between_dates(df, "t", "1996-01-01", "1996-12-31").count() == 1

@@ -109,3 +109,9 @@ def test_exact_quantiles_many_groups_distributed(spark):
     for k, med in got.items():
         assert math.isclose(med, float(np.median([x for g, x in rows if g == k])), abs_tol=1e-12)
     assert len(got) == len({g for g, _ in rows})
+
+
+def test_iv_of_a_short_integer_with_nulls(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", 1), ("b", 2)], "y string, x int").selectExpr("y", "cast(x as tinyint) as x")
+    v = iv.iv_verbose(df, "y", iv.BinPlan((), ("x",), ())).collect()
+    assert {r["bin"] for r in v} == {"1", "2", "9999999"} and len(v) == 6

@@ -93,3 +93,11 @@ def test_decimal_column_summary_and_profile(spark):
     assert r["samples"] == ["0.00", "1.50"]
     pr = _by_var(data_profile(df), "feature_name")["p"]
     assert pr["range_of_features"] == "min -> max: (0.000, 1.500)"
+
+
+def test_digits_are_no_date_and_long_integers_stay_exact(spark):
+    df = spark.createDataFrame([("12345", "2024-01-05", 9007199254740993), ("67890", "2024-02-05 10:00:00", 1)], "zip string, day string, big long")
+    got = {r["feature_name"]: r["range_of_features"] for r in data_profile(df).collect()}
+    assert got["zip"] == "not_applicable"
+    assert got["day"] == "min -> max: (2024-01-05, 2024-02-05 10:00:00)"
+    assert got["big"] == "min -> max: (1.000, 9007199254740993.000)"
