@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featurelens.llm import decontaminate, embeddings, html_diff, katz, licenses, line_dedup, mixing, ngram_join, pii, quality
+from featurelens.llm import decontaminate, embeddings, html_diff, katz, licenses, line_dedup, mixing, ngram_join, oracle, pii, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,4 +73,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
