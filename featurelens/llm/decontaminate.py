@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from featurelens.llm import tokens as T
-from featurelens.llm.tables import ready
+from featurelens.llm.tables import ready, stage
 
 OUT = "doc_id long, item_id long, containment double, n_shared long, n_item long"
 
@@ -81,7 +81,7 @@ def _search(ids, texts, n, bands, threshold, lower):
         if items is None:
             items = _Items(ids, texts, n, bands, lower)
         for whole in batches:
-            for b in T.text_slices(whole, "text", 4 << 20):
+            for b in T.text_slices(whole, "text"):
                 sh, ptr = T.shingles(*T.hashed_words(b["text"], lower), n)
                 doc_ids, met = b["doc_id"].to_pylist(), set()
                 for k, m in enumerate(items.mult):
@@ -124,16 +124,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     queries = (benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text"))
                .where("item_id is not null and trim(text) <> ''")
                .groupBy("item_id").agg(F.min("text").alias("text")))
-    parts, block = [], []
+    out, block = spark.createDataFrame([], OUT), []
+
+    def search(block):
+        return stage(src.mapInArrow(_search([i for i, _ in block], [t for _, t in block], n, bands, threshold, lower), OUT),
+                     "leaks")
+
+    # one block of items is held at a time
     for r in queries.toLocalIterator():
         block.append((r["item_id"], r["text"]))
         if len(block) == block_items:
-            parts.append(block)
-            block = []
+            out, block = out.unionAll(search(block)), []
     if block:
-        parts.append(block)
-    out = spark.createDataFrame([], OUT)
-    for p in parts:
-        out = out.unionAll(src.mapInArrow(
-            _search([i for i, _ in p], [t for _, t in p], n, bands, threshold, lower), OUT))
+        out = out.unionAll(search(block))
     return out.distinct()

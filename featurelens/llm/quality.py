@@ -148,7 +148,8 @@ def fit_ordinal(rated: DataFrame, grades: int, id_col: str = "doc_id", text_col:
                 v.append(np.frombuffer(x.as_buffer(), np.float32))
                 n.append(len(f[-1]))
         if y:
-            w, cut = fit(np.concatenate(f), np.concatenate(v), np.cumsum(n), np.array(y), grades, **kw)
+            f, v = np.concatenate(f), np.concatenate(v)
+            w, cut = fit(f, v, np.cumsum(n), np.array(y), grades, **kw)
             yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()]), pa.array([cut.tobytes()])], ["w", "cut"])
 
     model = (rows.mapInArrow(extract, "id string, grade int, features binary, counts binary")

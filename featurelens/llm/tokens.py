@@ -146,7 +146,7 @@ def byte_slices(offs: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return out
 
 
-def text_slices(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
+def text_slices(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
     """The batch in row ranges whose texts hold at most ``limit`` bytes each
     (a longer text comes alone)."""
     _, offs = text_buffer(batch.column(batch.schema.get_field_index(column)))
