@@ -1,18 +1,21 @@
 """Personal data by bootstrapped contextual extraction, DataFrame only.
 
 Seeds are the identifiers that plain rules find (email, ip, card, phone).
-Their neighbour words induce lexical patterns (the word before and the word
-after, per kind). Patterns and instances form a graph that Spark scores in
-rounds: a pattern's confidence is the mean confidence of the distinct
-instances in its context, smoothed towards none; a new instance's confidence is
-that of its best pattern. Instances are tokens that hold three digits or
-more; one counts for a kind if its shape (runs of letters and digits) is a
-seed's shape. What high-confidence patterns find is added to the seeds' spans.
+Their neighbour words induce lexical patterns of three sorts: the word before,
+the word after, and both. Candidates are runs of words that hold a digit, an @
+or a mark between letters, without what the rules found; a candidate may count
+for a kind if its makeup (letters against digits, and their number) is like the
+seeds', whatever its marks, spaces and order. Patterns and instances form a
+graph that Spark scores in rounds: a pattern's confidence is the share of its
+kind among the distinct instances in its context, where an open candidate of
+the kind's makeup counts half against it; a candidate's confidence is that of
+its best pattern. Candidates accepted in a round induce patterns in the next
+one. What stands in a pattern of high confidence is added to the seeds' spans.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from featurelens.llm.tables import stage
 
@@ -26,7 +29,9 @@ RULES = {
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-TOKEN = r"(?<!\S)[^\s0-9]*+[0-9][^\s0-9]*+[0-9][^\s0-9]*+[0-9]\S*+"
+_MARK, _LETTER = r"._(){}\[\]", r"[A-Za-z\x{C0}-\x{10FFFF}]"
+WORD = rf"(?<!\S)(?:[^\s0-9@]*+[0-9@]|[^\s{_MARK}]++[{_MARK}]++{_LETTER})\S*+"
+HOLDS_WORD = rf"[0-9@]|[{_MARK}]{_LETTER}"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 _STEP = 256
 _NEAR = 64
@@ -57,9 +62,10 @@ def _valid(kind: str, m: Column) -> Column:
 
 
 def _found(kind: str, rule: str) -> Column:
-    """array<struct<start,end,token,before,after>> of a rule's matches, in
-    order: offsets in code points from the lengths of the matches and of the
-    pieces between them, summed in steps of ``_STEP``."""
+    """array<struct<start,end,token,before,after,joins>> of a rule's matches,
+    in order: offsets in code points from the lengths of the matches and of the
+    pieces between them, summed in steps of ``_STEP``. ``joins`` tells that one
+    space parts the match from the one before."""
     text = F.col("text")
     hits, pieces = F.regexp_extract_all(text, F.lit(rule), F.lit(0)), F.split(text, rule, -1)
     sized = F.transform(hits, lambda m, i: F.struct(
@@ -87,24 +93,56 @@ def _found(kind: str, rule: str) -> Column:
     spans = F.flatten(F.transform(F.array(packed), places))
     spans = F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), (s["start"] + s["n"]).alias("end"), s["token"].alias("token"),
-        F.lower(F.regexp_extract(s["before"], r"(\S+)\s+$", 1)).alias("before"),
-        F.lower(F.regexp_extract(s["after"], r"^[.,;:]?\s+(\S+)", 1)).alias("after")))
+        F.lower(F.regexp_extract(s["before"], r"(\S+)\s+[^\s\p{L}\p{N}]*$", 1)).alias("before"),
+        F.lower(F.regexp_extract(s["after"], r"^[^\s\p{L}\p{N}]*+\s+(\S+)", 1)).alias("after"),
+        (s["before"] == " ").alias("joins")))
     if kind in RULES:
         spans = F.filter(spans, lambda s: _valid(kind, s["token"]))
     return spans
 
 
-_EMPTY = "array<struct<start:bigint,end:bigint,token:string,before:string,after:string>>"
+_EMPTY = "array<struct<start:bigint,end:bigint,token:string,before:string,after:string,joins:boolean>>"
 
 
-def _shape(token: Column) -> Column:
-    """Runs of letters as a, of digits as 9, closing marks cut."""
-    bare = F.regexp_replace(token, r"[.,;:!?)\"']+$", "")
-    return F.regexp_replace(F.regexp_replace(bare, r"\p{L}+", "a"), "[0-9]+", "9")
+def _size(token: Column) -> Column:
+    return F.char_length(F.regexp_replace(token, r"[^\p{L}0-9]", ""))
+
+
+def _makeup(token: Column) -> Column:
+    """9 for digits only, a for as many letters as digits or more, m between."""
+    digits = F.char_length(F.regexp_replace(token, "[^0-9]", ""))
+    return F.when(digits == _size(token), "9").when(2 * digits <= _size(token), "a").otherwise("m")
 
 
 def _rows(found: DataFrame, column: str) -> DataFrame:
-    return found.select("dk", F.explode(column).alias("s")).select("dk", "s.*")
+    return found.select("dk", F.explode(column).alias("s")).select("dk", "s.*").distinct()
+
+
+def _runs(words: DataFrame) -> DataFrame:
+    """Words parted by one space are one candidate, without quotes before it
+    and marks after it: (dk, start, end, token, before, after)."""
+    one = Window.partitionBy("dk").orderBy("start")
+    first = F.coalesce(~(F.col("joins") & (F.lag("end").over(one) == F.col("start") - 1)), F.lit(True))
+    runs = (words.withColumn("run", F.sum(first.cast("int")).over(one)).groupBy("dk", "run")
+            .agg(F.array_sort(F.collect_list(F.struct("start", "end", "token", "before", "after"))).alias("w")))
+    whole = F.array_join(F.transform("w", lambda x: x["token"]), " ")
+    left = F.regexp_replace("whole", r"^[\"'<\[{]+", "")
+    runs = (runs.withColumn("whole", whole).withColumn("left", left)
+            .withColumn("start", F.col("w")[0]["start"] + F.char_length("whole") - F.char_length("left"))
+            .withColumn("token", F.regexp_replace("left", r"[^\p{L}\p{N})\]]+$", ""))
+            .withColumn("token", F.when(F.col("token").contains("("), F.col("token")).otherwise(F.regexp_replace("token", r"[^\p{L}\p{N}]+$", "")))
+            .withColumn("end", F.col("start") + F.char_length("token")))
+    return runs.where("token <> ''").select("dk", "start", "end", "token", F.col("w")[0]["before"].alias("before"),
+                                            F.element_at("w", -1)["after"].alias("after"))
+
+
+def _contexts() -> Column:
+    """The word before, the word after and both, as far as there are words."""
+    def side(name, there, *words):
+        return F.when(there, F.concat_ws(" ", F.lit(name), *words))
+    before, after = F.col("before") != "", F.col("after") != ""
+    return F.filter(F.array(side("l", before, "before"), side("r", after, "after"), side("b", before & after, "before", "after")),
+                    lambda c: c.isNotNull())
 
 
 def discover(found: DataFrame, rounds: int, min_confidence: float, min_seeds: int, smooth: float) -> DataFrame:
@@ -113,35 +151,42 @@ def discover(found: DataFrame, rounds: int, min_confidence: float, min_seeds: in
     for k in KINDS:
         one = _rows(found, k).withColumn("kind", F.lit(k))
         seeds = one if seeds is None else seeds.unionByName(one)
-    seeds = seeds.distinct()
-    tokens = (_rows(found, "tokens").distinct().alias("t")
-              .join(seeds.select(F.col("dk").alias("sdk"), F.col("start").alias("s0"), F.col("end").alias("s1")),
-                    F.expr("dk = sdk and start < s1 and s0 < end"), "left_anti"))
-    shapes = seeds.select("kind", _shape(F.col("token")).alias("shape")).distinct()
-    # an open token belongs to each kind with its shape, else to no kind
-    fresh = tokens.withColumn("shape", _shape(F.col("token"))).join(shapes, "shape", "left").drop("shape")
-    graph = stage(seeds.withColumn("known", F.lit(1.0)).unionByName(fresh.withColumn("known", F.lit(0.0)))
-                  .where("before <> '' and after <> ''"), "pii-graph")
-    # a pattern's distinct instances: seeds of its kind, and any open token
-    kinds = graph.where("known = 1").groupBy("kind", "before", "after").agg(
-        F.count_distinct("token").alias("n_seeds")).where(F.col("n_seeds") >= min_seeds)
-    at = (graph.withColumnRenamed("kind", "own").join(kinds, ["before", "after"])
-          .groupBy("kind", "before", "after", "token")
-          .agg(F.max(F.when(F.col("own") == F.col("kind"), F.col("known")).otherwise(0.0)).alias("known"),
-               F.max(F.coalesce(F.col("own") == F.col("kind"), F.lit(False))).alias("fits")))
-    at = stage(at, "pii-edges")
-    score = at.select("kind", "token", F.col("known").alias("conf")).groupBy("kind", "token").agg(F.max("conf").alias("conf"))
+    words = _rows(found, "words").join(
+        seeds.select(F.col("dk").alias("sdk"), F.col("start").alias("s0"), F.col("end").alias("s1")),
+        F.expr("dk = sdk and start < s1 and s0 < end"), "left_anti")
+    graph = stage(seeds.drop("joins").unionByName(_runs(words).withColumn("kind", F.lit(None).cast("string")))
+                  .withColumn("contexts", _contexts()).drop("before", "after"), "pii-graph")
+    # one row for an instance: a seed's kind, and the kinds whose seeds are like it
+    known = graph.groupBy("token").agg(F.min("kind").alias("own"))
+    like = (known.where("own is not null").groupBy("own", _makeup(F.col("token")).alias("makeup"))
+            .agg((F.min(_size(F.col("token"))) / 2).alias("low"), (F.max(_size(F.col("token"))) * 2).alias("high")))
+    fits = (known.where("own is null").withColumn("makeup", _makeup(F.col("token")))
+            .join(F.broadcast(like.withColumnRenamed("own", "fit")), "makeup")
+            .where(_size(F.col("token")).between(F.col("low"), F.col("high"))).groupBy("token").agg(F.collect_set("fit").alias("fits")))
+    edges = stage(graph.select("token", F.explode("contexts").alias("context")).distinct()
+                  .join(known, "token").join(fits, "token", "left")
+                  .withColumn("fits", F.coalesce("fits", F.array().cast("array<string>"))), "pii-edges")
+    score, strong = None, None
     for _ in range(rounds):
-        linked = at.join(score, ["kind", "token"])
-        patterns = linked.groupBy("kind", "before", "after").agg(
-            (F.sum(F.when(F.col("fits"), F.greatest("known", "conf")).otherwise(0.0)) / (F.count("*") + smooth)).alias("pattern"))
-        score = stage(at.join(patterns, ["kind", "before", "after"]).groupBy("kind", "token").agg(
-            F.max(F.when(F.col("known") == 1, 1.0).when(F.col("fits"), F.col("pattern")).otherwise(0.0)).alias("conf")), "pii-scores")
-    strong = patterns.where(F.col("pattern") >= min_confidence)
-    new = graph.where("known = 0 and kind is not null").join(strong, ["kind", "before", "after"])
-    bare = F.regexp_replace("token", r"[.,;:!?)\"']+$", "")
-    return (new.select("dk", "kind", "start", (F.col("start") + F.char_length(bare)).alias("end"), bare.alias("token"))
-            .groupBy("dk", "start", "end", "token").agg(F.min("kind").alias("kind")))
+        linked = edges.withColumn("kind", F.col("own")).withColumn("conf", F.lit(1.0)) if score is None else (
+            edges.join(score, "token", "left").withColumn("kind", F.coalesce("own", "best.kind"))
+            .withColumn("conf", F.when(F.col("own").isNotNull(), 1.0).otherwise(F.col("best.conf"))))
+        sums = linked.groupBy("context").agg(F.count("*").alias("n"), *[x for k in KINDS for x in (
+            F.sum(F.when(F.col("kind") == k, F.col("conf")).otherwise(0.0)).alias(f"sum_{k}"),
+            F.count(F.when(F.col("kind") == k, 1)).alias(f"n_{k}"),
+            F.count(F.when(F.col("kind").isNull() & F.array_contains("fits", k), 1)).alias(f"open_{k}"))])
+        each = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"n_{k}").alias("n"), (
+            F.col(f"sum_{k}") / (F.col("n") - F.col(f"open_{k}") / 2 + smooth)).alias("conf")) for k in KINDS])
+        strong = stage(sums.select("context", F.explode(each).alias("p")).select("context", "p.*")
+                       .where((F.col("n") >= min_seeds) & (F.col("conf") >= min_confidence)).select("context", "kind", "conf"), "pii-patterns")
+        score = stage(edges.where("own is null").join(strong, "context").where(F.array_contains("fits", F.col("kind")))
+                      .groupBy("token").agg(F.max(F.struct("conf", "kind")).alias("best")), "pii-scores")
+    if strong is None:
+        return graph.where("false").select("dk", "kind", "start", "end", "token")
+    open_ = graph.where("kind is null").drop("kind").join(fits, "token").withColumn("context", F.explode("contexts"))
+    return (open_.join(strong, "context").where(F.array_contains("fits", F.col("kind")))
+            .groupBy("dk", "start", "end", "token").agg(F.max(F.struct("conf", "kind")).alias("best"))
+            .select("dk", F.col("best.kind").alias("kind"), "start", "end", "token"))
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3,
@@ -156,8 +201,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     """
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     cols = [F.when(_holds(k), _found(k, RULES[k])).otherwise(F.array().cast(_EMPTY)).alias(k) for k in KINDS]
-    tokens = F.when(F.col("text").rlike("[0-9]"), _found("token", TOKEN)).otherwise(F.array().cast(_EMPTY)).alias("tokens")
-    found = stage(src.select("id", F.xxhash64("id", "text").alias("dk"), *cols, tokens), "pii-spans")
+    words = F.when(F.col("text").rlike(HOLDS_WORD), _found("word", WORD)).otherwise(F.array().cast(_EMPTY)).alias("words")
+    found = stage(src.select("id", F.xxhash64("id", "text").alias("dk"), *cols, words), "pii-spans")
     extra = (discover(found, rounds, min_confidence, min_seeds, smooth)
              .groupBy("dk").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end", "token"))).alias("found")))
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,token:string>>")

@@ -381,3 +381,27 @@ def test_patterns_find_unseen_identifiers(spark):
     got = {r.doc_id: r for r in pii.find_pii(df).collect()}
     assert [(f.kind, f.start, f.end, f.token) for f in got[50].found] == [("card", 11, 27, "4111111111111112")]
     assert all(not r.found for i, r in got.items() if i != 50)
+
+
+def test_patterns_find_what_no_rule_matches(spark):
+    cards = ["4111111111111111", "5500005555555559", "4012888888881881", "6011000990139424"]
+    rows = [(i, f"ring +1 (743) 555-38{i:02} tonight or pay card {cards[i % 4]} promptly") for i in range(40)]
+    rows += [(40 + i, f"mail anna{i}@mail.example.com today") for i in range(5)]
+    rows += [(50, "so ring (743) 555-3824 tonight"), (51, "card 4111 1111 1111 1112, promptly"), (52, "please ring 0743 555 3825"),
+             (53, 'mail "bert.miller[at]mail.example.com" today'), (54, "we pay 4111-1111-1111-1113 promptly"),
+             (55, "room (743) 555-3826 elsewhere"), (56, "ring 7 tonight")]
+    # accepted in the first round, these induce "dial" for the second
+    rows += [(60 + i, f"ring 0743 555 91{i:02} tonight") for i in range(10)]
+    rows += [(70 + i, f"dial 0743 555 91{i:02}") for i in range(10)] + [(80, "dial 0743 555 9999")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(f.kind, f.token) for f in r.found] for r in pii.find_pii(df).collect()}
+    assert got[50] == [("phone", "(743) 555-3824")]
+    assert got[51] == [("card", "4111 1111 1111 1112")]
+    assert got[52] == [("phone", "0743 555 3825")]
+    assert got[53] == [("email", "bert.miller[at]mail.example.com")]
+    assert got[54] == [("card", "4111-1111-1111-1113")]
+    assert got[80] == [("phone", "0743 555 9999")]
+    assert all(not got[i] for i in (*range(45), 55, 56))
+    text = dict(rows)
+    for r in pii.find_pii(df).collect():
+        assert all(text[r.doc_id][f.start:f.end] == f.token for f in r.found)
