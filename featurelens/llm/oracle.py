@@ -64,4 +64,15 @@ def oracle_sql() -> dict[str, str]:
         "x AS (SELECT k.*, upto - size < need AND upto - need <= need - (upto - size) AS drawn FROM k JOIN need n ON k.source IS NOT DISTINCT FROM n.source) "
         "SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN drawn THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM x "
         "UNION ALL SELECT doc_id, size, source_size, target, whole * size FROM p WHERE NOT (p > 0 AND size > 0)")
+    q["op11_hard_negatives"] = (
+        "WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, "
+        "list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x FROM embeddings "
+        "WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0), "
+        "s AS (SELECT a.vec_id AS anchor, a.label = r.label AS same, r.vec_id AS id, CAST(list_inner_product(a.x, r.x) AS BIGINT) AS score "
+        "FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0), "
+        "p AS (SELECT anchor, id, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5), "
+        "n AS (SELECT p.anchor AS anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score, "
+        "CAST(row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank "
+        "FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score) "
+        "SELECT * FROM n WHERE rank <= 5")
     return q

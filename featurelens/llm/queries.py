@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from featurelens.llm import decontaminate, embeddings, html_diff, katz, licenses, line_dedup, mixing, ngram_join, oracle, pii, quality
+from featurelens.llm import decontaminate, embeddings, html_diff, katz, licenses, line_dedup, mixing, negatives, ngram_join, oracle, pii, quality, toxicity, whitening
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,10 +66,31 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(_read(spark, sf_dir, "documents")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding; every seventh row has the
+    next label."""
+    vecs = _read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return negatives.mine_hard_negatives(vecs.withColumn("label", moved), "id % 100 = 0")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the four whitened components. ``deviation`` is null
+    where it does not fit a long."""
+    out = whitening.whiten(_read(spark, sf_dir, "embeddings"))
+    return (out.withColumn("deviation_exact", F.col("deviation").cast("string"))
+            .withColumn("deviation", F.col("deviation").try_cast("long")))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity.label_toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_html_diff, op2_embedding_neardup, op3_ngram_join, op4_decontaminate, op5_katz_scores, op6_license_scan, op7_mix_sources, op8_quality, op9_line_dedup,
-        op10_pii)}
+        op10_pii, op11_hard_negatives, op12_whitening, op13_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
