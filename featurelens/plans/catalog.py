@@ -108,9 +108,18 @@ def _iv_importance(spark, sf):
         F.count_distinct("bin").alias("split_importance"))
 
 
-def _run(spark, sf, base=None):
-    return mdl.run_model_pipeline(_t(spark, sf, "orders"), ORDER_SPEC, 1, base, "orders",
-                                  keys=("o_orderkey",), parallelism=3)
+_RUNS: dict = {}
+
+
+def _run(spark, sf):
+    """The model run over the orders, made once per session and folder: every
+    iteration is fitted, and the report is saved."""
+    from featurelens.session import scratch_dir
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _RUNS:
+        _RUNS[key] = mdl.run_model_pipeline(_t(spark, sf, "orders"), ORDER_SPEC, 1, scratch_dir(spark, "model_run"), "orders",
+                                            keys=("o_orderkey",), parallelism=3, eval_split=None)
+    return _RUNS[key]
 
 
 def build() -> dict:
@@ -450,20 +459,16 @@ def build() -> dict:
     q["feature_importance"] = lambda s, sf: _run(s, sf).importance
 
     def save_feature_report(s, sf):
-        from featurelens.session import scratch_dir
         from featurelens.sources.reports import read_report
-        base = scratch_dir(s, "feature_report")
-        _run(s, sf, base)
-        return read_report(s, base, "orders", "feature_selection_report")
+        return read_report(s, _run(s, sf).base, "orders", "feature_selection_report")
     q["save_feature_report"] = save_feature_report
 
     def model_run(s, sf):
         """The countable part of a whole run: scored test rows per class,
         iterations per class, pairs of classes, rows of the saved sections."""
-        from featurelens.session import scratch_dir
         from featurelens.sources.reports import read_report
-        base = scratch_dir(s, "model_run")
-        run = _run(s, sf, base)
+        run = _run(s, sf)
+        base = run.base
         scored = mdl.model_scores(run.trained, "test").where("score_0 is not null")
         parts = [scored.groupBy(F.col("o_orderstatus_idx").cast("string").alias("key")).agg(F.count_distinct("o_orderkey").alias("n"))
                  .select(F.lit("scored").alias("part"), "key", "n"),

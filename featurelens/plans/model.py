@@ -1,5 +1,5 @@
-"""One-vs-all boosted trees (MLlib), learning curve, importance, AUC-mu and
-the feature selection report."""
+"""One-vs-all boosted trees (MLlib) with categorical splits and an eval set,
+learning curve, importance, AUC-mu and the feature selection report."""
 
 from __future__ import annotations
 
@@ -14,77 +14,148 @@ from featurelens.functions.constants import (
 )
 from featurelens.functions.text import remarks
 from featurelens.operators.ranking import running_total
+from featurelens.plans import trees
 
 
 @dataclass
 class TrainedModel:
-    model: object
+    """One boosted model per class. ``categorical`` are the features that
+    trees split by sets of codes; the others are split by order."""
+    models: list
     features: list
     label_idx: str
     train: DataFrame
     test: DataFrame
     num_classes: int
+    data: DataFrame
+    split_col: str = "split"
     keys: tuple = ()
+    categorical: tuple = ()
+    _nodes: DataFrame | None = None
+
+    @property
+    def nodes(self) -> DataFrame:
+        """The nodes of all trees, saved once."""
+        if self._nodes is None:
+            from featurelens.session import scratch_dir
+            spark = self.train.sparkSession
+            self._nodes = trees.tree_nodes(self.models, spark, lambda name: scratch_dir(spark, name))
+        return self._nodes
+
+
+def _attributes(features: Sequence[str], arity: dict[str, int]) -> dict:
+    """Metadata of the feature vector: which entries are codes of how many
+    categories."""
+    nominal = [{"idx": i, "name": f, "num_vals": arity[f]} for i, f in enumerate(features) if f in arity]
+    numeric = [{"idx": i, "name": f} for i, f in enumerate(features) if f not in arity]
+    groups = {k: v for k, v in (("numeric", numeric), ("nominal", nominal)) if v}
+    return {"ml_attr": {"attrs": groups, "num_attrs": len(features)}}
 
 
 def train_ova_model(df: DataFrame, features: Sequence[str], label_idx: str, split_col: str = "split",
                     max_depth: int = 3, max_iter: int = 20, step_size: float = 0.1, seed: int = 33,
-                    parallelism: int = 4, checkpoint: bool = True, keys: Sequence[str] = ()) -> TrainedModel:
+                    parallelism: int = 4, checkpoint: bool = True, keys: Sequence[str] = (),
+                    categorical: Sequence[str] = (), max_categories: int = 1024,
+                    eval_split: str | None = None, eval_tol: float = 0.01) -> TrainedModel:
     """Fit one boosted-tree model per class (one-vs-rest) on the train rows.
 
+    ``categorical`` names features that hold codes 0..n-1: they become nominal
+    attributes, so trees split sets of codes and their numbering does not
+    matter; a NULL code is a category of its own. Features of more than
+    ``max_categories`` codes are split by order (the trees' bins grow with the
+    largest number of categories). With ``eval_split`` the rows of that split
+    are the eval set: a class stops boosting when its loss there no longer
+    falls by ``eval_tol`` of itself, and keeps its best iteration. Rows without
+    a label are left out.
+
     The assembled training frame is checkpointed to the shared folder
     (``spark.checkpoint.dir``): the trees read it many times, and a lost
     executor then recomputes from the checkpoint, not the whole lineage.
     ``keys`` are carried along, so that scores can be joined back.
     """
-    from pyspark.ml.classification import GBTClassifier, OneVsRest
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+    from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
     from featurelens.session import cut_lineage
 
-    asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    data = asm.transform(df.withColumn(label_idx, F.col(label_idx).cast("double")))
+    names = list(features)
+    nominal = [f for f in names if f in set(categorical)]
+    arity = {}
+    if nominal:
+        # a code of its own stands for NULL, so every category is counted once more
+        top = df.agg(*[F.max(f).cast("long").alias(f"m{i}") for i, f in enumerate(nominal)]).first()
+        arity = {f: (-1 if top[i] is None else top[i]) + 2 for i, f in enumerate(nominal)}
+        arity = {f: n for f, n in arity.items() if n <= max_categories}
+        df = df.withColumns({f: F.coalesce(F.col(f).cast("long"), F.lit(n - 1)) for f, n in arity.items()})
+    asm = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="keep")
+    data = asm.transform(df.where(F.col(label_idx).isNotNull()).withColumn(label_idx, F.col(label_idx).cast("double")))
     data = data.select(*keys, "features", label_idx, split_col)
     if checkpoint:
         data = cut_lineage(data)
-    train = data.where(F.col(split_col) == "train")
-    test = data.where(F.col(split_col) == "test")
-    gbt = GBTClassifier(maxDepth=max_depth, maxIter=max_iter, stepSize=step_size, seed=seed)
-    ovr = OneVsRest(classifier=gbt, labelCol=label_idx, featuresCol="features", parallelism=parallelism)
-    model = ovr.fit(train)
-    return TrainedModel(model, list(features), label_idx, train, test, len(model.models), tuple(keys))
+    data = data.withColumn("features", F.col("features").alias("features", metadata=_attributes(names, arity)))
+    train, test = (data.where(F.col(split_col) == s) for s in ("train", "test"))
+    held = F.col(split_col) == eval_split
+    seen = data.agg(F.max(label_idx).alias("k"), F.count(F.when(held, 1)).alias("held") if eval_split else F.lit(0).alias("held")).first()
+    fit_on, extra = train, {}
+    if seen["held"]:
+        fit_on = data.where((F.col(split_col) == "train") | held).withColumn("_held", held)
+        extra = {"validationIndicatorCol": "_held", "validationTol": eval_tol}
+
+    def one(k: int):
+        gbt = GBTClassifier(labelCol=f"_is_{k}", maxDepth=max_depth, maxIter=max_iter, stepSize=step_size, seed=seed,
+                            maxBins=max([32, *arity.values()]), **extra)
+        return gbt.fit(fit_on.withColumn(f"_is_{k}", (F.col(label_idx) == k).cast("double")))
+
+    classes = int(seen["k"]) + 1 if seen["k"] is not None else 0
+    if not classes:
+        raise ValueError(f"no row has a label in {label_idx}")
+    with ThreadPool(min(parallelism, classes)) as pool:
+        models = pool.map(inheritable_thread_target(train.sparkSession)(one), range(classes))
+    return TrainedModel(models, names, label_idx, train, test, classes, data, split_col, tuple(keys), tuple(arity))
+
+
+def staged_scores(tm: TrainedModel) -> DataFrame:
+    """(part, keys, label_idx, iteration, score_0..score_k-1): the margins of
+    every train and test row after every boosting iteration, from one scan."""
+    rows = tm.data.where(F.col(tm.split_col).isin("train", "test")).withColumn("part", F.col(tm.split_col))
+    keep = ["part", *tm.keys, tm.label_idx]
+    out = trees.staged(rows, tm.models, tm.nodes, "features", keep)
+    return out.select("part", *tm.keys, F.col(tm.label_idx).cast("int").alias(tm.label_idx), "iteration",
+                      *[F.get("scores", F.lit(k)).alias(f"score_{k}") for k in range(tm.num_classes)])
 
 
 def learning_curve(tm: TrainedModel) -> DataFrame:
-    """Loss per boosting iteration for each class model, train and test."""
-    rows = []
-    for k, sub in enumerate(tm.model.models):
-        lc = sub.getLabelCol()
-        curves = {}
-        for name, part in (("train", tm.train), ("test", tm.test)):
-            d = part.withColumn(lc, (F.col(tm.label_idx) == k).cast("double"))
-            curves[name] = sub.evaluateEachIteration(d)
-        for i, (a, b) in enumerate(zip(curves["train"], curves["test"])):
-            rows.append((k, i + 1, float(a), float(b)))
-    spark = tm.train.sparkSession
-    return spark.createDataFrame(rows, "class int, iteration int, train_loss double, test_loss double")
+    """(class, iteration, train_loss, test_loss, train_auc_mu, test_auc_mu).
+
+    The loss is that of the class model after the iteration; AUC-mu is of all
+    classes together after it (the same in every class's row). Two aggregations
+    over the staged scores, however many classes and iterations; a part
+    without rows has NULLs.
+    """
+    scores = [f"score_{k}" for k in range(tm.num_classes)]
+    st = staged_scores(tm)
+    losses = st.groupBy("part", "iteration").agg(*[
+        F.avg(trees.log_loss(F.col(c), F.col(tm.label_idx) == k)).alias(c) for k, c in enumerate(scores)])
+    each = losses.select("part", "iteration", F.posexplode(F.array(*scores)).alias("class", "loss"))
+    length = F.create_map(*[F.lit(x) for k, m in enumerate(tm.models) for x in (k, len(m.treeWeights))])
+    loss = (each.where(F.col("iteration") <= length[F.col("class")]).groupBy("class", "iteration")
+            .agg(*[F.max(F.when(F.col("part") == p, F.col("loss"))).alias(f"{p}_loss") for p in ("train", "test")]))
+    auc = (auc_mu_pairs(st, tm.label_idx, scores, by=("part", "iteration")).groupBy("iteration")
+           .agg(*[F.avg(F.when(F.col("part") == p, F.col("auc"))).alias(f"{p}_auc_mu") for p in ("train", "test")]))
+    return loss.join(auc, "iteration", "left").select(
+        "class", "iteration", "train_loss", "test_loss", "train_auc_mu", "test_auc_mu")
 
 
 def feature_importance(tm: TrainedModel) -> DataFrame:
     """(feature, gain_importance, split_importance) over the inner nodes of all
     trees of all class models: the sum of gain x rows, and the number of
     splits. Read from the models' saved trees."""
-    from featurelens.session import scratch_dir
-    spark = tm.train.sparkSession
-    nodes = None
-    for k, sub in enumerate(tm.model.models):
-        path = scratch_dir(spark, f"trees-{k}")
-        sub.save(path)
-        one = spark.read.parquet(f"{path}/data").select("nodeData.*")
-        nodes = one if nodes is None else nodes.unionByName(one)
-    used = (nodes.where("leftChild >= 0").groupBy(F.col("split.featureIndex").alias("_i"))
-                 .agg(F.sum(F.col("gain") * F.col("rawCount")).alias("gain_importance"), F.count("*").alias("split_importance")))
-    names = spark.createDataFrame(list(enumerate(tm.features)), "_i int, feature string")
+    used = (tm.nodes.where("leftChild >= 0").groupBy(F.col("split.featureIndex").alias("_i"))
+            .agg(F.sum(F.col("gain") * F.col("rawCount")).alias("gain_importance"), F.count("*").alias("split_importance")))
+    names = tm.train.sparkSession.createDataFrame(list(enumerate(tm.features)), "_i int, feature string")
     return (names.join(used, "_i", "left")
                  .select("feature", F.coalesce("gain_importance", F.lit(0.0)).alias("gain_importance"),
                          F.coalesce("split_importance", F.lit(0)).alias("split_importance"))
@@ -105,23 +176,25 @@ def importance_elbow(importance: DataFrame) -> int:
     return max(range(len(g)), key=lambda i: dist[i]) + 1
 
 
-def auc_mu_pairs(scores: DataFrame, label_idx: str, score_cols: Sequence[str]) -> DataFrame:
+def auc_mu_pairs(scores: DataFrame, label_idx: str, score_cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Pairwise AUC of classes (i, j), i < j, scored by s = p_i - p_j
-    (Kleiman & Page, 2019): P(s_i > s_j) + 0.5 P(s_i = s_j)."""
+    (Kleiman & Page, 2019): P(s_i > s_j) + 0.5 P(s_i = s_j). ``by`` groups
+    the rows first (a part, an iteration)."""
+    by = list(by)
     lab, p = F.col(label_idx).cast("int"), F.array(*[F.col(c) for c in score_cols])
     # a row meets each other class once
-    met = scores.select(lab.alias("y"), p.alias("p"), F.explode(F.sequence(F.lit(0), F.lit(len(score_cols) - 1))).alias("o")).where("o <> y")
-    long = met.select(F.least("y", "o").alias("ci"), F.greatest("y", "o").alias("cj"),
+    met = scores.select(*by, lab.alias("y"), p.alias("p"), F.explode(F.sequence(F.lit(0), F.lit(len(score_cols) - 1))).alias("o")).where("o <> y")
+    long = met.select(*by, F.least("y", "o").alias("ci"), F.greatest("y", "o").alias("cj"),
                       (F.get("p", F.least("y", "o")) - F.get("p", F.greatest("y", "o"))).alias("s"),
                       (F.col("y") < F.col("o")).alias("is_i"))
-    cnt = long.groupBy("ci", "cj", "s").agg(F.count(F.when(F.col("is_i"), 1)).alias("ni"),
+    cnt = long.groupBy(*by, "ci", "cj", "s").agg(F.count(F.when(F.col("is_i"), 1)).alias("ni"),
                                            F.count(F.when(~F.col("is_i"), 1)).alias("nj"))
-    ranked = running_total(cnt, [F.col("s")], ["ci", "cj"], "nj", "cum_nj")
+    ranked = running_total(cnt, [F.col("s")], [*by, "ci", "cj"], "nj", "cum_nj")
     below = F.col("cum_nj") - F.col("nj")
-    return (ranked.groupBy("ci", "cj")
+    return (ranked.groupBy(*by, "ci", "cj")
                   .agg(F.sum(F.col("ni") * (below + F.col("nj") * 0.5)).alias("_w"),
                        F.sum("ni").alias("n_i"), F.sum("nj").alias("n_j"))
-                  .select("ci", "cj", F.try_divide(F.col("_w"), F.col("n_i") * F.col("n_j")).alias("auc"),
+                  .select(*by, "ci", "cj", F.try_divide(F.col("_w"), F.col("n_i") * F.col("n_j")).alias("auc"),
                           F.col("n_i").cast("long").alias("n_i"), F.col("n_j").cast("long").alias("n_j")))
 
 
@@ -136,7 +209,7 @@ def model_scores(tm: TrainedModel, part: str = "test") -> DataFrame:
     from pyspark.ml.functions import vector_to_array as vec
     out = tm.test if part == "test" else tm.train
     cols = [*tm.keys, F.col(tm.label_idx).cast("int").alias(tm.label_idx)]
-    for k, sub in enumerate(tm.model.models):
+    for k, sub in enumerate(tm.models):
         # a copy: the fitted model keeps its own column names
         out = (sub.copy().setRawPredictionCol(f"_raw{k}").setPredictionCol(f"_pred{k}")
                   .setProbabilityCol(f"_prob{k}").transform(out).drop(f"_pred{k}", f"_prob{k}"))
@@ -193,26 +266,34 @@ class ModelRun:
     auc_mu: DataFrame
     report: DataFrame
     path: str | None = None
+    base: str | None = None
 
 
 def run_model_pipeline(df: DataFrame, spec, number_of_features: int | None = None, base: str | None = None,
                        report: str = "model", artefacts: str | None = None, artefact: str = "training",
-                       keys: Sequence[str] = (), **train_args) -> ModelRun:
+                       keys: Sequence[str] = (), eval_split: str | None = "test", cover_order: Sequence[str] = (),
+                       **train_args) -> ModelRun:
     """The whole run: features -> label codes -> split by customer -> one
     model per class -> curves, importance, AUC of the test rows, feature
     report.
 
     Without ``number_of_features`` the elbow of the importance curve decides.
     ``base`` saves the report's sections, ``artefacts`` the label and category
-    maps.
+    maps. The coded text features are categorical for the trees, and the test
+    rows are the eval set (``eval_split=None``: every iteration is fitted).
+    ``cover_order`` names columns that order the rows: then labels missing on
+    one side are written over its last rows first (:func:`cover_labels`, which
+    falsifies those labels).
     """
     from featurelens.operators import encoding, sampling
     from featurelens.plans.features import prepare_features
     prep = prepare_features(df, spec)
-    x, labels = encoding.label_encode(prep.df, spec.label, artefact)
-    x = sampling.split_by_customer(x, spec.cust_key)
+    x = sampling.split_by_customer(prep.df, spec.cust_key)
+    if cover_order:
+        x, _, _ = sampling.cover_labels(x, spec.label, "split", list(cover_order))
+    x, labels = encoding.label_encode(x, spec.label, artefact)
     idx = f"{spec.label}_idx"
-    tm = train_ova_model(x, prep.valid, idx, keys=keys, **train_args)
+    tm = train_ova_model(x, prep.valid, idx, keys=keys, categorical=prep.categorical, eval_split=eval_split, **train_args)
     importance = feature_importance(tm)
     elbow = importance_elbow(importance)
     counts = sampling.split_counts(x, spec.cust_key)
@@ -229,7 +310,7 @@ def run_model_pipeline(df: DataFrame, spec, number_of_features: int | None = Non
     if base:
         summary = prep.summary.withColumn("samples", F.array_join("samples", "|"))
         path = save_feature_report(base, report, summary, counts, dist, learning, importance, rep)
-    return ModelRun(prep, tm, labels, counts, dist, learning, importance, elbow, auc, rep, path)
+    return ModelRun(prep, tm, labels, counts, dist, learning, importance, elbow, auc, rep, path, base)
 
 
 def save_feature_report(base: str, report: str, summary: DataFrame, split_counts: DataFrame,
