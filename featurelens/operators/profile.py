@@ -1,10 +1,12 @@
 """Column summary and data profile over the whole table.
 
-One pass for any number of columns: every column is unpivoted to
-(var, value) and counted per distinct value with map-side combine. Row,
-missing and zero counts, min / max, distinct counts, samples (per-var group
-limit, applied before the shuffle) and the date test all come from that
-(var, value, count) table.
+Every column is unpivoted to (var, value) and counted per distinct value with
+map-side combine, for any number of columns in one pass. Texts are counted by
+a 128-bit fingerprint and their first ``HEAD`` characters: no long text moves in
+a shuffle. Row, missing and zero counts, min / max of numbers, distinct counts and
+the date test come from that table. The few values at both ends (samples, min and
+max of texts) are picked by their heads; where those are longer than a head,
+their texts are fetched by fingerprint in a second scan.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from featurelens.functions.constants import (
     NOT_APPLICABLE, REMARK_CARDINALITY, REMARK_MISSING, REMARK_ZERO,
 )
+from featurelens.functions import dates
 from featurelens.functions.calendar import day_range
 from featurelens.functions.text import remarks, value_range
 from featurelens.operators.columns import (
@@ -23,20 +26,18 @@ from featurelens.operators.columns import (
 )
 
 SAMPLE_EACH_END = 5
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss[.SSSSSS]", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
+HEAD = dates.LONGEST
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType)
+_OPEN_TEXT = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 
 
-def _value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rows per distinct value of every column: (var, s, d, l, _c).
-
-    Integers travel as ``l`` (exact), floats as ``d``, everything else as
-    text ``s``: no number is formatted as text until the few samples are
-    picked, and a NULL is one (NULL, NULL, NULL) value per column.
-    """
+def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(var, s, d, l): integers travel as ``l`` (exact), floats as ``d``,
+    everything else as text ``s``; no number is formatted as text until the few
+    samples are picked. A NULL is one (NULL, NULL, NULL) value per column."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     vals = []
     for c in cols:
@@ -47,9 +48,54 @@ def _value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         d = x.cast("double") if isinstance(dt, _FRACTIONAL + (T.DecimalType,)) else F.lit(None).cast("double")
         lv = x.cast("long") if isinstance(dt, _INTEGRAL) else F.lit(None).cast("long")
         vals.append(F.struct(s.alias("s"), d.alias("d"), lv.alias("l")).alias(c))
-    wide = df.select(*vals)
-    long = wide.unpivot([], list(cols), "var", "v").select("var", "v.s", "v.d", "v.l")
-    return long.groupBy("var", "s", "d", "l").agg(F.count(F.lit(1)).alias("_c"))
+    return df.select(*vals).unpivot([], list(cols), "var", "v").select("var", "v.s", "v.d", "v.l")
+
+
+def _prints() -> list:
+    """Two 64-bit hashes of the text, with different seeds (NULL for none)."""
+    return [F.when(F.col("s").isNotNull(), h).alias(n) for n, h in (
+        ("h", F.xxhash64("s")), ("g", F.xxhash64(F.lit(0x5BD1E995), "s")))]
+
+
+def _value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows per distinct value of every column: (var, h, g, head, cut, d, l,
+    _c). ``cut`` tells that the text is longer than its head."""
+    keyed = _long(df, cols).select("var", *_prints(), F.left("s", F.lit(HEAD)).alias("head"),
+                                   (F.char_length("s") > HEAD).alias("cut"), "d", "l")
+    return keyed.groupBy("var", "h", "g", "head", "cut", "d", "l").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _ends(df: DataFrame, cols: Sequence[str], counts: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Per column the ``k`` lowest and highest distinct values: two tables
+    (var, array<struct<l, d, s>>) in ascending order."""
+    present = F.coalesce("head", F.col("l").cast("string"), F.col("d").cast("string")).isNotNull()
+    heads = counts.where(present).select("var", "h", "g", "cut", F.struct("l", "d", F.col("head").alias("s")).alias("v"))
+
+    def ranked(x, order, limit):
+        w = Window.partitionBy("var").orderBy(*order)
+        return x.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit)
+
+    up = [F.col(f"v.{c}").asc_nulls_last() for c in ("l", "d", "s")]
+    down = [F.col(f"v.{c}").desc_nulls_last() for c in ("l", "d", "s")]
+    # the value at which k heads are reached from either end: one row per column
+    low = ranked(heads, up, k).groupBy("var").agg(F.max("v").alias("_low"))
+    high = ranked(heads, down, k).groupBy("var").agg(F.min("v").alias("_high"))
+    near = (heads.join(F.broadcast(low), "var").join(F.broadcast(high), "var")
+            .where((F.col("v") <= F.col("_low")) | (F.col("v") >= F.col("_high"))))
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    texts = [c for c in cols if isinstance(fields[c], _OPEN_TEXT)]
+    if texts:
+        # values whose heads may be at an end, with their whole text
+        cut = near.where("cut").select("var", "h", "g")
+        whole = (_long(df, texts).where(F.char_length("s") > HEAD).select("var", *_prints(), "s")
+                 .join(cut, ["var", "h", "g"], "left_semi").groupBy("var", "h", "g").agg(F.first("s").alias("s")))
+        near = (near.where(~F.coalesce("cut", F.lit(False))).select("var", "v")
+                .unionByName(whole.select("var", F.struct(F.lit(None).cast("long").alias("l"), F.lit(None).cast("double").alias("d"), "s").alias("v"))))
+
+    def picked(order, name):
+        return ranked(near.select("var", "v"), order, k).groupBy("var").agg(F.array_sort(F.collect_list("v")).alias(name))
+
+    return picked(up, "_lo"), picked(down, "_hi")
 
 
 def _meta(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -68,19 +114,16 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
                  sample_each_end: int = SAMPLE_EACH_END) -> DataFrame:
     """Per-column facts shared by :func:`data_summary` and :func:`data_profile`.
 
-    One scan: every column is unpivoted to (var, value) and counted per
-    distinct value with map-side combine. Row, missing and zero counts,
-    min / max, the distinct count, samples and the date test of text columns
-    all come from that (var, value, count) table, so dates are parsed once
-    per distinct text, not per row.
+    Row, missing and zero counts, the distinct count, numeric min / max and the
+    date test (once per distinct text) come from one count per distinct value;
+    see the module for the samples. ``date_format`` names the format that reads
+    all values of a text column (:mod:`featurelens.functions.dates`).
     """
     cols = list(columns) if columns is not None else list(df.columns)
     df = nan_to_null(df.select(*cols))
     counts = _value_counts(df, cols)
-    present = F.col("s").isNotNull() | F.col("d").isNotNull() | F.col("l").isNotNull()
+    present = F.col("head").isNotNull() | F.col("d").isNotNull() | F.col("l").isNotNull()
     zero = (F.col("d") == 0) | (F.col("l") == 0)
-    # ISO dates with an optional time, each parsed by its own format
-    is_date = F.coalesce(*[F.try_to_timestamp(F.col("s"), F.lit(f)) for f in DATE_FORMATS]).isNotNull()
     per_var = counts.groupBy("var").agg(
         F.sum("_c").alias("rows"),
         F.coalesce(F.sum(F.when(present, F.col("_c"))), F.lit(0)).alias("non_missing_cnt"),
@@ -88,21 +131,8 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
         F.count(F.lit(1)).alias("num_unique"),
         F.min("d").alias("min_num"), F.max("d").alias("max_num"),
         F.min("l").alias("min_int"), F.max("l").alias("max_int"),
-        F.min("s").alias("min_text"), F.max("s").alias("max_text"),
-        F.bool_and(F.col("s").isNull() | is_date).alias("_dt"))
-    # NULL sorts last both ways, so it only takes a slot when fewer than k
-    # values exist; it is removed after the limit
-    asc = [F.col("l").asc_nulls_last(), F.col("d").asc_nulls_last(), F.col("s").asc_nulls_last()]
-    desc = [F.col("l").desc_nulls_last(), F.col("d").desc_nulls_last(), F.col("s").desc_nulls_last()]
-    k = sample_each_end
-
-    def ends(order, name):
-        w = Window.partitionBy("var").orderBy(*order)
-        return (counts.select("var", "s", "d", "l").withColumn("_rn", F.row_number().over(w))
-                      .where(F.col("_rn") <= k).where(present)
-                      .groupBy("var").agg(F.array_sort(F.collect_list(F.struct("l", "d", "s"))).alias(name)))
-
-    low, high = ends(asc, "_lo"), ends(desc, "_hi")
+        F.bit_and(F.when(F.col("cut"), 0).otherwise(dates.format_mask(F.col("head")))).alias("_mask"))
+    low, high = _ends(df, cols, counts, sample_each_end)
     # meta, per_var, low, high: one row per column
     out = (_meta(df, cols).join(F.broadcast(per_var), "var", "left")
                           .join(F.broadcast(low), "var", "left")
@@ -122,15 +152,30 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
         F.when(numeric, F.coalesce(F.col("zero_cnt"), F.lit(0))).cast("long").alias("zero_cnt"),
         F.when(numeric, F.col("min_num")).alias("min_num"), F.when(numeric, F.col("max_num")).alias("max_num"),
         F.when(numeric, F.col("min_int")).alias("min_int"), F.when(numeric, F.col("max_int")).alias("max_int"),
-        F.when(~numeric, F.col("min_text")).alias("min_text"),
-        F.when(~numeric, F.col("max_text")).alias("max_text"),
-        F.when(F.col("_temporal"), F.lit(True)).when(F.col("_text"), F.coalesce(F.col("_dt"), F.lit(True)))
+        F.when(~numeric, F.get("_lo", F.lit(0))["s"]).alias("min_text"),
+        F.when(~numeric, F.try_element_at("_hi", F.lit(-1))["s"]).alias("max_text"),
+        F.when(F.col("_temporal"), F.lit(True)).when(F.col("_text"), F.coalesce(F.col("_mask") != 0, F.lit(True)))
          .alias("is_date_field"),
+        F.when(F.col("_text"), dates.format_name(F.col("_mask"))).alias("date_format"),
         F.coalesce(F.col("num_unique"), F.lit(0)).cast("long").alias("num_unique"),
         F.transform(both, text).alias("samples"),
         F.transform(F.coalesce(F.col("_lo"), F.array()), text).alias("lowest"))
 
 
+def convert_dates(df: DataFrame, columns: Sequence[str] | None = None):
+    """(frame with its date texts as dates, {column: format}).
+
+    Text columns (of ``columns``, or all) whose values one format reads become
+    dates by that format; the others, and columns without a value, stay.
+    One row per column is collected.
+    """
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and (columns is None or f.name in columns)]
+    if not names:
+        return df, {}
+    found = {r["var"]: r["date_format"] for r in column_stats(df, names).where("date_format is not null").select("var", "date_format").collect()}
+    return df.withColumns({c: F.to_date(dates.parse(F.col(c), n)) for c, n in found.items()}), found
+
+
 def data_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: distinct count (NULL is a value), samples, types,
     missing and zero counts and rates, remarks."""

@@ -1,9 +1,13 @@
 """Range windows over days, pre-aggregated to one row per (user, day).
 
-A window partitions by user, so a user's rows meet in one task. Rows are
-first reduced to one row per (user, day) with partial aggregation, so a
-hot user costs days x labels, not its raw row count. The forward fill is a
-prefix scan over range partitions: inside each, then across their last values.
+Rows are first reduced to counts per (user, day, intent) with partial
+aggregation. A day's count enters every later (or earlier) day's range at one day
+and leaves it at another; the running sum of these changes per (user, intent) is
+constant between them, and active days are joined to the pieces by user and a
+bucket of days. No row holds the labels of many days, and a hot user's days
+spread over buckets. The pivot over a given list of intents sums counts over
+a range frame per user instead. The forward fill is a prefix scan over range
+partitions: inside each, then across their last values.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from featurelens.functions.constants import (
 from featurelens.session import cut_lineage
 
 _DAY = "_fl_day"
+BUCKET_DAYS = 8
 
 
 def _per_day(df: DataFrame, user: str, date_col: str, *aggs: Column) -> DataFrame:
@@ -26,14 +31,54 @@ def _per_day(df: DataFrame, user: str, date_col: str, *aggs: Column) -> DataFram
               .agg(*aggs).withColumn(_DAY, epoch_day("date")))
 
 
+def _day_counts(df: DataFrame, user: str, date_col: str, intent: str) -> DataFrame:
+    """(user, date, intent, n): rows per user, day and intent (NULL is one)."""
+    return (df.groupBy(F.col(user), F.to_date(F.col(date_col)).alias("date"), F.col(intent).cast("string").alias("intent"))
+              .agg(F.count(F.lit(1)).alias("n")))
+
+
+def _in_range(counts: DataFrame, user: str, days: tuple) -> tuple[DataFrame, DataFrame]:
+    """Active days (user, date), and the intents in each one's range of days:
+    (user, date, intent, n), only where there are any. Rows without a date are
+    in no range; NULL is a user like others."""
+    lo, hi = days
+    day = epoch_day("date")
+    active = counts.select(user, "date").distinct()
+    # what happens on day d is in range from day d - hi to day d - lo
+    turns = (counts.where("intent is not null and date is not null")
+             .select(user, "intent", F.inline(F.array(
+                 F.struct((day - hi).alias("at"), F.col("n").alias("change")),
+                 F.struct((day - lo + 1).alias("at"), (-F.col("n")).alias("change"))))))
+    turns = turns.groupBy(user, "intent", "at").agg(F.sum("change").alias("change"))
+    w = Window.partitionBy(user, "intent").orderBy("at")
+    pieces = (turns.select(user, "intent", "at", F.lead("at").over(w).alias("until"),
+                           F.sum("change").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("n"))
+              .where("n > 0"))
+
+    def bucket(c):
+        return F.floor(c / F.lit(BUCKET_DAYS)).cast("int")
+
+    spread = pieces.select(F.col(user).alias("_fl_user"), "intent", "n", "at", "until",
+                           F.explode(F.sequence(bucket(F.col("at")), bucket(F.col("until") - 1))).alias("_fl_b"))
+    placed = active.withColumn(_DAY, day).withColumn("_fl_bucket", bucket(F.col(_DAY)))
+    met = placed.join(spread, placed[user].eqNullSafe(spread["_fl_user"]) & (F.col("_fl_bucket") == F.col("_fl_b"))
+                      & (F.col(_DAY) >= F.col("at")) & (F.col(_DAY) < F.col("until")))
+    return active, met.select(user, "date", "intent", "n")
+
+
+def _per_active(active: DataFrame, found: DataFrame, user: str) -> DataFrame:
+    """``active`` with what was found for each of its rows, if anything."""
+    right = found.withColumnRenamed(user, "_fl_user").withColumnRenamed("date", "_fl_date")
+    return active.join(right, active[user].eqNullSafe(right["_fl_user"]) & active["date"].eqNullSafe(right["_fl_date"]), "left").drop("_fl_user", "_fl_date")
+
+
 def lookahead_labels(df: DataFrame, user: str, date_col: str, intent: str,
                      days: tuple = LOOKAHEAD_DAYS, out: str = "next_7_day_labels") -> DataFrame:
-    """Per (user, date): sorted set of intents from day+lo to day+hi (inclusive)."""
-    lo, hi = days
-    per_day = _per_day(df, user, date_col, F.collect_set(intent).alias("_set"))
-    w = Window.partitionBy(user).orderBy(_DAY).rangeBetween(lo, hi)
-    labels = F.array_sort(F.array_distinct(F.flatten(F.collect_list("_set").over(w))))
-    return per_day.select(user, "date", labels.alias(out))
+    """Per (user, date): sorted set of intents from day+lo to day+hi (inclusive).
+    A day costs its distinct labels, however often they are repeated."""
+    active, found = _in_range(_day_counts(df, user, date_col, intent), user, days)
+    sets = found.groupBy(user, "date").agg(F.array_sort(F.collect_list("intent")).alias(out))
+    return _per_active(active, sets, user).withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
 
 
 def lookahead_labels_gap(df: DataFrame, user: str, date_col: str, intent: str,
@@ -53,30 +98,34 @@ def explode_labels(labels: DataFrame, labels_col: str = "next_7_day_labels",
     return labels.select(*keep, F.explode(labels_col).alias(out))
 
 
+def history_rows(df: DataFrame, user: str, date_col: str, intent: str, days: tuple = HISTORY_DAYS,
+                 out: str = "cb_past_intent") -> DataFrame:
+    """One row per (user, date, past intent) with its count ``n_past`` over the
+    earlier days in range; an empty history gives one row with NULL intent and
+    count 0. No list is made on the way."""
+    active, found = _in_range(_day_counts(df, user, date_col, intent), user, days)
+    x = _per_active(active, found, user)
+    return x.select(user, "date", F.col("intent").alias(out), F.coalesce("n", F.lit(0)).cast("long").alias("n_past"))
+
+
 def history_list(df: DataFrame, user: str, date_col: str, intent: str,
-                 days: tuple = HISTORY_DAYS, out: str = "historical_interactions") -> DataFrame:
+                 days: tuple = HISTORY_DAYS, out: str = "historical_interactions", repeats: bool = False) -> DataFrame:
     """Per (user, date): the intents of the earlier days in range as a
-    multiset, array of (intent, n) sorted by intent.
-
-    The same information as the list with repeats, but bounded by days x
-    distinct intents in range instead of a user's event count.
-    """
-    counts = (df.groupBy(F.col(user), F.to_date(F.col(date_col)).alias("date"), F.col(intent).cast("string").alias("intent"))
-                .agg(F.count(F.lit(1)).alias("n")))
-    item = F.when(F.col("intent").isNotNull(), F.struct("intent", "n"))
-    day = counts.groupBy(user, "date").agg(F.collect_list(item).alias("_items")).withColumn(_DAY, epoch_day("date"))
-    w = Window.partitionBy(user).orderBy(_DAY).rangeBetween(*days)
-    seen = day.select(user, "date", F.flatten(F.collect_list("_items").over(w)).alias("_seen"))
-    total = F.transform(F.array_sort(F.array_distinct(F.transform("_seen", lambda x: x["intent"]))), lambda i: F.struct(
-        i.alias("intent"), F.aggregate(F.filter("_seen", lambda x: x["intent"] == i), F.lit(0).cast("long"),
-                                       lambda acc, x: acc + x["n"]).alias("n")))
-    return seen.select(user, "date", total.alias(out))
+    multiset, array of (intent, n) sorted by intent; with ``repeats`` the sorted
+    list itself, each intent as often as it occurred (its length grows with a
+    user's events)."""
+    active, found = _in_range(_day_counts(df, user, date_col, intent), user, days)
+    items = found.groupBy(user, "date").agg(F.array_sort(F.collect_list(F.struct("intent", "n"))).alias(out))
+    x = _per_active(active, items, user)
+    if repeats:
+        return x.withColumn(out, F.coalesce(F.flatten(F.transform(out, lambda i: F.array_repeat(i["intent"], i["n"].cast("int")))),
+                                            F.array().cast("array<string>")))
+    return x.withColumn(out, F.coalesce(out, F.array().cast("array<struct<intent:string,n:bigint>>")))
 
 
 def explode_history(hist: DataFrame, list_col: str = "historical_interactions",
                     out: str = "cb_past_intent") -> DataFrame:
-    """One row per (user, date, past intent) with its count ``n_past``; an
-    empty history gives one row with NULL intent and count 0."""
+    """The rows of :func:`history_rows` from the lists of :func:`history_list`."""
     keep = [c for c in hist.columns if c != list_col]
     x = hist.select(*keep, F.explode_outer(list_col).alias("_fl_h"))
     return x.select(*keep, F.col("_fl_h.intent").alias(out),
@@ -91,13 +140,21 @@ def history_pivot(df: DataFrame, user: str, date_col: str, intent: str, values:
 
     Default counts equal a pivot over the exploded event rows: a day with r
     events multiplies its counts by r. ``per_day=True`` counts once per day.
-    ``values=None`` uses the distinct intents, as a pivot without a value list
-    would: the result has a column for each. An intent with the name of the
+    Without ``values`` the counts are one column ``counts``, a map from intent to
+    count with any number of intents. A listed intent with the name of the
     ``no_history`` column is refused.
     """
     if values is None:
-        from featurelens.operators.iv import label_values
-        values = label_values(df, intent)
+        counts = _day_counts(df, user, date_col, intent)
+        active, found = _in_range(counts, user, days)
+        rows = counts.groupBy(user, "date").agg(F.sum("n").alias("_r"))
+        items = found.groupBy(user, "date").agg(F.array_sort(F.collect_list(F.struct("intent", "n"))).alias("_items"))
+        mult = F.lit(1) if per_day else F.col("_r")
+        return _per_active(rows, items, user).select(
+            user, "date",
+            F.coalesce(F.map_from_entries(F.transform("_items", lambda i: F.struct(i["intent"], (i["n"] * mult).cast("long")))),
+                       F.create_map().cast("map<string,bigint>")).alias("counts"),
+            F.when(F.col("_items").isNull(), mult).otherwise(F.lit(0)).cast("long").alias(no_history))
     if no_history in values:
         raise ValueError(f"an intent is named {no_history!r}: give another no_history name")
     lo, hi = days

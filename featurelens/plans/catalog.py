@@ -88,6 +88,25 @@ def _orders_split(spark, sf, pct=20, seed=33):
     return sampling.split_by_customer(_t(spark, sf, "orders"), "o_custkey", pct, seed)
 
 
+def _date_texts(spark, sf):
+    """The order date as text in many formats; a mixed and a plain text column."""
+    d = F.col("o_orderdate")
+    out = {n: F.date_format(d, f) for n, f in (
+        ("us", "MM/dd/yyyy"), ("eu", "dd/MM/yyyy"), ("slash", "yyyy/MM/dd"), ("dot", "dd.MM.yyyy"), ("dash", "dd-MM-yyyy"),
+        ("day_name", "d MMM yyyy"), ("name_day", "MMMM d, yyyy"), ("compact", "yyyyMMdd"), ("stamp", "M/d/yyyy HH:mm:ss"))}
+    out["epoch"] = (F.unix_timestamp(d) + 1_000_000_000).cast("string")
+    out["mixed"] = F.when(F.col("o_orderkey") % 2 == 0, out["us"]).otherwise(out["dot"])
+    out["words"] = F.col("o_orderpriority")
+    return _t(spark, sf, "orders").select("o_orderkey", *[c.alias(n) for n, c in out.items()])
+
+
+def _many_labels(spark, sf):
+    """events with up to 3,000 labels, some NULL and some NULL users."""
+    return _t(spark, sf, "events").select(
+        F.when(F.col("user_id") % 10 != 0, F.col("user_id")).alias("user_id"), "ts",
+        F.when(F.col("event_id") % 11 != 0, F.concat(F.lit("L"), (F.col("event_id") % 3000).cast("string"))).alias("lab"))
+
+
 def _scores(spark, sf):
     o = _t(spark, sf, "orders")
     lab = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
@@ -268,8 +287,14 @@ def build() -> dict:
         _t(s, sf, "events"), "user_id", "ts", "event_type").select(
         "user_id", "date", F.array_join(F.transform("historical_interactions", lambda x: F.concat(
             x["intent"], F.lit(":"), x["n"].cast("string"))), "|").alias("historical_interactions"))
-    q["explode_history"] = lambda s, sf: windows.explode_history(windows.history_list(
-        _t(s, sf, "events"), "user_id", "ts", "event_type")).select("user_id", "date", "cb_past_intent", "n_past")
+    q["explode_history"] = lambda s, sf: windows.history_rows(_t(s, sf, "events"), "user_id", "ts", "event_type")
+    # the list with its repeats; a map of counts for any number of intents
+    q["history_sorted_list"] = lambda s, sf: windows.history_list(
+        _t(s, sf, "events"), "user_id", "ts", "event_type", repeats=True).select("user_id", "date", _join_arr("historical_interactions"))
+    q["history_map"] = lambda s, sf: windows.history_pivot(_many_labels(s, sf), "user_id", "ts", "lab").select(
+        "user_id", "date", F.array_join(F.transform(F.array_sort(F.map_entries("counts")), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))), "|").alias("counts"), "null")
+    q["lookahead_many_labels"] = lambda s, sf: windows.lookahead_labels(_many_labels(s, sf), "user_id", "ts", "lab").select(
+        "user_id", "date", _join_arr("next_7_day_labels"))
     q["forward_fill"] = lambda s, sf: windows.forward_fill(
         _events_nulled(s, sf).select("event_id", "user_id", "ts", "value"), "user_id", ["ts", "event_id"],
         ["value"])
@@ -331,6 +356,11 @@ def build() -> dict:
         F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
         F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("none").alias("mixed")
         )).select("var", "is_date_field")
+    q["date_formats"] = lambda s, sf: profile.column_stats(_date_texts(s, sf).drop("o_orderkey")).select("var", "is_date_field", "date_format")
+    q["derive_dates_text"] = lambda s, sf: profile.convert_dates(_date_texts(s, sf))[0].drop("mixed", "words")
+    # long texts, many with the same beginning
+    q["data_summary_texts"] = lambda s, sf: profile.data_summary(_t(s, sf, "documents")).withColumn(
+        "samples", F.array_join("samples", "|"))
     q["value_range_long"] = lambda s, sf: profile.data_profile(_t(s, sf, "orders").select(
         (F.col("o_orderkey") + 9007199254740993).alias("big"))).select("feature_name", "range_of_features")
     q["between_stamps"] = lambda s, sf: cols.between_dates(_t(s, sf, "events"), "ts", "2024-01-05", "2024-01-10").select("event_id", "ts")

@@ -22,7 +22,7 @@ PART = [("p_partkey", "bigint", True), ("p_name", "string", False), ("p_brand",
 # queries whose result has a DATE column named "date"
 DATE_COLUMN_QUERIES = ("derive_dates", "join_features", "lagged_join", "ffill_join", "snapshot_features",
                        "history_pivot", "lookahead_labels", "lookahead_labels_gap", "explode_labels",
-                       "history_list", "explode_history", "dedup_rows", "label_dataset",
+                       "history_list", "explode_history", "history_sorted_list", "history_map", "lookahead_many_labels", "dedup_rows", "label_dataset",
                        "interaction_features", "transaction_features")
 
 EV_NULLED = ("SELECT event_id, ts, user_id, event_type, CASE WHEN value > 50 THEN value END AS value, props "
@@ -443,6 +443,18 @@ def build() -> dict:
     q["history_list"] = (f"SELECT user_id, \"date\", coalesce(string_agg(cb_past_intent || ':' || CAST(n_past AS VARCHAR), '|' "
                          f"ORDER BY cb_past_intent), '') AS historical_interactions FROM {history_counts_sql()} h "
                          f"GROUP BY user_id, \"date\"")
+    many = ("(SELECT CASE WHEN user_id % 10 <> 0 THEN user_id END AS user_id, CAST(ts AS DATE) AS \"date\", "
+            "CASE WHEN event_id % 11 <> 0 THEN 'L' || CAST(event_id % 3000 AS VARCHAR) END AS lab FROM events)")
+    days = f"(SELECT user_id, \"date\", count(*) AS r FROM {many} e GROUP BY ALL)"
+    met = "ON e.user_id IS NOT DISTINCT FROM d.user_id AND e.\"date\" BETWEEN d.\"date\" {} AND d.\"date\" {}"
+    q["lookahead_many_labels"] = (f"SELECT d.user_id, d.\"date\", coalesce(array_to_string(list_sort(list(DISTINCT e.lab) FILTER (WHERE e.lab IS NOT NULL)), '|'), '') "
+                                  f"AS next_7_day_labels FROM {days} d LEFT JOIN {many} e {met.format('', '+ 8')} GROUP BY d.user_id, d.\"date\"")
+    q["history_map"] = (f"SELECT user_id, \"date\", coalesce(string_agg(lab || ':' || CAST(n * r AS VARCHAR), '|' ORDER BY lab) FILTER (WHERE lab IS NOT NULL), '') AS counts, "
+                        f"CAST(CASE WHEN count(lab) = 0 THEN any_value(r) ELSE 0 END AS BIGINT) AS \"null\" FROM (SELECT d.user_id, d.\"date\", d.r, e.lab, count(e.lab) AS n "
+                        f"FROM {days} d LEFT JOIN {many} e {met.format('- 60', '- 1')} GROUP BY ALL) x GROUP BY user_id, \"date\"")
+    q["history_sorted_list"] = ("SELECT d.user_id, d.\"date\", coalesce(string_agg(e.event_type, '|' ORDER BY e.event_type), '') AS historical_interactions "
+                                "FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS \"date\" FROM events) d LEFT JOIN (SELECT user_id, CAST(ts AS DATE) AS \"date\", event_type FROM events) e "
+                                "ON e.user_id = d.user_id AND e.\"date\" BETWEEN d.\"date\" - 60 AND d.\"date\" - 1 GROUP BY d.user_id, d.\"date\"")
     q["explode_history"] = f"SELECT * FROM {history_counts_sql()} h"
     q["forward_fill"] = (f"SELECT event_id, user_id, ts, last_value(value IGNORE NULLS) OVER (PARTITION BY user_id "
                          f"ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value "
@@ -501,6 +513,21 @@ def build() -> dict:
     q["is_date_field_text"] = " UNION ALL ".join(
         f"SELECT '{c}' AS var, bool_and({c} IS NULL OR (regexp_matches({c}, {iso}) AND try_cast({c} AS TIMESTAMP) IS NOT NULL)) AS is_date_field "
         f"FROM {stamps} e" for c in ("digits", "stamp", "day", "mixed"))
+    # name -> (format that all texts share, text in SQL, the same for reading)
+    texts = {"us": ("month/day/year", "%m/%d/%Y"), "eu": ("day/month/year", "%d/%m/%Y"), "slash": ("year/month/day", "%Y/%m/%d"),
+             "dot": ("day.month.year", "%d.%m.%Y"), "dash": ("day-month-year", "%d-%m-%Y"), "day_name": ("day month-name year", "%-d %b %Y"),
+             "name_day": ("month-name day, year", "%B %-d, %Y"), "compact": ("yearmonthday", "%Y%m%d"), "stamp": ("month/day/year", "%-m/%-d/%Y %H:%M:%S")}
+    written = ", ".join(f"strftime(o_orderdate, '{f}') AS {n}" for n, (_, f) in texts.items())
+    epoch = "CAST(CAST(epoch(o_orderdate) AS BIGINT) + 1000000000 AS VARCHAR)"
+    q["date_formats"] = " UNION ALL ".join(
+        [f"SELECT '{n}' AS var, bool_and(try_strptime({n}, '{f.replace('%-', '%')}') IS NOT NULL) AS is_date_field, '{name}' AS date_format FROM (SELECT {written} FROM orders) x"
+         for n, (name, f) in texts.items()]
+        + [f"SELECT 'epoch', bool_and(length({epoch}) = 10), 'epoch seconds' FROM orders", "SELECT 'mixed', false, NULL", "SELECT 'words', false, NULL"])
+    day = "strftime(o_orderdate, '%Y-%m-%d')"
+    q["derive_dates_text"] = (f"SELECT o_orderkey, {', '.join(f'{day} AS {n}' for n in texts)}, "
+                              f"strftime(to_timestamp(CAST({epoch} AS BIGINT)) AT TIME ZONE 'UTC', '%Y-%m-%d') AS epoch FROM orders")
+    q["data_summary_texts"] = summary_sql("documents", [("doc_id", "bigint", True), ("text", "string", False), ("lang", "string", False),
+                                                         ("source", "string", False), ("n_chars", "bigint", True)])
     q["value_range_long"] = ("SELECT 'big' AS feature_name, 'min -> max: (' || CAST(min(b) AS VARCHAR) || '.000, ' || CAST(max(b) AS VARCHAR) || '.000)' "
                              "AS range_of_features FROM (SELECT o_orderkey + 9007199254740993 AS b FROM orders) x")
     q["value_range"] = f"SELECT feature_name, range_of_features FROM ({profile_sql('lineitem', LINEITEM)}) p"

@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from featurelens.operators import profile
 from featurelens.operators.columns import valid_features
 from featurelens.operators.profile import data_profile, data_summary
 
@@ -101,3 +103,44 @@ def test_digits_are_no_date_and_long_integers_stay_exact(spark):
     assert got["zip"] == "not_applicable"
     assert got["day"] == "min -> max: (2024-01-05, 2024-02-05 10:00:00)"
     assert got["big"] == "min -> max: (1.000, 9007199254740993.000)"
+
+
+def test_long_texts_with_one_beginning(spark):
+    head = "https://example.org/a/very/long/way/down/"
+    vals = [head + f"{i:04d}" for i in range(500)] * 2 + [None, "", "zz", "Ab"]
+    df = spark.createDataFrame([(v, len(v or "")) for v in vals], "t string, n int")
+    r = {x["var"]: x for x in profile.column_stats(df).collect()}["t"]
+    distinct = sorted({v for v in vals if v is not None})
+    assert r["num_unique"] == len(distinct) + 1 and r["rows"] == len(vals)
+    assert r["samples"] == distinct[:5] + distinct[-5:]
+    assert (r["min_text"], r["max_text"]) == ("", "zz") and r["is_date_field"] is False
+
+
+def test_whole_texts_stay_out_of_the_counts(spark):
+    df = spark.createDataFrame([("x" * 5000 + str(i % 50),) for i in range(300)], "t string")
+    counts = profile._value_counts(df, ["t"])
+    assert counts.count() == 50
+    assert max(len(r["head"]) for r in counts.collect()) == profile.HEAD
+    assert profile.column_stats(df).first()["samples"] == sorted({"x" * 5000 + str(i) for i in range(50)})[:5] + sorted({"x" * 5000 + str(i) for i in range(50)})[-5:]
+
+
+@pytest.mark.parametrize("values,name", [
+    (["2024-01-05", "2024-01-05 10:00:00", "2024-01-06T01:02:03.5"], "iso"),
+    (["1/13/2024", "02/03/2024"], "month/day/year"), (["13/1/2024", "02/03/2024"], "day/month/year"),
+    (["02/03/2024"], "month/day/year"), (["1/13/2024", "13/1/2024"], None), (["2024/3/4 10:15"], "year/month/day"),
+    (["3.4.2024"], "day.month.year"), (["31-12-2024"], "day-month-year"), (["5 Mar 2024", "17 March 2024"], "day month-name year"),
+    (["Mar 5, 2024", "March 17, 2024 9:00"], "month-name day, year"), (["20240229"], "yearmonthday"), (["20240230"], None),
+    (["1700000000"], "epoch seconds"), (["1700000000000"], "epoch milliseconds"), (["170000000"], None),
+    (["2024-01-05", "1/5/2024"], None), (["2024-02-30"], None), (["May"], None), ([""], None), (["2024-01-05" + " " * 40], None)])
+def test_one_format_reads_all_values(spark, values, name):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "t string")
+    r = profile.column_stats(df).first()
+    assert (r["is_date_field"], r["date_format"]) == (name is not None, name)
+
+
+def test_convert_dates(spark):
+    df = spark.createDataFrame([("13/1/2024", "a", None, 1), (None, "b", None, 2)], "d string, w string, e string, n int")
+    out, found = profile.convert_dates(df)
+    assert found == {"d": "day/month/year"} and dict(out.dtypes) == {"d": "date", "w": "string", "e": "string", "n": "int"}
+    assert [str(r["d"]) for r in out.orderBy("n").collect()] == ["2024-01-13", "None"]
+    assert profile.convert_dates(df.select("n"))[1] == {}

@@ -77,13 +77,61 @@ def test_forward_fill_hot_key_null_keys_and_dates(spark):
 def test_history_pivot_refuses_an_intent_named_like_the_empty_column(spark):
     import pytest
     with pytest.raises(ValueError):
-        windows.history_pivot(_events(spark, [(1, 1, "null"), (1, 2, "B")]), "u", "ts", "intent")
+        windows.history_pivot(_events(spark, [(1, 1, "null"), (1, 2, "B")]), "u", "ts", "intent", ["null", "B"])
 
 
-def test_history_pivot_discovers_values(spark):
+def test_history_pivot_without_a_list_is_a_map(spark):
+    df = _events(spark, [(1, 1, "A"), (1, 1, "A"), (1, 2, "null"), (1, 3, None), (1, 3, "A"), (2, 1, None)])
+    got = {(r["u"], r["date"]): (r["counts"], r["null"]) for r in windows.history_pivot(df, "u", "ts", "intent").collect()}
+    assert got == {(1, _d(1)): ({}, 2), (1, _d(2)): ({"A": 2}, 0), (1, _d(3)): ({"A": 4, "null": 2}, 0), (2, _d(1)): ({}, 1)}
+    once = windows.history_pivot(df, "u", "ts", "intent", per_day=True).where("u = 1").collect()
+    assert {r["date"]: r["counts"] for r in once}[_d(3)] == {"A": 2, "null": 1}
+
+
+def _ranges(rows, lo, hi):
+    """Brute force: the intents of each active (user, day) in its range."""
+    out = {(u, d): [] for u, d, _ in rows}
+    for (u, d), found in out.items():
+        found += sorted(i for v, e, i in rows if v == u and i is not None and d is not None and e is not None and lo <= e - d <= hi)
+    return out
+
+
+def test_ranges_equal_brute_force(spark):
+    import random
+    rnd = random.Random(4)
+    rows = [(rnd.choice([None, 0, 0, 0, 1, 2]), rnd.choice([None, *range(1, 200, 3)]) if u else rnd.randint(1, 30), rnd.choice(["a", "b", "b", None, "c"]))
+            for u in range(600)]
+    df = spark.createDataFrame([(u, None if d is None else _d(d), i) for u, d, i in rows], "u int, ts date, intent string")
+    day = lambda d: None if d is None else _d(d)
+    for lo, hi in ((0, 8), (3, 10), (-2, 2), (-60, -1)):
+        want = _ranges(rows, lo, hi)
+        sets = {(r["u"], r["date"]): r["s"] for r in windows.lookahead_labels(df, "u", "ts", "intent", (lo, hi), "s").collect()}
+        assert sets == {(u, day(d)): sorted(set(v)) for (u, d), v in want.items()}
+        lists = {(r["u"], r["date"]): r["l"] for r in windows.history_list(df, "u", "ts", "intent", (lo, hi), "l", repeats=True).collect()}
+        assert lists == {(u, day(d)): v for (u, d), v in want.items()}
+    flat = {}
+    for r in windows.history_rows(df, "u", "ts", "intent").collect():
+        flat.setdefault((r["u"], r["date"]), {})[r["cb_past_intent"]] = r["n_past"]
+    want = _ranges(rows, -60, -1)
+    assert flat == {(u, day(d)): {i: v.count(i) for i in v} or {None: 0} for (u, d), v in want.items()}
+
+
+def test_ranges_hold_no_arrays_per_row(spark):
     df = _events(spark, [(1, 1, "A"), (1, 2, "B")])
-    cols = windows.history_pivot(df, "u", "ts", "intent").columns
-    assert cols == ["u", "date", "A", "B", "null"]
+    plan = windows.history_rows(df, "u", "ts", "intent")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "collect_set" not in plan
+
+
+def test_many_labels_and_a_hot_user(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(20000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 500).alias("u"),
+                                   F.date_add(F.lit(_d(1)), (F.col("id") % 97).cast("int")).alias("ts"), (F.col("id") % 3000).cast("string").alias("intent"))
+    got = windows.lookahead_labels(df, "u", "ts", "intent")
+    far = df.select(F.col("u").alias("v"), F.col("ts").alias("t"), "intent").distinct()
+    days = df.select("u", "ts").distinct()
+    want = (days.join(far, (F.col("u") == F.col("v")) & F.col("t").between(F.col("ts"), F.date_add("ts", 8)))
+            .groupBy("u", F.col("ts").alias("date")).agg(F.array_sort(F.collect_set("intent")).alias("next_7_day_labels")))
+    assert got.exceptAll(want).count() == 0 and want.count() == got.count() == days.count()
 
 
 def test_history_list_is_a_multiset(spark):
