@@ -6,14 +6,14 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from featurelens.operators.ranking import running_total
+from featurelens.operators.ranking import exact_quantiles, null_safe_join, running_total
 
 _FUNCS = {"min": F.min, "mean": F.avg, "max": F.max, "std": F.stddev_samp, "sum": F.sum}
 
 
 def agg_numeric(df: DataFrame, key, cols: Sequence[str],
                 funcs: Sequence[str] = ("min", "mean", "max", "std", "sum")) -> DataFrame:
-    """Per key, each column: ``<col>_<fn>`` for fn in funcs.
+    """Per key (NULL is one), each column: ``<col>_<fn>`` for fn in funcs.
 
     ``median`` is exact (linear interpolation) and computed by ranking
     distinct values over range partitions, so one hot key never holds all
@@ -25,7 +25,6 @@ def agg_numeric(df: DataFrame, key, cols: Sequence[str],
     out = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
     if "median" not in funcs:
         return out
-    from featurelens.operators.ranking import exact_quantiles
     g = F.struct(*[F.col(k) for k in keys]).alias("_fl_g")
     long = df.select(g, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         ["_fl_g"], list(cols), "_fl_var", "_fl_x")
@@ -35,7 +34,7 @@ def agg_numeric(df: DataFrame, key, cols: Sequence[str],
                      F.col("_fl_gv._fl_var").alias("_fl_var"), F.col("_fl_q")[0].alias("_fl_med"))
     wide = med.groupBy(*keys).pivot("_fl_var", list(cols)).agg(F.first("_fl_med"))
     wide = wide.select(*keys, *[F.col(c).alias(f"{c}_median") for c in cols])
-    return out.join(wide, keys, "left")
+    return null_safe_join(out, wide, keys, "left")
 
 
 def freq_table(df: DataFrame, col: str) -> DataFrame:

@@ -21,7 +21,7 @@ from featurelens.functions.constants import (
 )
 from featurelens.functions.text import iv_strength as _iv_strength
 from featurelens.operators.columns import nan_to_null, proposed_type
-from featurelens.operators.ranking import exact_quantiles
+from featurelens.operators.ranking import exact_quantiles, null_safe_join
 from featurelens.session import cut_lineage
 
 
@@ -250,7 +250,8 @@ def label_counts(df: DataFrame, label_col: str, min_rows: int = SIGNIFICANT_LABE
 
 def describe_by(df: DataFrame, by: str, value: str, prefix: str = "",
                 count_name: str | None = None, method: str = "exact") -> DataFrame:
-    """count, mean, std, min, 25/50/75 %, max of ``value`` per ``by``."""
+    """count, mean, std, min, 25/50/75 %, max of ``value`` per ``by`` (NULL is a
+    group of its own)."""
     p = prefix
     base = df.groupBy(by).agg(
         F.count(value).alias(count_name or f"{p}count"), F.avg(value).alias(f"{p}mean"),
@@ -263,7 +264,7 @@ def describe_by(df: DataFrame, by: str, value: str, prefix: str = "",
     else:
         qs = df.groupBy(by).agg(F.percentile_approx(F.col(value).cast("double"), probs, 100000)
                                 .cast("array<double>").alias("quantiles"))
-    out = base.join(qs, by, "left")
+    out = null_safe_join(base, qs, [by], "left")
     return out.select(base.columns[:-1] + [
         F.col("quantiles")[0].alias(f"{p}25%"), F.col("quantiles")[1].alias(f"{p}50%"),
         F.col("quantiles")[2].alias(f"{p}75%"), f"{p}max"])

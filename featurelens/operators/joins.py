@@ -48,6 +48,15 @@ def lookup_map(df: DataFrame, col: str, mapping: DataFrame, value_col: str = "va
     return j.withColumnRenamed("_fl_code", out or f"{col}_code")
 
 
+def lookup_maps(df: DataFrame, cols: Sequence[str], mapping: DataFrame, suffix: str = "_code") -> DataFrame:
+    """:func:`lookup_map` for any number of columns by one map table (column,
+    value, code), without a join per column: codes in ``<column><suffix>``."""
+    from featurelens.operators.encoding import map_columns
+    names = df.columns
+    x, codes = map_columns(df, cols, mapping)
+    return x.select(*names, *[codes[c].alias(c + suffix) for c in cols])
+
+
 def labels_not_in(a: DataFrame, b: DataFrame, col: str, b_col: str | None = None) -> DataFrame:
     """Distinct values of a.col that do not occur in b.b_col."""
     bc = b_col or col

@@ -24,6 +24,15 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where NULL is a key like others; the left side's
+    key columns stay."""
+    mine = {k: f"_fl_right_{i}" for i, k in enumerate(keys)}
+    r = right.withColumnsRenamed(mine)
+    on = [left[k].eqNullSafe(r[m]) for k, m in mine.items()]
+    return left.join(r, on, how).drop(*mine.values())
+
+
 def _num_partitions(df: DataFrame, n: int | None) -> int:
     if n:
         return n
@@ -61,7 +70,7 @@ def running_total(df: DataFrame, order: Sequence, partition_by: Iterable[str] =
     # offsets: at most num_partitions + groups rows. Groups are usually column
     # names, but may be many (a median per customer): no hint, AQE broadcasts
     # it when its measured size is small
-    return (local.join(offsets, [_PID, *part])
+    return (null_safe_join(local, offsets, [_PID, *part])
                  .withColumn(out, F.col(_LOCAL) + F.col(_OFF))
                  .drop(_PID, _LOCAL, _OFF))
 
@@ -83,7 +92,8 @@ def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
     :func:`running_total` and only the rows that hold a wanted rank are kept,
     so no task holds a whole group. ``inline``: Spark's ``percentile``, for
     callers who know that a group's distinct values fit one buffer.
-    Returns (group_col, out array<double> in ``probs`` order, n).
+    NULL is a group like others. Returns (group_col, out array<double> in
+    ``probs`` order, n).
     """
     g, v = group_col, value_col
     if method == "inline":
@@ -108,8 +118,8 @@ def exact_quantiles(long_df: DataFrame, group_col: str, value_col: str,
         aggs.append(F.min(F.when(F.col("_fl_cum") > F.col(f"_fl_lo{i}"), F.col(v))).alias(f"_fl_lo{i}v"))
         aggs.append(F.min(F.when(F.col("_fl_cum") > F.col(f"_fl_hi{i}"), F.col(v))).alias(f"_fl_hi{i}v"))
     # sizes: one row per group (no hint: groups may be many, see above)
-    picked = ranked.join(sizes, g).groupBy(g).agg(*aggs)
-    res = picked.join(sizes, g)
+    picked = null_safe_join(ranked, sizes, [g]).groupBy(g).agg(*aggs)
+    res = null_safe_join(picked, sizes, [g])
     qs = [F.col(f"_fl_lo{i}v") + F.col(f"_fl_d{i}") * (F.col(f"_fl_hi{i}v") - F.col(f"_fl_lo{i}v"))
           for i in range(len(probs))]
     res = res.withColumnRenamed("_fl_n", "n")

@@ -82,6 +82,30 @@ def split_by_customer(df: DataFrame, cust_key: str, test_percent: int = TEST_PER
     return df.withColumn(out, F.when(b < test_percent, F.lit("test")).otherwise(F.lit("train")))
 
 
+def split_by_customer_exact(df: DataFrame, cust_key: str, test_percent: float = TEST_PERCENT,
+                            seed: int = SPLIT_SEED, out: str = "split") -> DataFrame:
+    """``train``/``test`` per customer with exactly round(test_percent %) of the
+    distinct customers in test (halves up): those of the smallest hashes.
+
+    The cut is an order statistic: customers are counted by a 16-bit prefix of
+    their hash (65,536 counts), and only those of the prefix that holds the
+    cut are ordered. The split itself is a filter by the cut. Rows without a
+    customer are train.
+    """
+    h = hash_order_key(seed, cust_key)
+    prefix = F.conv(F.substring(h, 1, 4), 16, 10).cast("int")
+    people = df.where(F.col(cust_key).isNotNull()).select(cust_key).distinct()
+    seen = people.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    total = seen.agg(F.sum("n").alias("n")).first()["n"] or 0
+    want = int(total * test_percent / 100 + 0.5)
+    if not want:
+        return df.withColumn(out, F.lit("train"))
+    upto = seen.withColumn("c", F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, 0)))
+    at = upto.where(F.col("c") >= want).orderBy("p").select("p", (F.col("c") - F.col("n")).alias("before")).first()
+    last = (people.where(prefix == at["p"]).select(h.alias("h")).orderBy("h").limit(want - at["before"]).agg(F.max("h").alias("h")).first()["h"])
+    return df.withColumn(out, F.when(F.col(cust_key).isNotNull() & (h <= last), F.lit("test")).otherwise(F.lit("train")))
+
+
 def split_in_time(df: DataFrame, date_col: str, cust_key: str,
                   train_start="2022-08-10", train_end="2023-03-10",
                   oos_start="2023-03-10", oos_end="2024-05-10",

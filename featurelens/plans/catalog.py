@@ -184,7 +184,7 @@ def build() -> dict:
         sa(enc.label_map(_t(s, sf, "orders"), "o_orderstatus"), p)
         # second write of the same (artefact, kind) replaces only that partition
         sa(enc.label_map(_t(s, sf, "orders"), "o_orderstatus"), p)
-        return load_artefacts(s, p, "training")
+        return load_artefacts(s, p, "training").drop("rest")
     q["save_artefacts"] = save_artefacts
 
     # --- 2.2 projections, filters -------------------------------------------

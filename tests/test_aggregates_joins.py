@@ -93,3 +93,17 @@ def test_last_day_is_whole(spark):
     from featurelens.operators import columns
     df = spark.createDataFrame([(dt.datetime(1996, 12, 31, 10),), (dt.datetime(1997, 1, 1),)], "t timestamp")
     assert columns.between_dates(df, "t", "1996-01-01", "1996-12-31").count() == 1
+
+
+def test_null_groups_have_their_own_order_statistics(spark):
+    from featurelens.operators import iv
+    from featurelens.operators.aggregates import agg_numeric
+    rows = [(None, "p", 1.0), (None, "p", 3.0), (None, None, 9.0), ("a", "p", 5.0), ("a", None, None), ("b", "p", None)]
+    df = spark.createDataFrame(rows, "k string, j string, x double")
+    got = {r["k"]: (r["x_median"], r["x_max"]) for r in agg_numeric(df, "k", ["x"], ("max", "median")).collect()}
+    assert got == {None: (3.0, 9.0), "a": (5.0, 5.0), "b": (None, None)}
+    two = {(r["k"], r["j"]): r["x_median"] for r in agg_numeric(df, ["k", "j"], ["x"], ("median",)).collect()}
+    assert two == {(None, "p"): 2.0, (None, None): 9.0, ("a", "p"): 5.0, ("a", None): None, ("b", "p"): None}
+    d = {r["k"]: r for r in iv.describe_by(df, "k", "x").collect()}
+    assert [d[None][c] for c in ("count", "25%", "50%", "75%", "max")] == [3, 2.0, 3.0, 6.0, 9.0]
+    assert d["b"]["count"] == 0 and d["b"]["50%"] is None

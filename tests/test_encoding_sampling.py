@@ -1,9 +1,14 @@
+import hashlib
 import os
+import random
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
-from featurelens.operators import encoding as enc, sampling
+from featurelens.operators import encoding as enc, joins, sampling
+from featurelens.sources import reports
 from featurelens.sources.reports import load_artefacts, read_report, save_artefacts, write_report
 from featurelens.sources.tables import sample_table_to_path
 
@@ -140,3 +145,125 @@ def test_stratified_with_null_label(spark):
     got = {r["l"]: r["count"] for r in sampling.stratified_sample(df, "l", 5, 1, ["k"])
            .groupBy("l").count().collect()}
     assert got == {"a": 5, None: 5}
+
+
+def test_a_value_named_like_the_rest_code(spark):
+    vals = ["least_perc"] * 3 + ["a"] * 2 + ["b"] + [None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, c string")
+    x, m = enc.encode_categories_train(df, ["c"])
+    assert {(r["value"], r["code"], r["rest"]) for r in m.collect()} == {("least_perc", 0, False), ("a", 1, False), ("least_perc", 2, True)}
+    assert [r["c"] for r in x.orderBy("i").collect()] == [0, 0, 0, 1, 1, 2, 2]
+    path = os.path.join(tempfile.mkdtemp(prefix="fl-art-"), "maps")
+    save_artefacts(m, path)
+    again = enc.encode_categories_score(df, ["c"], load_artefacts(spark, path, "training"))
+    assert [r["c"] for r in again.orderBy("i").collect()] == [0, 0, 0, 1, 1, 2, 2]
+
+
+def _wide(spark, n_cols, n_rows, seed=2):
+    rnd = random.Random(seed)
+    rows = [(i, *[rnd.choice([None, "", "least_perc", *"abcdefgh"[: 2 + c % 7]]) for c in range(n_cols)]) for i in range(n_rows)]
+    return rows, spark.createDataFrame(rows, "i int, " + ", ".join(f"c{c} string" for c in range(n_cols)))
+
+
+@pytest.mark.parametrize("dict_bytes", [enc.DICT_BYTES, 0, 600])
+def test_maps_of_many_columns_equal_brute_force(spark, dict_bytes):
+    rows, df = _wide(spark, 12, 300)
+    cols = [f"c{c}" for c in range(12)]
+    m = enc.index_categories_map(df, cols)
+    got = {r["i"]: tuple(r)[1:] for r in enc.apply_category_map(df, cols, m, kind="index", dict_bytes=dict_bytes).collect()}
+    codes = [{v: k for k, v in enumerate(sorted({r[c + 1] for r in rows if r[c + 1] is not None}))} for c in range(12)]
+    assert got == {r[0]: tuple(codes[c].get(r[c + 1]) for c in range(12)) for r in rows}
+    # an unknown value, a column without a map, and a suffix
+    score = spark.createDataFrame([(1, "zzz", "a")], "i int, c0 string, d string")
+    assert enc.apply_category_map(score, ["c0", "d"], m, kind="index", suffix="_k", dict_bytes=dict_bytes).first().asDict() == {
+        "i": 1, "c0": "zzz", "d": "a", "c0_k": None, "d_k": None}
+
+
+def test_two_hundred_columns_without_a_join_each(spark):
+    rows, df = _wide(spark, 200, 60)
+    cols = [f"c{c}" for c in range(200)]
+    x, m = enc.encode_categories_train(df, cols)
+    for size in (enc.DICT_BYTES, 0):
+        out = enc.apply_category_map(df, cols, m, dict_bytes=size)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join ") <= 2
+    got = {r["i"]: r for r in x.collect()}
+    for c in (0, 77, 199):
+        seen = [r[c + 1] for r in rows if r[c + 1] is not None]
+        order = sorted(set(seen), key=lambda v: (-seen.count(v), v))
+        assert [got[r[0]][f"c{c}"] for r in rows] == [order.index(r[c + 1]) if r[c + 1] is not None else len(order) - 1 for r in rows]
+
+
+def test_lookup_maps(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", None)], "i int, p string, q string")
+    m = spark.createDataFrame([("p", "a", 7), ("q", "x", 8), ("q", "a", 9)], "column string, value string, code long")
+    assert [tuple(r) for r in joins.lookup_maps(df, ["p", "q"], m).orderBy("i").collect()] == [(1, "a", "x", 7, 8), (2, "b", None, None, None)]
+
+
+@pytest.mark.parametrize("n,percent", [(1, 20), (2, 20), (3, 20), (997, 20), (1000, 33.3), (50, 0), (50, 100)])
+def test_exact_share_of_customers(spark, n, percent):
+    rows = [(k, i) for k in range(n) for i in range(1 + (k == 0) * 50)] + [(None, 0)]
+    s = sampling.split_by_customer_exact(spark.createDataFrame(rows, "cust int, i int"), "cust", percent)
+    side = {}
+    for r in s.collect():
+        side.setdefault(r["cust"], set()).add(r["split"])
+    assert all(len(v) == 1 for v in side.values()) and side.pop(None) == {"train"}
+    test = {k for k, v in side.items() if v == {"test"}}
+    by_hash = sorted(range(n), key=lambda k: hashlib.md5(f"33|{k}".encode()).hexdigest())
+    assert test == set(by_hash[:int(n * percent / 100 + 0.5)])
+
+
+def _broken(spark):
+    return spark.range(4).selectExpr("raise_error('stop') as x")
+
+
+def test_a_write_that_dies_leaves_the_old_report_whole(spark):
+    base = tempfile.mkdtemp(prefix="fl-rep-")
+    one = spark.createDataFrame([(1,)], "x int")
+    two = spark.createDataFrame([(2,)], "x int")
+    write_report({"a": one, "b": one}, base, "r")
+    with pytest.raises(Exception):
+        write_report({"a": two, "b": _broken(spark)}, base, "r", overwrite=True)
+    assert [read_report(spark, base, "r", s).first()["x"] for s in "ab"] == [1, 1]
+    during = read_report(spark, base, "r", "a")  # a reader that began before the rewrite
+    write_report({"a": two}, base, "r", overwrite=True)
+    assert during.first()["x"] == 1 and read_report(spark, base, "r", "a").first()["x"] == 2
+    assert set(reports.report_sections(spark, base, "r")) == {"a"}
+    with pytest.raises(KeyError):
+        read_report(spark, base, "r", "b")
+    assert reports.vacuum(spark, f"{base}/r", keep=1) == 2  # the first report and the dead write
+    assert read_report(spark, base, "r", "a").first()["x"] == 2
+
+
+def test_two_writers_keep_each_other_s_entries(spark, monkeypatch):
+    path = os.path.join(tempfile.mkdtemp(prefix="fl-art-"), "maps")
+    df = spark.createDataFrame([("x",), ("y",)], "l string")
+    save_artefacts(enc.label_map(df, "l", "first"), path)
+    real, calls = reports._manifest, []
+
+    def slow(s, root, number=None):
+        got = real(s, root, number)
+        if not calls:  # another writer commits between this writer's read and its own commit
+            calls.append(1)
+            save_artefacts(enc.label_map(df, "l", "other"), path)
+        return got
+
+    monkeypatch.setattr(reports, "_manifest", slow)
+    save_artefacts(enc.label_map(df, "l", "mine"), path)
+    assert {r["artefact"] for r in load_artefacts(spark, path).collect()} == {"first", "other", "mine"}
+
+
+def test_maps_that_die_leave_the_old_ones(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="fl-art-"), "maps")
+    assert load_artefacts(spark, path).count() == 0
+    m = enc.label_map(spark.createDataFrame([("x",)], "l string"), "l")
+    save_artefacts(m, path)
+    with pytest.raises(Exception):
+        save_artefacts(m.withColumn("value", F.raise_error(F.lit("stop")).cast("string")), path)
+    assert [r["value"] for r in load_artefacts(spark, path).collect()] == ["x"]
+
+
+def test_report_as_csv(spark):
+    base = tempfile.mkdtemp(prefix="fl-rep-")
+    write_report({"s": spark.createDataFrame([(1, "a")], "x int, y string")}, base, "r", csv=True)
+    assert spark.read.option("header", True).csv(reports.report_sections(spark, base, "r")["s"]).first().asDict() == {"x": "1", "y": "a"}
