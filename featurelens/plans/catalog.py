@@ -107,6 +107,12 @@ def _many_labels(spark, sf):
         F.when(F.col("event_id") % 11 != 0, F.concat(F.lit("L"), (F.col("event_id") % 3000).cast("string"))).alias("lab"))
 
 
+def _null_keys(spark, sf):
+    return _t(spark, sf, "lineitem").select(
+        F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")).alias("flag"),
+        F.when(F.col("l_linenumber") > 2, F.col("l_linenumber")).alias("line"), "l_extendedprice")
+
+
 def _scores(spark, sf):
     o = _t(spark, sf, "orders")
     lab = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
@@ -246,6 +252,10 @@ def build() -> dict:
         _t(s, sf, "lineitem"), "l_returnflag", ["l_quantity", "l_extendedprice"], ("sum", "median")).select(
         "l_returnflag", *[F.round(c, 6).alias(c) for c in
                           ["l_quantity_sum", "l_quantity_median", "l_extendedprice_sum", "l_extendedprice_median"]])
+    # NULL groups have medians and quartiles of their own
+    q["agg_numeric_nulls"] = lambda s, sf: _round_all(agg.agg_numeric(
+        _null_keys(s, sf), ["flag", "line"], ["l_extendedprice"], ("min", "max", "median")), 6)
+    q["describe_by_nulls"] = lambda s, sf: _round_all(iv.describe_by(_null_keys(s, sf), "flag", "l_extendedprice"), 6)
     q["freq_table"] = lambda s, sf: agg.freq_table(_t(s, sf, "part"), "p_type")
     # NULLs: every third part has no type
     q["freq_table_nulls"] = lambda s, sf: agg.freq_table(_t(s, sf, "part").select(
@@ -403,6 +413,8 @@ def build() -> dict:
     q["sample_n"] = lambda s, sf: sampling.sample_n(_t(s, sf, "orders"), 2000, 111, ["o_orderkey"])
     q["stratified_sample"] = lambda s, sf: sampling.stratified_sample(
         _t(s, sf, "orders"), "o_orderstatus", 200, 111, ["o_orderkey"])
+    q["split_by_customer_exact"] = lambda s, sf: sampling.split_by_customer_exact(
+        _t(s, sf, "orders"), "o_custkey").select("o_orderkey", "o_custkey", "split")
     q["split_by_customer"] = lambda s, sf: _orders_split(s, sf).select("o_orderkey", "o_custkey", "split")
     q["split_in_time"] = lambda s, sf: sampling.split_in_time(
         _t(s, sf, "orders"), "o_orderdate", "o_custkey", "1996-01-01", "1999-01-01", "1999-01-01",
@@ -446,6 +458,20 @@ def build() -> dict:
         return x
     q["encode_categories_train"] = encode_train
 
+    def encode_named_like_the_rest(s, sf):
+        """A brand is called least_perc; five columns by one dictionary."""
+        p = _t(s, sf, "part")
+        named = F.when(F.col("p_brand") == "Brand#11", "least_perc").when(F.col("p_size") > 2, F.col("p_brand"))
+        x, _m = enc.encode_categories_train(p.select("p_partkey", named.alias("brand"), "p_type", F.col("p_size").cast("string").alias("size")), ["brand", "p_type", "size"])
+        return x
+    q["encode_named_like_the_rest"] = encode_named_like_the_rest
+
+    def lookup_maps(s, sf):
+        p = _t(s, sf, "part").select("p_partkey", "p_brand", "p_type")
+        m = enc.index_categories_map(p.where("p_partkey % 2 = 0"), ["p_brand", "p_type"])
+        return joins.lookup_maps(p, ["p_brand", "p_type"], m)
+    q["lookup_maps"] = lookup_maps
+
     def encode_score(s, sf):
         p = _t(s, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
         m = enc.encode_categories_map(p.where(F.col("p_size") <= 25), ["p_brand", "p_type"])

@@ -404,6 +404,11 @@ def build() -> dict:
                         "CAST(max(o_orderdate) AS VARCHAR) AS max_o_orderdate FROM orders")
     q["label_counts"] = ("SELECT CAST(o_orderstatus AS VARCHAR) AS label, CAST(count(*) AS BIGINT) AS count, "
                          "count(*) >= 100 AS is_significant FROM orders GROUP BY ALL")
+    nulled = ("(SELECT CASE WHEN l_returnflag <> 'R' THEN l_returnflag END AS flag, CASE WHEN l_linenumber > 2 THEN l_linenumber END AS line, "
+              "l_extendedprice FROM lineitem)")
+    q["agg_numeric_nulls"] = ("SELECT flag, line, round(min(l_extendedprice), 6) AS l_extendedprice_min, round(max(l_extendedprice), 6) AS l_extendedprice_max, "
+                              f"round(quantile_cont(l_extendedprice, 0.5), 6) AS l_extendedprice_median FROM {nulled} x GROUP BY flag, line")
+    q["describe_by_nulls"] = describe_sql(nulled, "flag", "l_extendedprice", "", None, 6)
     q["describe_by"] = describe_sql("lineitem", "l_returnflag", "l_extendedprice", "", None, 6)
     wk = week_sql("events", "ts")
     ct_w = crosstab_sql(wk, "event_type", "week", "week_idx", "user_id")
@@ -562,6 +567,10 @@ def build() -> dict:
 
     q["stratified_sample"] = ("SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderstatus "
                               "ORDER BY md5('111|' || CAST(o_orderkey AS VARCHAR)), o_orderkey) <= 200")
+    q["split_by_customer_exact"] = (
+        "SELECT o_orderkey, o_custkey, CASE WHEN r <= CAST(floor(n * 0.2 + 0.5) AS BIGINT) THEN 'test' ELSE 'train' END AS split FROM orders JOIN "
+        "(SELECT o_custkey AS k, row_number() OVER (ORDER BY md5('33|' || CAST(o_custkey AS VARCHAR))) AS r, count(*) OVER () AS n "
+        "FROM (SELECT DISTINCT o_custkey FROM orders) d) c ON k = o_custkey")
     q["split_by_customer"] = f"SELECT o_orderkey, o_custkey, split FROM {order_split()} s"
     q["split_in_time"] = (
         f"SELECT o_orderkey, o_custkey, o_orderdate, CASE WHEN CAST(o_orderdate AS DATE) >= DATE '1996-01-01' AND "
@@ -609,6 +618,15 @@ def build() -> dict:
                 f"(SELECT max(k) - 1 FROM {bm} b2)) AS BIGINT) AS p_brand, "
                 f"CAST(coalesce((SELECT code FROM {tm} t WHERE t.value = p.p_type AND t.code < t.k - 1), "
                 f"(SELECT max(k) - 1 FROM {tm} t2)) AS BIGINT) AS p_type FROM part p {where_score}")
+    named = ("(SELECT p_partkey, CASE WHEN p_brand = 'Brand#11' THEN 'least_perc' WHEN p_size > 2 THEN p_brand END AS brand, p_type, "
+             "CAST(p_size AS VARCHAR) AS size FROM part)")
+    ranks = "(SELECT {0} AS v, row_number() OVER (ORDER BY count(*) DESC, {0}) - 1 AS c, count(*) OVER () AS k FROM " + named + " x WHERE {0} IS NOT NULL GROUP BY {0})"
+    q["encode_named_like_the_rest"] = "SELECT p_partkey, " + ", ".join(
+        f"CAST(coalesce({c}_m.c, (SELECT max(k) - 1 FROM {ranks.format(c)} r)) AS BIGINT) AS {c}" for c in ("brand", "p_type", "size")) + f" FROM {named} p " + " ".join(
+        f"LEFT JOIN {ranks.format(c)} {c}_m ON {c}_m.v = p.{c}" for c in ("brand", "p_type", "size"))
+    half = "(SELECT {0} AS v, CAST(dense_rank() OVER (ORDER BY {0}) - 1 AS BIGINT) AS c FROM (SELECT DISTINCT {0} FROM part WHERE p_partkey % 2 = 0 AND {0} IS NOT NULL) d)"
+    q["lookup_maps"] = ("SELECT p_partkey, p_brand, p_type, b.c AS p_brand_code, t.c AS p_type_code FROM part "
+                        f"LEFT JOIN {half.format('p_brand')} b ON b.v = p_brand LEFT JOIN {half.format('p_type')} t ON t.v = p_type")
     q["encode_categories_train"] = cat_apply("", "")
     q["encode_categories_score"] = (cat_apply("AND p_size <= 25", "WHERE p.p_size > 25")
                                     .replace("SELECT p.p_partkey,", "SELECT p.p_partkey, p.p_size,", 1))
