@@ -109,22 +109,24 @@ def _search(ids, texts, n, bands, threshold, lower):
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text", n: int = 5, threshold: float = 0.8,
-                 recall: float = 0.9999, block_items: int = 20_000, lower: bool = True) -> DataFrame:
+                 recall: float = 0.9999, block_items: int = 20_000, lower: bool = True,
+                 block_chars: int = 16 << 20) -> DataFrame:
     """(doc_id, item_id, containment, n_shared, n_item) of every pair where the
     document holds ``threshold`` or more of the item's distinct shingles.
 
     Texts shorter than ``n`` words are one shingle. Null or empty items and
-    documents, and null ids, give no pair; repeated rows give one pair. A
-    benchmark of any size is searched in blocks of ``block_items``.
+    documents, and null ids, give no pair; repeated rows give one pair. All
+    texts of a repeated ``item_id`` are searched; a document's pair tells of the
+    one it holds most of. A benchmark of any size is searched in blocks of at
+    most ``block_items``, of ``block_chars`` characters and one more text.
     """
     ready(docs.sparkSession)
     spark = docs.sparkSession
     bands = bands_for(threshold, recall)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     queries = (benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text"))
-               .where("item_id is not null and trim(text) <> ''")
-               .groupBy("item_id").agg(F.min("text").alias("text")))
-    out, block = spark.createDataFrame([], OUT), []
+               .where("item_id is not null and trim(text) <> ''").distinct())
+    out, block, held = spark.createDataFrame([], OUT), [], 0
 
     def search(block):
         return stage(src.mapInArrow(_search([i for i, _ in block], [t for _, t in block], n, bands, threshold, lower), OUT),
@@ -133,8 +135,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     # one block of items is held at a time
     for r in queries.toLocalIterator():
         block.append((r["item_id"], r["text"]))
-        if len(block) == block_items:
-            out, block = out.unionAll(search(block)), []
+        held += len(r["text"])
+        if len(block) == block_items or held >= block_chars:
+            out, block, held = out.unionAll(search(block)), [], 0
     if block:
         out = out.unionAll(search(block))
-    return out.distinct()
+    # an item of several texts counts by the one that the document holds most of
+    best = F.max(F.struct("containment", "n_shared", "n_item"))
+    return out.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")

@@ -172,3 +172,13 @@ def test_no_items_no_pairs(spark):
 def test_spanning_forest():
     u, v = np.array([0, 1, 0, 3]), np.array([1, 2, 2, 4])
     assert blocks.spanning_forest(5, u, v) == [(0, 1), (1, 2), (3, 4)]
+
+
+def test_every_text_of_an_item_is_searched(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(20)) for c in "ab")
+    items = spark.createDataFrame([(1, a), (1, b), (2, b), (2, b), (3, b + " more")], "item_id long, text string")
+    docs = spark.createDataFrame([(10, "start " + a + " end"), (11, b), (12, a + " " + b), (13, "none of it")], "doc_id long, text string")
+    for chars in (16 << 20, 1):  # one block, and a block for each text
+        got = {(r["doc_id"], r["item_id"]): (r["containment"], r["n_item"]) for r in decontaminate.contaminated(docs, items, block_chars=chars).collect()}
+        assert got == {(10, 1): (1.0, 16), (11, 1): (1.0, 16), (11, 2): (1.0, 16), (11, 3): (16 / 17, 17),
+                       (12, 1): (1.0, 16), (12, 2): (1.0, 16), (12, 3): (16 / 17, 17)}
