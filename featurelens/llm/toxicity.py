@@ -190,17 +190,24 @@ def predict(model: dict, texts: list[bytes], by: list[zstd.ZstdCompressor]) -> n
     return 1 / (1 + np.exp(-np.clip(x @ model["weights"][:-1] + model["weights"][-1], -40, 40)))
 
 
-def fit_toxicity(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-                 max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY) -> dict:
-    """Fit on rows of label 0 or 1 (others, and null ids, are left out; null
-    texts are empty). The bounds hold in expectation, by a hash of the id."""
-    ready(labelled.sparkSession)
-    rows = (labelled.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                            F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)"))
-    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    draw = F.pmod(F.xxhash64(F.lit(13), "id"), F.lit(1_000_000))
+def draw_labels(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic",
+                max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY) -> DataFrame:
+    """(_id, _y) of the ids to learn from: all, or by a hash of the id as many
+    of each class as the bounds say (in expectation). Null ids and labels other
+    than 0 and 1 are left out; an id with several labels is toxic if one is 1."""
+    rows = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
+            .where("_id is not null and _y in (0, 1)").groupBy("_id").agg(F.max("_y").alias("_y")))
+    counts = {r["_y"]: r["n"] for r in rows.groupBy("_y").agg(F.count("*").alias("n")).collect()}
+    draw = F.pmod(F.xxhash64(F.lit(13), F.col("_id").cast("string")), F.lit(1_000_000))
     share = {y: int(1_000_000 * min(1.0, most / max(counts.get(y, 0), 1))) for y, most in ((1, max_toxic), (0, max_ordinary))}
-    rows = rows.where(draw < F.when(F.col("y") == 1, share[1]).otherwise(share[0]))
+    return rows.where(draw < F.when(F.col("_y") == 1, share[1]).otherwise(share[0]))
+
+
+def fit_toxicity(labelled: DataFrame, id_col: str = "_id", text_col: str = "text", label_col: str = "_y") -> dict:
+    """The model of labelled texts (null texts are empty). One task reads all
+    rows: their number is bounded by :func:`draw_labels`."""
+    ready(labelled.sparkSession)
+    rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(label_col).alias("y"))
 
     def one(batches):
         texts: list[list[bytes]] = [[], []]
@@ -235,21 +242,23 @@ def score_toxicity(docs: DataFrame, model: dict, text_col: str = "text", out: st
 
 
 def label_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   folds: int = 3, held: int = 1, **bounds) -> DataFrame:
+                   folds: int = 3, held_fold: int = 1, **bounds) -> DataFrame:
     """(id_col, held_out, score, predicted) of every row of ``docs``.
 
     Labels are learned from rows whose crc32(id as text) mod ``folds`` is not
-    ``held``; ``held_out`` tells the others (false for null ids, which teach
+    ``held_fold``; ``held_out`` tells the others (false for null ids, which teach
     nothing). An id with several labels counts as toxic if one is 1. Null
     texts are empty and score like them; repeated rows stay and score alike;
     an empty table gives no rows; no labels of both classes give score 0.
     """
-    held_out = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == held, F.lit(False))
-    rating = (labels.select(F.col(id_col).alias("_id"), F.col("toxic").cast("int").alias("_toxic"))
-              .where("_id is not null and _toxic in (0, 1)").groupBy("_id").agg(F.max("_toxic").alias("_toxic")))
+    def held(c):
+        return F.coalesce(F.crc32(F.col(c).cast("string").cast("binary")) % folds == held_fold, F.lit(False))
+
+    held_out = held(id_col)
     src = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"), held_out.alias("_held"))
-    taught = src.where("not _held").join(rating, F.col("_doc") == F.col("_id")).drop("_id", "_held")
-    model = fit_toxicity(taught, "_doc", "_text", "_toxic", **bounds)
+    # the drawn ids are few by their bounds; the texts are not shuffled for them
+    drawn = F.broadcast(draw_labels(labels.where(~held(id_col)), id_col, **bounds))
+    model = fit_toxicity(src.where("not _held").join(drawn, F.col("_doc") == F.col("_id")), "_id", "_text")
     scored = score_toxicity(src, model, "_text", "score")
     return scored.select(F.col("_doc").alias(id_col), F.col("_held").alias("held_out"), "score",
                          (F.col("score") >= DECIDE).cast("int").alias("predicted"))
