@@ -126,3 +126,26 @@ def test_tree_sql_sends_unknown_values_right():
     nodes = {0: {"leftChild": 1, "rightChild": 2, "split": {"featureIndex": 1, "numCategories": 3, "leftCategoriesOrThreshold": [0.0, 2.0]}},
              1: {"leftChild": -1, "prediction": 1.5}, 2: {"leftChild": -1, "prediction": -2.0}}
     assert trees.tree_sql(nodes, "x") == "CASE WHEN x[1] IN (0.0D, 2.0D) THEN 1.5D ELSE -2.0D END"
+
+
+def test_whole_run_with_covered_labels_and_the_eval_set(spark):
+    import datetime as dt
+
+    from featurelens.operators.sampling import split_by_customer
+    from featurelens.spec import FeatureSpec
+    r = random.Random(2)
+    people = spark.createDataFrame([(k,) for k in range(60)], "cust int")
+    side = {x["cust"]: x["split"] for x in split_by_customer(people, "cust").collect()}
+    only_train = [k for k, s in side.items() if s == "train"][0]
+    rows = [(i, k, dt.date(2024, 1, 1) + dt.timedelta(days=i % 70), "rare" if k == only_train else r.choice(["p", "q"]), r.random(), r.choice("abc"))
+            for i, k in enumerate(k for k in range(60) for _ in range(6))]
+    df = spark.createDataFrame(rows, "id int, cust int, day date, label string, x double, c string")
+    spec = FeatureSpec(cust_key="cust", pkeys=("id", "cust"), dkeys=("day", "month", "week", "month_idx", "week_idx"), label="label",
+                       drop_cols=(), date_col="day")
+    run = mdl.run_model_pipeline(df, spec, 1, cover_order=["id"], max_iter=3, keys=["id"])
+    assert run.trained.categorical == ("c",) and run.trained.num_classes == 3
+    assert {x["label_idx"] for x in run.trained.test.select("label_idx").distinct().collect()} == {0.0, 1.0, 2.0}
+    assert run.auc_mu.first()["pairs"] == 3
+    assert all(len(m.treeWeights) <= 3 for m in run.trained.models)
+    plain = mdl.run_model_pipeline(df, spec, 1, max_iter=1, eval_split=None)
+    assert len({x["label_idx"] for x in plain.trained.test.select("label_idx").distinct().collect()}) == 2
