@@ -42,7 +42,7 @@ from featurelens.llm.tables import ready
 
 WORDS = 12
 LEVEL = 9
-ORDINARY_BYTES = 65_536
+ORDINARY_BYTES = 131_072
 TOXIC_BYTES = (1024, 2048, 4096, 8192)
 MAX_TOXIC, MAX_ORDINARY, TEXT_WINDOWS = 3_000, 6_000, 400
 DECIDE = 0.7
