@@ -68,12 +68,14 @@ def _found(kind: str, rule: str) -> Column:
     space parts the match from the one before."""
     text = F.col("text")
     hits, pieces = F.regexp_extract_all(text, F.lit(rule), F.lit(0)), F.split(text, rule, -1)
-    sized = F.transform(hits, lambda m, i: F.struct(
+    # matches and pieces are bound once: lambdas look them up by position
+    bound = F.array(F.struct(hits.alias("h"), pieces.alias("p")))
+    sized = F.transform(bound, lambda q: F.transform(q["h"], lambda m, i: F.struct(
         m.alias("m"), F.char_length(m).cast("long").alias("n"),
-        (F.char_length(F.get(pieces, i)) + F.char_length(m)).cast("long").alias("all"),
-        F.right(F.get(pieces, i), F.lit(_NEAR)).alias("before"),
-        F.left(F.get(pieces, i + 1), F.lit(_NEAR)).alias("after")))
-    packed = F.struct(sized.alias("a"), F.transform(sized, lambda x: x["all"]).alias("len"))
+        (F.char_length(F.get(q["p"], i)) + F.char_length(m)).cast("long").alias("all"),
+        F.right(F.get(q["p"], i), F.lit(_NEAR)).alias("before"),
+        F.left(F.get(q["p"], i + 1), F.lit(_NEAR)).alias("after"))))
+    packed = F.transform(sized, lambda s: F.struct(s.alias("a"), F.transform(s, lambda x: x["all"]).alias("len")))
 
     def total(arr):
         return F.aggregate(arr, F.lit(0).cast("long"), lambda a, x: a + x)
@@ -90,7 +92,7 @@ def _found(kind: str, rule: str) -> Column:
                 w["len"], F.floor(i / _STEP).cast("int") * _STEP + 1, i % _STEP + 1)) - x["n"]).alias("start"),
             x["n"].alias("n"), x["m"].alias("token"), x["before"].alias("before"), x["after"].alias("after")))))
 
-    spans = F.flatten(F.transform(F.array(packed), places))
+    spans = F.flatten(F.transform(packed, places))
     spans = F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), (s["start"] + s["n"]).alias("end"), s["token"].alias("token"),
         F.lower(F.regexp_extract(s["before"], r"(\S+)\s+[^\s\p{L}\p{N}]*$", 1)).alias("before"),

@@ -405,3 +405,23 @@ def test_patterns_find_what_no_rule_matches(spark):
     text = dict(rows)
     for r in pii.find_pii(df).collect():
         assert all(text[r.doc_id][f.start:f.end] == f.token for f in r.found)
+
+
+def test_pii_takes_time_in_proportion_to_the_matches(spark):
+    import time
+
+    def seconds(n):
+        docs = spark.createDataFrame([(1, "lorem a1b2 ip 10.0.0.1 " * n)], "doc_id long, text string")
+        began = time.time()
+        got = pii.digest(pii.find_pii(docs, rounds=0)).first()
+        assert got["n_ip"] == n and got["spans"].endswith(f":{23 * n - 1}")
+        return time.time() - began
+
+    seconds(100)
+    small, large = seconds(4000), seconds(16000)
+    assert large < 10 * small + 2  # four times the matches; 370 kB
+
+
+def test_pii_of_a_megabyte_of_matches(spark):
+    docs = spark.createDataFrame([(1, "write to a@b.cc or not " * 45_000)], "doc_id long, text string")
+    assert pii.digest(pii.find_pii(docs)).first()["n_email"] == 45_000
