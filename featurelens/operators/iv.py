@@ -160,13 +160,6 @@ def quantile_bins(df: DataFrame, cols: Sequence[str], q: int = QUANTILE_BINS, me
     return attach_bins(counts, edges, cols).select("var", "bin_idx", "bin_lo", "bin_hi", "bin", "n")
 
 
-def label_values(df: DataFrame, label_col: str) -> list[str]:
-    """Distinct non-null labels as text, for results with a column per label."""
-    rows = (df.where(F.col(label_col).isNotNull())
-              .select(F.col(label_col).cast("string").alias("l")).distinct().collect())
-    return sorted(r["l"] for r in rows)
-
-
 def _iv_term(neg_rate: Column, pos_rate: Column) -> Column:
     return (neg_rate - pos_rate) * F.log((neg_rate + F.lit(EPS_IV)) / (pos_rate + F.lit(EPS_IV)))
 
