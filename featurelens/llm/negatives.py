@@ -30,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from featurelens.llm import tokens as T
 from featurelens.llm.tables import ready, stage
 from featurelens.llm.whitening import integers
 
