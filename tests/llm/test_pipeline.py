@@ -9,7 +9,7 @@ from featurelens.llm import queries
 
 def test_all_queries_are_registered():
     names = set(E.queries())
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.queries()) | {"pipeline"} <= names and set(queries.oracle_sql()) <= names
 
 
