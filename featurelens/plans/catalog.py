@@ -519,6 +519,15 @@ def build() -> dict:
         return read_report(s, _run(s, sf).base, "orders", "feature_selection_report")
     q["save_feature_report"] = save_feature_report
 
+    def saved(section):
+        def run(s, sf):
+            from featurelens.sources.reports import read_report
+            return read_report(s, _run(s, sf).base, "orders", section)
+        return run
+    # sections of the saved report that SQL can compute
+    q["saved_split_counts"] = saved("train_test_count")
+    q["saved_label_distribution"] = saved("label_dist")
+
     def model_run(s, sf):
         """The countable part of a whole run: scored test rows per class,
         iterations per class, pairs of classes, rows of the saved sections."""

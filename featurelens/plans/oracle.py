@@ -318,6 +318,12 @@ def order_split(seed=33, pct=20):
     return f"(SELECT *, CASE WHEN {_md5_bucket(seed, 'o_custkey')} < {pct} THEN 'test' ELSE 'train' END AS split FROM orders)"
 
 
+def split_counts_sql(split, whole):
+    return (f"SELECT split AS dataset, CAST(count(*) AS BIGINT) AS counts, CAST(count(DISTINCT o_custkey) AS BIGINT) "
+            f"AS unique_o_custkey FROM {split} s GROUP BY split UNION ALL SELECT 'original', "
+            f"CAST(count(*) AS BIGINT), CAST(count(DISTINCT o_custkey) AS BIGINT) FROM {whole} w")
+
+
 def build() -> dict:
     q = {}
     q["read_table"] = "SELECT * FROM orders"
@@ -419,9 +425,7 @@ def build() -> dict:
     q["crosstab_sparse"] = (f"SELECT * EXCLUDE (all_labels, all_periods) FROM "
                             f"{ratio_sql(crosstab_sql(docs, 'source', 'lang', 'NULL', 'doc_id', True), True)} r")
     q["history_pivot"] = f"SELECT * FROM {history_pivot_sql()} h"
-    q["split_counts"] = (f"SELECT split AS dataset, CAST(count(*) AS BIGINT) AS counts, CAST(count(DISTINCT o_custkey) AS BIGINT) "
-                         f"AS unique_o_custkey FROM {order_split()} s GROUP BY split UNION ALL SELECT 'original', "
-                         f"CAST(count(*) AS BIGINT), CAST(count(DISTINCT o_custkey) AS BIGINT) FROM orders")
+    q["split_counts"] = split_counts_sql(order_split(), "orders")
     q["label_distribution"] = (
         f"WITH x AS (SELECT *, CAST(dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS BIGINT) AS o_orderstatus_idx "
         f"FROM {order_split()} s), g AS (SELECT o_orderstatus_idx, o_orderstatus AS o_orderstatus_idx_desc, "
@@ -679,6 +683,9 @@ def build() -> dict:
     classes = f"(SELECT count(DISTINCT o_orderstatus) FROM {prepared} p)"
     columns = "(SELECT count(*) + 4 FROM (DESCRIBE orders))"
     one = "SELECT 'section' AS part, '{}' AS key, CAST({} AS BIGINT) AS n"
+    split_of = f"(SELECT *, CASE WHEN {_md5_bucket(33, 'o_custkey')} < 20 THEN 'test' ELSE 'train' END AS split FROM {prepared} p)"
+    q["saved_split_counts"] = split_counts_sql(split_of, prepared)
+    q["saved_label_distribution"] = q["label_distribution"].replace(order_split(), split_of)
     q["model_run"] = (
         f"SELECT 'scored' AS part, CAST(c AS VARCHAR) AS key, CAST(count(*) AS BIGINT) AS n FROM (SELECT dense_rank() OVER (ORDER BY o_orderstatus) - 1 AS c, "
         f"{_md5_bucket(33, 'o_custkey')} < 20 AS test FROM {prepared} p) x WHERE test GROUP BY c "
