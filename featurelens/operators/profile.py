@@ -24,9 +24,11 @@ from featurelens.functions.text import remarks, value_range
 from featurelens.operators.columns import (
     TEMPORAL_TYPES, nan_to_null, proposed_type,
 )
+from featurelens.session import write_through
 
 SAMPLE_EACH_END = 5
 HEAD = dates.LONGEST
+ENDS_PART = 64
 
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -60,9 +62,20 @@ def _prints() -> list:
 def _value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows per distinct value of every column: (var, h, g, head, cut, d, l,
     _c). ``cut`` tells that the text is longer than its head."""
-    keyed = _long(df, cols).select("var", *_prints(), F.left("s", F.lit(HEAD)).alias("head"),
-                                   (F.char_length("s") > HEAD).alias("cut"), "d", "l")
-    return keyed.groupBy("var", "h", "g", "head", "cut", "d", "l").agg(F.count(F.lit(1)).alias("_c"))
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    numbers = [c for c in cols if isinstance(fields[c], _INTEGRAL + _FRACTIONAL)]
+    rest = [c for c in cols if c not in numbers]
+    parts = []
+    if numbers:
+        # numbers are counted by short keys, without texts
+        parts.append(_long(df, numbers).groupBy("var", "d", "l").agg(F.count(F.lit(1)).alias("_c")).select(
+            "var", F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("g"), F.lit(None).cast("string").alias("head"),
+            F.lit(None).cast("boolean").alias("cut"), "d", "l", "_c"))
+    if rest:
+        keyed = _long(df, rest).select("var", *_prints(), F.left("s", F.lit(HEAD)).alias("head"),
+                                       (F.char_length("s") > HEAD).alias("cut"), "d", "l")
+        parts.append(keyed.groupBy("var", "h", "g", "head", "cut", "d", "l").agg(F.count(F.lit(1)).alias("_c")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def _ends(df: DataFrame, cols: Sequence[str], counts: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
@@ -77,9 +90,22 @@ def _ends(df: DataFrame, cols: Sequence[str], counts: DataFrame, k: int) -> tupl
 
     up = [F.col(f"v.{c}").asc_nulls_last() for c in ("l", "d", "s")]
     down = [F.col(f"v.{c}").desc_nulls_last() for c in ("l", "d", "s")]
+    # the value at which k heads are reached in a part of them: the k first of
+    # all are not beyond it, so only those up to it are ranked (all of a column
+    # that has fewer than k in the part)
+    some = heads.where(F.pmod(F.xxhash64("h", "v.l", "v.d"), F.lit(ENDS_PART)) == 0)
+
+    def reached(x, order, last):
+        return ranked(x, order, k).groupBy("var").agg(last("v").alias("_end"), F.count(F.lit(1)).alias("_n"))
+
+    def first(order, last, inside):
+        bound = reached(some, order, last).where(F.col("_n") >= k).select("var", "_end")
+        held = heads.join(F.broadcast(bound), "var", "left").where(F.col("_end").isNull() | inside(F.col("v"), F.col("_end")))
+        return reached(held.drop("_end"), order, last)
+
     # the value at which k heads are reached from either end: one row per column
-    low = ranked(heads, up, k).groupBy("var").agg(F.max("v").alias("_low"))
-    high = ranked(heads, down, k).groupBy("var").agg(F.min("v").alias("_high"))
+    low = first(up, F.max, lambda v, end: v <= end).select("var", F.col("_end").alias("_low"))
+    high = first(down, F.min, lambda v, end: v >= end).select("var", F.col("_end").alias("_high"))
     near = (heads.join(F.broadcast(low), "var").join(F.broadcast(high), "var")
             .where((F.col("v") <= F.col("_low")) | (F.col("v") >= F.col("_high"))))
     fields = {f.name: f.dataType for f in df.schema.fields}
@@ -121,7 +147,8 @@ def column_stats(df: DataFrame, columns: Sequence[str] | None = None,
     """
     cols = list(columns) if columns is not None else list(df.columns)
     df = nan_to_null(df.select(*cols))
-    counts = _value_counts(df, cols)
+    # the facts and both ends read it, several times
+    counts = write_through(_value_counts(df, cols), "value-counts")
     present = F.col("head").isNotNull() | F.col("d").isNotNull() | F.col("l").isNotNull()
     zero = (F.col("d") == 0) | (F.col("l") == 0)
     per_var = counts.groupBy("var").agg(

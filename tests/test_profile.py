@@ -144,3 +144,18 @@ def test_convert_dates(spark):
     assert found == {"d": "day/month/year"} and dict(out.dtypes) == {"d": "date", "w": "string", "e": "string", "n": "int"}
     assert [str(r["d"]) for r in out.orderBy("n").collect()] == ["2024-01-13", "None"]
     assert profile.convert_dates(df.select("n"))[1] == {}
+
+
+def test_stats_read_the_table_once_and_rank_only_the_ends(spark):
+    df = spark.range(0, 5000, 1, 3).select(
+        (F.col("id") * 7 % 5000).alias("n"), (F.col("id") % 1000 / 2 - 100).alias("d"),
+        F.when(F.col("id") % 5 != 0, F.col("id") % 3).cast("int").alias("few"), F.lit(None).cast("double").alias("nul"))
+    st = profile.column_stats(df)
+    # the table's values are counted before: only the literal table of the columns is a range
+    assert st._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    got = {r["var"]: r for r in st.collect()}
+    assert got["n"]["samples"] == [str(x) for x in (0, 1, 2, 3, 4, 4995, 4996, 4997, 4998, 4999)]
+    assert got["d"]["samples"] == [str(x / 2 - 100) for x in (0, 1, 2, 3, 4, 995, 996, 997, 998, 999)]
+    assert got["few"]["samples"] == ["0", "1", "2"] and got["few"]["num_unique"] == 4 and got["few"]["non_missing_cnt"] == 4000
+    assert got["nul"]["samples"] == [] and got["nul"]["non_missing_cnt"] == 0 and got["nul"]["num_unique"] == 1
+    assert got["n"]["zero_cnt"] == 1 and got["d"]["zero_cnt"] == 5 and got["n"]["max_int"] == 4999 and got["d"]["min_num"] == -100.0
