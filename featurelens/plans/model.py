@@ -94,6 +94,11 @@ def train_ova_model(df: DataFrame, features: Sequence[str], label_idx: str, spli
     data = asm.transform(df.where(F.col(label_idx).isNotNull()).withColumn(label_idx, F.col(label_idx).cast("double")))
     data = data.select(*keys, "features", label_idx, split_col)
     if checkpoint:
+        # the trees read it many times: on all cores, however few files or
+        # row groups the table has
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if data.rdd.getNumPartitions() < cores:
+            data = data.repartition(cores)
         data = cut_lineage(data)
     data = data.withColumn("features", F.col("features").alias("features", metadata=_attributes(names, arity)))
     train, test = (data.where(F.col(split_col) == s) for s in ("train", "test"))
@@ -117,33 +122,44 @@ def train_ova_model(df: DataFrame, features: Sequence[str], label_idx: str, spli
     return TrainedModel(models, names, label_idx, train, test, classes, data, split_col, tuple(keys), tuple(arity))
 
 
+def _scored_rows(tm: TrainedModel) -> DataFrame:
+    return tm.data.where(F.col(tm.split_col).isin("train", "test")).withColumn("part", F.col(tm.split_col))
+
+
+def _staged(tm: TrainedModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    out = trees.staged(rows, tm.models, tm.nodes, "features", ["part", *keep, tm.label_idx])
+    return out.select("part", *keep, F.col(tm.label_idx).cast("int").alias(tm.label_idx), "iteration",
+                      *[F.get("scores", F.lit(k)).alias(f"score_{k}") for k in range(tm.num_classes)])
+
+
 def staged_scores(tm: TrainedModel) -> DataFrame:
     """(part, keys, label_idx, iteration, score_0..score_k-1): the margins of
     every train and test row after every boosting iteration, from one scan."""
-    rows = tm.data.where(F.col(tm.split_col).isin("train", "test")).withColumn("part", F.col(tm.split_col))
-    keep = ["part", *tm.keys, tm.label_idx]
-    out = trees.staged(rows, tm.models, tm.nodes, "features", keep)
-    return out.select("part", *tm.keys, F.col(tm.label_idx).cast("int").alias(tm.label_idx), "iteration",
-                      *[F.get("scores", F.lit(k)).alias(f"score_{k}") for k in range(tm.num_classes)])
+    return _staged(tm, _scored_rows(tm), tm.keys)
 
 
 def learning_curve(tm: TrainedModel) -> DataFrame:
     """(class, iteration, train_loss, test_loss, train_auc_mu, test_auc_mu).
 
     The loss is that of the class model after the iteration; AUC-mu is of all
-    classes together after it (the same in every class's row). Two aggregations
-    over the staged scores, however many classes and iterations; a part
-    without rows has NULLs.
+    classes together after it (the same in every class's row). Rows of one part
+    and label that no tree tells apart have the same margins throughout: they
+    are counted in one scan, and the trees, the losses and the ranks take the
+    counts (rows x iterations are never made). Two aggregations, however many
+    classes and iterations; a part without rows has NULLs.
     """
+    from featurelens.session import cut_lineage
     scores = [f"score_{k}" for k in range(tm.num_classes)]
-    st = staged_scores(tm)
+    # both aggregations read it
+    cells = cut_lineage(trees.cells(_scored_rows(tm), tm.nodes, "features", len(tm.features), ["part", tm.label_idx], "_rows"))
+    st = _staged(tm, cells, ["_rows"])
     losses = st.groupBy("part", "iteration").agg(*[
-        F.avg(trees.log_loss(F.col(c), F.col(tm.label_idx) == k)).alias(c) for k, c in enumerate(scores)])
+        (F.sum(trees.log_loss(F.col(c), F.col(tm.label_idx) == k) * F.col("_rows")) / F.sum("_rows")).alias(c) for k, c in enumerate(scores)])
     each = losses.select("part", "iteration", F.posexplode(F.array(*scores)).alias("class", "loss"))
     length = F.create_map(*[F.lit(x) for k, m in enumerate(tm.models) for x in (k, len(m.treeWeights))])
     loss = (each.where(F.col("iteration") <= length[F.col("class")]).groupBy("class", "iteration")
             .agg(*[F.max(F.when(F.col("part") == p, F.col("loss"))).alias(f"{p}_loss") for p in ("train", "test")]))
-    auc = (auc_mu_pairs(st, tm.label_idx, scores, by=("part", "iteration")).groupBy("iteration")
+    auc = (auc_mu_pairs(st, tm.label_idx, scores, by=("part", "iteration"), weight="_rows").groupBy("iteration")
            .agg(*[F.avg(F.when(F.col("part") == p, F.col("auc"))).alias(f"{p}_auc_mu") for p in ("train", "test")]))
     return loss.join(auc, "iteration", "left").select(
         "class", "iteration", "train_loss", "test_loss", "train_auc_mu", "test_auc_mu")
@@ -176,19 +192,21 @@ def importance_elbow(importance: DataFrame) -> int:
     return max(range(len(g)), key=lambda i: dist[i]) + 1
 
 
-def auc_mu_pairs(scores: DataFrame, label_idx: str, score_cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def auc_mu_pairs(scores: DataFrame, label_idx: str, score_cols: Sequence[str], by: Sequence[str] = (),
+                 weight: str | None = None) -> DataFrame:
     """Pairwise AUC of classes (i, j), i < j, scored by s = p_i - p_j
     (Kleiman & Page, 2019): P(s_i > s_j) + 0.5 P(s_i = s_j). ``by`` groups
-    the rows first (a part, an iteration)."""
+    the rows first (a part, an iteration); a row counts ``weight`` times (a long)."""
     by = list(by)
+    times = F.lit(1).cast("long") if weight is None else F.col(weight)
     lab, p = F.col(label_idx).cast("int"), F.array(*[F.col(c) for c in score_cols])
     # a row meets each other class once
-    met = scores.select(*by, lab.alias("y"), p.alias("p"), F.explode(F.sequence(F.lit(0), F.lit(len(score_cols) - 1))).alias("o")).where("o <> y")
+    met = scores.select(*by, lab.alias("y"), p.alias("p"), times.alias("m"), F.explode(F.sequence(F.lit(0), F.lit(len(score_cols) - 1))).alias("o")).where("o <> y")
     long = met.select(*by, F.least("y", "o").alias("ci"), F.greatest("y", "o").alias("cj"),
                       (F.get("p", F.least("y", "o")) - F.get("p", F.greatest("y", "o"))).alias("s"),
-                      (F.col("y") < F.col("o")).alias("is_i"))
-    cnt = long.groupBy(*by, "ci", "cj", "s").agg(F.count(F.when(F.col("is_i"), 1)).alias("ni"),
-                                           F.count(F.when(~F.col("is_i"), 1)).alias("nj"))
+                      (F.col("y") < F.col("o")).alias("is_i"), "m")
+    cnt = long.groupBy(*by, "ci", "cj", "s").agg(F.sum(F.when(F.col("is_i"), F.col("m")).otherwise(0)).alias("ni"),
+                                           F.sum(F.when(F.col("is_i"), 0).otherwise(F.col("m"))).alias("nj"))
     ranked = running_total(cnt, [F.col("s")], [*by, "ci", "cj"], "nj", "cum_nj")
     below = F.col("cum_nj") - F.col("nj")
     return (ranked.groupBy(*by, "ci", "cj")
@@ -287,6 +305,7 @@ def run_model_pipeline(df: DataFrame, spec, number_of_features: int | None = Non
     """
     from featurelens.operators import encoding, sampling
     from featurelens.plans.features import prepare_features
+    from featurelens.session import cut_lineage
     prep = prepare_features(df, spec)
     x = sampling.split_by_customer(prep.df, spec.cust_key)
     if cover_order:
@@ -294,11 +313,12 @@ def run_model_pipeline(df: DataFrame, spec, number_of_features: int | None = Non
     x, labels = encoding.label_encode(x, spec.label, artefact)
     idx = f"{spec.label}_idx"
     tm = train_ova_model(x, prep.valid, idx, keys=keys, categorical=prep.categorical, eval_split=eval_split, **train_args)
-    importance = feature_importance(tm)
+    # one row per feature, and per class and iteration: computed once
+    importance = cut_lineage(feature_importance(tm))
     elbow = importance_elbow(importance)
     counts = sampling.split_counts(x, spec.cust_key)
     dist = sampling.label_distribution(x, idx, "split", spec.label)
-    learning = learning_curve(tm)
+    learning = cut_lineage(learning_curve(tm))
     auc = auc_mu(model_scores(tm, "test"), idx, [f"score_{k}" for k in range(tm.num_classes)])
     rep = sort_feature_report(feature_report(prep.summary, importance, spec, number_of_features or elbow))
     if artefacts:

@@ -55,15 +55,54 @@ def outputs(nodes: DataFrame, weights: Sequence[Sequence[float]], x: str) -> lis
     return out
 
 
+def _upto_sql(value: str, cuts: list, low: int, high: int) -> str:
+    """The first of the sorted ``cuts`` that is not under the value, infinity
+    if there is none (NaN too), by binary search."""
+    if low == high:
+        return f"{cuts[low]!r}D" if low < len(cuts) else "double('Infinity')"
+    mid = (low + high) // 2
+    return (f"CASE WHEN {value} <= {cuts[mid]!r}D THEN {_upto_sql(value, cuts, low, mid)} "
+            f"ELSE {_upto_sql(value, cuts, mid + 1, high)} END")
+
+
+def cell_values(nodes: DataFrame, x: str, size: int) -> Column:
+    """The array ``x`` of ``size`` features with every value replaced by one
+    that all tests of all trees send the same way."""
+    cuts, codes = {}, {}
+    for r in nodes.where("leftChild >= 0").select("split.*").distinct().collect():
+        (cuts if r["numCategories"] < 0 else codes).setdefault(r["featureIndex"], set()).update(r["leftCategoriesOrThreshold"])
+    out = []
+    for i in range(size):
+        if i in cuts:
+            out.append(_upto_sql(f"{x}[{i}]", sorted(cuts[i]), 0, len(cuts[i])))
+        elif codes.get(i):
+            out.append(f"CASE WHEN {x}[{i}] IN ({', '.join(f'{c!r}D' for c in sorted(codes[i]))}) THEN {x}[{i}] ELSE double('NaN') END")
+        else:
+            out.append("0.0D")
+    return F.expr(f"array({', '.join(out)})")
+
+
+def cells(data: DataFrame, nodes: DataFrame, features: str, size: int, keep: Sequence, count: str) -> DataFrame:
+    """``keep`` columns, ``features`` as an array and the number of rows (``count``)
+    of every cell: rows alike in ``keep`` that no tree tells apart."""
+    from pyspark.ml.functions import vector_to_array
+    # the array is made below the tests, once a row
+    x = data.select(*keep, vector_to_array(features).alias("_x"))
+    return (x.select(*keep, cell_values(nodes, "_x", size).alias(features))
+            .groupBy(*keep, features).agg(F.count(F.lit(1)).alias(count)))
+
+
 def staged(data: DataFrame, models: Sequence, nodes: DataFrame, features: str, keep: Sequence) -> DataFrame:
     """``keep`` columns, iteration (from 1) and scores (array with one margin
     per class) of every row after every iteration of the longest class; a class
-    that stopped earlier keeps its last margin."""
+    that stopped earlier keeps its last margin. ``features`` is a vector or an
+    array."""
     from pyspark.ml.functions import vector_to_array
     weights = [list(m.treeWeights) for m in models]
     longest = max(map(len, weights))
+    array = data.schema[features].dataType.typeName() == "array"
     # the array is made below the trees, once a row
-    x = data.select(*keep, vector_to_array(features).alias("_x"))
+    x = data.select(*keep, (F.col(features) if array else vector_to_array(features)).alias("_x"))
     sums = [F.aggregate(o, F.array().cast("array<double>"), lambda acc, v: F.concat(
         acc, F.array(v + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0))))) for o in outputs(nodes, weights, "_x")]
     x = x.select(*keep, *[s.alias(f"_s{k}") for k, s in enumerate(sums)])

@@ -149,3 +149,33 @@ def test_whole_run_with_covered_labels_and_the_eval_set(spark):
     assert all(len(m.treeWeights) <= 3 for m in run.trained.models)
     plain = mdl.run_model_pipeline(df, spec, 1, max_iter=1, eval_split=None)
     assert len({x["label_idx"] for x in plain.trained.test.select("label_idx").distinct().collect()}) == 2
+
+
+def test_rows_that_no_tree_tells_apart_are_one_cell(fitted):
+    rows = fitted.data.withColumn("part", F.col("split"))
+    cells = trees.cells(rows, fitted.nodes, "features", 2, ["part", "y"], "n").cache()
+    every = fitted.data.count()
+    assert cells.agg(F.sum("n")).first()[0] == every and cells.count() < every / 2
+    # the cells have the rows' margins, as often
+    own = {}
+    for r in mdl.staged_scores(fitted).where("iteration = 6").collect():
+        key = (r["part"], r["y"], *[round(r[f"score_{k}"], 9) for k in range(3)])
+        own[key] = own.get(key, 0) + 1
+    got = {}
+    for r in trees.staged(cells, fitted.models, fitted.nodes, "features", ["part", "y", "n"]).where("iteration = 6").collect():
+        key = (r["part"], int(r["y"]), *[round(s, 9) for s in r["scores"]])
+        got[key] = got.get(key, 0) + r["n"]
+    assert got == own
+
+
+def test_auc_counts_weights_as_rows(spark):
+    rows = [(0, 0.9, 0.1, 3), (0, 0.2, 0.6, 2), (1, 0.4, 0.5, 4), (1, 0.9, 0.1, 1)]
+    df = spark.createDataFrame(rows, "y int, p0 double, p1 double, w long")
+    whole = df.select("y", "p0", "p1", F.explode(F.expr("sequence(1, w)")))
+    a = mdl.auc_mu_pairs(df, "y", ["p0", "p1"], weight="w").collect()
+    assert a == mdl.auc_mu_pairs(whole, "y", ["p0", "p1"]).collect() and a[0]["n_i"] == 5
+
+
+def test_training_frame_is_spread_over_the_cores(spark):
+    tm = mdl.train_ova_model(_frame(spark, _rows(300)).coalesce(1), ["c", "x"], "y", max_iter=1)
+    assert tm.data.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
