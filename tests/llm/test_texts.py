@@ -322,6 +322,34 @@ def test_line_dedup_matches_brute_force(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_finds_lines_with_changes_in_many_words(spark):
+    rng = np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    docs, pairs = [], 0
+    for d in range(60):
+        line = " ".join("".join(rng.choice(letters, int(n))) for n in rng.integers(3, 9, 40))
+        other = list(line)
+        sets = [{x[i:i + 5] for i in range(len(x) - 4)} for x in (line, line)]
+        while True:  # letters change far apart while the lines stay similar
+            changed = list(other)
+            changed[int(rng.integers(len(other)))] = "#"
+            sets[1] = {"".join(changed)[i:i + 5] for i in range(len(changed) - 4)}
+            if len(sets[0] & sets[1]) < 0.8 * len(sets[0] | sets[1]):
+                break
+            other = changed
+        docs += [(2 * d, line), (2 * d + 1, "".join(other))]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [k for k, x in docs if got[k] != (x if k % 2 == 0 else "")] == []
+
+
+def test_line_dedup_compares_all_lines_of_a_band(spark):
+    met = spark.createDataFrame([(1, 1, 10, 1), (1, 2, 10, 1), (1, 3, 10, 1), (1, 4, 5, 1), (2, 5, 10, 5), (2, 6, 10, 5), (2, 7, 10, 5), (3, 8, 9, 8), (3, 9, 9, 8)],
+                                "band long, lid long, n int, partner long")
+    comps = spark.createDataFrame([(6, 5), (7, 5), (5, 5)], "lid long, cid long")
+    assert sorted(map(tuple, line_dedup.candidate_pairs(met).collect())) == [(1, 2), (1, 3), (1, 4), (5, 6), (5, 7), (8, 9)]
+    assert [tuple(r) for r in line_dedup.remaining_pairs(met, comps, 0.8).collect()] == [(2, 3)]
+
+
 def test_line_dedup_repeated_rows_stay_alike(spark):
     df = spark.createDataFrame([(1, "same\nother"), (1, "same\nother"), (2, "same"), (None, "other")], "doc_id long, text string")
     got = sorted((str(r.doc_id), r.text) for r in line_dedup.dedup_lines(df).collect())
