@@ -94,11 +94,6 @@ def train_ova_model(df: DataFrame, features: Sequence[str], label_idx: str, spli
     data = asm.transform(df.where(F.col(label_idx).isNotNull()).withColumn(label_idx, F.col(label_idx).cast("double")))
     data = data.select(*keys, "features", label_idx, split_col)
     if checkpoint:
-        # the trees read it many times: on all cores, however few files or
-        # row groups the table has
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if data.rdd.getNumPartitions() < cores:
-            data = data.repartition(cores)
         data = cut_lineage(data)
     data = data.withColumn("features", F.col("features").alias("features", metadata=_attributes(names, arity)))
     train, test = (data.where(F.col(split_col) == s) for s in ("train", "test"))
