@@ -5,13 +5,16 @@ import collections
 import hashlib
 import math
 import re
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from featurelens.llm import html_diff, katz, licenses, line_dedup, mixing, pii, quality, tokens as T
+from featurelens.llm.tables import stage
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -350,6 +353,29 @@ def test_line_dedup_compares_all_lines_of_a_band(spark):
     assert [tuple(r) for r in line_dedup.remaining_pairs(met, comps, 0.8).collect()] == [(2, 3)]
 
 
+def test_line_dedup_lets_unlike_lines_of_a_band_go(spark):
+    rng = np.random.default_rng(11)
+    lines = [" ".join(rng.choice(["tion", "the", "and", "ou", "er", "in"], 3)) + str(i % 7) for i in range(400)]
+    met = line_dedup.meetings(spark.createDataFrame(list(enumerate(lines)), "id long, text string"), 24, 4, 5)
+    groups = collections.Counter(r.band for r in met.collect())
+    assert [r for r in met.where("not alike").collect() if groups[r.band] < 2] == []
+
+
+def test_freed_stage_leaves_no_shuffle_files(spark):
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in files.mkString("\n").split("\n") if "shuffle_" in f}
+
+    before = held()
+    out = stage(spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).count(), "freed", free=True)
+    for _ in range(50):
+        left = held() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and out.count() == 1000
+
+
 def test_line_dedup_repeated_rows_stay_alike(spark):
     df = spark.createDataFrame([(1, "same\nother"), (1, "same\nother"), (2, "same"), (None, "other")], "doc_id long, text string")
     got = sorted((str(r.doc_id), r.text) for r in line_dedup.dedup_lines(df).collect())
