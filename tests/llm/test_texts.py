@@ -4,6 +4,7 @@ data against brute force on small tables."""
 import collections
 import hashlib
 import math
+import os
 import re
 import time
 import zlib
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from featurelens.llm import html_diff, katz, licenses, line_dedup, mixing, pii, quality, tokens as T
 from featurelens.llm.tables import stage
+from featurelens.session import checkpoint_dir
 
 SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -376,6 +378,26 @@ def test_freed_stage_leaves_no_shuffle_files(spark):
     assert not left and out.count() == 1000
 
 
+def test_line_dedup_compares_sketches_of_both_halves(spark):
+    # lines 2 and 3 agree in one half only, 2 and 4 in both, 5 has one half
+    met = spark.createDataFrame([(1, k, 1) for k in (1, 2, 3, 4, 5)], "band long, lid long, partner long")
+    far = int("0o" + "3" * 21, 8)
+    sketches = spark.createDataFrame([(1, [0, 0]), (2, [0, 0]), (3, [0, far]), (4, [0, 0]), (5, [None, far])], "lid long, sketch array<long>")
+    none = spark.createDataFrame([], "lid long, cid long")
+    pairs = line_dedup.remaining_pairs(met, none, 0.8, line_dedup._alike_both("us", "vs", 24, 4), sketches)
+    assert sorted(map(tuple, pairs.collect())) == [(2, 4), (2, 5), (3, 5), (4, 5)]
+
+
+def test_line_dedup_leaves_no_signatures_behind(spark):
+    def held():
+        return {f for f in os.listdir(folder) if f.startswith(("line-signatures", "line-meetings"))} if os.path.isdir(folder) else set()
+
+    folder = f"{checkpoint_dir(spark)}/featurelens-scratch"
+    before = held()
+    df = spark.createDataFrame([(1, "some line of words\nanother one"), (2, "some line of words")], "doc_id long, text string")
+    assert line_dedup.dedup_lines(df).count() == 2 and held() <= before
+
+
 def test_line_dedup_repeated_rows_stay_alike(spark):
     df = spark.createDataFrame([(1, "same\nother"), (1, "same\nother"), (2, "same"), (None, "other")], "doc_id long, text string")
     got = sorted((str(r.doc_id), r.text) for r in line_dedup.dedup_lines(df).collect())
