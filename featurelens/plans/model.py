@@ -3,6 +3,7 @@ learning curve, importance, AUC-mu and the feature selection report."""
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -20,7 +21,9 @@ from featurelens.plans import trees
 @dataclass
 class TrainedModel:
     """One boosted model per class. ``categorical`` are the features that
-    trees split by sets of codes; the others are split by order."""
+    trees split by sets of codes; the others are split by order. ``fitted`` are
+    the models of all iterations, ``models`` those that the eval set keeps;
+    ``cells`` counts (``_rows``) the rows alike to the trees."""
     models: list
     features: list
     label_idx: str
@@ -31,16 +34,15 @@ class TrainedModel:
     split_col: str = "split"
     keys: tuple = ()
     categorical: tuple = ()
-    _nodes: DataFrame | None = None
+    fitted: list | None = None
+    cells: DataFrame | None = None
+    fitted_nodes: DataFrame | None = None
 
     @property
     def nodes(self) -> DataFrame:
-        """The nodes of all trees, saved once."""
-        if self._nodes is None:
-            from featurelens.session import scratch_dir
-            spark = self.train.sparkSession
-            self._nodes = trees.tree_nodes(self.models, spark, lambda name: scratch_dir(spark, name))
-        return self._nodes
+        """The nodes of all trees of ``models``."""
+        kept = F.create_map(*[F.lit(x) for k, m in enumerate(self.models) for x in (k, len(m.treeWeights))])
+        return self.fitted_nodes.where(F.col("treeID") < kept[F.col("class")])
 
 
 def _attributes(features: Sequence[str], arity: dict[str, int]) -> dict:
@@ -56,7 +58,7 @@ def train_ova_model(df: DataFrame, features: Sequence[str], label_idx: str, spli
                     max_depth: int = 3, max_iter: int = 20, step_size: float = 0.1, seed: int = 33,
                     parallelism: int = 4, checkpoint: bool = True, keys: Sequence[str] = (),
                     categorical: Sequence[str] = (), max_categories: int = 1024,
-                    eval_split: str | None = None, eval_tol: float = 0.01) -> TrainedModel:
+                    eval_split: str | None = None, eval_tol: float = 0.01, every_iteration: bool = False) -> TrainedModel:
     """Fit one boosted-tree model per class (one-vs-rest) on the train rows.
 
     ``categorical`` names features that hold codes 0..n-1: they become nominal
@@ -65,8 +67,15 @@ def train_ova_model(df: DataFrame, features: Sequence[str], label_idx: str, spli
     ``max_categories`` codes are split by order (the trees' bins grow with the
     largest number of categories). With ``eval_split`` the rows of that split
     are the eval set: a class stops boosting when its loss there no longer
-    falls by ``eval_tol`` of itself, and keeps its best iteration. Rows without
-    a label are left out.
+    falls by ``eval_tol`` of itself, and keeps its best iteration. With
+    ``every_iteration`` it boosts on, for the learning curve, and keeps the same
+    iteration. Rows without a label are left out.
+
+    Trees tell rows apart only by codes and by the intervals between MLlib's
+    split candidates. Rows alike in them and in split and label are counted in
+    one scan, and MLlib fits the counted cells, weighted by their rows: the
+    trees are those of the rows, but no iteration reads the rows again. The
+    models have the rows' thresholds.
 
     The assembled training frame is checkpointed to the shared folder
     (``spark.checkpoint.dir``): the trees read it many times, and a lost
@@ -79,7 +88,7 @@ def train_ova_model(df: DataFrame, features: Sequence[str], label_idx: str, spli
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    from featurelens.session import cut_lineage
+    from featurelens.session import cut_lineage, scratch_dir
 
     names = list(features)
     nominal = [f for f in names if f in set(categorical)]
@@ -98,31 +107,62 @@ def train_ova_model(df: DataFrame, features: Sequence[str], label_idx: str, spli
     data = data.withColumn("features", F.col("features").alias("features", metadata=_attributes(names, arity)))
     train, test = (data.where(F.col(split_col) == s) for s in ("train", "test"))
     held = F.col(split_col) == eval_split
-    seen = data.agg(F.max(label_idx).alias("k"), F.count(F.when(held, 1)).alias("held") if eval_split else F.lit(0).alias("held")).first()
-    fit_on, extra = train, {}
-    if seen["held"]:
-        fit_on = data.where((F.col(split_col) == "train") | held).withColumn("_held", held)
-        extra = {"validationIndicatorCol": "_held", "validationTol": eval_tol}
+    seen = data.agg(F.max(label_idx).alias("k"), F.count(F.when(held, 1)).alias("held") if eval_split else F.lit(0).alias("held"),
+                    F.count(F.when(F.col(split_col) == "train", 1)).alias("train")).first()
+    classes = int(seen["k"]) + 1 if seen["k"] is not None else 0
+    if not classes:
+        raise ValueError(f"no row has a label in {label_idx}")
+    bins = max([32, *arity.values()])
+    ordered = [i for i, f in enumerate(names) if f not in arity]
+    cuts = trees.split_candidates(train, "features", ordered, seen["train"], bins, seed)
+    x = data.where(F.col(split_col).isin("train", "test", *([eval_split] if eval_split else [])))
+    # many reads of a small table
+    cells = cut_lineage(trees.counted(x, "features", len(names), cuts, [split_col, label_idx], "_rows"))
+    fit_on = trees.binned(cells, "features", len(names), cuts).withColumn(
+        "features", F.col("features").alias("features", metadata=_attributes(names, arity)))
+    fit_on = fit_on.withColumn("_held", held if seen["held"] else F.lit(False)).where((F.col(split_col) == "train") | F.col("_held"))
+    few = fit_on.agg(F.count(F.when(~F.col("_held"), 1))).first()[0]
+    # MLlib wants as many rows as bins: cells are cut in parts of equal weight
+    parts = 1
+    while 0 < few * parts < min(bins, seen["train"]):
+        parts *= 2
+    fit_on = fit_on.withColumn("_weight", F.col("_rows") / F.lit(float(parts))).withColumn("_part", F.explode(F.sequence(F.lit(1), F.lit(parts)))).drop("_part")
+    stop = bool(seen["held"]) and not every_iteration
+    extra = {"validationIndicatorCol": "_held", "validationTol": eval_tol} if stop else {}
+    spark = data.sparkSession
 
     def one(k: int):
+        own = fit_on.withColumn(f"_is_{k}", (F.col(label_idx) == k).cast("double"))
         gbt = GBTClassifier(labelCol=f"_is_{k}", maxDepth=max_depth, maxIter=max_iter, stepSize=step_size, seed=seed,
-                            maxBins=max([32, *arity.values()]), **extra)
-        return gbt.fit(fit_on.withColumn(f"_is_{k}", (F.col(label_idx) == k).cast("double")))
+                            maxBins=bins, weightCol="_weight", **extra)
+        binned = gbt.fit(own if stop else own.where("not _held"))
+        losses = binned.evaluateEachIteration(own.where("_held")) if seen["held"] and every_iteration else []
+        model, nodes = trees.with_cuts(binned, cuts, spark, scratch_dir(spark, f"trees-{k}"))
+        return model, nodes.select(F.lit(k).alias("class"), "*"), trees.first_trees(model, _best(losses, eval_tol)) if losses else model
 
-    classes = int(seen["k"]) + 1 if seen["k"] is not None else 0
-    if not classes:
-        raise ValueError(f"no row has a label in {label_idx}")
     with ThreadPool(min(parallelism, classes)) as pool:
-        models = pool.map(inheritable_thread_target(train.sparkSession)(one), range(classes))
-    return TrainedModel(models, names, label_idx, train, test, classes, data, split_col, tuple(keys), tuple(arity))
+        done = pool.map(inheritable_thread_target(spark)(one), range(classes))
+    fitted, nodes, kept = zip(*done)
+    return TrainedModel(list(kept), names, label_idx, train, test, classes, data, split_col, tuple(keys), tuple(arity),
+                        list(fitted), cells, functools.reduce(DataFrame.unionByName, nodes))
+
+
+def _best(losses: Sequence[float], tol: float) -> int:
+    """The iterations MLlib keeps by these losses of the eval set."""
+    best = 1
+    for m in range(1, len(losses)):
+        if losses[best - 1] - losses[m] < tol * max(losses[m], 0.01):
+            break
+        best = m + 1
+    return best
 
 
-def _scored_rows(tm: TrainedModel) -> DataFrame:
-    return tm.data.where(F.col(tm.split_col).isin("train", "test")).withColumn("part", F.col(tm.split_col))
+def _parts(tm: TrainedModel, rows: DataFrame) -> DataFrame:
+    return rows.where(F.col(tm.split_col).isin("train", "test")).withColumn("part", F.col(tm.split_col))
 
 
 def _staged(tm: TrainedModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
-    out = trees.staged(rows, tm.models, tm.nodes, "features", ["part", *keep, tm.label_idx])
+    out = trees.staged(rows, tm.fitted, tm.fitted_nodes, "features", ["part", *keep, tm.label_idx])
     return out.select("part", *keep, F.col(tm.label_idx).cast("int").alias(tm.label_idx), "iteration",
                       *[F.get("scores", F.lit(k)).alias(f"score_{k}") for k in range(tm.num_classes)])
 
@@ -130,7 +170,7 @@ def _staged(tm: TrainedModel, rows: DataFrame, keep: Sequence[str]) -> DataFrame
 def staged_scores(tm: TrainedModel) -> DataFrame:
     """(part, keys, label_idx, iteration, score_0..score_k-1): the margins of
     every train and test row after every boosting iteration, from one scan."""
-    return _staged(tm, _scored_rows(tm), tm.keys)
+    return _staged(tm, _parts(tm, tm.data), tm.keys)
 
 
 def learning_curve(tm: TrainedModel) -> DataFrame:
@@ -138,20 +178,20 @@ def learning_curve(tm: TrainedModel) -> DataFrame:
 
     The loss is that of the class model after the iteration; AUC-mu is of all
     classes together after it (the same in every class's row). Rows of one part
-    and label that no tree tells apart have the same margins throughout: they
-    are counted in one scan, and the trees, the losses and the ranks take the
-    counts (rows x iterations are never made). Two aggregations, however many
-    classes and iterations; a part without rows has NULLs.
+    and label that no tree tells apart have the same margins throughout: the
+    trees, the losses and the ranks take the counts of the model's cells (rows x
+    iterations are never made, and no row is read). Two aggregations, however
+    many classes and iterations; a part without rows has NULLs.
     """
     from featurelens.session import cut_lineage
     scores = [f"score_{k}" for k in range(tm.num_classes)]
     # both aggregations read it
-    cells = cut_lineage(trees.cells(_scored_rows(tm), tm.nodes, "features", len(tm.features), ["part", tm.label_idx], "_rows"))
+    cells = cut_lineage(trees.cells(_parts(tm, tm.cells), tm.fitted_nodes, "features", len(tm.features), ["part", tm.label_idx], "_rows", "_rows"))
     st = _staged(tm, cells, ["_rows"])
     losses = st.groupBy("part", "iteration").agg(*[
         (F.sum(trees.log_loss(F.col(c), F.col(tm.label_idx) == k) * F.col("_rows")) / F.sum("_rows")).alias(c) for k, c in enumerate(scores)])
     each = losses.select("part", "iteration", F.posexplode(F.array(*scores)).alias("class", "loss"))
-    length = F.create_map(*[F.lit(x) for k, m in enumerate(tm.models) for x in (k, len(m.treeWeights))])
+    length = F.create_map(*[F.lit(x) for k, m in enumerate(tm.fitted) for x in (k, len(m.treeWeights))])
     loss = (each.where(F.col("iteration") <= length[F.col("class")]).groupBy("class", "iteration")
             .agg(*[F.max(F.when(F.col("part") == p, F.col("loss"))).alias(f"{p}_loss") for p in ("train", "test")]))
     auc = (auc_mu_pairs(st, tm.label_idx, scores, by=("part", "iteration"), weight="_rows").groupBy("iteration")
@@ -211,17 +251,20 @@ def auc_mu_pairs(scores: DataFrame, label_idx: str, score_cols: Sequence[str], b
                           F.col("n_i").cast("long").alias("n_i"), F.col("n_j").cast("long").alias("n_j")))
 
 
-def auc_mu(scores: DataFrame, label_idx: str, score_cols: Sequence[str]) -> DataFrame:
-    """Mean pairwise AUC (one row)."""
-    return auc_mu_pairs(scores, label_idx, score_cols).agg(F.avg("auc").alias("auc_mu"),
+def auc_mu(scores: DataFrame, label_idx: str, score_cols: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Mean pairwise AUC (one row); a row counts ``weight`` times."""
+    return auc_mu_pairs(scores, label_idx, score_cols, weight=weight).agg(F.avg("auc").alias("auc_mu"),
                                                           F.count(F.lit(1)).alias("pairs"))
 
 
 def model_scores(tm: TrainedModel, part: str = "test") -> DataFrame:
     """(keys, label_idx, score_0..score_k-1) from the class models' raw margins."""
+    return _margins(tm, tm.test if part == "test" else tm.train, tm.keys)
+
+
+def _margins(tm: TrainedModel, out: DataFrame, keep: Sequence[str]) -> DataFrame:
     from pyspark.ml.functions import vector_to_array as vec
-    out = tm.test if part == "test" else tm.train
-    cols = [*tm.keys, F.col(tm.label_idx).cast("int").alias(tm.label_idx)]
+    cols = [*keep, F.col(tm.label_idx).cast("int").alias(tm.label_idx)]
     for k, sub in enumerate(tm.models):
         # a copy: the fitted model keeps its own column names
         out = (sub.copy().setRawPredictionCol(f"_raw{k}").setPredictionCol(f"_pred{k}")
@@ -293,11 +336,13 @@ def run_model_pipeline(df: DataFrame, spec, number_of_features: int | None = Non
     Without ``number_of_features`` the elbow of the importance curve decides.
     ``base`` saves the report's sections, ``artefacts`` the label and category
     maps. The coded text features are categorical for the trees, and the test
-    rows are the eval set (``eval_split=None``: every iteration is fitted).
+    rows are the eval set (``eval_split=None``: every iteration is kept).
     ``cover_order`` names columns that order the rows: then labels missing on
     one side are written over its last rows first (:func:`cover_labels`, which
     falsifies those labels).
     """
+    from pyspark.ml.functions import array_to_vector
+
     from featurelens.operators import encoding, sampling
     from featurelens.plans.features import prepare_features
     from featurelens.session import cut_lineage
@@ -314,7 +359,9 @@ def run_model_pipeline(df: DataFrame, spec, number_of_features: int | None = Non
     counts = sampling.split_counts(x, spec.cust_key)
     dist = sampling.label_distribution(x, idx, "split", spec.label)
     learning = cut_lineage(learning_curve(tm))
-    auc = auc_mu(model_scores(tm, "test"), idx, [f"score_{k}" for k in range(tm.num_classes)])
+    # rows of one cell have the same scores
+    cells = tm.cells.where(F.col("split") == "test").withColumn("features", array_to_vector("features"))
+    auc = auc_mu(_margins(tm, cells, ["_rows"]), idx, [f"score_{k}" for k in range(tm.num_classes)], "_rows")
     rep = sort_feature_report(feature_report(prep.summary, importance, spec, number_of_features or elbow))
     if artefacts:
         from featurelens.sources.reports import save_artefacts
