@@ -18,6 +18,7 @@ from featurelens.functions.calendar import day_range
 from featurelens.functions.hashing import hash_bucket, hash_order_key
 from featurelens.operators.joins import labels_not_in
 from featurelens.operators.ranking import ordered_index
+from featurelens.session import cut_lineage
 
 
 def _keys(df: DataFrame, key_cols) -> list[str]:
@@ -159,8 +160,10 @@ def cover_labels(df: DataFrame, label: str, split_col: str, order_cols: Sequence
     from the end. Returns (frame, missing_in_train, missing_in_test).
     This changes labels: use only when a model needs all classes on both sides.
     """
-    train = df.where(F.col(split_col) == "train")
-    test = df.where(F.col(split_col) == "test")
+    # one scan: a row per label and side
+    seen = cut_lineage(df.where(F.col(split_col).isin("train", "test")).select(label, split_col).distinct())
+    train = seen.where(F.col(split_col) == "train")
+    test = seen.where(F.col(split_col) == "test")
     miss_train = labels_not_in(test, train, label)
     miss_test = labels_not_in(train, test, label)
     out = df

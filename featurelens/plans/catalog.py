@@ -137,13 +137,14 @@ _RUNS: dict = {}
 
 
 def _run(spark, sf):
-    """The model run over the orders, made once per session and folder: every
-    iteration is fitted, and the report is saved."""
+    """The model run over the orders, made once per session and folder: labels
+    are covered, the test rows are the eval set, every iteration is in the
+    curve, and the report is saved."""
     from featurelens.session import scratch_dir
     key = (spark.sparkContext.applicationId, sf)
     if key not in _RUNS:
         _RUNS[key] = mdl.run_model_pipeline(_t(spark, sf, "orders"), ORDER_SPEC, 1, scratch_dir(spark, "model_run"), "orders",
-                                            keys=("o_orderkey",), parallelism=3, eval_split=None)
+                                            keys=("o_orderkey",), parallelism=3, cover_order=("o_orderkey",), every_iteration=True)
     return _RUNS[key]
 
 

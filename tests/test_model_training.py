@@ -174,3 +174,64 @@ def test_auc_counts_weights_as_rows(spark):
     whole = df.select("y", "p0", "p1", F.explode(F.expr("sequence(1, w)")))
     a = mdl.auc_mu_pairs(df, "y", ["p0", "p1"], weight="w").collect()
     assert a == mdl.auc_mu_pairs(whole, "y", ["p0", "p1"]).collect() and a[0]["n_i"] == 5
+
+
+def _own_fit(df, k, **kw):
+    """MLlib's trees over the rows themselves."""
+    from pyspark.ml.classification import GBTClassifier
+    return GBTClassifier(labelCol="_l", maxDepth=3, stepSize=0.1, seed=33, **kw).fit(
+        df.withColumn("_l", (F.col("y") == k).cast("double")))
+
+
+def test_counted_cells_give_the_trees_of_the_rows(spark):
+    # 24,000 rows: MLlib draws its split candidates from a sample; x has many values, z few, w and n are often zero
+    df = spark.range(0, 24_000, 1, 3).select(
+        "id", (F.pmod(F.xxhash64("id"), F.lit(7))).cast("int").alias("c"), (F.pmod(F.hash("id"), F.lit(100_003)) / 7.0).alias("x"),
+        (F.pmod(F.hash("id", F.lit(1)), F.lit(5))).cast("double").alias("z"),
+        F.when(F.pmod(F.hash("id", F.lit(2)), F.lit(10)) == 0, F.pmod(F.hash("id", F.lit(3)), F.lit(1000)).cast("double")).otherwise(0.0).alias("w"),
+        F.when(F.pmod(F.hash("id", F.lit(4)), F.lit(4)) > 0, F.pmod(F.hash("id", F.lit(5)), F.lit(900)).cast("double")).otherwise(0.0).alias("n"))
+    label = F.pmod(F.floor(F.col("x") / 3000) + F.when(F.col("c").isin(1, 4), 1).otherwise(0) + F.when(F.col("n") > 500, 1).otherwise(F.when(F.col("w") > 300, 2).otherwise(0))
+                   + F.pmod(F.hash("id", F.lit(6)), F.lit(2)), F.lit(3)).cast("int")
+    df = df.withColumn("y", label).withColumn("split", F.when(F.col("id") % 5 == 0, "test").otherwise("train"))
+    tm = mdl.train_ova_model(df, ["c", "x", "z", "w", "n"], "y", max_iter=4, keys=["id"], categorical=["c"])
+    assert tm.cells.agg(F.sum("_rows")).first()[0] == 24_000
+    for k in range(3):
+        own = _own_fit(tm.train, k, maxIter=4)
+        mine = {r["id"]: r["p"] for r in tm.models[k].transform(tm.test).selectExpr("id", "probability p").collect()}
+        theirs = {r["id"]: r["p"] for r in own.transform(tm.test).selectExpr("id", "probability p").collect()}
+        assert all(mine[i][1] == pytest.approx(theirs[i][1], rel=1e-9) for i in theirs)
+    # the root's rows are rows, not cells
+    assert {r["rawCount"] for r in tm.nodes.where("id = 0").collect()} == {19_200}
+
+
+def test_no_iteration_reads_the_rows(spark):
+    df = _frame(spark, _rows(600))
+    tm = mdl.train_ova_model(df, ["c", "x"], "y", max_iter=2, categorical=["c"])
+    assert tm.cells.count() < 600 * 0.9
+    assert mdl.learning_curve(tm).count() == 6
+
+
+def test_every_iteration_is_shown_and_the_best_kept(spark):
+    df = _frame(spark, _rows(700, noise=0.5))
+    kw = dict(max_iter=12, step_size=0.5, max_depth=4, categorical=["c"], keys=["id"], eval_split="test", eval_tol=0.0)
+    stopped = mdl.train_ova_model(df, ["c", "x"], "y", **kw)
+    shown = mdl.train_ova_model(df, ["c", "x"], "y", every_iteration=True, **kw)
+    assert [len(m.treeWeights) for m in shown.models] == [len(m.treeWeights) for m in stopped.models]
+    assert [len(m.treeWeights) for m in shown.fitted] == [12] * 3 and mdl.learning_curve(shown).count() == 36
+    assert max(len(m.treeWeights) for m in shown.models) < 12
+    a, b = ({r["id"]: [r[f"score_{k}"] for k in range(3)] for r in mdl.model_scores(t).collect()} for t in (shown, stopped))
+    assert all(a[i] == pytest.approx(b[i], rel=1e-9) for i in b) and len(a) == len(b)
+    assert shown.nodes.count() == stopped.nodes.count()
+
+
+def test_registered_run_has_its_eval_set(spark, sf_small):
+    from featurelens.plans import catalog
+    run = catalog._run(spark, sf_small)
+    loss: dict = {}
+    for r in run.learning.collect():
+        loss.setdefault(r["class"], {})[r["iteration"]] = r["test_loss"]
+    for k, m in enumerate(run.trained.models):
+        e, n = loss[k], len(m.treeWeights)
+        assert len(e) == 20
+        # MLlib's rule with its tolerance of a hundredth
+        assert all(e[i] - e[i + 1] >= 0.01 * e[i + 1] for i in range(1, n)) and (n == 20 or e[n] - e[n + 1] < 0.01 * e[n + 1])
