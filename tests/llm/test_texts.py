@@ -181,6 +181,44 @@ def test_licenses_and_inheritance(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_licences_are_sought_in_every_window(spark):
+    # the two rarest words of the template are not in the text, and one word is new
+    templates = [("X", "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu")]
+    text = "one two alpha new gamma delta epsilon zeta eta theta iota kappa lambda end"
+    df = spark.createDataFrame([(1, "a.py", text), (2, "b.py", "alpha beta gamma"), (3, "c.py", "beta mu " * 2)], "doc_id long, path string, text string")
+    got = {r.doc_id: r for r in licenses.scan_licenses(df, templates=templates).collect()}
+    words = [x.text.split() for x in df.collect()]
+    want = {w: math.log((1 + 3) / (1 + sum(w in x for x in words))) + 1 for x in [*words, templates[0][1].split()] for w in x}
+    other = math.log(1 + 3) + 1
+
+    def cosine(window):
+        t, own = collections.Counter(templates[0][1].split()), collections.Counter(window)
+        weight = {w: want[w] if w in t else other for w in own}
+        dot = sum(own[w] * weight[w] * t[w] * want[w] for w in own if w in t)
+        return dot / math.sqrt(sum((own[w] * weight[w]) ** 2 for w in own) * sum((c * want[w]) ** 2 for w, c in t.items()))
+
+    for i, x in enumerate(words, 1):
+        best = max(cosine(x[s:s + 12]) for s in range(len(x)))
+        assert got[i].own_license == ("X" if best >= 0.8 else None)
+        assert best < 0.8 or got[i].own_score == pytest.approx(best)
+    assert got[1].own_license == "X"
+
+
+def test_standard_headers_and_heads_are_licences(spark):
+    header = ("This program is free software{} you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+              "# the Free Software Foundation{} either version {} of the License, or\n# (at your option) any later version.\n")
+    texts = {"GPL-3.0": header.format(":", ",", 3), "GPL-2.0": header.format(";", ";", 2),
+             "ISC": "Copyright (c) 2020 A B\n\nPermission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\n"
+                    "copyright notice and this permission notice appear in all copies.\n",
+             "Unlicense": "This is free and unencumbered software released into the public domain.\n",
+             "LGPL-2.1": "GNU LESSER GENERAL PUBLIC LICENSE\n Version 2.1, February 1999\n"}
+    prose = " ".join(f"word{i}" for i in range(200))
+    rows = [(k, f"{k}/LICENSE", x) for k, x in texts.items()] + [(k + " child", f"{k}/a/b.py", prose) for k in texts]
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id string, path string, text string")).collect()}
+    assert {k: got[k].own_license for k in texts} == {k: k for k in texts}
+    assert {k: got[k + " child"].license for k in texts} == {k: k for k in texts}
+
+
 # --- op7 -----------------------------------------------------------------
 
 def _targets(sizes, weights, cap=3):
